@@ -200,6 +200,8 @@ def with_views(sql: str, *names: str) -> str:
         return sql
     ctes = ",\n".join(f"{n} AS (\n{VIEWS[n][0].strip()}\n)" for n in _order(names))
     body = sql.strip()
+    if body[:14].upper() == "WITH RECURSIVE":
+        return f"WITH RECURSIVE {ctes},\n{body[14:].lstrip()}"
     if body[:4].upper() == "WITH":
         return f"WITH {ctes},\n{body[4:].lstrip()}"
     return f"WITH {ctes}\n{body}"

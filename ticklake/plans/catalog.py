@@ -27,3 +27,99 @@ def register(name: str):
 @register("W1_position_current")
 def q_position_current(spark, d):
     return insiders.position_current(fx.insider_transaction(spark, d), fx.insider_filing(spark, d))
+
+
+# --- evaluation runs and traces --------------------------------------------
+from ..operators import evals, quality  # noqa: E402
+
+
+@register("A1_run_summary")
+def q_run_summary(spark, d):
+    return evals.run_summary(fx.evaluation_runs(spark, d), fx.evaluation_pairs(spark, d), fx.judgement_scores(spark, d))
+
+
+@register("J4_pair_details")
+def q_pair_details(spark, d):
+    return evals.pair_details(fx.evaluation_runs(spark, d), fx.evaluation_pairs(spark, d), fx.judgement_scores(spark, d))
+
+
+@register("A3_hallucination_rate")
+def q_hallucination_rate(spark, d):
+    return evals.hallucination_rate(fx.evaluation_runs(spark, d), fx.evaluation_pairs(spark, d),
+                                    fx.judgement_scores(spark, d), 0.6)
+
+
+@register("A2_success_rates")
+def q_success_rates(spark, d):
+    return evals.success_rates(fx.query_attempts(spark, d))
+
+
+@register("P20_sql_attempts")
+def q_sql_attempts(spark, d):
+    return evals.attempts_view(fx.query_attempts(spark, d), "sql")
+
+
+@register("P20_vector_attempts")
+def q_vector_attempts(spark, d):
+    return evals.attempts_view(fx.query_attempts(spark, d), "vector")
+
+
+@register("G18_trace_tree")
+def q_trace_tree(spark, d):
+    return evals.trace_tree(spark, fx.execution_traces(spark, d))
+
+
+# --- data quality -------------------------------------------------------------
+INSIDER_FILING_RULES = {
+    "form_type_domain": "form_raw IN ('3', '4', '5', '3/A', '4/A', '5/A')",
+    "filing_date_present": "filing_date IS NOT NULL",
+}
+JUDGEMENT_RULES = {
+    "control_score_range": "control_score BETWEEN 0 AND 1",
+    "experimental_score_range": "experimental_score BETWEEN 0 AND 1",
+    "improvement_range": "improvement_delta BETWEEN -1 AND 1",
+    "judge_type_domain": "judge_type IN ('factual_grounding', 'completeness', 'consistency')",
+}
+LEDGER_RULES = {
+    "acquired_disposed_domain": "acquired_disposed IN ('A', 'D')",
+    "code_length": "length(transaction_code) <= 2",
+    "shares_non_negative": "shares >= 0",
+}
+
+
+@register("Q1_rules_insider_filing")
+def q_rules_insider_filing(spark, d):
+    return quality.check_rules(fx.insider_filing(spark, d), INSIDER_FILING_RULES)
+
+
+@register("Q1_rules_judgement")
+def q_rules_judgement(spark, d):
+    return quality.check_rules(fx.judgement_scores(spark, d), JUDGEMENT_RULES)
+
+
+@register("Q1_rules_ledger")
+def q_rules_ledger(spark, d):
+    return quality.check_rules(fx.insider_transaction_raw(spark, d), LEDGER_RULES)
+
+
+@register("Q2_duplicate_ledger_keys")
+def q_duplicate_ledger_keys(spark, d):
+    from ..sources.tables import read_table
+    return quality.duplicate_keys(read_table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register("Q2_duplicate_judgements")
+def q_duplicate_judgements(spark, d):
+    return quality.duplicate_keys(fx.judgement_scores(spark, d), ["evaluation_pair_id", "judge_type"])
+
+
+@register("Q3_orphan_traces")
+def q_orphan_traces(spark, d):
+    t = fx.execution_traces(spark, d)
+    return quality.orphans(t, t, "parent_trace_id", "id")
+
+
+@register("Q3_orphan_ledger_lines")
+def q_orphan_ledger_lines(spark, d):
+    return quality.orphans(fx.insider_transaction_raw(spark, d).drop("rn"), fx.insider_filing(spark, d),
+                           "insider_filing_id", "id")
