@@ -146,3 +146,148 @@ sql("Q3_orphan_ledger_lines", """
 SELECT c.* EXCLUDE (rn) FROM insider_transaction_raw c
 WHERE c.insider_filing_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM insider_filing p WHERE p.id = c.insider_filing_id)
 """, "insider_transaction_raw", "insider_filing")
+
+
+def date10(x):
+    return (f"CASE WHEN regexp_full_match(substr({x}, 1, 10), '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') "
+            f"THEN CAST(try_strptime(substr({x}, 1, 10), '%Y-%m-%d') AS DATE) END")
+
+
+sql("P17_insider_header", f"""
+SELECT id, accession_no, form_type, ends_with(form_type, '/A') AS is_amendment,
+       coalesce({date10('filing_date_raw')}, {date10('reporting_period_raw')}, DATE '2025-01-01') AS filing_date,
+       {date10('reporting_period_raw')} AS reporting_period,
+       coalesce(nullif(trim(insider_name), ''), nullif(trim(owners[1].name), ''), 'Unknown Insider') AS insider_name
+FROM (SELECT *, CASE WHEN form_raw IS NULL OR form_raw = '' THEN '' ELSE trim(replace(form_raw, 'Form', '')) END AS form_type
+      FROM insider_header_raw)
+""", "insider_header_raw")
+
+sql("P18_ledger_rows", f"""
+SELECT filing_id AS insider_filing_id, src_pos AS line_number,
+  {date10('date')} AS transaction_date,
+  nullif(trim(coalesce(nullif(security_title, ''), CASE WHEN NOT has_security_type THEN 'Common Stock' END,
+                       nullif(transaction_type, ''))), '') AS security_title,
+  coalesce(nullif(trim(code), ''), CASE WHEN has_security_type THEN 'H' END) AS transaction_code,
+  nullif(trim(transaction_type), '') AS transaction_label,
+  TRY_CAST(trim(shares) AS DECIMAL(20,4)) AS shares,
+  TRY_CAST(trim(price) AS DECIMAL(20,4)) AS price_per_share,
+  CASE ownership_type WHEN 'Direct' THEN 'D' WHEN 'Indirect' THEN 'I' END AS ownership,
+  CASE WHEN has_security_type THEN
+         CASE WHEN coalesce(contains(lower(nullif(trim(security_type), '')), 'derivative'), false)
+              THEN TRY_CAST(trim(underlying_shares) AS DECIMAL(20,4)) ELSE TRY_CAST(trim(shares) AS DECIMAL(20,4)) END
+       ELSE TRY_CAST(trim(remaining_shares) AS DECIMAL(20,4)) END AS shares_owned_following,
+  coalesce(contains(lower(nullif(trim(security_type), '')), 'derivative'), false) AS is_derivative,
+  TRY_CAST(trim(underlying_shares) AS DECIMAL(20,4)) AS underlying_shares,
+  coalesce(nullif(trim(form), ''), '') AS form_label
+FROM ownership_rows
+""", "ownership_rows")
+
+sql("S11_resolve_insiders", """
+WITH inc AS (
+  SELECT CASE WHEN cik IS NOT NULL THEN 'c:' || cik ELSE 'n:' || name END AS nk, cik, name, seq_d, seq_k
+  FROM insider_incoming WHERE cik IS NOT NULL OR name IS NOT NULL),
+inc1 AS (SELECT * FROM inc QUALIFY row_number() OVER (PARTITION BY nk ORDER BY seq_d DESC, seq_k DESC) = 1),
+cur AS (SELECT *, CASE WHEN cik IS NOT NULL THEN 'c:' || cik ELSE 'n:' || name END AS nk FROM insider_dim),
+kept AS (
+  SELECT cur.id, cur.cik, coalesce(u.name, cur.name) AS name FROM cur
+  LEFT JOIN (SELECT nk, name FROM inc1 WHERE cik IS NOT NULL) u ON u.nk = cur.nk),
+fresh AS (
+  SELECT (SELECT coalesce(max(id), 0) FROM insider_dim) + row_number() OVER (ORDER BY nk) AS id, cik, name
+  FROM inc1 WHERE nk NOT IN (SELECT nk FROM cur))
+SELECT * FROM kept UNION ALL SELECT * FROM fresh
+""", "insider_incoming", "insider_dim")
+
+sql("J7_code_labels", """
+WITH seen AS (SELECT DISTINCT transaction_code AS code FROM insider_transaction WHERE transaction_code IS NOT NULL),
+allc AS (
+  SELECT code, label, description FROM transaction_code
+  UNION ALL
+  SELECT code, 'Other (' || code || ')', 'Other (' || code || ')' FROM seen
+  WHERE code NOT IN (SELECT code FROM transaction_code))
+SELECT t.insider_filing_id, t.is_derivative, t.line_number, t.transaction_code, c.label AS code_label,
+       c.description AS code_description
+FROM insider_transaction t LEFT JOIN allc c ON c.code = t.transaction_code
+""", "insider_transaction", "transaction_code")
+
+sql("A10_filing_rollup", """
+WITH l AS (
+  SELECT *, line_number * 2 + CAST(is_derivative AS INTEGER) AS ln,
+         CASE acquired_disposed WHEN 'A' THEN 1 WHEN 'D' THEN -1 ELSE 0 END AS sgn
+  FROM insider_transaction),
+a AS (
+  SELECT insider_filing_id, CAST(sum(shares * sgn) AS DECIMAL(20,4)) AS net_change,
+         round(sum(CAST(shares AS DOUBLE) * CAST(price_per_share AS DOUBLE) * sgn), 2) AS net_value,
+         arg_max(shares_owned_following, CASE WHEN shares_owned_following IS NOT NULL THEN ln END) AS remaining_shares,
+         count(DISTINCT transaction_code) AS nc, min(transaction_code) AS code
+  FROM l GROUP BY 1)
+SELECT insider_filing_id, net_change, net_value, remaining_shares,
+       CASE WHEN nc > 1 THEN 'Mixed' WHEN nc = 1 THEN coalesce(c.label, 'Other (' || a.code || ')') END AS primary_activity
+FROM a LEFT JOIN transaction_code c ON c.code = a.code
+""", "insider_transaction", "transaction_code")
+
+sql("W5_insider_cursor", """
+SELECT ticker_id, accession_no AS latest_completed_accession, filing_date AS latest_completed_filing_date
+FROM insider_filing WHERE completed
+QUALIFY row_number() OVER (PARTITION BY ticker_id ORDER BY filing_date DESC, id DESC) = 1
+""", "insider_filing")
+
+sql("W5_filing_cursor", """
+SELECT tickerId, accessionNo AS latest_completed_accession, filingDate AS latest_completed_filing_date
+FROM filing WHERE completed AND type IN ('8-K', '10-K')
+QUALIFY row_number() OVER (PARTITION BY tickerId ORDER BY filingDate DESC, id DESC) = 1
+""", "filing")
+
+sql("S8_seed_codes", """
+WITH existing AS (
+  SELECT DISTINCT transaction_code AS code, 'Other (' || transaction_code || ')' AS label,
+         'Other (' || transaction_code || ')' AS description FROM insider_transaction)
+SELECT * FROM existing
+UNION ALL SELECT * FROM transaction_code WHERE code NOT IN (SELECT code FROM existing WHERE code IS NOT NULL)
+""", "insider_transaction", "transaction_code")
+
+_LEDGER_TS = """
+target AS (SELECT * EXCLUDE (rn) FROM insider_transaction_raw WHERE rn = 1 AND NOT is_derivative),
+source AS (SELECT * FROM insider_transaction_raw WHERE rn >= 2 OR is_derivative)"""
+
+sql("S9_upsert_ledger", f"""
+WITH {_LEDGER_TS},
+s AS (SELECT * FROM source QUALIFY row_number() OVER (PARTITION BY insider_filing_id, is_derivative, line_number
+                                                     ORDER BY rn DESC) = 1)
+SELECT coalesce(t.insider_filing_id, s.insider_filing_id) AS insider_filing_id,
+       coalesce(t.is_derivative, s.is_derivative) AS is_derivative,
+       coalesce(t.line_number, s.line_number) AS line_number,
+       CASE WHEN s.insider_filing_id IS NOT NULL THEN s.transaction_date ELSE t.transaction_date END AS transaction_date,
+       CASE WHEN s.insider_filing_id IS NOT NULL THEN s.security_title ELSE t.security_title END AS security_title,
+       CASE WHEN s.insider_filing_id IS NOT NULL THEN s.transaction_code ELSE t.transaction_code END AS transaction_code,
+       CASE WHEN s.insider_filing_id IS NOT NULL THEN s.acquired_disposed ELSE t.acquired_disposed END AS acquired_disposed,
+       CASE WHEN s.insider_filing_id IS NOT NULL THEN s.shares ELSE t.shares END AS shares,
+       CASE WHEN s.insider_filing_id IS NOT NULL THEN s.price_per_share ELSE t.price_per_share END AS price_per_share,
+       CASE WHEN s.insider_filing_id IS NOT NULL THEN s.shares_owned_following ELSE t.shares_owned_following END
+         AS shares_owned_following
+FROM target t FULL JOIN s USING (insider_filing_id, is_derivative, line_number)
+""", "insider_transaction_raw")
+
+sql("S10_insert_ignore_ledger", f"""
+WITH {_LEDGER_TS},
+s AS (SELECT * EXCLUDE (rn) FROM source QUALIFY row_number() OVER (PARTITION BY insider_filing_id, is_derivative, line_number
+                                                     ORDER BY rn ASC) = 1)
+SELECT * FROM target
+UNION ALL
+SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.insider_filing_id = s.insider_filing_id
+  AND t.is_derivative = s.is_derivative AND t.line_number = s.line_number)
+""", "insider_transaction_raw")
+
+sql("S12_update_ticker", """
+WITH src AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN upper(c_name) END AS name, 'EQUITY' AS quote_type
+             FROM customer WHERE c_nationkey < 5)
+SELECT t.id, t.symbol,
+       CASE WHEN s.id IS NOT NULL THEN coalesce(s.name, t.name) ELSE t.name END AS name,
+       t.is_active,
+       CASE WHEN s.id IS NOT NULL THEN coalesce(s.quote_type, t.quote_type) ELSE t.quote_type END AS quote_type
+FROM ticker t LEFT JOIN src s ON s.id = t.id
+""", "ticker")
+
+sql("S15_delete_cascade", """
+SELECT insider_filing_id, is_derivative, line_number, shares FROM insider_transaction
+WHERE insider_filing_id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')
+""", "insider_transaction")

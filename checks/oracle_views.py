@@ -205,3 +205,42 @@ def with_views(sql: str, *names: str) -> str:
     if body[:4].upper() == "WITH":
         return f"WITH {ctes},\n{body[4:].lstrip()}"
     return f"WITH {ctes}\n{body}"
+
+_v("ownership_rows", """
+SELECT l_orderkey AS filing_id, CASE WHEN l_orderkey % 4 = 0 THEN '3' ELSE '4' END AS form,
+  l_orderkey % 4 = 0 AS has_security_type,
+  CASE WHEN l_orderkey % 4 = 0 THEN CASE WHEN l_linestatus = 'O' THEN 'Stock Option (derivative)' ELSE 'Common Stock' END END AS security_type,
+  CAST(l_quantity AS VARCHAR) AS shares,
+  CASE WHEN l_orderkey % 4 = 0 AND l_linestatus = 'O' THEN CAST(l_quantity * 2 AS VARCHAR) END AS underlying_shares,
+  CASE l_returnflag WHEN 'R' THEN 'Direct' WHEN 'A' THEN 'Indirect' END AS ownership_type,
+  CASE WHEN l_tax = 0 THEN 'n/a' ELSE CAST(l_shipdate AS VARCHAR) END AS date,
+  CASE WHEN l_partkey % 5 = 0 THEN NULL WHEN l_partkey % 5 = 1 THEN '' ELSE 'SEC' || (l_partkey % 5) END AS security_title,
+  CASE WHEN NOT (l_orderkey % 4 = 0) THEN CASE l_returnflag WHEN 'A' THEN 'P' WHEN 'R' THEN 'S' ELSE ' M ' END END AS code,
+  CAST(l_extendedprice AS VARCHAR) AS price,
+  CASE WHEN l_discount = 0 THEN NULL ELSE CAST(l_quantity * 10 AS VARCHAR) END AS remaining_shares,
+  CASE l_returnflag WHEN 'A' THEN 'Purchase' WHEN 'R' THEN 'Sale' ELSE '  ' END AS transaction_type,
+  row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+                     l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS src_pos
+FROM lineitem""")
+
+_v("insider_header_raw", """
+SELECT o_orderkey AS id, 'acc-' || o_orderkey AS accession_no,
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'Form 3' WHEN '2-HIGH' THEN ' 4 ' WHEN '3-MEDIUM' THEN 'Form 4/A'
+       WHEN '5-LOW' THEN '5' END AS form_raw,
+  CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 11 = 1 THEN 'not a date' ELSE CAST(o_orderdate AS VARCHAR) END
+    AS filing_date_raw,
+  CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE CAST(CAST(o_orderdate AS DATE) + 1 AS VARCHAR) END AS reporting_period_raw,
+  CASE WHEN o_orderkey % 3 = 0 THEN NULL WHEN o_orderkey % 3 = 1 THEN '   ' ELSE c_name END AS insider_name,
+  CASE WHEN o_orderkey % 7 = 0 THEN [] ELSE [{'name': upper(c_name)}] END AS owners
+FROM orders LEFT JOIN customer ON c_custkey = o_custkey""")
+
+_v("insider_dim", """
+SELECT c_custkey AS id, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE lpad(CAST(c_custkey AS VARCHAR), 10, '0') END AS cik,
+       c_name AS name
+FROM customer WHERE c_nationkey < 10""")
+
+_v("insider_incoming", """
+SELECT CASE WHEN o_custkey % 4 = 0 THEN NULL ELSE lpad(CAST(o_custkey AS VARCHAR), 10, '0') END AS cik,
+       CASE WHEN o_custkey % 4 = 0 THEN c_name ELSE c_name || ' #' || (o_orderkey % 3) END AS name,
+       CAST(o_orderdate AS DATE) AS seq_d, o_orderkey AS seq_k
+FROM orders JOIN customer ON c_custkey = o_custkey""")

@@ -71,3 +71,36 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
         else:
             out.append(F.col(f.name))
     return df.select(*out)
+
+
+def dense_ids(df: DataFrame, order_cols: Sequence[ColLike], start, name: str = "id",
+              partitions: int | None = None) -> DataFrame:
+    """Deterministic dense ids ``start + 1 .. start + n`` in ``order_cols`` order.
+
+    Range-partition and sort, tag each row with its partition and position
+    (``monotonically_increasing_id`` = partition << 33 | position), cut lineage
+    with a reliable checkpoint so that both passes see one partitioning, then add
+    per-partition offsets from a table with one row per partition.  No
+    single-partition window over the data; ``order_cols`` must be a total order.
+    """
+    from pyspark.sql import Window
+
+    from ..session import cut_lineage
+
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    oc = [_c(c) for c in order_cols]
+    tagged = (
+        df.repartitionByRange(n, *oc).sortWithinPartitions(*oc)
+        .withColumn("_pid", F.spark_partition_id())
+        .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
+    )
+    tagged = cut_lineage(tagged)
+    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offs = counts.select(
+        "_pid",
+        (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
+    ).fillna(0, ["_off"])
+    out = tagged.join(F.broadcast(offs), "_pid")
+    return out.withColumn(name, F.lit(start).cast("bigint") + F.col("_off") + F.col("_pos") + 1).drop(
+        "_pid", "_pos", "_off")

@@ -123,3 +123,107 @@ def q_orphan_traces(spark, d):
 def q_orphan_ledger_lines(spark, d):
     return quality.orphans(fx.insider_transaction_raw(spark, d).drop("rn"), fx.insider_filing(spark, d),
                            "insider_filing_id", "id")
+
+
+# --- insiders ---------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from .. import schemas  # noqa: E402
+from ..sources import sinks  # noqa: E402
+
+TODAY = "2025-01-01"
+
+
+@register("P17_insider_header")
+def q_insider_header(spark, d):
+    return insiders.insider_header(fx.insider_header_raw(spark, d), TODAY)
+
+
+@register("P18_ledger_rows")
+def q_ledger_rows(spark, d):
+    return insiders.ledger_rows(fx.ownership_rows(spark, d))
+
+
+@register("S11_resolve_insiders")
+def q_resolve_insiders(spark, d):
+    return insiders.resolve_insiders(fx.insider_dim(spark, d), fx.insider_incoming(spark, d))
+
+
+@register("J7_code_labels")
+def q_code_labels(spark, d):
+    led = insiders.with_code_labels(fx.insider_transaction(spark, d), schemas.transaction_code_df(spark))
+    return led.select("insider_filing_id", "is_derivative", "line_number", "transaction_code",
+                      "code_label", "code_description")
+
+
+@register("A10_filing_rollup")
+def q_filing_rollup(spark, d):
+    led = fx.insider_transaction(spark, d).withColumn(
+        "line_number", F.col("line_number") * 2 + F.col("is_derivative").cast("int"))
+    return insiders.filing_rollup(led, schemas.transaction_code_df(spark))
+
+
+@register("W5_insider_cursor")
+def q_insider_cursor(spark, d):
+    return insiders.insider_cursor(fx.insider_filing(spark, d))
+
+
+@register("W5_filing_cursor")
+def q_filing_cursor(spark, d):
+    return insiders.filing_cursor(fx.filing(spark, d))
+
+
+# --- keyed writes -------------------------------------------------------------
+LEDGER_KEYS = ["insider_filing_id", "is_derivative", "line_number"]
+LEDGER_UPDATE = ["transaction_date", "security_title", "transaction_code", "acquired_disposed", "shares",
+                 "price_per_share", "shares_owned_following"]
+
+
+def _ledger_target_source(spark, d):
+    raw = fx.insider_transaction_raw(spark, d)
+    target = raw.where((F.col("rn") == 1) & ~F.col("is_derivative")).drop("rn")
+    source = raw.where((F.col("rn") >= 2) | F.col("is_derivative"))
+    return target, source
+
+
+@register("S8_seed_codes")
+def q_seed_codes(spark, d):
+    led = fx.insider_transaction(spark, d)
+    other = F.concat(F.lit("Other ("), F.col("transaction_code"), F.lit(")"))
+    existing = led.select(F.col("transaction_code").alias("code"), other.alias("label"),
+                          other.alias("description")).distinct()
+    return sinks.seed(existing, schemas.transaction_code_df(spark), ["code"])
+
+
+@register("S9_upsert_ledger")
+def q_upsert_ledger(spark, d):
+    target, source = _ledger_target_source(spark, d)
+    return sinks.upsert(target, source, LEDGER_KEYS, LEDGER_UPDATE, order=["rn"], winner="last")
+
+
+@register("S10_insert_ignore_ledger")
+def q_insert_ignore_ledger(spark, d):
+    target, source = _ledger_target_source(spark, d)
+    return sinks.insert_ignore(target, source, LEDGER_KEYS, order=["rn"])
+
+
+@register("S12_update_ticker")
+def q_update_ticker(spark, d):
+    from ..sources.tables import read_table
+    c = read_table(spark, d, "customer").where(F.col("c_nationkey") < 5)
+    src = c.select(
+        F.col("c_custkey").alias("id"),
+        F.when(F.col("c_custkey") % 2 == 0, F.upper("c_name")).alias("name"),
+        F.lit("EQUITY").alias("quote_type"),
+    )
+    return sinks.update_columns(fx.ticker(spark, d), src, "id", ["name", "quote_type"], keep_on_null=True)
+
+
+@register("S15_delete_cascade")
+def q_delete_cascade(spark, d):
+    from ..sources.tables import read_table
+    gone = read_table(spark, d, "orders").where(F.col("o_orderstatus") == "P").select(F.col("o_orderkey").alias("id"))
+    state = sinks.delete_with_rules(
+        fx.insider_filing(spark, d), "id", gone,
+        {"ledger": (fx.insider_transaction(spark, d), "insider_filing_id", "CASCADE")})
+    return state["ledger"].select(*LEDGER_KEYS, "shares")

@@ -348,6 +348,86 @@ def statement_wide(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def ownership_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Vendor ownership tables as text columns, one row per lineitem row.
+
+    Filings whose key is a multiple of 4 are Form 3 holdings frames (they carry
+    a security type); ``src_order`` is the row order inside a filing's frame.
+    """
+    li = _t(spark, d).lineitem
+    holding = F.col("l_orderkey") % 4 == 0
+    rf = F.col("l_returnflag")
+    return li.select(
+        F.col("l_orderkey").alias("filing_id"),
+        F.when(holding, F.lit("3")).otherwise(F.lit("4")).alias("form"),
+        holding.alias("has_security_type"),
+        F.when(holding, F.when(F.col("l_linestatus") == "O", F.lit("Stock Option (derivative)"))
+               .otherwise(F.lit("Common Stock"))).alias("security_type"),
+        F.col("l_quantity").cast("string").alias("shares"),
+        F.when(holding & (F.col("l_linestatus") == "O"), (F.col("l_quantity") * 2).cast("string")).alias("underlying_shares"),
+        F.when(rf == "R", F.lit("Direct")).when(rf == "A", F.lit("Indirect")).alias("ownership_type"),
+        F.when(F.col("l_tax") == 0, F.lit("n/a")).otherwise(F.col("l_shipdate").cast("string")).alias("date"),
+        F.when(F.col("l_partkey") % 5 == 0, F.lit(None).cast("string"))
+        .when(F.col("l_partkey") % 5 == 1, F.lit(""))
+        .otherwise(F.concat(F.lit("SEC"), (F.col("l_partkey") % 5).cast("string"))).alias("security_title"),
+        F.when(~holding, F.when(rf == "A", F.lit("P")).when(rf == "R", F.lit("S")).otherwise(F.lit(" M "))).alias("code"),
+        F.col("l_extendedprice").cast("string").alias("price"),
+        F.when(F.col("l_discount") == 0, F.lit(None).cast("string"))
+        .otherwise((F.col("l_quantity") * 10).cast("string")).alias("remaining_shares"),
+        F.when(rf == "A", F.lit("Purchase")).when(rf == "R", F.lit("Sale")).otherwise(F.lit("  ")).alias("transaction_type"),
+        F.struct(*[F.col(c) for c in ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+                                      "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")]).alias("src_order"),
+    )
+
+
+def insider_header_raw(spark: SparkSession, d: str) -> DataFrame:
+    """Ownership filing headers as delivered: text dates, optional names, owner list."""
+    t = _t(spark, d)
+    o, c = t.orders, t.customer
+    j = o.join(c.select(F.col("c_custkey").alias("o_custkey"), "c_name"), "o_custkey", "left")
+    pr = F.col("o_orderpriority")
+    k = F.col("o_orderkey")
+    return j.select(
+        k.alias("id"),
+        F.concat(F.lit("acc-"), k.cast("string")).alias("accession_no"),
+        F.when(pr == "1-URGENT", "Form 3").when(pr == "2-HIGH", " 4 ").when(pr == "3-MEDIUM", "Form 4/A")
+        .when(pr == "5-LOW", "5").otherwise(F.lit(None).cast("string")).alias("form_raw"),
+        F.when(k % 11 == 0, F.lit(None).cast("string")).when(k % 11 == 1, F.lit("not a date"))
+        .otherwise(F.col("o_orderdate").cast("string")).alias("filing_date_raw"),
+        F.when(k % 13 == 0, F.lit(None).cast("string"))
+        .otherwise(F.date_add(F.to_date("o_orderdate"), 1).cast("string")).alias("reporting_period_raw"),
+        F.when(k % 3 == 0, F.lit(None).cast("string")).when(k % 3 == 1, F.lit("   "))
+        .otherwise(F.col("c_name")).alias("insider_name"),
+        F.when(k % 7 == 0, F.array().cast("array<struct<name:string>>"))
+        .otherwise(F.array(F.struct(F.upper(F.col("c_name")).alias("name")))).alias("owners"),
+    )
+
+
+def insider_dim(spark: SparkSession, d: str) -> DataFrame:
+    """Stored insiders: customers of the first ten nations; a cik for most."""
+    c = _t(spark, d).customer
+    return c.where(F.col("c_nationkey") < 10).select(
+        F.col("c_custkey").alias("id"),
+        F.when(F.col("c_custkey") % 4 == 0, F.lit(None).cast("string"))
+        .otherwise(F.lpad(F.col("c_custkey").cast("string"), 10, "0")).alias("cik"),
+        F.col("c_name").alias("name"),
+    )
+
+
+def insider_incoming(spark: SparkSession, d: str) -> DataFrame:
+    """Owners named on filings: (cik, name, seq) per order; names change over time."""
+    t = _t(spark, d)
+    o, c = t.orders, t.customer
+    j = o.join(c.select(F.col("c_custkey").alias("o_custkey"), "c_name"), "o_custkey")
+    ck = F.col("o_custkey")
+    return j.select(
+        F.when(ck % 4 == 0, F.lit(None).cast("string")).otherwise(F.lpad(ck.cast("string"), 10, "0")).alias("cik"),
+        F.when(ck % 4 == 0, F.col("c_name"))
+        .otherwise(F.concat(F.col("c_name"), F.lit(" #"), (F.col("o_orderkey") % 3).cast("string"))).alias("name"),
+        F.struct(F.to_date("o_orderdate").alias("d"), F.col("o_orderkey").alias("k")).alias("seq"),
+    )
+
+
 FIXTURES = {
     "ticker": ticker,
     "price": price,
@@ -368,6 +448,10 @@ FIXTURES = {
     "vertices": vertices,
     "edges": edges,
     "statement_wide": statement_wide,
+    "ownership_rows": ownership_rows,
+    "insider_header_raw": insider_header_raw,
+    "insider_dim": insider_dim,
+    "insider_incoming": insider_incoming,
 }
 
 
