@@ -291,3 +291,205 @@ sql("S15_delete_cascade", """
 SELECT insider_filing_id, is_derivative, line_number, shares FROM insider_transaction
 WHERE insider_filing_id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')
 """, "insider_transaction")
+
+
+# --- financial facts ----------------------------------------------------------
+from ticklake import schemas as _S  # noqa: E402
+
+
+def num(x):
+    d = f"TRY_CAST(CAST({x} AS VARCHAR) AS DOUBLE)"
+    return f"(CASE WHEN isfinite({d}) THEN TRY_CAST(trunc({d}) AS BIGINT) END)"
+
+
+def optint(x):
+    d = f"TRY_CAST(trim(CAST({x} AS VARCHAR)) AS DOUBLE)"
+    return f"(CASE WHEN isnan({d}) THEN NULL ELSE TRY_CAST(trunc({d}) AS BIGINT) END)"
+
+
+def norm(x):
+    s = f"trim({x})"
+    local = (f"CASE WHEN contains({s}, '}}') THEN regexp_extract({s}, '[^}}]*$') "
+             f"WHEN contains({s}, ':') THEN regexp_extract({s}, '[^:]*$') ELSE {s} END")
+    return f"lower(regexp_replace({local}, '[^\\p{{L}}\\p{{N}}]', '', 'g'))"
+
+
+def infer(x):
+    s = f"trim({x})"
+    parts = [f"WHEN {s} IS NULL OR {s} = '' THEN NULL",
+             f"WHEN contains({s}, '}}') THEN nullif(trim(regexp_extract({s}, '[^}}]*$')), '')",
+             f"WHEN contains({s}, ':') THEN nullif(trim(regexp_extract({s}, '[^:]*$')), '')"]
+    for p in _S.ANCHOR_PREFIXES:
+        parts.append(f"WHEN starts_with(lower({s}), '{p}') THEN nullif(trim(substr({s}, {len(p) + 1})), '')")
+    return "(CASE " + " ".join(parts) + " END)"
+
+
+def lkey(n, i):
+    if i == 0:
+        return n
+    p = _S.TAXONOMY_PREFIXES[i - 1]
+    return f"(CASE WHEN starts_with({n}, '{p}') AND length({n}) > {len(p)} THEN substr({n}, {len(p) + 1}) END)"
+
+
+def issuer_rest(x):
+    s = f"trim({x})"
+    pre = f"split_part({s}, '_', 1)"
+    rest = f"trim(substr({s}, length({pre}) + 2))"
+    pl = f"lower(replace({pre}, '-', ''))"
+    blocked = ", ".join(f"'{b}'" for b in _S.ISSUER_BLOCKED)
+    ok = (f"contains({s}, '_') AND length({pre}) BETWEEN 2 AND 5 "
+          f"AND regexp_full_match(replace({pre}, '-', ''), '[\\p{{L}}\\p{{N}}]+') AND {pl} NOT IN ({blocked}) "
+          f"AND NOT starts_with({pl}, 'usgaap') AND NOT starts_with({pl}, 'ifrs') AND {rest} <> ''")
+    return f"(CASE WHEN {ok} THEN {rest} END)"
+
+
+def pref_idx(line_code, n):
+    keys = "list_value(" + ", ".join(lkey(n, i) for i in range(len(_S.TAXONOMY_PREFIXES) + 1)) + ")"
+    whens = []
+    for lc, prefs in _S.MERGE_PREFERRED.items():
+        inner = " ".join(f"WHEN list_contains({keys}, '{p}') THEN {i}" for i, p in enumerate(prefs))
+        whens.append(f"WHEN {line_code} = '{lc}' THEN (CASE {inner} END)")
+    return "(CASE " + " ".join(whens) + " END)"
+
+
+def _cand_sql():
+    parts = []
+    raws = {0: "std_for_map", 1: "concept_s", 2: issuer_rest("concept_s")}
+    for g, r in raws.items():
+        n = norm(r)
+        for i in range(len(_S.TAXONOMY_PREFIXES) + 1):
+            parts.append(f"SELECT concept_s, std_for_map, statement, {lkey(n, i)} AS key, {g * 100 + 3 + 2 * i} AS rank "
+                         f"FROM keys WHERE {r} IS NOT NULL AND trim({r}) <> ''")
+    return "\nUNION ALL ".join(parts)
+
+
+_P0, _P1 = '"2023-09-30"', '"2024-02-15"'
+FIN_CTES = f"""
+rows AS (
+  SELECT filing_accession, ticker_id, is_annual, statement, decimals, units, scale, {_P0} AS p0, {_P1} AS p1, seq,
+         trim(concept) AS concept_s, nullif(trim(standard_concept), '') AS std_concept,
+         CASE statement WHEN 'balance' THEN 0 WHEN 'income' THEN 1 ELSE 2 END AS srank
+  FROM statement_wide
+  WHERE (NOT coalesce(is_abstract, false) OR {num(_P0)} IS NOT NULL OR {num(_P1)} IS NOT NULL)
+    AND concept IS NOT NULL AND trim(concept) <> ''),
+rows2 AS (SELECT *, coalesce(std_concept, {infer('concept_s')}) AS std_for_map FROM rows),
+keys AS (SELECT DISTINCT concept_s, std_for_map, statement FROM rows2),
+cand AS ({_cand_sql()}),
+best AS (SELECT c.concept_s, c.std_for_map, c.statement, arg_min(g.line_code, c.rank) AS line_code
+         FROM cand c JOIN gaap_map g ON g.key = c.key AND g.statement = c.statement GROUP BY ALL),
+mapped_keys AS (
+  SELECT k.concept_s, k.std_for_map, k.statement, b.line_code FROM keys k LEFT JOIN best b
+  ON k.concept_s = b.concept_s AND k.std_for_map IS NOT DISTINCT FROM b.std_for_map AND k.statement = b.statement),
+rows3 AS (
+  SELECT r.*, m.line_code FROM rows2 r LEFT JOIN mapped_keys m
+  ON r.concept_s = m.concept_s AND r.std_for_map IS NOT DISTINCT FROM m.std_for_map AND r.statement = m.statement),
+long AS (
+  SELECT *, 0 AS pidx, DATE '2023-09-30' AS pdate, p0 AS raw_value FROM rows3 WHERE line_code IS NOT NULL
+  UNION ALL SELECT *, 1 AS pidx, DATE '2024-02-15' AS pdate, p1 AS raw_value FROM rows3 WHERE line_code IS NOT NULL),
+cands AS (
+  SELECT filing_accession, ticker_id, year(pdate) AS fiscal_year,
+         CASE WHEN is_annual THEN make_date(year(pdate), 12, 31)
+              ELSE last_day(CAST(date_trunc('quarter', pdate) AS DATE) + INTERVAL 2 MONTH) END AS fiscal_period_end,
+         CASE WHEN is_annual THEN 'annual' ELSE 'quarterly' END AS period_type,
+         CASE WHEN is_annual THEN NULL ELSE quarter(pdate) END AS quarter,
+         line_code, {num('raw_value')} AS value, {optint('decimals')} AS decimals, nullif(trim(units), '') AS unit,
+         {optint('scale')} AS scale, concept_s AS source_concept, std_for_map AS source_standard_concept,
+         (std_for_map IS NOT NULL AND trim(std_for_map) <> '') AS anchored, srank, pidx, seq
+  FROM long WHERE {num('raw_value')} IS NOT NULL),
+merged AS (
+  SELECT * FROM cands QUALIFY row_number() OVER (
+    PARTITION BY filing_accession, ticker_id, fiscal_year, fiscal_period_end, period_type, line_code
+    ORDER BY coalesce({pref_idx('line_code', norm('source_concept'))}, 1048576),
+             CASE WHEN {pref_idx('line_code', norm('source_concept'))} IS NOT NULL THEN 0 WHEN anchored THEN 0 ELSE 1 END,
+             CASE WHEN {pref_idx('line_code', norm('source_concept'))} IS NOT NULL THEN '' ELSE {norm('source_concept')} END,
+             srank, pidx, seq) = 1),
+facts AS (
+  SELECT * FROM merged QUALIFY row_number() OVER (
+    PARTITION BY ticker_id, fiscal_year, fiscal_period_end, period_type, line_code ORDER BY filing_accession DESC) = 1)
+"""
+FACT_SEL = ("filing_accession, ticker_id, fiscal_year, fiscal_period_end, period_type, quarter, line_code, value, "
+            "decimals, unit, scale, source_concept, source_standard_concept, anchored")
+
+
+def fin_sql(name, body, *views):
+    ORACLE[name] = W("WITH " + FIN_CTES.strip() + "\n" + body, "statement_wide", "gaap_map", *views)
+
+
+fin_sql("P10_statement_rows", "SELECT filing_accession, ticker_id, statement, concept_s, std_concept FROM rows")
+ORACLE["P9_unpivot_periods"] = W(f"""
+SELECT filing_accession, ticker_id, concept, '2023-09-30' AS period, {num(_P0)} AS value FROM statement_wide
+UNION ALL SELECT filing_accession, ticker_id, concept, '2024-02-15' AS period, {num(_P1)} AS value FROM statement_wide
+""", "statement_wide")
+fin_sql("J1_map_line_codes", "SELECT * FROM mapped_keys")
+fin_sql("U1_union_candidates", f"SELECT {FACT_SEL} FROM cands")
+fin_sql("W3_merge_facts", f"SELECT {FACT_SEL} FROM merged")
+fin_sql("C2_financial_facts", f"SELECT {FACT_SEL} FROM facts")
+fin_sql("A6_merge_conflicts", """
+SELECT filing_accession, ticker_id, fiscal_year, fiscal_period_end, period_type, line_code,
+       count(DISTINCT value) AS n_values, array_to_string(list_sort(list(DISTINCT value)), ',') AS "values"
+FROM cands GROUP BY ALL HAVING count(DISTINCT value) > 1""")
+fin_sql("A7_unmapped_concepts", """
+, u AS (SELECT DISTINCT statement, concept_s AS concept, std_concept AS standard_concept FROM rows3 WHERE line_code IS NULL),
+r AS (SELECT *, row_number() OVER (PARTITION BY statement ORDER BY concept ASC NULLS FIRST,
+                                   standard_concept ASC NULLS FIRST) AS rn FROM u)
+SELECT statement, count(*) AS unmapped_count,
+       string_agg(CASE WHEN rn <= 25 THEN concept || '|' || coalesce(standard_concept, '') END, ';' ORDER BY rn) AS sample
+FROM r GROUP BY statement""".replace("\n, u AS", "SELECT * FROM (WITH u AS", 1) if False else """
+SELECT statement, count(*) AS unmapped_count,
+       string_agg(CASE WHEN rn <= 25 THEN concept || '|' || coalesce(standard_concept, '') END, ';' ORDER BY rn) AS sample
+FROM (SELECT *, row_number() OVER (PARTITION BY statement ORDER BY concept ASC NULLS FIRST,
+                                   standard_concept ASC NULLS FIRST) AS rn
+      FROM (SELECT DISTINCT statement, concept_s AS concept, std_concept AS standard_concept
+            FROM rows3 WHERE line_code IS NULL))
+GROUP BY statement""")
+fin_sql("W4_latest_periods", """
+SELECT ticker_id,
+  max(CASE WHEN period_type = 'annual' THEN fiscal_period_end END) AS latest_annual_end,
+  arg_max(fiscal_year, CASE WHEN period_type = 'annual' THEN fiscal_period_end END) AS latest_annual_year,
+  max(CASE WHEN period_type = 'quarterly' THEN fiscal_period_end END) AS latest_quarter_end,
+  arg_max(quarter, CASE WHEN period_type = 'quarterly' THEN fiscal_period_end END) AS latest_quarter,
+  arg_max(fiscal_year, CASE WHEN period_type = 'quarterly' THEN fiscal_period_end END) AS latest_quarter_year
+FROM facts GROUP BY ticker_id""")
+_RL = ("current_assets", "current_liabilities", "inventory", "total_liabilities", "stockholders_equity",
+       "net_income", "total_assets", "revenue", "gross_profit", "operating_income", "cashflow_operating", "capex")
+_piv = ", ".join(f"max(CASE WHEN line_code = '{lc}' THEN CAST(value AS DOUBLE) END) AS {lc}" for lc in _RL)
+_inlist = ", ".join(f"'{x}'" for x in _RL)
+
+
+def _div(a, b):
+    return f"round(({a}) / nullif({b}, 0.0), 6)"
+
+
+fin_sql("A11_ratios", f"""
+SELECT ticker_id, fiscal_year, fiscal_period_end, period_type,
+  {_div('current_assets', 'current_liabilities')} AS current_ratio,
+  {_div('current_assets - inventory', 'current_liabilities')} AS quick_ratio,
+  {_div('total_liabilities', 'stockholders_equity')} AS debt_to_equity,
+  {_div('net_income', 'total_assets')} AS return_on_assets,
+  {_div('net_income', 'stockholders_equity')} AS return_on_equity,
+  {_div('gross_profit', 'revenue')} AS gross_margin,
+  {_div('operating_income', 'revenue')} AS operating_margin,
+  {_div('net_income', 'revenue')} AS net_margin,
+  cashflow_operating - capex AS free_cash_flow
+FROM (SELECT ticker_id, fiscal_year, fiscal_period_end, period_type, {_piv}
+      FROM facts WHERE line_code IN ({_inlist}) GROUP BY ALL)""")
+fin_sql("J6_facts_by_term", """
+SELECT f.ticker_id, f.fiscal_year, f.fiscal_period_end, f.period_type, f.line_code, f.value, l.display_name
+FROM facts f JOIN financial_line l ON l.line_code = f.line_code WHERE list_contains(l.synonyms, lower('Cash'))""",
+        "financial_line")
+
+sql("P12_fiscal_periods", """
+WITH days AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem),
+b AS (SELECT d, true AS is_annual FROM days UNION ALL SELECT d, false FROM days)
+SELECT d, is_annual,
+  CASE WHEN is_annual THEN make_date(year(d), 12, 31) ELSE last_day(CAST(date_trunc('quarter', d) AS DATE) + INTERVAL 2 MONTH) END
+    AS fiscal_period_end,
+  CASE WHEN is_annual THEN NULL ELSE quarter(d) END AS quarter, year(d) AS fiscal_year,
+  CASE WHEN is_annual THEN 'annual' ELSE 'quarterly' END AS period_type
+FROM b""")
+
+sql("P13_optional_values", f"""
+SELECT filing_id, {optint('shares')} AS shares_int, {optint('date')} AS date_int, nullif(trim(code), '') AS code,
+       nullif(trim(transaction_type), '') AS kind,
+       TRY_CAST(trunc(TRY_CAST(trim(price) AS DECIMAL(38,10))) AS BIGINT) AS price_int
+FROM ownership_rows""", "ownership_rows")

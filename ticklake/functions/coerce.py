@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 ColLike = str | Column
 
-# Python's str.strip() removes Unicode whitespace; (?U) makes Java's \s match it.
-_STRIP = r"(?U)^\s+|\s+$"
+# FIXED VALUES: the characters Python's str.strip() removes (str.isspace()).
+WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+              "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
 def _c(x: ColLike) -> Column:
@@ -19,7 +20,8 @@ def _c(x: ColLike) -> Column:
 
 
 def strip(c: ColLike) -> Column:
-    return F.regexp_replace(_c(c).cast("string"), _STRIP, "")
+    """Python ``str.strip()``: ``btrim`` with the Unicode whitespace set (no regex)."""
+    return F.btrim(_c(c).cast("string"), F.lit(WHITESPACE))
 
 
 def clean_text(c: ColLike) -> Column:

@@ -227,3 +227,110 @@ def q_delete_cascade(spark, d):
         fx.insider_filing(spark, d), "id", gone,
         {"ledger": (fx.insider_transaction(spark, d), "insider_filing_id", "CASCADE")})
     return state["ledger"].select(*LEDGER_KEYS, "shares")
+
+
+# --- financial facts ------------------------------------------------------------
+from ..functions import coerce as C  # noqa: E402
+from ..operators import financials as fin  # noqa: E402
+
+FACT_COLS = ["filing_accession", "ticker_id", "fiscal_year", "fiscal_period_end", "period_type", "quarter",
+             "line_code", "value", "decimals", "unit", "scale", "source_concept", "source_standard_concept",
+             "anchored"]
+
+
+def _facts(spark, d):
+    merged, cands, unmapped = fin.financial_facts(fx.statement_wide(spark, d), schemas.gaap_map_df(spark))
+    return merged, cands, unmapped
+
+
+def fact_table(spark, d):
+    """Merged facts of every filing upserted into an empty fact table in
+    accession order (a later filing replaces an earlier one on the same grain)."""
+    merged, _, _ = _facts(spark, d)
+    empty = merged.select(*FACT_COLS).limit(0)
+    return sinks.upsert(empty, merged.select(*FACT_COLS), fin.GRAIN, order=["filing_accession"], winner="last")
+
+
+@register("P10_statement_rows")
+def q_statement_rows(spark, d):
+    rows = fin.statement_rows(fx.statement_wide(spark, d))
+    return rows.select("filing_accession", "ticker_id", "statement", "concept_s", "std_concept")
+
+
+@register("P9_unpivot_periods")
+def q_unpivot_periods(spark, d):
+    w = fx.statement_wide(spark, d)
+    long = fin.unpivot_periods(w, ["filing_accession", "ticker_id", "concept"])
+    return long.select("filing_accession", "ticker_id", "concept", "period",
+                       C.extract_numeric(F.col("raw_value")).alias("value"))
+
+
+@register("J1_map_line_codes")
+def q_map_line_codes(spark, d):
+    rows = fin.statement_rows(fx.statement_wide(spark, d)).withColumn(
+        "std_for_map", F.coalesce(F.col("std_concept"), fin.infer_standard_concept(F.col("concept_s"))))
+    return fin.map_line_codes(rows, schemas.gaap_map_df(spark))
+
+
+@register("U1_union_candidates")
+def q_union_candidates(spark, d):
+    _, cands, _ = _facts(spark, d)
+    return cands.drop("seq")
+
+
+@register("W3_merge_facts")
+def q_merge_facts(spark, d):
+    merged, _, _ = _facts(spark, d)
+    return merged.select(*FACT_COLS)
+
+
+@register("A6_merge_conflicts")
+def q_merge_conflicts(spark, d):
+    _, cands, _ = _facts(spark, d)
+    return fin.merge_conflicts(cands)
+
+
+@register("A7_unmapped_concepts")
+def q_unmapped_concepts(spark, d):
+    _, _, unmapped = _facts(spark, d)
+    return fin.unmapped_concepts(unmapped)
+
+
+@register("C2_financial_facts")
+def q_financial_facts(spark, d):
+    return fact_table(spark, d)
+
+
+@register("W4_latest_periods")
+def q_latest_periods(spark, d):
+    return fin.latest_periods(fact_table(spark, d))
+
+
+@register("A11_ratios")
+def q_ratios(spark, d):
+    return fin.ratios(fact_table(spark, d))
+
+
+@register("J6_facts_by_term")
+def q_facts_by_term(spark, d):
+    return fin.facts_by_term(fact_table(spark, d), schemas.financial_line_df(spark), "Cash").select(
+        "ticker_id", "fiscal_year", "fiscal_period_end", "period_type", "line_code", "value", "display_name")
+
+
+@register("P12_fiscal_periods")
+def q_fiscal_periods(spark, d):
+    from ..sources.tables import read_table
+    days = read_table(spark, d, "lineitem").select(F.to_date("l_shipdate").alias("d")).distinct()
+    both = days.withColumn("is_annual", F.lit(True)).unionByName(days.withColumn("is_annual", F.lit(False)))
+    a = F.col("is_annual")
+    return both.select("d", "is_annual", C.fiscal_period_end(F.col("d"), a).alias("fiscal_period_end"),
+                       C.fiscal_quarter(F.col("d"), a).alias("quarter"), F.year("d").alias("fiscal_year"),
+                       C.period_type(a).alias("period_type"))
+
+
+@register("P13_optional_values")
+def q_optional_values(spark, d):
+    r = fx.ownership_rows(spark, d)
+    return r.select("filing_id", C.opt_int(F.col("shares")).alias("shares_int"),
+                    C.opt_int(F.col("date")).alias("date_int"), C.opt_str(F.col("code")).alias("code"),
+                    C.opt_str(F.col("transaction_type")).alias("kind"), C.to_int(F.col("price")).alias("price_int"))

@@ -10,6 +10,7 @@ small (< 200 entries each) and are turned into broadcastable DataFrames by
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
@@ -270,13 +271,31 @@ PROCESS_NAMES = ("stocks", "financials", "press_releases", "insider_transactions
 RUN_STATUSES = ("idle", "running", "success", "failed")
 
 
+def local_df(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
+    """A small literal table built inside the JVM (no Python worker, no RDD).
+
+    Used for the fixed rule tables above; Catalyst sees the rows as constants
+    and broadcasts them for free."""
+    def lit(v, dt):
+        if isinstance(dt, T.ArrayType):
+            if v is None:
+                return F.lit(None).cast(dt)
+            return F.array(*[lit(x, dt.elementType) for x in v]).cast(dt) if v else F.array().cast(dt)
+        return F.lit(v).cast(dt)
+
+    structs = [F.struct(*[lit(v, f.dataType).alias(f.name) for v, f in zip(r, schema.fields)]) for r in rows]
+    if not structs:
+        return spark.createDataFrame([], schema)
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def gaap_map_df(spark: SparkSession) -> DataFrame:
     schema = T.StructType([
         T.StructField("key", T.StringType(), False),
         T.StructField("line_code", T.StringType(), False),
         T.StructField("statement", T.StringType(), False),
     ])
-    return spark.createDataFrame(GAAP_MAP, schema)
+    return local_df(spark, GAAP_MAP, schema)
 
 
 def financial_line_df(spark: SparkSession) -> DataFrame:
@@ -288,7 +307,7 @@ def financial_line_df(spark: SparkSession) -> DataFrame:
         T.StructField("us_gaap_tag", T.StringType(), True),
         T.StructField("sort_order", T.IntegerType(), False),
     ])
-    return spark.createDataFrame(FINANCIAL_LINES, schema)
+    return local_df(spark, FINANCIAL_LINES, schema)
 
 
 def transaction_code_df(spark: SparkSession) -> DataFrame:
@@ -297,7 +316,7 @@ def transaction_code_df(spark: SparkSession) -> DataFrame:
         T.StructField("label", T.StringType(), False),
         T.StructField("description", T.StringType(), False),
     ])
-    return spark.createDataFrame(TRANSACTION_CODES, schema)
+    return local_df(spark, TRANSACTION_CODES, schema)
 
 
 def merge_preferred_df(spark: SparkSession) -> DataFrame:
@@ -307,7 +326,7 @@ def merge_preferred_df(spark: SparkSession) -> DataFrame:
         T.StructField("pref_name", T.StringType(), False),
         T.StructField("pref_idx", T.IntegerType(), False),
     ])
-    return spark.createDataFrame(rows, schema)
+    return local_df(spark, rows, schema)
 
 
 def mdna_rules_df(spark: SparkSession) -> DataFrame:
@@ -318,4 +337,4 @@ def mdna_rules_df(spark: SparkSession) -> DataFrame:
         T.StructField("section_title", T.StringType(), False),
         T.StructField("candidates", T.ArrayType(T.StringType()), False),
     ])
-    return spark.createDataFrame(rows, schema)
+    return local_df(spark, rows, schema)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from .tables import Tables
@@ -198,9 +199,9 @@ def evaluation_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 def judgement_scores(spark: SparkSession, d: str) -> DataFrame:
     labels = _t(spark, d).labels
-    judges = spark.createDataFrame(
-        [("factual_grounding", 1), ("completeness", 2), ("consistency", 3)], "judge_type string, k int"
-    )
+    judges = schemas.local_df(spark, [("factual_grounding", 1), ("completeness", 2), ("consistency", 3)],
+                              T.StructType([T.StructField("judge_type", T.StringType()),
+                                            T.StructField("k", T.IntegerType())]))
     c = (F.col("doc_id") * 7 + F.col("k")) % 101
     x = (F.col("doc_id") * 11 + F.col("k")) % 101
     return labels.join(
@@ -319,8 +320,9 @@ def statement_wide(spark: SparkSession, d: str) -> DataFrame:
     li = _t(spark, d).lineitem
     keys = sorted(schemas.GAAP_MAP, key=lambda r: r[0])
     n = len(keys)
-    k = spark.createDataFrame([(i, key, stmt) for i, (key, _lc, stmt) in enumerate(keys)],
-                              "i int, key string, statement string")
+    k = schemas.local_df(spark, [(i, key, stmt) for i, (key, _lc, stmt) in enumerate(keys)],
+                         T.StructType([T.StructField("i", T.IntegerType()), T.StructField("key", T.StringType()),
+                                       T.StructField("statement", T.StringType())]))
     acc = F.col("l_orderkey") % 500
     lm = F.col("l_linenumber") % 5
     key = F.col("key")
