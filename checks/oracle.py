@@ -493,3 +493,167 @@ SELECT filing_id, {optint('shares')} AS shares_int, {optint('date')} AS date_int
        nullif(trim(transaction_type), '') AS kind,
        TRY_CAST(trunc(TRY_CAST(trim(price) AS DECIMAL(38,10))) AS BIGINT) AS price_int
 FROM ownership_rows""", "ownership_rows")
+
+
+# --- property graph -----------------------------------------------------------
+def gsql(name, text):
+    ORACLE[name] = W(text, "vertices", "edges")
+
+
+def _hop(a, r, b, la=None, types=None, lb=None):
+    cond_a = f" AND {a}.label = '{la}'" if la else ""
+    cond_b = f" AND {b}.label = '{lb}'" if lb else ""
+    where = f" AND {r}.type IN ({', '.join(repr(t) for t in types)})" if types else ""
+    return (f"edges {r} JOIN vertices {a} ON {a}.id = {r}.src{cond_a} "
+            f"JOIN vertices {b} ON {b}.id = {r}.dst{cond_b}{where}")
+
+
+gsql("G1_top_reporters", f"""
+WITH h AS (SELECT c.id AS c_id, c.name AS c_name, r.eid AS r_eid, m.id AS m_id, m.name AS m_name
+           FROM {_hop('c', 'r', 'm', 'Company', ['REPORTS'], 'Metric')}),
+top AS (SELECT c_id, count(r_eid) AS report_count FROM h GROUP BY c_id ORDER BY report_count DESC, c_id LIMIT 5)
+SELECT h.c_id, c_name, r_eid, m_id, m_name, report_count FROM h JOIN top USING (c_id)
+ORDER BY report_count DESC, c_id, r_eid LIMIT 50""")
+
+gsql("G2_risk_networks", f"""
+WITH f AS (SELECT c.id AS c_id, r.eid AS r_eid FROM {_hop('c', 'r', 'k', 'Company', ['FACES'], 'Risk')}),
+top AS (SELECT c_id, count(r_eid) AS risk_count FROM f GROUP BY c_id ORDER BY risk_count DESC, c_id LIMIT 3),
+h AS (SELECT c.id AS c_id, c.name AS c_name, r.eid AS r_eid, r.type AS r_type, x.id AS x_id, x.label AS x_label
+      FROM {_hop('c', 'r', 'x', 'Company', ['FACES', 'IMPLEMENTS', 'PRODUCES'], None)})
+SELECT h.c_id, c_name, r_eid, r_type, x_id, x_label, risk_count FROM h JOIN top USING (c_id)
+ORDER BY risk_count DESC, c_id, r_eid LIMIT 40""")
+
+_TWO = """edges r1 JOIN vertices a ON a.id = r1.src {la} JOIN vertices b ON b.id = r1.dst {lb}
+  JOIN edges r2 ON r2.src = b.id AND r2.eid <> r1.eid {t2} JOIN vertices c ON c.id = r2.dst {lc}
+  WHERE TRUE {t1}"""
+
+
+def _two(la=None, t1=None, lb=None, t2=None, lc=None):
+    def lab(x, l):
+        return f"AND {x}.label = '{l}'" if l else ""
+
+    def typ(r, t):
+        return f"AND {r}.type IN ({', '.join(repr(x) for x in t)})" if t else ""
+    return _TWO.format(la=lab("a", la), lb=lab("b", lb), lc=lab("c", lc), t1=typ("r1", t1), t2=typ("r2", t2))
+
+
+gsql("G3_metric_chains", f"""
+WITH p AS (SELECT a.id AS a_id, r1.eid AS r1_eid, b.id AS b_id, r2.eid AS r2_eid, c.id AS c_id
+           FROM {_two('Company', ['REPORTS'], 'Metric', ['RELATED_TO'], 'Metric')}
+           ORDER BY a_id, r1_eid, r2_eid LIMIT 20)
+SELECT DISTINCT node_id, rel_id FROM (
+  SELECT a_id AS node_id, r1_eid AS rel_id FROM p UNION ALL SELECT a_id, r2_eid FROM p
+  UNION ALL SELECT b_id, r1_eid FROM p UNION ALL SELECT b_id, r2_eid FROM p
+  UNION ALL SELECT c_id, r1_eid FROM p UNION ALL SELECT c_id, r2_eid FROM p)""")
+
+gsql("G4_frequent_edges", f"""
+SELECT c.id AS c_id, m.id AS m_id, r.eid AS r_eid, count(*) AS freq
+FROM {_hop('c', 'r', 'm', 'Company', ['REPORTS'], 'Metric')}
+GROUP BY c.id, m.id, r.eid ORDER BY freq DESC, c_id, m_id, r_eid LIMIT 30""")
+
+gsql("G5_ego", f"""
+SELECT c.id AS c_id, r.eid AS r_eid, r.type AS r_type, x.id AS x_id, x.label AS x_label
+FROM {_hop('c', 'r', 'x', 'Company', None, None)} WHERE c.name = 'Customer#000000001'
+ORDER BY c_id, r_eid LIMIT 50""")
+
+gsql("G6_strategy_networks", """
+SELECT c.id AS c_id, r1.eid AS r1_eid, s.id AS s_id, r2.eid AS r2_eid, t.id AS t_id
+FROM edges r1 JOIN vertices c ON c.id = r1.src AND c.label = 'Company'
+JOIN vertices s ON s.id = r1.dst AND s.label = 'Strategy'
+LEFT JOIN edges r2 ON r2.src = s.id AND r2.type = 'MENTIONED_IN' AND r2.eid <> r1.eid
+LEFT JOIN vertices t ON t.id = r2.dst
+WHERE r1.type = 'IMPLEMENTS'
+ORDER BY c_id, r1_eid, r2_eid NULLS FIRST LIMIT 30""")
+
+gsql("G7_product_metrics", f"""
+SELECT a.id AS c_id, r1.eid AS r1_eid, b.id AS p_id, r2.eid AS r2_eid, c.id AS m_id
+FROM {_two('Company', ['PRODUCES'], 'Product', ['RELATED_TO'], 'Metric')}
+ORDER BY c_id, r1_eid, r2_eid LIMIT 25""")
+
+gsql("G8_cross_mentions", f"""
+SELECT a.id AS c1_id, r1.eid AS r1_eid, b.id AS m_id, r2.eid AS r2_eid, c.id AS c2_id
+FROM {_two('Company', ['REPORTS'], 'Metric', ['MENTIONED_IN'], 'Company')} AND a.id <> c.id
+ORDER BY c1_id, r1_eid, r2_eid LIMIT 20""")
+
+
+def _keys(p, n):
+    return f"array_to_string(list_slice(list_sort(map_keys({p})), 1, {n}), ',')"
+
+
+_H = """h AS (SELECT a.id AS a_id, a.label AS a_label, a.props AS a_props, r.eid AS r_eid, r.type AS r_type,
+              r.props AS r_props, b.id AS b_id, b.label AS b_label, b.props AS b_props
+       FROM edges r JOIN vertices a ON a.id = r.src JOIN vertices b ON b.id = r.dst)"""
+
+gsql("G9_rel_samples", f"""
+WITH {_H},
+labels AS (SELECT r_type AS rel_type, array_to_string(list_sort(list(DISTINCT a_label)), ',') AS source_labels,
+                  array_to_string(list_sort(list(DISTINCT b_label)), ',') AS target_labels FROM h GROUP BY r_type),
+ex AS (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY r_type ORDER BY r_eid) <= 3),
+exs AS (SELECT r_type AS rel_type,
+               string_agg(concat_ws('|', a_label, {_keys('a_props', 3)}, r_type, {_keys('r_props', 3)}, b_label,
+                                    {_keys('b_props', 3)}), ';' ORDER BY r_eid) AS sample_triplets
+        FROM ex GROUP BY r_type)
+SELECT * FROM labels JOIN exs USING (rel_type) ORDER BY rel_type LIMIT 20""")
+
+gsql("G11_pattern_counts", """
+SELECT sl || ' -[:' || type || ']-> ' || tl AS pattern, count(*) AS frequency
+FROM edges e JOIN (SELECT id, unnest(labels) AS sl FROM vertices) a ON a.id = e.src
+JOIN (SELECT id, unnest(labels) AS tl FROM vertices) b ON b.id = e.dst
+GROUP BY sl, type, tl""")
+
+gsql("G12_label_properties", """
+WITH x AS (SELECT id, props, unnest(labels) AS node_type FROM vertices),
+f AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY node_type ORDER BY id) <= 100),
+k AS (SELECT node_type, unnest(map_keys(props)) AS p FROM f)
+SELECT node_type, array_to_string(list_sort(list(DISTINCT p)), ',') AS properties FROM k GROUP BY node_type""")
+
+gsql("G13_rel_properties", """
+WITH f AS (SELECT * FROM edges QUALIFY row_number() OVER (PARTITION BY type ORDER BY eid) <= 100),
+k AS (SELECT type AS relationship_type, unnest(map_keys(props)) AS p FROM f)
+SELECT relationship_type, array_to_string(list_sort(list(DISTINCT p)), ',') AS properties FROM k
+GROUP BY relationship_type""")
+
+gsql("G14_schema_overview", f"""
+WITH {_H}
+SELECT a_label AS source_type, r_type AS relationship_type, b_label AS target_type, count(*) AS count,
+       min({_keys('a_props', 5)}) AS sample_source_properties, min({_keys('r_props', 5)}) AS sample_rel_properties,
+       min({_keys('b_props', 5)}) AS sample_target_properties
+FROM h GROUP BY ALL ORDER BY count DESC, source_type, relationship_type, target_type LIMIT 20""")
+
+gsql("G15_network_density", f"""
+WITH rep AS (SELECT c.id AS c_id, count(r.eid) AS metric_count FROM {_hop('c', 'r', 'm', 'Company', ['REPORTS'], 'Metric')}
+             GROUP BY c.id HAVING count(r.eid) > 20),
+und AS (SELECT src AS a, dst AS b, eid FROM edges UNION ALL SELECT dst, src, eid FROM edges),
+n1 AS (SELECT rep.c_id AS hub, u.b AS x, u.eid AS e1 FROM rep JOIN und u ON u.a = rep.c_id),
+n2 AS (SELECT n1.hub, u.b AS y FROM n1 JOIN und u ON u.a = n1.x AND u.eid <> n1.e1),
+conn AS (SELECT hub, x AS node FROM n1 UNION SELECT hub, y FROM n2)
+SELECT conn.hub, hv.name AS central_company, rep.metric_count,
+       array_to_string(list_sort(list(DISTINCT nv.label)), ',') AS connected_types,
+       count(DISTINCT conn.node) AS network_size
+FROM conn JOIN vertices nv ON nv.id = conn.node JOIN rep ON rep.c_id = conn.hub JOIN vertices hv ON hv.id = conn.hub
+GROUP BY conn.hub, hv.name, rep.metric_count""")
+
+gsql("G16_important_chains", f"""
+WITH p AS (SELECT a.id AS a_id, a.name AS a_name, a.label AS a_label, r1.eid AS r1_eid, r1.type AS r1_type,
+                  b.name AS b_name, b.label AS b_label, r2.eid AS r2_eid, r2.type AS r2_type, c.name AS c_name,
+                  c.label AS c_label
+           FROM {_two('Company', None, None, None, None)}),
+s AS (SELECT *, CASE r1_type WHEN 'REPORTS' THEN 100 WHEN 'FACES' THEN 80 WHEN 'PRODUCES' THEN 70
+                             WHEN 'IMPLEMENTS' THEN 60 ELSE 40 END
+              + CASE r2_type WHEN 'RELATED_TO' THEN 50 WHEN 'MENTIONED_IN' THEN 40 WHEN 'IMPACTS' THEN 60
+                             ELSE 30 END AS importance_score FROM p)
+SELECT a_name AS start_entity, a_label AS start_type, r1_type AS first_relationship, b_name AS middle_entity,
+       b_label AS middle_type, r2_type AS second_relationship, c_name AS end_entity, c_label AS end_type,
+       importance_score,
+       a_name || ' -[' || r1_type || ']-> ' || b_name || ' -[' || r2_type || ']-> ' || c_name AS full_chain
+FROM s ORDER BY importance_score DESC, a_id, r1_eid, r2_eid LIMIT 25""")
+
+gsql("G17_meta_graph", """
+SELECT DISTINCT a.label AS source_label, r.type AS rel_type, b.label AS target_label
+FROM edges r JOIN vertices a ON a.id = r.src JOIN vertices b ON b.id = r.dst""")
+
+sql("L1_top_k_orders", """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10""")
+
+gsql("L3_first_k_per_label", """
+SELECT id, label FROM vertices QUALIFY row_number() OVER (PARTITION BY label ORDER BY id) <= 100""")

@@ -334,3 +334,113 @@ def q_optional_values(spark, d):
     return r.select("filing_id", C.opt_int(F.col("shares")).alias("shares_int"),
                     C.opt_int(F.col("date")).alias("date_int"), C.opt_str(F.col("code")).alias("code"),
                     C.opt_str(F.col("transaction_type")).alias("kind"), C.to_int(F.col("price")).alias("price_int"))
+
+
+# --- property graph -----------------------------------------------------------
+from ..operators import graph as G  # noqa: E402
+
+
+def _g(spark, d):
+    return fx.vertices(spark, d), fx.edges(spark, d)
+
+
+@register("G1_top_reporters")
+def q_top_reporters(spark, d):
+    return G.top_reporters(*_g(spark, d))
+
+
+@register("G2_risk_networks")
+def q_risk_networks(spark, d):
+    return G.risk_networks(*_g(spark, d))
+
+
+@register("G3_metric_chains")
+def q_metric_chains(spark, d):
+    return G.metric_chains(*_g(spark, d))
+
+
+@register("G4_frequent_edges")
+def q_frequent_edges(spark, d):
+    return G.frequent_edges(*_g(spark, d))
+
+
+@register("G5_ego")
+def q_ego(spark, d):
+    return G.ego(*_g(spark, d), name="Customer#000000001")
+
+
+@register("G6_strategy_networks")
+def q_strategy_networks(spark, d):
+    return G.strategy_networks(*_g(spark, d))
+
+
+@register("G7_product_metrics")
+def q_product_metrics(spark, d):
+    return G.product_metrics(*_g(spark, d))
+
+
+@register("G8_cross_mentions")
+def q_cross_mentions(spark, d):
+    return G.cross_mentions(*_g(spark, d))
+
+
+@register("G9_rel_samples")
+def q_rel_samples(spark, d):
+    return G.rel_samples(*_g(spark, d))
+
+
+@register("G10_triplet_view")
+def q_triplet_view(spark, d):
+    return G.triplet_view(*_g(spark, d))
+
+
+@register("G11_pattern_counts")
+def q_pattern_counts(spark, d):
+    return G.pattern_counts(*_g(spark, d))
+
+
+@register("G12_label_properties")
+def q_label_properties(spark, d):
+    return G.label_properties(fx.vertices(spark, d))
+
+
+@register("G13_rel_properties")
+def q_rel_properties(spark, d):
+    return G.rel_properties(fx.edges(spark, d))
+
+
+@register("G14_schema_overview")
+def q_schema_overview(spark, d):
+    return G.schema_overview(*_g(spark, d))
+
+
+@register("G15_network_density")
+def q_network_density(spark, d):
+    return G.network_density(*_g(spark, d), threshold=20)
+
+
+@register("G16_important_chains")
+def q_important_chains(spark, d):
+    return G.important_chains(*_g(spark, d))
+
+
+@register("G17_meta_graph")
+def q_meta_graph(spark, d):
+    return G.meta_graph(*_g(spark, d))
+
+
+@register("L1_top_k_orders")
+def q_top_k_orders(spark, d):
+    from ..sources.tables import read_table
+    o = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return G.top_k(o, [F.col("o_totalprice").desc(), F.col("o_orderkey")], 10)
+
+
+@register("L2_sample_edges")
+def q_sample_edges(spark, d):
+    return G.sample_k(fx.edges(spark, d).select("eid", "src", "dst", "type"), "eid", 25, seed=7)
+
+
+@register("L3_first_k_per_label")
+def q_first_k_per_label(spark, d):
+    return G.first_k(fx.vertices(spark, d).select("id", "label"), ["label"], [F.col("id")], 100)
