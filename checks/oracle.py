@@ -657,3 +657,84 @@ SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DES
 
 gsql("L3_first_k_per_label", """
 SELECT id, label FROM vertices QUALIFY row_number() OVER (PARTITION BY label ORDER BY id) <= 100""")
+
+
+# --- filing text ----------------------------------------------------------------
+from ticklake.functions import text as _TX  # noqa: E402
+
+_WS = (r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
+_WSR = f"[{_WS}]+"
+
+
+def squash(x):
+    return f"trim(regexp_replace({x}, '{_WSR}', ' ', 'g'))"
+
+
+def strip_ws(x):
+    return f"regexp_replace({x}, '^[{_WS}]+|[{_WS}]+$', '', 'g')"
+
+
+def clean(x):
+    s = squash(f"coalesce({x}, '')")
+    s = f"regexp_replace({s}, '<[^>]+>', ' ', 'g')"
+    s = f"regexp_replace({s}, '[^\\p{{L}}\\p{{N}}_{_WS}.,!?\\-]', ' ', 'g')"
+    return squash(s)
+
+
+sql("T1_clean_text", f"SELECT id, {clean('text')} AS cleaned FROM filing", "filing")
+
+_bp = " AND ".join(f"NOT contains(lower(x), '{p}')" for p in _S.TITLE_BOILERPLATE)
+sql("T2_extract_title", f"""
+SELECT id, coalesce(left(list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: {strip_ws('x')}),
+                                     lambda x: length(x) > 20 AND {_bp})[1], 200), 'Press Release') AS title
+FROM filing""", "filing")
+
+sql("T4_squash", f"SELECT filing_id, ordinal, {squash('text')} AS text FROM attachment", "attachment")
+
+sql("T5_sentences", f"""
+WITH s AS (
+  SELECT id, list_filter(list_transform(string_split(regexp_replace(coalesce(text, ''), '([.!?]){_WSR}([A-Z])',
+             '\\1' || chr(1) || '\\2', 'g'), chr(1)), lambda x: {strip_ws('x')}), lambda x: x <> '') AS l
+  FROM filing)
+SELECT id, unnest(generate_series(1, len(l))) AS sentence_no, unnest(l) AS sentence FROM s WHERE len(l) > 0""",
+    "filing")
+
+
+def _unescape(x):
+    s = x
+    for ent, ch in _TX.NAMED_ENTITIES:
+        s = f"replace({s}, '{ent}', chr({ord(ch)}))"
+    return f"replace({s}, '&amp;', '&')"
+
+
+_blocks = "|".join(_TX.BLOCK_TAGS)
+_h = "html"
+_h = f"regexp_replace({_h}, '(?is)<script\\b.*?</script\\s*>', ' ', 'g')"
+_h = f"regexp_replace({_h}, '(?is)<style\\b.*?</style\\s*>', ' ', 'g')"
+_h = f"regexp_replace({_h}, '(?s)<!--.*?-->', ' ', 'g')"
+_h = f"regexp_replace({_h}, '(?i)</?({_blocks})\\b[^>]*>', chr(10) || chr(10), 'g')"
+_h = f"regexp_replace({_h}, '<[^>]*>', '', 'g')"
+_h = _unescape(_h)
+_h = f"regexp_replace({_h}, '[ \\t\\x0B\\f\\r\\x{{A0}}]+', ' ', 'g')"
+_h = f"regexp_replace({_h}, ' ?\\n ?', chr(10), 'g')"
+_h = f"regexp_replace({_h}, '\\n{{3,}}', chr(10) || chr(10), 'g')"
+_h = f"trim({_h}, ' ' || chr(10))"
+sql("T8_html_to_text", f"SELECT page_id, {_h} AS text FROM pages")
+
+sql("S6_pick_attachment", """
+SELECT filing_id, ordinal, document_type, text FROM attachment
+QUALIFY row_number() OVER (PARTITION BY filing_id ORDER BY NOT coalesce(contains(document_type, 'EX-99'), false),
+                           ordinal) = 1""", "attachment")
+
+_rules = ", ".join(f"('{f}', '{sid}', '{t.replace(chr(39), chr(39) * 2)}', {i}, '{c}')"
+                   for f, sid, t, cands in _S.MDNA_SECTIONS for i, c in enumerate(cands))
+sql("P23_mdna_sections", f"""
+WITH r AS (SELECT form, section_id, section_title, cand_pos, regexp_replace(lower(cand), '[^a-z0-9]', '', 'g') AS k
+           FROM (VALUES {_rules}) v(form, section_id, section_title, cand_pos, cand)),
+f AS (SELECT id, type, string_split(text, chr(10)) AS l FROM filing WHERE type IN ('10-K', '10-Q')),
+items AS (SELECT id AS filing_id, 'Item ' || (generate_subscripts(l, 1) - 1) AS item_key, unnest(l) AS content FROM f),
+it AS (SELECT filing_id, regexp_replace(lower(item_key), '[^a-z0-9]', '', 'g') AS k, content FROM items
+       WHERE content IS NOT NULL AND content <> '')
+SELECT fl.id AS filing_id, fl.type AS form, r.section_id, r.section_title, arg_min(it.content, r.cand_pos) AS content
+FROM filing fl JOIN r ON r.form = fl.type JOIN it ON it.filing_id = fl.id AND it.k = r.k
+GROUP BY ALL""", "filing")

@@ -444,3 +444,72 @@ def q_sample_edges(spark, d):
 @register("L3_first_k_per_label")
 def q_first_k_per_label(spark, d):
     return G.first_k(fx.vertices(spark, d).select("id", "label"), ["label"], [F.col("id")], 100)
+
+
+# --- filing text --------------------------------------------------------------
+from ..functions import text as TX  # noqa: E402
+from ..operators import text as TO  # noqa: E402
+
+
+@register("T1_clean_text")
+def q_clean_text(spark, d):
+    return fx.filing(spark, d).select("id", TX.clean_filing_text(F.col("text")).alias("cleaned"))
+
+
+@register("T2_extract_title")
+def q_extract_title(spark, d):
+    return fx.filing(spark, d).select("id", TX.extract_title(F.col("text")).alias("title"))
+
+
+@register("T4_squash")
+def q_squash(spark, d):
+    return fx.attachment(spark, d).select("filing_id", "ordinal", TX.squash(F.col("text")).alias("text"))
+
+
+@register("T5_sentences")
+def q_sentences(spark, d):
+    f = fx.filing(spark, d)
+    return f.select("id", F.posexplode(TX.sentences(F.col("text"))).alias("pos", "sentence")).select(
+        "id", (F.col("pos") + 1).alias("sentence_no"), "sentence")
+
+
+@register("T8_html_to_text")
+def q_html_to_text(spark, d):
+    from ..sources.tables import read_table
+    return read_table(spark, d, "pages").select("page_id", TX.html_to_text(F.col("html")).alias("text"))
+
+
+@register("S6_pick_attachment")
+def q_pick_attachment(spark, d):
+    return TO.pick_attachment(fx.attachment(spark, d))
+
+
+@register("P23_mdna_sections")
+def q_mdna_sections(spark, d):
+    return TO.mdna_sections(fx.filing(spark, d), fx.filing_items(spark, d), schemas.mdna_rules_df(spark))
+
+
+@register("T3_markdown")
+def q_markdown(spark, d):
+    from ..sources.tables import read_table
+    pages = read_table(spark, d, "pages").select("page_id", TX.html_to_text(F.col("html")).alias("text"))
+    return pages.select("page_id", TO.to_markdown(F.col("text")).alias("markdown"))
+
+
+@register("T6_chunks")
+def q_chunks(spark, d):
+    f = fx.filing(spark, d).select("id", TX.clean_filing_text(F.col("text")).alias("text"))
+    return TO.chunk(f, "id", "text", n=500)
+
+
+@register("T7_press_release_chunks")
+def q_press_release_chunks(spark, d):
+    att = TO.pick_attachment(fx.attachment(spark, d))
+    return TO.statement_chunks(att, "filing_id", "text", kind="8-K")
+
+
+@register("T7_mdna_chunks")
+def q_mdna_chunks(spark, d):
+    sec = TO.mdna_sections(fx.filing(spark, d), fx.filing_items(spark, d), schemas.mdna_rules_df(spark))
+    return TO.statement_chunks(sec, "filing_id", "content", kind="MDNA", section_col="section_id",
+                               title_col="section_title")

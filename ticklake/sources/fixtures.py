@@ -459,3 +459,13 @@ FIXTURES = {
 
 def load(spark: SparkSession, d: str, name: str) -> DataFrame:
     return FIXTURES[name](spark, d)
+
+
+def filing_items(spark: SparkSession, d: str) -> DataFrame:
+    """Items of 10-K / 10-Q filings: line k of the filing text is item 'Item k'."""
+    f = filing(spark, d).where(F.col("type").isin("10-K", "10-Q"))
+    return f.select(F.col("id").alias("filing_id"), F.posexplode(F.split("text", "\n")).alias("pos", "content")).select(
+        "filing_id", F.concat(F.lit("Item "), F.col("pos").cast("string")).alias("item_key"), "content")
+
+
+FIXTURES["filing_items"] = filing_items
