@@ -738,3 +738,120 @@ it AS (SELECT filing_id, regexp_replace(lower(item_key), '[^a-z0-9]', '', 'g') A
 SELECT fl.id AS filing_id, fl.type AS form, r.section_id, r.section_title, arg_min(it.content, r.cand_pos) AS content
 FROM filing fl JOIN r ON r.form = fl.type JOIN it ON it.filing_id = fl.id AND it.k = r.k
 GROUP BY ALL""", "filing")
+
+
+# --- market data ----------------------------------------------------------------
+def _jkey(k):
+    return f"'$.{k}'"
+
+
+def _container(k):
+    return f"coalesce(json_type(info, {_jkey(k)}) IN ('ARRAY', 'OBJECT'), false)"
+
+
+_prof = ",\n  ".join(
+    f"CASE WHEN {_container(k)} THEN CAST(json_extract(info, {_jkey(k)}) AS VARCHAR) "
+    f"ELSE json_extract_string(info, {_jkey(k)}) END AS {n}" for k, n in _S.PROFILE_KEYS)
+
+
+def _epoch(x):
+    return f"(CASE WHEN TRY_CAST({x} AS BIGINT) > 0 THEN CAST(to_timestamp(TRY_CAST({x} AS BIGINT)) AS DATE) END)"
+
+
+sql("P1_ticker_profile", f"""
+SELECT ticker_id, event_id,
+  {_prof},
+  {_epoch("json_extract_string(info, '$.fundInceptionDate')")} AS fund_inception_date
+FROM company_info_wide WHERE info IS NOT NULL""", "company_info_wide")
+
+sql("P2_epoch_to_date", f"""
+SELECT event_id, {_epoch("json_extract_string(info, '$.fundInceptionDate')")} AS d1,
+       {_epoch("'x' || json_extract_string(info, '$.fundInceptionDate')")} AS d2,
+       {_epoch("CAST(event_id % 3 - 1 AS VARCHAR)")} AS d3
+FROM company_info_wide""", "company_info_wide")
+
+
+def _metric(k, typ, default):
+    val = f"TRY_CAST(json_extract_string(info, {_jkey(k)}) AS {'VARCHAR' if typ == 'string' else typ.upper()})"
+    lit = "''" if typ == "string" else (f"CAST({default} AS {typ.upper()})")
+    return f"coalesce(CASE WHEN NOT {_container(k)} THEN {val} END, {lit}) AS {k}"
+
+
+_mets = ",\n  ".join(_metric(k, t, dflt) for k, t, dflt in _S.DEFAULT_METRICS)
+_opts = ",\n  ".join(f"CASE WHEN NOT {_container(k)} THEN TRY_CAST(json_extract_string(info, {_jkey(k)}) AS DOUBLE) END AS {n}"
+                     for n, k in _S.OPTIONAL_METRICS)
+sql("P3_fundamentals", f"""
+SELECT ticker_id AS tickerId, DATE '2024-02-01' AS date,
+  {_mets},
+  {_opts}
+FROM company_info_wide WHERE info IS NOT NULL AND info <> '{{}}'""", "company_info_wide")
+
+sql("S1_prices", "SELECT * FROM price WHERE tickerId IS NOT NULL AND date IS NOT NULL AND open IS NOT NULL AND "
+    "high IS NOT NULL AND low IS NOT NULL AND close IS NOT NULL AND volume IS NOT NULL", "price")
+sql("S2_splits", "SELECT * FROM split", "split")
+sql("A5_price_cursor", """
+SELECT tickerId, max(date) AS latest_date, max(date) >= DATE '1998-08-01' AS up_to_date FROM price GROUP BY tickerId""",
+    "price")
+sql("P21_newer_prices", """
+WITH hwm AS (SELECT tickerId, max(date) AS m FROM price WHERE date < DATE '1997-01-01' GROUP BY tickerId)
+SELECT p.tickerId, p.date, p.close FROM price p LEFT JOIN hwm h ON h.tickerId = p.tickerId
+WHERE h.m IS NULL OR p.date > h.m""", "price")
+
+_w = "PARTITION BY tickerId ORDER BY date"
+sql("W7_moving_stats", f"""
+WITH s AS (
+  SELECT tickerId, date, CAST(close AS DOUBLE) AS c,
+    avg(CAST(close AS DOUBLE)) OVER ({_w} ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS ma50,
+    avg(CAST(close AS DOUBLE)) OVER ({_w} ROWS BETWEEN 199 PRECEDING AND CURRENT ROW) AS ma200,
+    min(CAST(low AS DOUBLE)) OVER ({_w} RANGE BETWEEN INTERVAL 364 DAYS PRECEDING AND CURRENT ROW) AS lo,
+    max(CAST(high AS DOUBLE)) OVER ({_w} RANGE BETWEEN INTERVAL 364 DAYS PRECEDING AND CURRENT ROW) AS hi
+  FROM price)
+SELECT tickerId, date, round(ma50, 6) AS fifty_day_average, round(c - ma50, 6) AS fifty_day_average_change,
+       round(ma200, 6) AS two_hundred_day_average, round(c - ma200, 6) AS two_hundred_day_average_change,
+       round(lo, 6) AS fifty_two_week_low, round(hi, 6) AS fifty_two_week_high,
+       round(c - lo, 6) AS fifty_two_week_low_change, round(c - hi, 6) AS fifty_two_week_high_change
+FROM s""", "price")
+
+sql("J9_split_adjust", """
+SELECT p.tickerId, p.date, CAST(p.close AS DOUBLE) AS close,
+       product(coalesce(CAST(s.ratio AS DOUBLE), 1.0)) AS split_factor,
+       CAST(p.close AS DOUBLE) / product(coalesce(CAST(s.ratio AS DOUBLE), 1.0)) AS adj_close
+FROM price p LEFT JOIN split s ON s.tickerId = p.tickerId AND s.date > p.date
+GROUP BY p.tickerId, p.date, p.close""", "price", "split")
+
+
+def _dow(d):  # Spark numbering: 1 = Sunday
+    return f"(dayofweek({d}) + 1)"
+
+
+def _nth(m, dow, n):
+    if n > 0:
+        f = f"make_date(y, {m}, 1)"
+        return f"({f} + CAST(({dow} - {_dow(f)} + 7) % 7 + {7 * (n - 1)} AS INTEGER))"
+    last = f"last_day(make_date(y, {m}, 1))"
+    return f"({last} - CAST(({_dow(last)} - {dow} + 7) % 7 AS INTEGER))"
+
+
+def _obs(d):
+    return f"(CASE {_dow(d)} WHEN 7 THEN {d} - 1 WHEN 1 THEN {d} + 1 ELSE {d} END)"
+
+
+_hol = " UNION ALL ".join([
+    f"SELECT {_obs('make_date(y, 1, 1)')} AS d FROM yrs",
+    f"SELECT {_nth(1, 2, 3)} FROM yrs WHERE y >= 1986",
+    f"SELECT {_nth(2, 2, 3)} FROM yrs",
+    f"SELECT {_nth(5, 2, -1)} FROM yrs",
+    f"SELECT {_obs('make_date(y, 6, 19)')} FROM yrs WHERE y >= 2021",
+    f"SELECT {_obs('make_date(y, 7, 4)')} FROM yrs",
+    f"SELECT {_nth(9, 2, 1)} FROM yrs",
+    f"SELECT {_nth(10, 2, 2)} FROM yrs",
+    f"SELECT {_obs('make_date(y, 11, 11)')} FROM yrs",
+    f"SELECT {_nth(11, 5, 4)} FROM yrs",
+    f"SELECT {_obs('make_date(y, 12, 25)')} FROM yrs",
+])
+sql("P24_market_days", f"""
+WITH yrs AS (SELECT CAST(generate_series AS INTEGER) AS y FROM generate_series(1990, 2031)),
+hol AS (SELECT DISTINCT CAST(d AS DATE) AS d FROM ({_hol}) WHERE year(d) BETWEEN 1990 AND 2030),
+days AS (SELECT DISTINCT date FROM price)
+SELECT days.date, dayofweek(days.date) NOT IN (0, 6) AND hol.d IS NULL AS is_market_day
+FROM days LEFT JOIN hol ON hol.d = days.date""", "price")

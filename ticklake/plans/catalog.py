@@ -513,3 +513,73 @@ def q_mdna_chunks(spark, d):
     sec = TO.mdna_sections(fx.filing(spark, d), fx.filing_items(spark, d), schemas.mdna_rules_df(spark))
     return TO.statement_chunks(sec, "filing_id", "content", kind="MDNA", section_col="section_id",
                                title_col="section_title")
+
+
+# --- market data ----------------------------------------------------------------
+from ..operators import market as MK  # noqa: E402
+
+AS_OF = "2024-02-01"
+EXPECTED_BAR = "1998-08-01"
+CAL_YEARS = (1990, 2030)
+
+
+def _info(spark, d):
+    return MK.parse_company_info(fx.company_info_wide(spark, d))
+
+
+@register("S1_prices")
+def q_prices(spark, d):
+    return MK.clean_prices(fx.price(spark, d))
+
+
+@register("S2_splits")
+def q_splits(spark, d):
+    return fx.split(spark, d)
+
+
+@register("P1_ticker_profile")
+def q_ticker_profile(spark, d):
+    return MK.ticker_profile(_info(spark, d), keep=("ticker_id", "event_id"))
+
+
+@register("P2_epoch_to_date")
+def q_epoch_to_date(spark, d):
+    e = fx.company_info_wide(spark, d)
+    raw = F.get_json_object("info", "$.fundInceptionDate")
+    return e.select("event_id", C.epoch_to_date(raw).alias("d1"),
+                    C.epoch_to_date(F.concat(F.lit("x"), raw)).alias("d2"),
+                    C.epoch_to_date((F.col("event_id") % 3 - 1).cast("string")).alias("d3"))
+
+
+@register("P3_fundamentals")
+def q_fundamentals(spark, d):
+    return MK.fundamentals(_info(spark, d).select("ticker_id", "event_id", "info"), AS_OF).withColumn(
+        "event_id", F.lit(None).cast("bigint")).drop("event_id")
+
+
+@register("A5_price_cursor")
+def q_price_cursor(spark, d):
+    return MK.price_cursor(fx.price(spark, d), EXPECTED_BAR)
+
+
+@register("P21_newer_prices")
+def q_newer_prices(spark, d):
+    p = fx.price(spark, d)
+    stored = p.where(F.col("date") < F.lit("1997-01-01").cast("date"))
+    return MK.newer_than(p.select("tickerId", "date", "close"), stored)
+
+
+@register("W7_moving_stats")
+def q_moving_stats(spark, d):
+    return MK.moving_stats(fx.price(spark, d))
+
+
+@register("J9_split_adjust")
+def q_split_adjust(spark, d):
+    return MK.split_adjust(fx.price(spark, d), fx.split(spark, d))
+
+
+@register("P24_market_days")
+def q_market_days(spark, d):
+    days = fx.price(spark, d).select("date").distinct()
+    return MK.market_days(days, "date", MK.holiday_dim(spark, *CAL_YEARS))

@@ -271,6 +271,64 @@ PROCESS_NAMES = ("stocks", "financials", "press_releases", "insider_transactions
 RUN_STATUSES = ("idle", "running", "success", "failed")
 
 
+# FIXED VALUES: company-info key -> ticker profile column (32 keys).
+PROFILE_KEYS: list[tuple[str, str]] = [
+    ("address1", "address_line_1"), ("city", "city"), ("state", "state"), ("zip", "zip"),
+    ("country", "country"), ("phone", "phone"), ("website", "website"), ("industry", "industry"),
+    ("industryKey", "industry_key"), ("industryDisp", "industry_disp"), ("sector", "sector"),
+    ("sectorKey", "sector_key"), ("sectorDisp", "sector_disp"), ("fullTimeEmployees", "full_time_employees"),
+    ("longBusinessSummary", "long_business_summary"), ("auditRisk", "audit_risk"), ("boardRisk", "board_risk"),
+    ("compensationRisk", "compensation_risk"), ("shareHolderRightsRisk", "shareholder_rights_risk"),
+    ("overallRisk", "overall_risk"), ("irWebsite", "ir_website"), ("currency", "currency"),
+    ("fullExchangeName", "full_exchange_name"), ("corporateActions", "corporate_actions"),
+    ("shortName", "name"), ("longName", "long_name"), ("displayName", "display_name"),
+    ("quoteType", "quote_type"), ("typeDisp", "type_disp"), ("legalType", "legal_type"),
+    ("fundFamily", "fund_family"), ("category", "category"),
+]
+
+# FIXED VALUES: fundamentals metrics with a default (key, type, default); 68 entries.
+DEFAULT_METRICS: list[tuple[str, str, object]] = [
+    ("trailingPE", "double", 0.0), ("forwardPE", "double", 0.0), ("marketCap", "bigint", 0),
+    ("enterpriseValue", "bigint", 0), ("priceToBook", "double", 0.0), ("trailingPegRatio", "double", 0.0),
+    ("priceToSalesTrailing12Months", "double", 0.0), ("dividendYield", "double", 0.0),
+    ("dividendRate", "double", 0.0), ("payoutRatio", "double", 0.0), ("fiveYearAvgDividendYield", "double", 0.0),
+    ("beta", "double", 0.0), ("volume", "bigint", 0), ("regularMarketVolume", "bigint", 0),
+    ("averageVolume", "bigint", 0), ("fiftyTwoWeekLow", "double", 0.0), ("fiftyTwoWeekHigh", "double", 0.0),
+    ("fiftyTwoWeekRange", "string", ""), ("fiftyTwoWeekChangePercent", "double", 0.0),
+    ("fiftyTwoWeekLowChange", "double", 0.0), ("fiftyTwoWeekLowChangePercent", "double", 0.0),
+    ("fiftyTwoWeekHighChange", "double", 0.0), ("fiftyTwoWeekHighChangePercent", "double", 0.0),
+    ("fiftyDayAverage", "double", 0.0), ("fiftyDayAverageChange", "double", 0.0),
+    ("fiftyDayAverageChangePercent", "double", 0.0), ("twoHundredDayAverage", "double", 0.0),
+    ("twoHundredDayAverageChange", "double", 0.0), ("twoHundredDayAverageChangePercent", "double", 0.0),
+    ("floatShares", "bigint", 0), ("sharesOutstanding", "bigint", 0), ("sharesShort", "bigint", 0),
+    ("bookValue", "double", 0.0), ("trailingEps", "double", 0.0), ("forwardEps", "double", 0.0),
+    ("epsForward", "double", 0.0), ("earningsQuarterlyGrowth", "double", 0.0), ("earningsGrowth", "double", 0.0),
+    ("enterpriseToRevenue", "double", 0.0), ("enterpriseToEbitda", "double", 0.0), ("totalRevenue", "bigint", 0),
+    ("revenueGrowth", "double", 0.0), ("revenuePerShare", "double", 0.0), ("totalCash", "bigint", 0),
+    ("totalCashPerShare", "double", 0.0), ("ebitda", "bigint", 0), ("totalDebt", "bigint", 0),
+    ("netIncomeToCommon", "bigint", 0), ("debtToEquity", "double", 0.0), ("quickRatio", "double", 0.0),
+    ("currentRatio", "double", 0.0), ("returnOnAssets", "double", 0.0), ("returnOnEquity", "double", 0.0),
+    ("profitMargins", "double", 0.0), ("grossMargins", "double", 0.0), ("ebitdaMargins", "double", 0.0),
+    ("operatingMargins", "double", 0.0), ("grossProfits", "bigint", 0), ("freeCashflow", "bigint", 0),
+    ("operatingCashflow", "bigint", 0), ("averageAnalystRating", "string", ""),
+    ("recommendationMean", "double", 0.0), ("recommendationKey", "string", ""),
+    ("numberOfAnalystOpinions", "bigint", 0), ("targetHighPrice", "double", 0.0),
+    ("targetLowPrice", "double", 0.0), ("targetMeanPrice", "double", 0.0), ("targetMedianPrice", "double", 0.0),
+]
+
+# FIXED VALUES: fund metrics that stay NULL when absent (column, key); 13 entries.
+OPTIONAL_METRICS: list[tuple[str, str]] = [
+    ("nav_price", "navPrice"), ("total_assets", "totalAssets"), ("net_assets", "netAssets"),
+    ("net_expense_ratio", "netExpenseRatio"), ("yield_pct", "yield"),
+    ("trailing_annual_dividend_rate", "trailingAnnualDividendRate"),
+    ("trailing_annual_dividend_yield", "trailingAnnualDividendYield"), ("ytd_return", "ytdReturn"),
+    ("beta_three_year", "beta3Year"), ("three_year_average_return", "threeYearAverageReturn"),
+    ("five_year_average_return", "fiveYearAverageReturn"),
+    ("trailing_three_month_returns", "trailingThreeMonthReturns"),
+    ("trailing_three_month_nav_returns", "trailingThreeMonthNavReturns"),
+]
+
+
 def local_df(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
     """A small literal table built inside the JVM (no Python worker, no RDD).
 
