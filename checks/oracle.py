@@ -855,3 +855,91 @@ hol AS (SELECT DISTINCT CAST(d AS DATE) AS d FROM ({_hol}) WHERE year(d) BETWEEN
 days AS (SELECT DISTINCT date FROM price)
 SELECT days.date, dayofweek(days.date) NOT IN (0, 6) AND hol.d IS NULL AS is_market_day
 FROM days LEFT JOIN hol ON hol.d = days.date""", "price")
+
+
+# --- incremental planning -----------------------------------------------------------
+sql("P5_edgar_eligible", "SELECT id, symbol, quote_type, quote_type IS NULL OR quote_type = 'EQUITY' AS edgar_eligible "
+    "FROM ticker", "ticker")
+sql("P6_active_tickers", "SELECT id, upper(symbol) AS symbol, name FROM ticker WHERE is_active", "ticker")
+sql("P7_resolve_tickers", """
+WITH n AS (SELECT DISTINCT CASE o_orderkey % 3 WHEN 0 THEN 'c' || o_custkey WHEN 1 THEN lower(c_name)
+                                ELSE 'nobody ' || o_custkey END AS requested
+           FROM orders JOIN customer ON o_custkey = c_custkey),
+h AS (SELECT n.requested, t.id, 0 AS r FROM n JOIN ticker t ON upper(t.symbol) = upper(trim(n.requested))
+      UNION ALL SELECT n.requested, t.id, 1 FROM n JOIN ticker t ON upper(t.name) = upper(trim(n.requested))),
+b AS (SELECT requested, arg_min(id, r * 1000000000000 + id) AS ticker_id FROM h GROUP BY requested)
+SELECT n.requested, b.ticker_id FROM n LEFT JOIN b USING (requested)""", "ticker")
+_REQ = "(SELECT DISTINCT upper(trim('c' || o_custkey)) AS symbol FROM orders WHERE o_orderpriority = '1-URGENT')"
+sql("P8_select_tickers", f"""
+SELECT id, upper(symbol) AS symbol, name FROM ticker WHERE is_active AND upper(symbol) IN {_REQ}
+ORDER BY symbol LIMIT 100""", "ticker")
+sql("U3_missing_tickers", f"""
+SELECT symbol FROM {_REQ} r WHERE symbol NOT IN (SELECT upper(symbol) FROM ticker WHERE is_active)""", "ticker")
+
+
+def _latest(limits):
+    cases = " ".join(f"WHEN '{k}' THEN {n}" for k, n in limits.items())
+    forms = ", ".join(f"'{k}'" for k in limits)
+    return f"""(SELECT * FROM filing WHERE type IN ({forms})
+  QUALIFY row_number() OVER (PARTITION BY tickerId, type ORDER BY filingDate DESC, id DESC) <= CASE type {cases} END)"""
+
+
+sql("W2_latest_filings", f"SELECT id, tickerId, type, filingDate FROM {_latest({'8-K': 5, '10-K': 2, '10-Q': 3})}",
+    "filing")
+sql("P25_filing_record", """
+SELECT id, accessionNo, tickerId, type, filingDate AS filing_date, year(filingDate) AS year,
+       DATE '2025-01-01' AS download_date, false AS completed FROM filing""", "filing")
+_STORED = "(SELECT * EXCLUDE (text) FROM filing WHERE id % 2 = 0)"
+sql("J5_pending_filings", f"""
+WITH c AS (SELECT accessionNo, tickerId, type FROM {_latest({'8-K': 5, '10-K': 2, '10-Q': 3})}),
+s AS {_STORED}
+SELECT c.accessionNo, c.tickerId, c.type, i.id AS existing_id FROM c
+LEFT JOIN (SELECT accessionNo, id FROM s WHERE NOT completed) i ON i.accessionNo = c.accessionNo
+WHERE c.accessionNo NOT IN (SELECT accessionNo FROM s WHERE completed)""", "filing")
+_SHOULD = f"""(SELECT c.tickerId, count(*) AS n_candidates, count(d.accessionNo) AS n_completed,
+       count(*) > 0 AND count(d.accessionNo) < count(*) AS should_run
+FROM (SELECT accessionNo, tickerId FROM {_latest({'8-K': 5, '10-K': 2})}) c
+LEFT JOIN (SELECT DISTINCT accessionNo FROM {_STORED} WHERE completed) d ON d.accessionNo = c.accessionNo
+GROUP BY c.tickerId)"""
+sql("A4_should_run", f"SELECT * FROM {_SHOULD}", "filing")
+sql("A8_run_counters", """
+SELECT process_name, count(*) FILTER (WHERE action = 'start') AS n_start, count(*) FILTER (WHERE action = 'success') AS n_success,
+       count(*) FILTER (WHERE action = 'failed') AS n_failed, count(*) AS n_events FROM run_log GROUP BY process_name""",
+    "run_log")
+_STATE = """(SELECT ticker_id, process_name,
+  arg_max(CASE action WHEN 'start' THEN 'running' WHEN 'success' THEN 'success' WHEN 'failed' THEN 'failed' ELSE 'idle' END,
+          (ts, event_id)) AS status,
+  count(*) FILTER (WHERE action = 'start') AS attempts,
+  max(CASE WHEN action = 'start' THEN ts END) AS last_started_at,
+  max(CASE WHEN action = 'success' THEN ts END) AS last_completed_at,
+  max(CASE WHEN action = 'failed' THEN ts END) AS last_failed_at
+FROM run_log GROUP BY ticker_id, process_name)"""
+sql("A9_run_state", f"SELECT * FROM {_STATE}", "run_log")
+_LIM = "TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 90 MINUTE"
+sql("I4_stale_runs", f"SELECT * FROM {_STATE} WHERE status = 'running' AND last_started_at < {_LIM}", "run_log")
+sql("I5_startable", f"""
+SELECT ticker_id, process_name, status <> 'running' OR last_started_at IS NULL OR last_started_at < {_LIM} AS startable
+FROM {_STATE}""", "run_log")
+sql("I6_plan_runs", f"""
+WITH grid AS (SELECT t.id AS ticker_id, t.quote_type IS NULL OR t.quote_type = 'EQUITY' AS el, p.process_name
+              FROM ticker t, (VALUES ('stocks'), ('financials'), ('press_releases'), ('insider_transactions')) p(process_name)),
+checks AS (
+  SELECT tickerId AS ticker_id, 'stocks' AS process_name, NOT (max(date) >= DATE '1998-08-01') AS has_new_data
+  FROM price GROUP BY tickerId
+  UNION ALL SELECT tickerId, 'press_releases', should_run FROM {_SHOULD}),
+st AS (SELECT ticker_id, process_name,
+              status <> 'running' OR last_started_at IS NULL OR last_started_at < {_LIM} AS startable FROM {_STATE})
+SELECT g.ticker_id, g.process_name,
+  CASE WHEN NOT (g.process_name = 'stocks' OR g.el) THEN 'skip-ineligible'
+       WHEN NOT coalesce(c.has_new_data, true) THEN 'skip-no-new-data'
+       WHEN NOT coalesce(st.startable, true) THEN 'skip-locked' ELSE 'run' END AS verdict
+FROM grid g LEFT JOIN checks c USING (ticker_id, process_name) LEFT JOIN st USING (ticker_id, process_name)""",
+    "ticker", "price", "filing", "run_log")
+sql("I7_new_statements", """
+WITH f AS (SELECT * EXCLUDE (text) FROM filing),
+p AS (SELECT tickerId, type, max(filingDate) AS pointer_date FROM f WHERE completed AND id % 3 <> 0 GROUP BY ALL),
+l AS (SELECT * FROM f WHERE type IN ('10-K', '10-Q')
+      QUALIFY row_number() OVER (PARTITION BY tickerId, type ORDER BY filingDate DESC, id DESC) = 1)
+SELECT l.tickerId, l.type, l.id, l.accessionNo, l.filingDate AS new_pointer_date, year(l.filingDate) AS new_pointer_year,
+       CASE WHEN l.type = '10-Q' THEN quarter(l.filingDate) END AS new_pointer_quarter
+FROM l LEFT JOIN p USING (tickerId, type) WHERE p.pointer_date IS NULL OR l.filingDate > p.pointer_date""", "filing")

@@ -583,3 +583,118 @@ def q_split_adjust(spark, d):
 def q_market_days(spark, d):
     days = fx.price(spark, d).select("date").distinct()
     return MK.market_days(days, "date", MK.holiday_dim(spark, *CAL_YEARS))
+
+
+# --- incremental planning -----------------------------------------------------------
+from ..operators import incremental as INC  # noqa: E402
+
+FILING_LIMITS = {"8-K": 5, "10-K": 2, "10-Q": 3}
+PRESS_LIMITS = {"8-K": 5, "10-K": 2}
+NOW = "2024-01-30 12:00:00"
+
+
+def _requested(spark, d):
+    from ..sources.tables import read_table
+    o = read_table(spark, d, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    return o.select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("symbol"))
+
+
+@register("P5_edgar_eligible")
+def q_edgar_eligible(spark, d):
+    return INC.edgar_eligible(fx.ticker(spark, d)).select("id", "symbol", "quote_type", "edgar_eligible")
+
+
+@register("P6_active_tickers")
+def q_active_tickers(spark, d):
+    return INC.active_tickers(fx.ticker(spark, d))
+
+
+@register("P7_resolve_tickers")
+def q_resolve_tickers(spark, d):
+    from ..sources.tables import read_table
+    o = read_table(spark, d, "orders").join(read_table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    k = F.col("o_orderkey") % 3
+    names = o.select(F.when(k == 0, F.concat(F.lit("c"), F.col("o_custkey").cast("string")))
+                     .when(k == 1, F.lower("c_name"))
+                     .otherwise(F.concat(F.lit("nobody "), F.col("o_custkey").cast("string"))).alias("name"))
+    return INC.resolve_tickers(fx.ticker(spark, d), names)
+
+
+@register("P8_select_tickers")
+def q_select_tickers(spark, d):
+    return INC.select_tickers(INC.active_tickers(fx.ticker(spark, d)), _requested(spark, d), max_n=100)
+
+
+@register("U3_missing_tickers")
+def q_missing_tickers(spark, d):
+    return INC.missing_tickers(INC.active_tickers(fx.ticker(spark, d)), _requested(spark, d))
+
+
+@register("W2_latest_filings")
+def q_latest_filings(spark, d):
+    return INC.latest_filings(fx.filing(spark, d).drop("text"), FILING_LIMITS).select(
+        "id", "tickerId", "type", "filingDate")
+
+
+@register("P25_filing_record")
+def q_filing_record(spark, d):
+    f = fx.filing(spark, d).select("id", "accessionNo", "tickerId", "type",
+                                   F.col("filingDate").cast("string").alias("filing_date_raw"))
+    return INC.filing_record(f, TODAY)
+
+
+def _stored_filings(spark, d):
+    return fx.filing(spark, d).drop("text").where(F.col("id") % 2 == 0)
+
+
+@register("J5_pending_filings")
+def q_pending_filings(spark, d):
+    cands = INC.latest_filings(fx.filing(spark, d).drop("text"), FILING_LIMITS).select("accessionNo", "tickerId", "type")
+    return INC.pending_filings(cands, _stored_filings(spark, d))
+
+
+@register("A4_should_run")
+def q_should_run(spark, d):
+    cands = INC.latest_filings(fx.filing(spark, d).drop("text"), PRESS_LIMITS).select("accessionNo", "tickerId")
+    return INC.should_run(cands, _stored_filings(spark, d))
+
+
+@register("A8_run_counters")
+def q_run_counters(spark, d):
+    return INC.run_counters(fx.run_log(spark, d))
+
+
+@register("A9_run_state")
+def q_run_state(spark, d):
+    return INC.run_state(fx.run_log(spark, d))
+
+
+@register("I4_stale_runs")
+def q_stale_runs(spark, d):
+    return INC.stale_runs(INC.run_state(fx.run_log(spark, d)), NOW)
+
+
+@register("I5_startable")
+def q_startable(spark, d):
+    return INC.startable(INC.run_state(fx.run_log(spark, d)), NOW).select("ticker_id", "process_name", "startable")
+
+
+@register("I6_plan_runs")
+def q_plan_runs(spark, d):
+    stocks = MK.price_cursor(fx.price(spark, d), EXPECTED_BAR).select(
+        F.col("tickerId").alias("ticker_id"), F.lit("stocks").alias("process_name"),
+        (~F.col("up_to_date")).alias("has_new_data"))
+    cands = INC.latest_filings(fx.filing(spark, d).drop("text"), PRESS_LIMITS).select("accessionNo", "tickerId")
+    press = INC.should_run(cands, _stored_filings(spark, d)).select(
+        F.col("tickerId").alias("ticker_id"), F.lit("press_releases").alias("process_name"),
+        F.col("should_run").alias("has_new_data"))
+    checks = stocks.unionByName(press)
+    return INC.plan_runs(fx.ticker(spark, d), checks, INC.run_state(fx.run_log(spark, d)), NOW)
+
+
+@register("I7_new_statements")
+def q_new_statements(spark, d):
+    f = fx.filing(spark, d).drop("text")
+    pointers = f.where(F.col("completed") & (F.col("id") % 3 != 0)).groupBy("tickerId", "type").agg(
+        F.max("filingDate").alias("pointer_date"))
+    return INC.new_statements(f, pointers)
