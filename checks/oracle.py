@@ -943,3 +943,15 @@ l AS (SELECT * FROM f WHERE type IN ('10-K', '10-Q')
 SELECT l.tickerId, l.type, l.id, l.accessionNo, l.filingDate AS new_pointer_date, year(l.filingDate) AS new_pointer_year,
        CASE WHEN l.type = '10-Q' THEN quarter(l.filingDate) END AS new_pointer_quarter
 FROM l LEFT JOIN p USING (tickerId, type) WHERE p.pointer_date IS NULL OR l.filingDate > p.pointer_date""", "filing")
+
+
+# --- vectors --------------------------------------------------------------------
+sql("V1_knn", """
+WITH n AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v,
+                  sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS nrm
+           FROM embeddings),
+s AS (SELECT a.vec_id AS query_id, b.vec_id AS neighbor_id, list_dot_product(a.v, b.v) / (a.nrm * b.nrm) AS score
+      FROM n a JOIN n b ON a.vec_id <> b.vec_id WHERE a.nrm > 0 AND b.nrm > 0)
+SELECT query_id, rank, neighbor_id, round(score, 6) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, neighbor_id) AS rank FROM s)
+WHERE rank <= 5""")

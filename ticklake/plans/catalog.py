@@ -698,3 +698,32 @@ def q_new_statements(spark, d):
     pointers = f.where(F.col("completed") & (F.col("id") % 3 != 0)).groupBy("tickerId", "type").agg(
         F.max("filingDate").alias("pointer_date"))
     return INC.new_statements(f, pointers)
+
+
+# --- vectors --------------------------------------------------------------------
+from ..operators import vectors as VEC  # noqa: E402
+
+
+def _emb(spark, d):
+    from ..sources.tables import read_table
+    return read_table(spark, d, "embeddings").select("vec_id", "embedding")
+
+
+@register("V1_knn")
+def q_knn(spark, d):
+    e = _emb(spark, d)
+    return VEC.knn(e, e, 5, exclude_self=True)
+
+
+@register("V2_ivf_search")
+def q_ivf_search(spark, d):
+    e = _emb(spark, d)
+    assigned, cents = VEC.ivf_build(e, lists=8)
+    return VEC.ivf_search(e, assigned, cents, nprobe=3, k=5, exclude_self=True)
+
+
+@register("V3_hash_embed")
+def q_hash_embed(spark, d):
+    chunks = TO.chunk(fx.filing(spark, d).select("id", TX.clean_filing_text(F.col("text")).alias("text")),
+                      "id", "text", n=500)
+    return VEC.hash_embed(chunks, ["id", "chunk_number"], "chunk", dims=64)
