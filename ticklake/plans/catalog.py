@@ -727,3 +727,51 @@ def q_hash_embed(spark, d):
     chunks = TO.chunk(fx.filing(spark, d).select("id", TX.clean_filing_text(F.col("text")).alias("text")),
                       "id", "text", n=500)
     return VEC.hash_embed(chunks, ["id", "chunk_number"], "chunk", dims=64)
+
+
+# --- streaming -------------------------------------------------------------------
+from ..streaming import incremental as STR  # noqa: E402
+
+
+def _events_stream(spark, d):
+    return STR.file_stream(spark, d, STR.EVENTS_SCHEMA, glob="events.parquet", max_files=1)
+
+
+@register("I1_stream_upsert")
+def q_stream_upsert(spark, d):
+    root = STR.scratch(spark, "upsert")
+    t = STR.stream_upsert(_events_stream(spark, d), f"{root}/table", ["user_id", "event_type"], ["ts", "event_id"],
+                          f"{root}/_checkpoint")
+    return t.select("user_id", "event_type", "ts", "value", "event_id")
+
+
+@register("I2_stream_once")
+def q_stream_once(spark, d):
+    root = STR.scratch(spark, "once")
+    s = _events_stream(spark, d).withColumn("day", F.to_date("ts"))
+    dedup = STR.stream_once(s, ["user_id", "event_type", "day"], "ts", "2 days")
+
+    def batch(df, epoch):
+        df.select("user_id", "event_type", "day").write.mode("overwrite").parquet(f"{root}/out/epoch={epoch:010d}")
+
+    STR.run_available(dedup, batch, f"{root}/_checkpoint")
+    return spark.read.parquet(f"{root}/out").drop("epoch")
+
+
+@register("I3_stream_newer")
+def q_stream_newer(spark, d):
+    from ..sources.tables import read_table
+    root = STR.scratch(spark, "newer")
+    stored = read_table(spark, d, "events").where(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz"))
+    marks = stored.groupBy("user_id").agg(F.max("ts").alias("_hwm"))
+    sinks.write_snapshot(marks, f"{root}/cursor")
+    out = STR.stream_newer(_events_stream(spark, d), f"{root}/cursor", f"{root}/out", "user_id", "ts",
+                           f"{root}/_checkpoint")
+    return out.select("event_id", "user_id", "ts")
+
+
+@register("I4_stream_run_state")
+def q_stream_run_state(spark, d):
+    root = STR.scratch(spark, "state")
+    log = fx.run_log_from_events(_events_stream(spark, d))
+    return STR.stream_run_state(log, f"{root}/table", f"{root}/_checkpoint")

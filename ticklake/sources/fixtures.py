@@ -238,7 +238,11 @@ def execution_traces(spark: SparkSession, d: str) -> DataFrame:
 
 
 def run_log(spark: SparkSession, d: str) -> DataFrame:
-    e = _t(spark, d).events
+    return run_log_from_events(_t(spark, d).events)
+
+
+def run_log_from_events(e: DataFrame) -> DataFrame:
+    """Run-log view of an events table (works on batch and streaming frames)."""
     m = F.col("event_id") % 4
     et = F.col("event_type")
     return e.select(
