@@ -966,3 +966,5 @@ sql("I3_stream_newer", """
 WITH m AS (SELECT user_id, max(ts) AS hwm FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00' GROUP BY user_id)
 SELECT e.event_id, e.user_id, e.ts FROM events e LEFT JOIN m USING (user_id) WHERE m.hwm IS NULL OR e.ts > m.hwm""")
 ORACLE["I4_stream_run_state"] = ORACLE["A9_run_state"]
+
+ORACLE["C5_daily_plan"] = f"SELECT process_name, verdict, count(*) AS n FROM ({ORACLE['I6_plan_runs']}) GROUP BY ALL"

@@ -775,3 +775,42 @@ def q_stream_run_state(spark, d):
     root = STR.scratch(spark, "state")
     log = fx.run_log_from_events(_events_stream(spark, d))
     return STR.stream_run_state(log, f"{root}/table", f"{root}/_checkpoint")
+
+
+# --- composite jobs -------------------------------------------------------------
+from . import jobs as JOBS  # noqa: E402
+
+
+@register("C1_market_build")
+def q_market_build(spark, d):
+    p = fx.price(spark, d)
+    stored = p.where(F.col("date") < F.lit("1997-01-01").cast("date"))
+    s = fx.split(spark, d)
+    out = JOBS.market_build(stored, p, s.limit(0), s, fx.ticker(spark, d), _info(spark, d), AS_OF)
+    return out["ticker"]
+
+
+@register("C3_filing_text_build")
+def q_filing_text_build(spark, d):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("filingId", T.LongType()), T.StructField("section", T.StringType()),
+                           T.StructField("title", T.StringType()), T.StructField("content", T.StringType()),
+                           T.StructField("raw_content", T.StringType()), T.StructField("markdown_content", T.StringType()),
+                           T.StructField("word_count", T.IntegerType()), T.StructField("chunk_number", T.IntegerType())])
+    empty = spark.createDataFrame([], schema)
+    out = JOBS.filing_text_build(fx.filing(spark, d), _stored_filings(spark, d), fx.attachment(spark, d),
+                                 fx.filing_items(spark, d), empty, FILING_LIMITS)
+    return out["statements"]
+
+
+@register("C4_insider_build")
+def q_insider_build(spark, d):
+    out = JOBS.insider_build(fx.insider_header_raw(spark, d), fx.ownership_rows(spark, d), fx.insider_dim(spark, d),
+                             fx.insider_incoming(spark, d), TODAY)
+    return out["rollup"]
+
+
+@register("C5_daily_plan")
+def q_daily_plan(spark, d):
+    plan = q_plan_runs(spark, d)
+    return plan.groupBy("process_name", "verdict").agg(F.count(F.lit(1)).alias("n"))
