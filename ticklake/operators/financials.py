@@ -447,3 +447,13 @@ def financial_facts(wide: DataFrame, gaap: DataFrame, overrides: DataFrame | Non
         unms.append(u)
     allc = union_statements(*cands)
     return merge_facts(allc), allc, union_statements(*unms)
+
+
+def latest_column_date(df: DataFrame) -> dt.date:
+    """The latest date among a frame's column names (schema metadata,
+    read on the driver); an error when no column name is a date."""
+    dates = [parse_period_name(c) for c in df.columns if c.strip().lower() not in schemas.STATEMENT_METADATA_COLUMNS]
+    dates = [d for d in dates if d is not None]
+    if not dates:
+        raise ValueError("no date-named column in the frame")
+    return max(dates)
