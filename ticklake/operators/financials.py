@@ -22,6 +22,74 @@ STATEMENT_ORDER = {"balance": 0, "income": 1, "cashflow": 2}
 _PERIOD_FORMATS = ("%Y-%m-%d", "%Y/%m/%d", "%m/%d/%Y", "%Y%m%d", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d %H:%M:%S")
 
 
+# SQL-text builders for the large J1 / W3 expressions: one parse on the JVM side
+# instead of hundreds of Python->JVM calls per plan.
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+_WS_SQL = "'" + "".join(f"\\u{ord(ch):04x}" for ch in C.WHITESPACE) + "'"
+
+
+def _strip_sql(x: str) -> str:
+    return f"btrim(CAST({x} AS STRING), {_WS_SQL})"
+
+
+def _norm_sql(x: str) -> str:
+    s = _strip_sql(x)
+    local = (f"CASE WHEN contains({s}, '}}') THEN substring_index({s}, '}}', -1) "
+             f"WHEN contains({s}, ':') THEN substring_index({s}, ':', -1) ELSE {s} END")
+    return f"lower(regexp_replace({local}, '[^\\\\p{{L}}\\\\p{{N}}]', ''))"
+
+
+def _keys_sql(n: str) -> str:
+    parts = [n] + [f"CASE WHEN startswith({n}, '{p}') AND length({n}) > {len(p)} THEN substring({n}, {len(p) + 1}) END"
+                   for p in schemas.TAXONOMY_PREFIXES]
+    return "array(" + ", ".join(parts) + ")"
+
+
+def _infer_sql(x: str) -> str:
+    s = _strip_sql(x)
+    branches = [f"WHEN {s} IS NULL OR {s} = '' THEN NULL",
+                f"WHEN contains({s}, '}}') THEN {_strip_sql(f'substring_index({s}, chr(125), -1)')}",
+                f"WHEN contains({s}, ':') THEN {_strip_sql(f'substring_index({s}, chr(58), -1)')}"]
+    for p in schemas.ANCHOR_PREFIXES:
+        branches.append(f"WHEN startswith(lower({s}), '{p}') THEN {_strip_sql(f'substring({s}, {len(p) + 1})')}")
+    return f"nullif(CASE {' '.join(branches)} END, '')"
+
+
+def _issuer_sql(x: str) -> str:
+    s = _strip_sql(x)
+    pre = f"substring_index({s}, '_', 1)"
+    rest = _strip_sql(f"substring({s}, length({pre}) + 2)")
+    pl = f"lower(replace({pre}, '-', ''))"
+    blocked = ", ".join(f"'{b}'" for b in schemas.ISSUER_BLOCKED)
+    ok = (f"contains({s}, '_') AND length({pre}) BETWEEN 2 AND 5 "
+          f"AND replace({pre}, '-', '') RLIKE '^[\\\\p{{L}}\\\\p{{N}}]+$' AND NOT {pl} IN ({blocked}) "
+          f"AND NOT startswith({pl}, 'usgaap') AND NOT startswith({pl}, 'ifrs') AND {rest} <> ''")
+    return f"CASE WHEN {ok} THEN {rest} END"
+
+
+def _cand_sql(r: str, n: str, k: str, group: int) -> str:
+    base = group * 100
+    items = [f"named_struct('key', {r}, 'kind', 'ovr', 'rank', {base})",
+             f"named_struct('key', {n}, 'kind', 'ovr', 'rank', {base + 1})"]
+    for i in range(len(schemas.TAXONOMY_PREFIXES) + 1):
+        items.append(f"named_struct('key', {k}[{i}], 'kind', 'ovr', 'rank', {base + 2 + 2 * i})")
+        items.append(f"named_struct('key', {k}[{i}], 'kind', 'map', 'rank', {base + 3 + 2 * i})")
+    empty = "CAST(array() AS array<struct<key:string,kind:string,rank:int>>)"
+    return f"CASE WHEN {r} IS NOT NULL AND {r} <> '' THEN array({', '.join(items)}) ELSE {empty} END"
+
+
+def _pref_sql(line_code: str, keys: str) -> str:
+    whens = []
+    for lc, prefs in schemas.MERGE_PREFERRED.items():
+        inner = " ".join(f"WHEN array_contains({keys}, '{p}') THEN {i}" for i, p in enumerate(prefs))
+        whens.append(f"WHEN {line_code} = '{lc}' THEN (CASE {inner} END)")
+    return "CASE " + " ".join(whens) + " END"
+
+
+
 # ---------------------------------------------------------------------------
 # Period columns and statement rows
 # ---------------------------------------------------------------------------
@@ -91,17 +159,21 @@ def _after_last(s: Column, ch: str) -> Column:
     return F.substring_index(s, ch, -1)
 
 
-def normalize_name(c: Column) -> Column:
+def normalize_name(c: Column | str) -> Column:
     """Local name (after the last '}' else after the last ':'), lower-case,
     letters and digits only."""
+    if isinstance(c, str):
+        return F.expr(_norm_sql(_q(c)))
     s = C.strip(c)
     local = F.when(s.contains("}"), _after_last(s, "}")).when(s.contains(":"), _after_last(s, ":")).otherwise(s)
     return F.lower(F.regexp_replace(local, r"[^\p{L}\p{N}]", ""))
 
 
-def infer_standard_concept(c: Column) -> Column:
+def infer_standard_concept(c: Column | str) -> Column:
     """Anchor from the concept: its local name after '}' or ':', else the text
     after one of 12 known taxonomy prefixes (case-blind), else NULL."""
+    if isinstance(c, str):
+        return F.expr(_infer_sql(_q(c)))
     s = C.strip(c)
     low = F.lower(s)
     by_prefix = F.lit(None).cast("string")
@@ -176,7 +248,7 @@ def load_overrides_df(df: DataFrame) -> DataFrame:
                   F.col("line_code").isNotNull() & (F.col("line_code") != ""))
     lc = C.strip(F.col("line_code"))
     raw = ok.select(C.strip(F.col("concept")).alias("key"), lc.alias("line_code"))
-    nrm = ok.select(normalize_name(F.col("concept")).alias("key"), lc.alias("line_code"))
+    nrm = ok.select(normalize_name("concept").alias("key"), lc.alias("line_code"))
     return raw.unionByName(nrm).dropDuplicates(["key"])
 
 
@@ -209,16 +281,12 @@ def map_line_codes(keys: DataFrame, gaap: DataFrame, overrides: DataFrame | None
                                F.lit("ovr").alias("kind")))
     )
     k = keys.select(concept_col, std_col, statement_col).distinct()
-    staged = (
-        k.withColumn("_r0", C.strip(F.col(std_col)))
-        .withColumn("_r1", C.strip(F.col(concept_col)))
-        .withColumn("_r2", issuer_remainder(F.col(concept_col)))
-    )
-    for g in range(3):
-        staged = staged.withColumn(f"_n{g}", normalize_name(F.col(f"_r{g}")))
-    for g in range(3):
-        staged = staged.withColumn(f"_k{g}", lookup_keys(F.col(f"_n{g}")))
-    cand = F.concat(*[_try_key_candidates(F.col(f"_r{g}"), F.col(f"_n{g}"), F.col(f"_k{g}"), g) for g in range(3)])
+    staged = k.selectExpr(
+        "*", f"{_strip_sql(_q(std_col))} AS _r0", f"{_strip_sql(_q(concept_col))} AS _r1",
+        f"{_issuer_sql(_q(concept_col))} AS _r2")
+    staged = staged.selectExpr("*", *[f"{_norm_sql(f'_r{g}')} AS _n{g}" for g in range(3)])
+    staged = staged.selectExpr("*", *[f"{_keys_sql(f'_n{g}')} AS _k{g}" for g in range(3)])
+    cand = F.expr("concat(" + ", ".join(_cand_sql(f"_r{g}", f"_n{g}", f"_k{g}", g) for g in range(3)) + ")")
     ex = staged.select(concept_col, std_col, statement_col, F.explode(cand).alias("c")).select(
         concept_col, std_col, statement_col, F.col("c.key").alias("_key"), F.col("c.kind").alias("_kind"),
         F.col("c.rank").alias("_rank")).where(F.col("_key").isNotNull())
@@ -248,7 +316,7 @@ def statement_candidates(frame: DataFrame, statement: str | None, is_annual: Col
     rows = statement_rows(frame)
     stmt_col = F.lit(statement) if statement is not None else F.col("statement")
     rows = rows.withColumn("statement", stmt_col).withColumn(
-        "std_for_map", F.coalesce(F.col("std_concept"), infer_standard_concept(F.col("concept_s"))))
+        "std_for_map", F.coalesce(F.col("std_concept"), infer_standard_concept("concept_s")))
     mk = map_line_codes(rows.select("concept_s", "std_for_map", "statement"), gaap, overrides)
     mk = mk.select(F.col("concept_s").alias("_mc"), F.col("std_for_map").alias("_ms"),
                    F.col("statement").alias("_mt"), "line_code")
@@ -336,9 +404,9 @@ def merge_facts(cands: DataFrame, grain: Sequence[str] = ("filing_accession", *G
     input order; otherwise anchored rows win, then the normalised name, then
     input order (``seq``).  A min-by aggregate: hot grains are combined
     map-side before the shuffle."""
-    staged = cands.withColumn("_norm", normalize_name(F.col("source_concept")))
-    staged = staged.withColumn("_keys", lookup_keys(F.col("_norm")))
-    staged = staged.withColumn("_pref", _pref_index(F.col("line_code"), F.col("_keys")))
+    staged = cands.selectExpr("*", f"{_norm_sql('source_concept')} AS _norm")
+    staged = staged.selectExpr("*", f"{_keys_sql('_norm')} AS _keys")
+    staged = staged.selectExpr("*", f"{_pref_sql('line_code', '_keys')} AS _pref")
     pref, norm = F.col("_pref"), F.col("_norm")
     matched = pref.isNotNull()
     order = [

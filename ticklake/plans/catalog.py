@@ -268,7 +268,7 @@ def q_unpivot_periods(spark, d):
 @register("J1_map_line_codes")
 def q_map_line_codes(spark, d):
     rows = fin.statement_rows(fx.statement_wide(spark, d)).withColumn(
-        "std_for_map", F.coalesce(F.col("std_concept"), fin.infer_standard_concept(F.col("concept_s"))))
+        "std_for_map", F.coalesce(F.col("std_concept"), fin.infer_standard_concept("concept_s")))
     return fin.map_line_codes(rows, schemas.gaap_map_df(spark))
 
 

@@ -329,22 +329,35 @@ OPTIONAL_METRICS: list[tuple[str, str]] = [
 ]
 
 
+def _sql_lit(v, dt: T.DataType) -> str:
+    if v is None:
+        return f"CAST(NULL AS {dt.simpleString()})"
+    if isinstance(dt, T.ArrayType):
+        if not v:
+            return f"CAST(array() AS {dt.simpleString()})"
+        return "array(" + ", ".join(_sql_lit(x, dt.elementType) for x in v) + ")"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, int):
+        return str(v)
+    if isinstance(v, float):
+        return repr(v) + "D"
+    s = str(v).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{s}'"
+
+
 def local_df(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
-    """A small literal table built inside the JVM (no Python worker, no RDD).
-
-    Used for the fixed rule tables above; Catalyst sees the rows as constants
-    and broadcasts them for free."""
-    def lit(v, dt):
-        if isinstance(dt, T.ArrayType):
-            if v is None:
-                return F.lit(None).cast(dt)
-            return F.array(*[lit(x, dt.elementType) for x in v]).cast(dt) if v else F.array().cast(dt)
-        return F.lit(v).cast(dt)
-
-    structs = [F.struct(*[lit(v, f.dataType).alias(f.name) for v, f in zip(r, schema.fields)]) for r in rows]
-    if not structs:
+    """A small literal table as one SQL ``VALUES`` list (a LocalRelation).
+
+    Used for the fixed rule tables above: one parse, no Python worker, no RDD;
+    Catalyst knows its exact size and broadcasts it for free."""
+    rows = list(rows)
+    if not rows:
         return spark.createDataFrame([], schema)
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    names = [f.name for f in schema.fields]
+    body = ", ".join("(" + ", ".join(_sql_lit(v, f.dataType) for v, f in zip(r, schema.fields)) + ")" for r in rows)
+    cols = ", ".join(f"CAST(`{n}` AS {f.dataType.simpleString()}) AS `{n}`" for n, f in zip(names, schema.fields))
+    return spark.sql(f"SELECT {cols} FROM VALUES {body} AS t({', '.join('`' + n + '`' for n in names)})")
 
 
 def gaap_map_df(spark: SparkSession) -> DataFrame:

@@ -46,21 +46,25 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_col
     is set to ``now`` on updated and inserted rows.
     """
     keys = list(keys)
-    cols = target.columns
+    tschema = target.schema
+    types = {f.name: f.dataType for f in tschema.fields}
+    cols = [f.name for f in tschema.fields]
     update_cols = list(update_cols) if update_cols is not None else [c for c in cols if c not in keys]
     src = dedupe_batch(source, keys, order, winner)
+    src_cols = src.columns
     skeys = src.select(*keys)
     untouched = target.join(skeys, keys, "left_anti")
-    s = src.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in src.columns if c not in keys])
+    s = src.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in src_cols if c not in keys])
+    s_cols = set(f"_s_{c}" for c in src_cols if c not in keys)
     matched = target.join(s, keys, "inner")
     upd = []
     for c in cols:
         if c in keys:
             upd.append(F.col(c))
         elif touch_col and c == touch_col:
-            upd.append(F.lit(now).cast(target.schema[c].dataType).alias(c))
-        elif c in update_cols and f"_s_{c}" in s.columns:
-            upd.append(F.col(f"_s_{c}").cast(target.schema[c].dataType).alias(c))
+            upd.append(F.lit(now).cast(types[c]).alias(c))
+        elif c in update_cols and f"_s_{c}" in s_cols:
+            upd.append(F.col(f"_s_{c}").cast(types[c]).alias(c))
         else:
             upd.append(F.col(c))
     updated = matched.select(*upd)
@@ -68,11 +72,11 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_col
     ins = []
     for c in cols:
         if touch_col and c == touch_col:
-            ins.append(F.lit(now).cast(target.schema[c].dataType).alias(c))
-        elif c in src.columns:
-            ins.append(F.col(c).cast(target.schema[c].dataType).alias(c))
+            ins.append(F.lit(now).cast(types[c]).alias(c))
+        elif c in src_cols:
+            ins.append(F.col(c).cast(types[c]).alias(c))
         else:
-            ins.append(F.lit(None).cast(target.schema[c].dataType).alias(c))
+            ins.append(F.lit(None).cast(types[c]).alias(c))
     return untouched.select(*cols).unionByName(updated).unionByName(new.select(*ins))
 
 
@@ -82,9 +86,10 @@ def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str],
     keys = list(keys)
     src = dedupe_batch(source, keys, order, winner="first")
     new = src.join(target.select(*keys), keys, "left_anti")
-    cols = target.columns
+    tfields = target.schema.fields
+    new_cols = set(new.columns)
     return target.unionByName(new.select(*[
-        (F.col(c) if c in new.columns else F.lit(None)).cast(target.schema[c].dataType).alias(c) for c in cols]))
+        (F.col(f.name) if f.name in new_cols else F.lit(None)).cast(f.dataType).alias(f.name) for f in tfields]))
 
 
 def update_columns(target: DataFrame, source: DataFrame, key: str | Sequence[str], cols: Sequence[str],
@@ -99,12 +104,13 @@ def update_columns(target: DataFrame, source: DataFrame, key: str | Sequence[str
     s = source.select(*keys, *[F.col(c).alias(f"_u_{c}") for c in cols]).withColumn("_hit", F.lit(True))
     j = target.join(s, keys, "left")
     out = []
-    for c in target.columns:
+    types = {f.name: f.dataType for f in target.schema.fields}
+    for c in types:
         if c in cols:
             new = F.coalesce(F.col(f"_u_{c}"), F.col(c)) if keep_on_null else F.col(f"_u_{c}")
-            out.append(F.when(F.col("_hit"), new.cast(target.schema[c].dataType)).otherwise(F.col(c)).alias(c))
+            out.append(F.when(F.col("_hit"), new.cast(types[c])).otherwise(F.col(c)).alias(c))
         elif touch_col and c == touch_col:
-            out.append(F.when(F.col("_hit"), F.lit(now).cast(target.schema[c].dataType)).otherwise(F.col(c)).alias(c))
+            out.append(F.when(F.col("_hit"), F.lit(now).cast(types[c])).otherwise(F.col(c)).alias(c))
         else:
             out.append(F.col(c))
     return j.select(*out)
@@ -155,8 +161,8 @@ def delete_with_rules(parent: DataFrame, pk: str, delete_keys: DataFrame,
         elif rule == "SET NULL":
             j = child.join(gone.withColumn("_hit", F.lit(True)), hit, "left")
             out[name] = j.select(*[
-                F.when(F.col("_hit"), F.lit(None).cast(child.schema[c].dataType)).otherwise(F.col(c)).alias(c)
-                if c == fk else F.col(c) for c in child.columns])
+                F.when(F.col("_hit"), F.lit(None).cast(f.dataType)).otherwise(F.col(f.name)).alias(f.name)
+                if f.name == fk else F.col(f.name) for f in child.schema.fields])
         else:
             raise ValueError(rule)
     return out
