@@ -164,10 +164,23 @@ def chunk_texts(c: ColLike, n: int = 500, overlap: int | None = None) -> Column:
     return F.transform(bounds, lambda b: F.array_join(F.slice(toks, b["s"] + 1, b["e"] - b["s"]), " "))
 
 
+def chunk_rows(df: DataFrame, keep: list[str], text: Column, n: int = 500, overlap: int | None = None) -> DataFrame:
+    """T6 as rows: ``keep`` columns + (chunk_number, chunk).
+
+    Staged so that each document's sentence split and token array are computed
+    once: the bounds fold runs over sentence lengths, the bounds are exploded,
+    and each chunk slices the (already computed) token array of its row."""
+    s1 = df.select(*keep, sentences(squash(text)).alias("_sents"))
+    s2 = s1.select(*keep, F.transform("_sents", lambda x: F.size(F.split(x, f"{_S}+"))).alias("_lens"),
+                   words(F.array_join("_sents", " ")).alias("_toks"))
+    s3 = s2.select(*keep, "_toks", F.posexplode(chunk_bounds(F.col("_lens"), n, overlap)).alias("_pos", "_b"))
+    return s3.select(*keep, (F.col("_pos") + 1).alias("chunk_number"),
+                     F.array_join(F.slice("_toks", F.col("_b.s") + 1, F.col("_b.e") - F.col("_b.s")), " ").alias("chunk"))
+
+
 def chunk(df: DataFrame, id_col: str, text_col: str, n: int = 500, overlap: int | None = None) -> DataFrame:
     """One row per chunk: (id, chunk_number from 1, chunk)."""
-    return df.select(id_col, F.posexplode(chunk_texts(F.col(text_col), n, overlap)).alias("pos", "chunk")).select(
-        id_col, (F.col("pos") + 1).alias("chunk_number"), "chunk")
+    return chunk_rows(df, [id_col], F.col(text_col), n, overlap)
 
 
 # ---------------------------------------------------------------------------
@@ -189,19 +202,19 @@ def statement_chunks(texts: DataFrame, id_col: str = "filing_id", text_col: str
         label = F.col(section_col)
     base = texts.select(F.col(id_col).alias("filingId"), label.alias("_label"), title.alias("title"),
                         cleaned.alias("_cleaned")).where(F.col("_cleaned") != "")
-    ex = base.select("filingId", "_label", "title",
-                     F.posexplode(chunk_texts(F.col("_cleaned"), n)).alias("_pos", "raw_content"))
+    ex = chunk_rows(base, ["filingId", "_label", "title"], F.col("_cleaned"), n).withColumnRenamed(
+        "chunk", "raw_content")
     content = clean_filing_text(F.col("raw_content"))
     wc = F.size(words(content)) if kind == "8-K" else F.size(words(F.col("raw_content")))
     return ex.select(
         "filingId",
-        F.concat(F.col("_label"), F.lit("_chunk_"), (F.col("_pos") + 1).cast("string")).alias("section"),
+        F.concat(F.col("_label"), F.lit("_chunk_"), F.col("chunk_number").cast("string")).alias("section"),
         "title",
         content.alias("content"),
         "raw_content",
         to_markdown(F.col("raw_content")).alias("markdown_content"),
         wc.alias("word_count"),
-        (F.col("_pos") + 1).alias("chunk_number"),
+        "chunk_number",
     )
 
 

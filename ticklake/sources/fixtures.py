@@ -198,15 +198,18 @@ def evaluation_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def judgement_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Judge rows per labelled document: the first 1 + quality + toxic judges
+    of (factual_grounding, completeness, consistency).  An explode over a fixed
+    array, not a join."""
     labels = _t(spark, d).labels
-    judges = schemas.local_df(spark, [("factual_grounding", 1), ("completeness", 2), ("consistency", 3)],
-                              T.StructType([T.StructField("judge_type", T.StringType()),
-                                            T.StructField("k", T.IntegerType())]))
+    judges = F.array(*[F.struct(F.lit(j).alias("judge_type"), F.lit(k).alias("k"))
+                       for j, k in (("factual_grounding", 1), ("completeness", 2), ("consistency", 3))])
+    n = (F.lit(1) + F.col("quality") + F.col("toxic")).cast("int")
+    ex = labels.select("doc_id", F.explode(F.slice(judges, 1, F.least(n, F.lit(3)))).alias("j")).select(
+        "doc_id", F.col("j.judge_type").alias("judge_type"), F.col("j.k").alias("k"))
     c = (F.col("doc_id") * 7 + F.col("k")) % 101
     x = (F.col("doc_id") * 11 + F.col("k")) % 101
-    return labels.join(
-        F.broadcast(judges), F.col("k") <= F.lit(1) + F.col("quality") + F.col("toxic")
-    ).select(
+    return ex.select(
         F.col("doc_id").alias("evaluation_pair_id"),
         "judge_type",
         (c / F.lit(100.0)).cast("decimal(5,4)").alias("control_score"),

@@ -15,10 +15,31 @@ BASE_TABLES = (
 ).split()
 
 
+SPREAD_CONF = "ticklake.spreadSmallInputs"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give row-wise work enough tasks when the input has too few files.
+
+    A table stored as fewer files than the session's default parallelism (one
+    parquet row group per file here) is scanned by that many tasks, so all work
+    before the first shuffle would be serial.  Such inputs are redistributed
+    round-robin; an input with enough files (the normal cluster layout) is left
+    as it is, so no shuffle is added there.  The file list is driver metadata.
+    """
+    spark = df.sparkSession
+    if str(spark.conf.get(SPREAD_CONF, "true")).lower() != "true":
+        return df
+    target = spark.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= target:
+        return df
+    return df.repartition(target)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in BASE_TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 class Tables:
