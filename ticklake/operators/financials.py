@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -315,13 +315,20 @@ def statement_candidates(frame: DataFrame, statement: str | None, is_annual: Col
     periods = period_columns(frame)
     rows = statement_rows(frame)
     stmt_col = F.lit(statement) if statement is not None else F.col("statement")
-    rows = rows.withColumn("statement", stmt_col).withColumn(
+    rows = rows.withColumn("statement", stmt_col)
+    # all per-concept work (anchor inference, candidate keys, rule join) runs on
+    # the distinct (concept, standard concept, statement) keys only
+    keys = rows.select("concept_s", "std_concept", "statement").distinct().withColumn(
         "std_for_map", F.coalesce(F.col("std_concept"), infer_standard_concept("concept_s")))
-    mk = map_line_codes(rows.select("concept_s", "std_for_map", "statement"), gaap, overrides)
+    mk = map_line_codes(keys, gaap, overrides)
     mk = mk.select(F.col("concept_s").alias("_mc"), F.col("std_for_map").alias("_ms"),
                    F.col("statement").alias("_mt"), "line_code")
-    rows = rows.join(mk, (F.col("concept_s") == F.col("_mc")) & F.col("std_for_map").eqNullSafe(F.col("_ms"))
-                     & (F.col("statement") == F.col("_mt")), "left").drop("_mc", "_ms", "_mt")
+    keyed = keys.join(mk, (F.col("concept_s") == F.col("_mc")) & F.col("std_for_map").eqNullSafe(F.col("_ms"))
+                      & (F.col("statement") == F.col("_mt")), "left").select(
+        F.col("concept_s").alias("_kc"), F.col("std_concept").alias("_ks"), F.col("statement").alias("_kt"),
+        "std_for_map", "line_code")
+    rows = rows.join(keyed, (F.col("concept_s") == F.col("_kc")) & F.col("std_concept").eqNullSafe(F.col("_ks"))
+                     & (F.col("statement") == F.col("_kt")), "left").drop("_kc", "_ks", "_kt")
     unmapped = rows.where(F.col("line_code").isNull()).select(
         "statement", F.col("concept_s").alias("concept"), F.col("std_concept").alias("standard_concept"))
     dec = _find(frame, "decimals")
@@ -415,9 +422,11 @@ def merge_facts(cands: DataFrame, grain: Sequence[str] = ("filing_accession", *G
         F.when(matched, F.lit("")).otherwise(norm),
         F.col("seq"),
     ]
-    payload = [c for c in cands.columns if c not in grain]
-    ordered = staged.withColumn("_o", F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]))
-    return first_by(ordered, list(grain), [F.col("_o")], payload)
+    # A grain is one filing x period x line code: a handful of candidates by
+    # construction (no hot key), so a row_number pick (one shuffle, one sort) is
+    # cheaper than a sort-based struct min_by aggregate with a partial pass.
+    w = Window.partitionBy(*grain).orderBy(*order)
+    return staged.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).select(*cands.columns)
 
 
 def merge_conflicts(cands: DataFrame, grain: Sequence[str] = ("filing_accession", *GRAIN)) -> DataFrame:

@@ -252,13 +252,16 @@ def network_density(v: DataFrame, e: DataFrame, threshold: int = 20) -> DataFram
     h = hop(v, e, "Company", ["REPORTS"], "Metric", "c", "r", "m")
     hubs = h.groupBy("c_id").agg(F.count("r_eid").alias("metric_count")).where(
         F.col("metric_count") > threshold)
-    und = e.select(F.col("src").alias("a"), F.col("dst").alias("b"), "eid").unionByName(
-        e.select(F.col("dst").alias("a"), F.col("src").alias("b"), "eid"))
-    pairs = und.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_edges"))  # parallel edges collapsed
-    n1 = hubs.select(F.col("c_id").alias("a")).join(pairs, "a").select(
-        F.col("a").alias("hub"), F.col("b").alias("x"), "n_edges")
-    n2 = n1.join(pairs.select(F.col("a").alias("x"), F.col("b").alias("y")), "x").where(
-        (F.col("y") != F.col("hub")) | (F.col("n_edges") >= 2)).select("hub", F.col("y").alias("node"))
+    und = e.select(F.col("src").alias("a"), F.col("dst").alias("b")).unionByName(
+        e.select(F.col("dst").alias("a"), F.col("src").alias("b")))
+    # only edges at the hubs and at their neighbours are ever needed (semi-joins
+    # on small key sets), then parallel edges are collapsed to distinct pairs
+    at_hub = und.join(hubs.select(F.col("c_id").alias("a")), "a", "left_semi")
+    n1 = at_hub.groupBy(F.col("a").alias("hub"), F.col("b").alias("x")).agg(F.count(F.lit(1)).alias("n_edges"))
+    xs = n1.select(F.col("x").alias("a")).distinct()
+    pairs = und.join(xs, "a", "left_semi").select(F.col("a").alias("x"), F.col("b").alias("y")).distinct()
+    n2 = n1.join(pairs, "x").where((F.col("y") != F.col("hub")) | (F.col("n_edges") >= 2)).select(
+        "hub", F.col("y").alias("node"))
     conn = n1.select("hub", F.col("x").alias("node")).unionByName(n2).distinct()
     lab = conn.join(v.select(F.col("id").alias("node"), "label"), "node")
     g = lab.groupBy("hub").agg(
@@ -278,8 +281,46 @@ def _weight(col: Column, table: dict[str, int], other: int) -> Column:
 
 def important_chains(v: DataFrame, e: DataFrame, limit: int = 25) -> DataFrame:
     """Two-edge chains from a company scored by relationship weights; the
-    top ``limit`` by score (ties by start, first edge, second edge)."""
-    p = _two_hop(v, e, "Company", None, None, None, None)
+    top ``limit`` by score (ties by start, first edge, second edge).
+
+    The score depends only on the two relationship types, so the number of
+    chains per (type1, type2) is computed first from degrees (sum over middle
+    nodes of in-degree from companies x out-degree; no chain is materialised),
+    the type pairs are taken in score order until ``limit`` chains are covered,
+    and only chains of those type pairs are joined.  The degree table holds one
+    row per (type1, type2): types x types rows, read on the driver."""
+    comp = v.where(F.col("label") == "Company").select(F.col("id").alias("src"))
+    e1 = e.join(comp, "src", "left_semi")
+    indeg = e1.groupBy(F.col("dst").alias("mid"), F.col("type").alias("t1")).agg(F.count(F.lit(1)).alias("n1"))
+    outdeg = e.groupBy(F.col("src").alias("mid"), F.col("type").alias("t2")).agg(F.count(F.lit(1)).alias("n2"))
+    # mid must exist as a vertex for the chain to match (inner join in the pattern)
+    known = v.select(F.col("id").alias("mid"))
+    combos = indeg.join(outdeg, "mid").join(known, "mid", "left_semi").groupBy("t1", "t2").agg(
+        F.sum(F.col("n1") * F.col("n2")).alias("n")).collect()
+
+    def weight(t, table, other):
+        return table.get(t, other)
+
+    ranked = sorted(((weight(r.t1, schemas.CHAIN_WEIGHT_FIRST, schemas.CHAIN_WEIGHT_FIRST_ELSE)
+                      + weight(r.t2, schemas.CHAIN_WEIGHT_SECOND, schemas.CHAIN_WEIGHT_SECOND_ELSE), r.t1, r.t2, r.n)
+                     for r in combos), key=lambda x: -x[0])
+    keep, covered, cut = [], 0, None
+    for sc, t1, t2, n in ranked:
+        if cut is not None and sc < cut:
+            break
+        keep.append((t1, t2))
+        covered += n
+        if covered >= limit and cut is None:
+            cut = sc  # every pair with the same score must stay (ties by ids)
+    if not keep:
+        keep = [(None, None)]
+    cond = None
+    for t1, t2 in keep:
+        c = (F.col("r1_type") == t1) & (F.col("r2_type") == t2)
+        cond = c if cond is None else cond | c
+    t1s = sorted({t for t, _ in keep if t is not None})
+    t2s = sorted({t for _, t in keep if t is not None})
+    p = _two_hop(v, e, "Company", t1s or None, None, t2s or None, None).where(cond)
     score = (_weight(F.col("r1_type"), schemas.CHAIN_WEIGHT_FIRST, schemas.CHAIN_WEIGHT_FIRST_ELSE)
              + _weight(F.col("r2_type"), schemas.CHAIN_WEIGHT_SECOND, schemas.CHAIN_WEIGHT_SECOND_ELSE))
     p = p.withColumn("importance_score", score)

@@ -352,9 +352,10 @@ def local_df(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
     Used for the fixed rule tables above: one parse, no Python worker, no RDD;
     Catalyst knows its exact size and broadcasts it for free."""
     rows = list(rows)
-    if not rows:
-        return spark.createDataFrame([], schema)
     names = [f.name for f in schema.fields]
+    if not rows:
+        nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields)
+        return spark.sql(f"SELECT {nulls} WHERE FALSE")
     body = ", ".join("(" + ", ".join(_sql_lit(v, f.dataType) for v, f in zip(r, schema.fields)) + ")" for r in rows)
     cols = ", ".join(f"CAST(`{n}` AS {f.dataType.simpleString()}) AS `{n}`" for n, f in zip(names, schema.fields))
     return spark.sql(f"SELECT {cols} FROM VALUES {body} AS t({', '.join('`' + n + '`' for n in names)})")

@@ -19,9 +19,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Broadcast only what the runtime measured as small (AQE re-plans joins
-    # from shuffle statistics); never trust estimates for growing tables.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # Broadcast only what the runtime measured as small: static estimates come
+    # from compressed file sizes and are no bound, so static auto-broadcast is
+    # off and AQE converts a join only from measured shuffle sizes.  Explicit
+    # broadcast() is used only for fixed rule tables and parameter-sized results.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
@@ -45,6 +47,23 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
     return spark
 
 
+RUNTIME_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def apply_runtime_conf(spark: SparkSession) -> None:
+    """SQL settings the plans rely on (runtime-settable; applied by the driver
+    entry points to the caller's session)."""
+    for k, v in RUNTIME_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 

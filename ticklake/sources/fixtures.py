@@ -8,6 +8,10 @@ the scale factor.  All derivations are plain projections, aggregates and joins.
 
 from __future__ import annotations
 
+import functools
+import hashlib
+import os
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +24,39 @@ def _t(spark: SparkSession, d: str) -> Tables:
     return Tables(spark, d)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+STORE_CONF = "ticklake.storeFixtures"
+
+
+def stored(fn):
+    """Build a warehouse table once per input directory and read it back.
+
+    The reference-shaped tables are stored tables in the source system; here
+    they are derived from the test tables by Spark, written as parquet below
+    the shared checkpoint folder (``<dir>/warehouse/<input hash>/<table>``) and
+    reused by every query.  A table is used only when its ``_SUCCESS`` marker
+    exists, so a crashed write is simply rebuilt."""
+    @functools.wraps(fn)
+    def wrapper(spark: SparkSession, d: str) -> DataFrame:
+        if str(spark.conf.get(STORE_CONF, "true")).lower() != "true":
+            return fn(spark, d)
+        from ..session import shared_path
+        key = hashlib.sha1(os.path.abspath(d).encode()).hexdigest()[:12]
+        path = shared_path(spark, "warehouse", key, fn.__name__)
+        if not _exists(spark, f"{path}/_SUCCESS"):
+            fn(spark, d).write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    return wrapper
+
+
+
+
+@stored
 def ticker(spark: SparkSession, d: str) -> DataFrame:
     c = _t(spark, d).customer
     return c.select(
@@ -33,6 +70,7 @@ def ticker(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@stored
 def price(spark: SparkSession, d: str) -> DataFrame:
     o = _t(spark, d).orders
     dec = "decimal(15,2)"
@@ -48,6 +86,7 @@ def price(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@stored
 def split(spark: SparkSession, d: str) -> DataFrame:
     o = _t(spark, d).orders
     return (
@@ -64,6 +103,7 @@ def company_info(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@stored
 def company_info_wide(spark: SparkSession, d: str) -> DataFrame:
     """Company-info JSON documents with scalar, list and NULL values.
 
@@ -95,6 +135,7 @@ def company_info_wide(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@stored
 def filing(spark: SparkSession, d: str) -> DataFrame:
     t = _t(spark, d)
     docs = t.documents
@@ -114,6 +155,7 @@ def filing(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@stored
 def attachment(spark: SparkSession, d: str) -> DataFrame:
     c = _t(spark, d).conversations
     return c.select(
@@ -125,6 +167,7 @@ def attachment(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@stored
 def insider_filing(spark: SparkSession, d: str) -> DataFrame:
     o = _t(spark, d).orders
     pr = F.col("o_orderpriority")
@@ -140,6 +183,7 @@ def insider_filing(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@stored
 def insider_transaction_raw(spark: SparkSession, d: str) -> DataFrame:
     li = _t(spark, d).lineitem
     d4 = "decimal(20,4)"
@@ -165,6 +209,7 @@ def insider_transaction_raw(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@stored
 def insider_transaction(spark: SparkSession, d: str) -> DataFrame:
     t = insider_transaction_raw(spark, d).where(F.col("rn") == 1).drop("rn")
     f = insider_filing(spark, d).select(
@@ -173,6 +218,7 @@ def insider_transaction(spark: SparkSession, d: str) -> DataFrame:
     return t.join(f, "insider_filing_id")
 
 
+@stored
 def evaluation_runs(spark: SparkSession, d: str) -> DataFrame:
     docs = _t(spark, d).documents
     return docs.select(
@@ -183,6 +229,7 @@ def evaluation_runs(spark: SparkSession, d: str) -> DataFrame:
     ).distinct()
 
 
+@stored
 def evaluation_pairs(spark: SparkSession, d: str) -> DataFrame:
     docs = _t(spark, d).documents
     n = F.col("n_chars")
@@ -197,6 +244,7 @@ def evaluation_pairs(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@stored
 def judgement_scores(spark: SparkSession, d: str) -> DataFrame:
     """Judge rows per labelled document: the first 1 + quality + toxic judges
     of (factual_grounding, completeness, consistency).  An explode over a fixed
@@ -218,6 +266,7 @@ def judgement_scores(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@stored
 def query_attempts(spark: SparkSession, d: str) -> DataFrame:
     e = _t(spark, d).events
     et = F.col("event_type")
@@ -231,6 +280,7 @@ def query_attempts(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@stored
 def execution_traces(spark: SparkSession, d: str) -> DataFrame:
     e = _t(spark, d).events
     return e.select(
@@ -240,6 +290,7 @@ def execution_traces(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@stored
 def run_log(spark: SparkSession, d: str) -> DataFrame:
     return run_log_from_events(_t(spark, d).events)
 
@@ -258,6 +309,7 @@ def run_log_from_events(e: DataFrame) -> DataFrame:
     )
 
 
+@stored
 def vertices(spark: SparkSession, d: str) -> DataFrame:
     t = _t(spark, d)
 
@@ -285,6 +337,7 @@ def vertices(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@stored
 def edges(spark: SparkSession, d: str) -> DataFrame:
     t = _t(spark, d)
 
@@ -317,6 +370,7 @@ def edges(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@stored
 def statement_wide(spark: SparkSession, d: str) -> DataFrame:
     """Wide XBRL statement frames: one row per lineitem row, two period columns.
 
@@ -357,6 +411,7 @@ def statement_wide(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@stored
 def ownership_rows(spark: SparkSession, d: str) -> DataFrame:
     """Vendor ownership tables as text columns, one row per lineitem row.
 
@@ -389,6 +444,7 @@ def ownership_rows(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@stored
 def insider_header_raw(spark: SparkSession, d: str) -> DataFrame:
     """Ownership filing headers as delivered: text dates, optional names, owner list."""
     t = _t(spark, d)
@@ -412,6 +468,7 @@ def insider_header_raw(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@stored
 def insider_dim(spark: SparkSession, d: str) -> DataFrame:
     """Stored insiders: customers of the first ten nations; a cik for most."""
     c = _t(spark, d).customer
@@ -423,6 +480,7 @@ def insider_dim(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@stored
 def insider_incoming(spark: SparkSession, d: str) -> DataFrame:
     """Owners named on filings: (cik, name, seq) per order; names change over time."""
     t = _t(spark, d)
@@ -468,6 +526,7 @@ def load(spark: SparkSession, d: str, name: str) -> DataFrame:
     return FIXTURES[name](spark, d)
 
 
+@stored
 def filing_items(spark: SparkSession, d: str) -> DataFrame:
     """Items of 10-K / 10-Q filings: line k of the filing text is item 'Item k'."""
     f = filing(spark, d).where(F.col("type").isin("10-K", "10-Q"))
