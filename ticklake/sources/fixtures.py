@@ -11,6 +11,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,32 +25,63 @@ def _t(spark: SparkSession, d: str) -> Tables:
     return Tables(spark, d)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
 
 
 STORE_CONF = "ticklake.storeFixtures"
 
 
+def _code_hash() -> str:
+    """Hash of the code that defines the derived tables (this module and the
+    rule tables); fixtures call each other, so one hash covers them all."""
+    h = hashlib.sha1()
+    for path in (__file__, schemas.__file__):
+        with open(path, "rb") as f:
+            h.update(f.read())
+    return h.hexdigest()[:10]
+
+
+_CODE_HASH = _code_hash()
+
+
 def stored(fn):
     """Build a warehouse table once per input directory and read it back.
 
     The reference-shaped tables are stored tables in the source system; here
-    they are derived from the test tables by Spark, written as parquet below
-    the shared checkpoint folder (``<dir>/warehouse/<input hash>/<table>``) and
-    reused by every query.  A table is used only when its ``_SUCCESS`` marker
-    exists, so a crashed write is simply rebuilt."""
+    they are derived from the test tables by Spark and written as parquet below
+    the shared checkpoint folder: ``<dir>/warehouse/<input>-<code>/<table>``,
+    where ``<code>`` hashes the deriving code, so a changed definition never
+    reads an old table.  The table is written to a private
+    folder and renamed into place (atomic on HDFS-like stores); a concurrent
+    writer that loses the rename just reads the winner's table."""
+    code = _CODE_HASH
+
     @functools.wraps(fn)
     def wrapper(spark: SparkSession, d: str) -> DataFrame:
         if str(spark.conf.get(STORE_CONF, "true")).lower() != "true":
             return fn(spark, d)
         from ..session import shared_path
         key = hashlib.sha1(os.path.abspath(d).encode()).hexdigest()[:12]
-        path = shared_path(spark, "warehouse", key, fn.__name__)
+        path = shared_path(spark, "warehouse", f"{key}-{code}", fn.__name__)
         if not _exists(spark, f"{path}/_SUCCESS"):
-            fn(spark, d).write.mode("overwrite").parquet(path)
+            tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+            fn(spark, d).write.mode("errorifexists").parquet(tmp)
+            fs, dst = _fs(spark, path)
+            _, src = _fs(spark, tmp)
+            if not fs.exists(dst):
+                fs.mkdirs(dst.getParent())
+                if not fs.rename(src, dst):
+                    fs.delete(src, True)
+            else:
+                fs.delete(src, True)
         return spark.read.parquet(path)
     return wrapper
 
