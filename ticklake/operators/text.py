@@ -76,13 +76,13 @@ def _separator(row: Column) -> Column:
     return F.concat(F.lit("| "), F.array_join(F.array_repeat(F.lit("---"), n), " | "), F.lit(" |"))
 
 
-def _format_paragraph(p: Column) -> Column:
-    """A non-table paragraph: numbered list, bullet list or text with heading rules."""
+def _format_paragraph(p: Column, pc: Column) -> Column:
+    """A non-table paragraph: numbered list, bullet list or text with heading
+    rules.  ``pc`` is the paragraph with whitespace collapsed and punctuation
+    spaced, computed once per paragraph by the caller."""
     lines = F.split(p, "\n")
     numbered = F.array_join(F.transform(lines, lambda x: strip(x)), "\n")
     bullets = F.array_join(F.transform(lines, lambda x: strip(F.regexp_replace(x, rf"^{_S}*[•\-\*]{_S}*", "- "))), "\n")
-    pc = strip(F.regexp_replace(p, f"{_S}+", " "))
-    pc = F.regexp_replace(pc, rf"([.,!?:;])([^{WS}\p{{Nd}}])", "$1 $2")
     is_upper = (F.upper(pc) == pc) & (F.lower(pc) != pc)
     heading = (
         F.when(is_upper, F.concat(F.lit("## "), pc))
@@ -93,26 +93,37 @@ def _format_paragraph(p: Column) -> Column:
     return F.when(p.rlike(NUMBERED), numbered).when(p.rlike(BULLET), bullets).otherwise(heading)
 
 
+def _spaced(p: Column) -> Column:
+    pc = strip(F.regexp_replace(p, f"{_S}+", " "))
+    return F.regexp_replace(pc, rf"([.,!?:;])([^{WS}\p{{Nd}}])", "$1 $2")
+
+
 def to_markdown(c: ColLike) -> Column:
     """Filing text -> markdown.
 
     Paragraphs (split at blank lines) are classified; consecutive table-like
     paragraphs form one table whose first row gets a separator row; other
     paragraphs become lists or text with heading rules.  The run detection is
-    a fold over the paragraph array inside the row."""
+    a fold over the paragraph array inside the row.  Lambda bodies are
+    evaluated without common-subexpression elimination, so each paragraph's
+    derived values are computed once in a first pass and only read after."""
     text = html_unescape(F.coalesce(_c(c), F.lit("")))
     paras = F.filter(F.transform(F.split(text, rf"\n{_S}*\n", -1), lambda x: strip(x)), lambda x: x != "")
-    items = F.transform(paras, lambda p: F.struct(
-        p.rlike(TABLE_ROW).alias("t"),
-        F.when(p.contains("|"), p).otherwise(
-            F.concat(F.lit("| "), F.array_join(F.split(p, f"{_S}{{2,}}", -1), " | "), F.lit(" |"))).alias("row"),
-        _format_paragraph(p).alias("fmt"),
+    first = F.transform(paras, lambda p: F.struct(p.alias("p"), p.rlike(TABLE_ROW).alias("t")))
+    second = F.transform(first, lambda x: F.struct(
+        x["p"].alias("p"), x["t"].alias("t"),
+        F.when(~x["t"], _spaced(x["p"])).alias("pc")))
+    items = F.transform(second, lambda x: F.struct(
+        x["t"].alias("t"),
+        F.when(x["t"], F.when(x["p"].contains("|"), x["p"]).otherwise(
+            F.concat(F.lit("| "), F.array_join(F.split(x["p"], f"{_S}{{2,}}", -1), " | "), F.lit(" |")))).alias("row"),
+        F.when(~x["t"], _format_paragraph(x["p"], x["pc"])).alias("fmt"),
     ))
     empty = F.array().cast("array<string>")
 
     def flush(tbl):
-        first = F.get(tbl, 0)
-        body = F.concat(F.slice(tbl, 1, 1), F.array(_separator(first)), F.slice(tbl, 2, F.greatest(F.size(tbl) - 1, F.lit(0))))
+        head = F.get(tbl, 0)
+        body = F.concat(F.slice(tbl, 1, 1), F.array(_separator(head)), F.slice(tbl, 2, F.greatest(F.size(tbl) - 1, F.lit(0))))
         return F.when(F.size(tbl) > 0, F.array(F.array_join(body, "\n"))).otherwise(empty)
 
     init = F.struct(empty.alias("out"), empty.alias("tbl"))
