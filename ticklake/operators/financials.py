@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import coerce as C
-from .common import first_by, top_k_per_group
+from .common import broadcast_if_small, first_by, top_k_per_group
 
 STATEMENT_ORDER = {"balance": 0, "income": 1, "cashflow": 2}
 _PERIOD_FORMATS = ("%Y-%m-%d", "%Y/%m/%d", "%m/%d/%Y", "%Y%m%d", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d %H:%M:%S")
@@ -327,6 +327,9 @@ def statement_candidates(frame: DataFrame, statement: str | None, is_annual: Col
                       & (F.col("statement") == F.col("_mt")), "left").select(
         F.col("concept_s").alias("_kc"), F.col("std_concept").alias("_ks"), F.col("statement").alias("_kt"),
         "std_for_map", "line_code")
+    # one row per distinct concept key: usually tiny, but issuer extension
+    # concepts grow with issuers, so it is broadcast only behind a size check
+    keyed = broadcast_if_small(keyed)
     rows = rows.join(keyed, (F.col("concept_s") == F.col("_kc")) & F.col("std_concept").eqNullSafe(F.col("_ks"))
                      & (F.col("statement") == F.col("_kt")), "left").drop("_kc", "_ks", "_kt")
     unmapped = rows.where(F.col("line_code").isNull()).select(
