@@ -8,7 +8,7 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan, piece_bpe, quality_rules, url_filters
+from . import bit_sliced_topk, jaccard_join, label_shards, license_scan, mixing, piece_bpe, quality_rules, suffix_dedup, url_filters
 from .common import table
 
 
@@ -23,6 +23,14 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(table(spark, sf_dir, "pages"), url_filters.rule_table(spark))
 
 
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents")).drop("matches")
 
@@ -35,14 +43,32 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents"))
 
 
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_sliced_topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return label_shards.shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_url_filters": op1,
+    "op2_suffix_dedup": op2,
+    "op4_entropy_mix": op4,
     "op5_license_scan": op5,
     "op6_sentencepiece": op6,
     "op7_quality_rules": op7,
+    "op8_bit_sliced_topk": op8,
+    "op9_label_shards": op9,
+    "op10_jaccard_join": op10,
 }
 
 SQL = {
     "op1_url_filters": url_filters.SQL,
     "op7_quality_rules": quality_rules.SQL,
+    "op8_bit_sliced_topk": bit_sliced_topk.SQL,
 }
