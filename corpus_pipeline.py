@@ -1,9 +1,10 @@
-"""The corpus pipeline: documents through five stages.
+"""The corpus pipeline: ``documents`` through five stages.
 
 ``STAGES`` are (name, function) pairs; each function takes
 ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written as Parquet
 and read again as the next one's ``docs``.  All but the last return the columns
-of ``documents``.
+of ``documents``.  Rows get a running id within a stage, so repeated rows, rows
+without an id and rows with equal ids are told apart.
 """
 
 from __future__ import annotations
@@ -11,24 +12,53 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ticklake.llm import queries
+from ticklake.llm import jaccard_join, mixing, piece_bpe, quality_rules, queries, suffix_dedup
 from ticklake.llm.common import table
-from ticklake.llm.piece_bpe import encode_documents
-from ticklake.llm.quality_rules import quality
 from ticklake.session import shared_path
 
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
-def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a row id; the rows of a Parquet table keep their order."""
+    return docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row"))
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    return docs
+    rows = _numbered(docs)
+    return rows.join(quality_rules.rejected_rows(rows, "row"), "row", "left_anti").select(*COLUMNS)
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of similar ones stays."""
+    rows = _numbered(docs)
+    return rows.join(jaccard_join.surplus_rows(rows, "row"), "row", "left_anti").select(*COLUMNS)
+
+
+def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Text that stands in an earlier document goes, as far as it is whole
+    characters; documents stay, also with an empty text."""
+    kept = suffix_dedup.remove_repeats(docs, carry={"lang": "lang", "source": "source"})
+    return kept.select("doc_id", F.col("kept_text").alias("text"), "lang", "source", F.length("kept_text").cast("long").alias("n_chars"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are left out or repeated as the mix takes them."""
+    rows = _numbered(docs)
+    copies = mixing.mix(rows, row_col="row").where("copies > 0").select("row", "copies")
+    return rows.join(copies, "row").select(*COLUMNS, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).drop("copy")
 
 
-def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return encode_documents(docs, queries.model_file())
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Numbers and digests of the ids of every document."""
+    return piece_bpe.encode_documents(docs, queries.model_file())
 
 
-STAGES = [("quality rules", keep_good), ("sentencepiece", encode)]
+STAGES = [("quality rules", good), ("n-gram Jaccard join", distinct), ("suffix-array dedup", unrepeated),
+          ("mixing sources", mixed), ("SentencePiece", encoded)]
 
 #: The stages iterate and encode; SQL cannot express them.
 ORACLE_SQL = None

@@ -66,7 +66,7 @@ def test_empty(spark, empty):
 def test_kept_text_is_whole_characters(spark):
     text = "é" * 30  # 60 bytes
     df = spark.createDataFrame([(1, text, 1), (2, "z" + text[:27] + "q", 2)], "doc_id long, text string, r long")
-    got = {r["row"]: r for r in S.remove_repeats(df, row_col="r").collect()}
+    got = {r["row"]: r for r in S.remove_repeats(df, carry={"row": "r"}).collect()}
     assert got[1]["kept_text"] == text and got[2]["kept_text"] == "zq" and got[2]["n_removed"] == 54
 
 

@@ -35,10 +35,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
 BYTE_CODE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def deal(docs: DataFrame, id_col: str, text_col: str, batch_bytes: int = BATCH_BYTES, row_col: str | None = None) -> tuple[DataFrame, int]:
-    """(doc_id, text, batch), with ``row_col`` also that as row, and the number
-    of batches, by a hash of the id.  Rows without an id are dealt by their text."""
-    picked = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"), *([docs[row_col].alias("row")] if row_col else []))
+def deal(docs: DataFrame, id_col: str, text_col: str, batch_bytes: int = BATCH_BYTES, carry: dict[str, str] | None = None) -> tuple[DataFrame, int]:
+    """(doc_id, text, batch) and the columns of ``carry`` (new name: old name),
+    and the number of batches, by a hash of the id.  Rows without an id are dealt by their text."""
+    picked = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"), *(docs[old].alias(new) for new, old in (carry or {}).items()))
     total = picked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // batch_bytes))
     key = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))

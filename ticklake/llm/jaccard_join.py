@@ -142,6 +142,7 @@ class _Batch:
         docs = ordered(docs)
         sets = shingle_sets(*text_bytes(docs.column("text")), n)
         self.doc_ids = docs.column("doc_id").to_pylist()
+        self.rows = docs.column("row").to_pylist() if "row" in docs.column_names else [None] * docs.num_rows
         self.nodes = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
         self.sizes = [len(s) for s in sets]
         self.distinct = {node: s for node, s in zip(self.nodes, sets, strict=True) if node is not None}
@@ -184,7 +185,7 @@ _FOUND_DDL = "kind string, key long, doc_id long, node binary, size int, place i
 
 def _emit(batch: _Batch, held: np.ndarray, percent: int, limit: int) -> pa.Table:
     """Members, subset keys and list entries of a batch, and the sets listed."""
-    parts = [pa.table({"kind": ["member"] * len(batch.nodes), "key": pa.nulls(len(batch.nodes), pa.int64()), "doc_id": pa.array(batch.doc_ids, pa.int64()),
+    parts = [pa.table({"kind": ["member"] * len(batch.nodes), "key": pa.array(batch.rows, pa.int64()), "doc_id": pa.array(batch.doc_ids, pa.int64()),
                        "node": pa.array(batch.nodes, pa.binary()), "size": pa.array(batch.sizes, pa.int32()), "place": pa.nulls(len(batch.nodes), pa.int32()),
                        "elements": pa.nulls(len(batch.nodes), pa.list_(pa.int64()))}, schema=_FOUND)]
     rows: list[tuple] = []
@@ -276,8 +277,24 @@ def _between(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT,
                        list_cost: int = LIST_COST) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
+    return _joined(docs, id_col, text_col, n, percent, list_cost).select(
+        "doc_id", "n_shingles", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def surplus_rows(docs: DataFrame, row_col: str, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT,
+                 list_cost: int = LIST_COST) -> DataFrame:
+    """The row ids (``row_col``) of all but one document of each component: the
+    one with the smallest id stays, of rows with one id the first row."""
+    joined = _joined(docs, id_col, text_col, n, percent, list_cost, row_col).where("component is not null")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    first = joined.groupBy("component").agg(F.min_by("row", order).alias("stays"))
+    return joined.join(first, "component").where("row <> stays").select(F.col("row").alias(row_col))
+
+
+def _joined(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int, list_cost: int, row_col: str | None = None) -> DataFrame:
+    """row, doc_id, n_shingles, component (null without a set), component_id."""
     spark = docs.sparkSession
-    dealt, batches = deal(docs, id_col, text_col)
+    dealt, batches = deal(docs, id_col, text_col, carry={"row": row_col} if row_col else {})
     buckets, limit = batches, small_limit(percent, list_cost)
 
     def ask(key: tuple, table: pa.Table) -> pa.Table:
@@ -295,7 +312,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     found.write.partitionBy("kind").parquet(path)
     found = spark.read.schema(_FOUND_DDL).parquet(path)
 
-    members = found.where("kind = 'member'").select("doc_id", F.col("size").cast("long").alias("n_shingles"), "node")
+    members = found.where("kind = 'member'").select(F.col("key").alias("row"), "doc_id", F.col("size").cast("long").alias("n_shingles"), "node")
     sets = found.where("kind = 'set'").dropDuplicates(["node"]).select("node", "elements")
     lists = found.where("kind = 'list'").select("key", "node", "size", "place").distinct()
     # sets of the smaller size that share a subset link with each other and with those of the larger size
@@ -310,5 +327,4 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     least = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     named = least.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    final = named.join(smallest, "component").select("node", "component_id")
-    return members.join(final, "node", "left").select("doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return members.join(named.join(smallest, "component").select("node", "component", "component_id"), "node", "left").drop("node")

@@ -119,10 +119,14 @@ def copies_by_size(hist: DataFrame, goal: DataFrame, most: int = MOST) -> DataFr
     return kept
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", most: int = MOST) -> DataFrame:
-    """doc_id, size, source_size, target, copies and taken of every row."""
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", most: int = MOST,
+        row_col: str | None = None) -> DataFrame:
+    """doc_id, size, source_size, target, taken and copies of every row; with
+    ``row_col`` (a row id) also that as ``row``."""
+    row = [docs[row_col].alias("row")] if row_col else []
+    carried = ["row"] if row_col else []
     words = F.coalesce(F.regexp_count(docs[text_col], F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    rows = reliable(docs.select(docs[id_col].alias("doc_id"), docs[source_col].alias("source"), words.alias("size")))
+    rows = reliable(docs.select(docs[id_col].alias("doc_id"), docs[source_col].alias("source"), words.alias("size"), *row))
     hist = reliable(rows.groupBy("source", "size").agg(F.count("*").alias("n")))
     sources = hist.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"),
                                          F.sum(F.col("size").cast("double") * F.col("size") * F.col("n")).alias("squares"))
@@ -140,5 +144,5 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     numbered = parted.withColumn("in_part", F.row_number().over(Window.partitionBy("source", "size", "part").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")))
     joined = numbered.join(plan, F.col("source").eqNullSafe(F.col("p_source")) & (F.col("size") == F.col("p_size")) & (F.col("part") == F.col("p_part")))
     copies = F.floor(F.col("copies") / F.col("n")) + F.when(F.col("start") + F.col("in_part") <= F.col("copies") % F.col("n"), 1).otherwise(0)
-    return joined.select("doc_id", "size", "source_size", "target", copies.cast("long").alias("copies")).select(
-        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+    return joined.select("doc_id", "size", "source_size", "target", copies.cast("long").alias("copies"), *carried).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", *carried)

@@ -93,6 +93,17 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_docs: int = MIN_DOCS,
             max_share: float = MAX_SHARE, min_left: float = MIN_LEFT) -> DataFrame:
     """Base counts, removed lines and words, and the verdict of every row."""
+    return _judged(docs, id_col, text_col, host_col, min_docs, max_share, min_left).drop("row")
+
+
+def rejected_rows(docs: DataFrame, row_col: str, text_col: str = "text", host_col: str = "source", min_docs: int = MIN_DOCS,
+                  max_share: float = MAX_SHARE, min_left: float = MIN_LEFT) -> DataFrame:
+    """The ids (``row_col``) of the rows that the rules reject."""
+    judged = _judged(docs, row_col, text_col, host_col, min_docs, max_share, min_left)
+    return judged.where("not kept").select(F.col("doc_id").alias(row_col))
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, host_col: str, min_docs: int, max_share: float, min_left: float) -> DataFrame:
     host = F.coalesce(F.concat(F.lit("="), docs[host_col].cast("string")), F.lit(""))
     read = docs.select(docs[id_col].alias("doc_id"), host.alias("host"), docs[text_col].alias("text")).mapInArrow(_read, _DDL)
     rows = reliable(read.withColumn("row", F.monotonically_increasing_id()))
@@ -104,7 +115,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     out = rows.drop("lines", "body").join(removed, "row", "left").na.fill(0, ["n_removed_lines", "n_removed_words"])
     depleted = (F.col("n_removed_words") > 0) & (F.col("n_words") - F.col("n_removed_words") < min_left * F.col("n_words"))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
+    return out.select("row", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
                       (~failed & ~depleted).alias("kept"), "n_removed_lines", "n_removed_words")
 
 

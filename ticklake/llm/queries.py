@@ -3,12 +3,9 @@ with their SQL where SQL can express them."""
 
 from __future__ import annotations
 
-import os
-import sys
-
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bit_sliced_topk, jaccard_join, label_shards, license_scan, mixing, piece_bpe, quality_rules, suffix_dedup, url_filters
+from . import bit_sliced_topk, jaccard_join, label_shards, license_scan, mixing, page_text, piece_bpe, quality_rules, suffix_dedup, url_filters
 from .common import table
 
 
@@ -27,6 +24,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -58,6 +59,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filters": op1,
     "op2_suffix_dedup": op2,
+    "op3_html_text": op3,
     "op4_entropy_mix": op4,
     "op5_license_scan": op5,
     "op6_sentencepiece": op6,

@@ -318,22 +318,20 @@ def _least_documents(messages: pa.Table, window: int, collection: int) -> pa.Tab
     return pa.table({"batch": messages.column("batch"), "bucket": messages.column("bucket"), "packed": pa.array(out, pa.binary())})
 
 
-def _document_rows(batch: _Batch, covered: np.ndarray, with_text: bool) -> pa.Table:
+def _document_rows(batch: _Batch, covered: np.ndarray, carried: list[str]) -> pa.Table:
     rows = []
     for i, (lo, hi) in enumerate(zip(batch.offsets[:-1].tolist(), batch.offsets[1:].tolist(), strict=True)):
         gone, raw = covered[lo:hi], batch.data[lo:hi]
         spans = int(gone[:1].sum() + np.count_nonzero(gone[1:] & ~gone[:-1]))
         row = [hi - lo, int(gone.sum()), spans, hashlib.sha256(raw[~gone].tobytes()).hexdigest()]
-        if with_text:
+        if carried:
             row.append(_whole_characters(raw, gone) if spans else batch.docs.column("text")[i].as_py())
         rows.append(row)
-    columns = list(zip(*rows, strict=True)) if rows else [()] * (4 + with_text)
+    columns = list(zip(*rows, strict=True)) if rows else [()] * (4 + bool(carried))
     types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
     names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
     out = {"doc_id": batch.docs.column("doc_id")} | {n: pa.array(c, t) for n, c, t in zip(names, columns, types, strict=False)}
-    if with_text:
-        out["row"] = batch.docs.column("row")
-    return pa.table(out)
+    return pa.table(out | {c: batch.docs.column(c) for c in carried})
 
 
 def _whole_characters(raw: np.ndarray, gone: np.ndarray) -> str:
@@ -345,10 +343,11 @@ def _whole_characters(raw: np.ndarray, gone: np.ndarray) -> str:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM,
-                   collection: int = COLLECTION, row_col: str | None = None) -> DataFrame:
+                   collection: int = COLLECTION, carry: dict[str, str] | None = None) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row; with
-    ``row_col`` (a row id) also that as ``row``, and ``kept_text``."""
-    dealt, batches = deal(docs, id_col, text_col, row_col=row_col)
+    ``carry`` (new name: column) also ``kept_text`` and those columns."""
+    carried = dict(carry or {})
+    dealt, batches = deal(docs, id_col, text_col, carry=carried)
     buckets = batches
 
     def ask(key: tuple, table: pa.Table) -> pa.Table:
@@ -366,7 +365,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         batch = _Batch(table, window, gram, buckets)
         kinds = answers.column("kind").to_numpy(zero_copy_only=False)
         batch.repeated(answers.filter(pa.array(kinds == 1)))
-        return _document_rows(batch, batch.covered(answers.filter(pa.array(kinds == 2))), row_col is not None)
+        return _document_rows(batch, batch.covered(answers.filter(pa.array(kinds == 2))), list(carried))
 
     packed = "batch long, bucket long, packed binary"
     by_batch = dealt.groupBy("batch")
@@ -375,5 +374,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sent = by_batch.cogroup(repeated.groupBy("batch")).applyInArrow(send, packed)
     least = sent.groupBy("bucket").applyInArrow(compare, packed)
     answers = repeated.selectExpr("*", "1 AS kind").unionByName(least.selectExpr("*", "2 AS kind"))
-    ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept_text string, row long" if row_col else "")
+    ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + "".join(
+        f", {c} {kind}" for c, kind in (("kept_text", "string"), *((c, docs.schema[old].dataType.simpleString()) for c, old in carried.items())) if carried)
     return by_batch.cogroup(answers.groupBy("batch")).applyInArrow(mark, ddl)
