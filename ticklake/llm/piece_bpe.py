@@ -69,6 +69,7 @@ class PieceCoder:
                 self.ids[piece] = i
                 self.score[piece] = sp.get_score(i)
                 self.out.append(piece.encode())
+        self.controls = {i for i in range(n) if sp.is_control(i)}
         self.is_byte = [sp.is_byte(i) for i in range(n)]
         if any(c not in self.ids for p in self.ids for c in p) or any(SPACE in p.lstrip(SPACE) for p in self.ids):
             raise ValueError("this model's pieces cross spaces or hold characters that are no pieces")
@@ -225,9 +226,11 @@ class PieceCoder:
         return list(map(int, digest.split(b","))) if digest else []
 
     def decode(self, ids: list[int]) -> str:
-        raw = b"".join(map(self.out.__getitem__, ids))
         try:
-            text = raw.decode()
+            if not self.controls.isdisjoint(ids):  # they end a run of bytes
+                text = self._decode_bytes(ids)
+            else:
+                text = b"".join(map(self.out.__getitem__, ids)).decode()
         except UnicodeDecodeError:
             text = self._decode_bytes(ids)
         return text.replace(SPACE, " ")[text.startswith(SPACE):]
