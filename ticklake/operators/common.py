@@ -104,15 +104,3 @@ def dense_ids(df: DataFrame, order_cols: Sequence[ColLike], start, name: str = "
     out = tagged.join(F.broadcast(offs), "_pid")
     return out.withColumn(name, F.lit(start).cast("bigint") + F.col("_off") + F.col("_pos") + 1).drop(
         "_pid", "_pos", "_off")
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast behind a size check, with a shuffle join beyond it.
-
-    ``df`` is materialised once with a reliable checkpoint (shared storage, so
-    it survives executor loss and is not recomputed), its rows are counted, and
-    it is marked for broadcast only when it has at most ``max_rows`` rows."""
-    from ..session import cut_lineage
-
-    m = cut_lineage(df)
-    return F.broadcast(m) if m.count() <= max_rows else m

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 JUDGES = ("factual_grounding", "completeness", "consistency")
-_SHORT = {"factual_grounding": "factual_grounding", "completeness": "completeness", "consistency": "consistency"}
 
 
 def _avg6(c):
@@ -131,19 +130,23 @@ def attempts_view(attempts: DataFrame, kind: str) -> DataFrame:
 def trace_tree(spark: SparkSession, traces: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Root id and depth of every trace reachable from a root.
 
-    A recursive CTE: the anchor is every trace without a parent, each step joins
-    the frontier to the children (one shuffle join per level).  Traces whose
-    parent is missing or that sit on a cycle are not reachable, as in SQL.
+    Pointer doubling: every trace points to an ancestor and knows how far up it
+    is; a round replaces the pointer by that ancestor's pointer and adds the
+    distances, so a tree of depth n takes about log2(n) equi-joins.  Each round
+    is cut with a reliable checkpoint.  Traces whose parent is missing drop out;
+    a round in which no trace reaches a root leaves only cycles, which drop out
+    too.  ``id`` is the key of ``traces``.
     """
-    name = f"_traces_{uuid.uuid4().hex}"
-    traces.select("id", "parent_trace_id").createOrReplaceTempView(name)
-    limit = f"WHERE r.depth < {int(max_depth)}" if max_depth is not None else ""
-    return spark.sql(f"""
-        WITH RECURSIVE tree(id, root_id, depth) AS (
-            SELECT id, id, 0 FROM {name} WHERE parent_trace_id IS NULL
-            UNION ALL
-            SELECT t.id, r.root_id, r.depth + 1
-            FROM {name} t JOIN tree r ON t.parent_trace_id = r.id {limit}
-        )
-        SELECT id, root_id, depth FROM tree
-    """)
+    state = cut_lineage(traces.select(
+        "id", F.coalesce("parent_trace_id", "id").alias("up"), F.when(F.col("parent_trace_id").isNull(), 0).otherwise(1).alias("depth"),
+        F.col("parent_trace_id").isNull().alias("done")))
+    left = state.where("not done").count()
+    while left:
+        far = state.select(F.col("id").alias("up"), F.col("up").alias("far"), F.col("depth").alias("more"), F.col("done").alias("ends"))
+        moved = state.where("not done").join(far, "up").select("id", F.col("far").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), F.col("ends").alias("done"))
+        state = cut_lineage(state.where("done").unionByName(moved))
+        before, left = left, state.where("not done").count()
+        if left == before:
+            break
+    out = state.where("done").select("id", F.col("up").alias("root_id"), "depth")
+    return out if max_depth is None else out.where(F.col("depth") <= max_depth)

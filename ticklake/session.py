@@ -19,12 +19,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Broadcast only what the runtime measured as small: static estimates come
-    # from compressed file sizes and are no bound, so static auto-broadcast is
-    # off and AQE converts a join only from measured shuffle sizes.  Explicit
-    # broadcast() is used only for fixed rule tables and parameter-sized results.
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
 }
@@ -47,34 +41,19 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
     return spark
 
 
-RUNTIME_CONF = {
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
-}
-
-
-def apply_runtime_conf(spark: SparkSession) -> None:
-    """SQL settings the plans rely on (runtime-settable; applied by the driver
-    entry points to the caller's session)."""
-    for k, v in RUNTIME_CONF.items():
-        if spark.conf.get(k, None) != v:
-            spark.conf.set(k, v)
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
-    (local tests) a private folder is created; on a cluster the setting is
-    expected to point at shared storage.
+    ``spark.checkpoint.dir`` is read from the session.  Where it is unset, a
+    private folder is made for a local master only, as in tests: executors of a
+    cluster do not share the driver's folders, so there the setting is needed.
     """
     cur = spark.conf.get("spark.checkpoint.dir", None)
     if not cur:
         cur = spark.sparkContext.getCheckpointDir()
     if not cur:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         cur = tempfile.mkdtemp(prefix="ticklake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cur)
     if not spark.sparkContext.getCheckpointDir():

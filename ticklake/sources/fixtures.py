@@ -8,11 +8,6 @@ the scale factor.  All derivations are plain projections, aggregates and joins.
 
 from __future__ import annotations
 
-import functools
-import hashlib
-import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,70 +20,6 @@ def _t(spark: SparkSession, d: str) -> Tables:
     return Tables(spark, d)
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p)
-
-
-STORE_CONF = "ticklake.storeFixtures"
-
-
-def _code_hash() -> str:
-    """Hash of the code that defines the derived tables (this module and the
-    rule tables); fixtures call each other, so one hash covers them all."""
-    h = hashlib.sha1()
-    for path in (__file__, schemas.__file__):
-        with open(path, "rb") as f:
-            h.update(f.read())
-    return h.hexdigest()[:10]
-
-
-_CODE_HASH = _code_hash()
-
-
-def stored(fn):
-    """Build a warehouse table once per input directory and read it back.
-
-    The reference-shaped tables are stored tables in the source system; here
-    they are derived from the test tables by Spark and written as parquet below
-    the shared checkpoint folder: ``<dir>/warehouse/<input>-<code>/<table>``,
-    where ``<code>`` hashes the deriving code, so a changed definition never
-    reads an old table.  The table is written to a private
-    folder and renamed into place (atomic on HDFS-like stores); a concurrent
-    writer that loses the rename just reads the winner's table."""
-    code = _CODE_HASH
-
-    @functools.wraps(fn)
-    def wrapper(spark: SparkSession, d: str) -> DataFrame:
-        if str(spark.conf.get(STORE_CONF, "true")).lower() != "true":
-            return fn(spark, d)
-        from ..session import shared_path
-        key = hashlib.sha1(os.path.abspath(d).encode()).hexdigest()[:12]
-        path = shared_path(spark, "warehouse", f"{key}-{code}", fn.__name__)
-        if not _exists(spark, f"{path}/_SUCCESS"):
-            tmp = f"{path}.tmp-{uuid.uuid4().hex}"
-            fn(spark, d).write.mode("errorifexists").parquet(tmp)
-            fs, dst = _fs(spark, path)
-            _, src = _fs(spark, tmp)
-            if not fs.exists(dst):
-                fs.mkdirs(dst.getParent())
-                if not fs.rename(src, dst):
-                    fs.delete(src, True)
-            else:
-                fs.delete(src, True)
-        return spark.read.parquet(path)
-    return wrapper
-
-
-
-
-@stored
 def ticker(spark: SparkSession, d: str) -> DataFrame:
     c = _t(spark, d).customer
     return c.select(
@@ -102,7 +33,6 @@ def ticker(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@stored
 def price(spark: SparkSession, d: str) -> DataFrame:
     o = _t(spark, d).orders
     dec = "decimal(15,2)"
@@ -118,7 +48,6 @@ def price(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@stored
 def split(spark: SparkSession, d: str) -> DataFrame:
     o = _t(spark, d).orders
     return (
@@ -135,7 +64,6 @@ def company_info(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@stored
 def company_info_wide(spark: SparkSession, d: str) -> DataFrame:
     """Company-info JSON documents with scalar, list and NULL values.
 
@@ -167,7 +95,6 @@ def company_info_wide(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@stored
 def filing(spark: SparkSession, d: str) -> DataFrame:
     t = _t(spark, d)
     docs = t.documents
@@ -187,7 +114,6 @@ def filing(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@stored
 def attachment(spark: SparkSession, d: str) -> DataFrame:
     c = _t(spark, d).conversations
     return c.select(
@@ -199,7 +125,6 @@ def attachment(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@stored
 def insider_filing(spark: SparkSession, d: str) -> DataFrame:
     o = _t(spark, d).orders
     pr = F.col("o_orderpriority")
@@ -215,7 +140,6 @@ def insider_filing(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@stored
 def insider_transaction_raw(spark: SparkSession, d: str) -> DataFrame:
     li = _t(spark, d).lineitem
     d4 = "decimal(20,4)"
@@ -241,7 +165,6 @@ def insider_transaction_raw(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@stored
 def insider_transaction(spark: SparkSession, d: str) -> DataFrame:
     t = insider_transaction_raw(spark, d).where(F.col("rn") == 1).drop("rn")
     f = insider_filing(spark, d).select(
@@ -250,7 +173,6 @@ def insider_transaction(spark: SparkSession, d: str) -> DataFrame:
     return t.join(f, "insider_filing_id")
 
 
-@stored
 def evaluation_runs(spark: SparkSession, d: str) -> DataFrame:
     docs = _t(spark, d).documents
     return docs.select(
@@ -261,7 +183,6 @@ def evaluation_runs(spark: SparkSession, d: str) -> DataFrame:
     ).distinct()
 
 
-@stored
 def evaluation_pairs(spark: SparkSession, d: str) -> DataFrame:
     docs = _t(spark, d).documents
     n = F.col("n_chars")
@@ -276,7 +197,6 @@ def evaluation_pairs(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@stored
 def judgement_scores(spark: SparkSession, d: str) -> DataFrame:
     """Judge rows per labelled document: the first 1 + quality + toxic judges
     of (factual_grounding, completeness, consistency).  An explode over a fixed
@@ -298,7 +218,6 @@ def judgement_scores(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@stored
 def query_attempts(spark: SparkSession, d: str) -> DataFrame:
     e = _t(spark, d).events
     et = F.col("event_type")
@@ -312,7 +231,6 @@ def query_attempts(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@stored
 def execution_traces(spark: SparkSession, d: str) -> DataFrame:
     e = _t(spark, d).events
     return e.select(
@@ -322,7 +240,6 @@ def execution_traces(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@stored
 def run_log(spark: SparkSession, d: str) -> DataFrame:
     return run_log_from_events(_t(spark, d).events)
 
@@ -341,7 +258,6 @@ def run_log_from_events(e: DataFrame) -> DataFrame:
     )
 
 
-@stored
 def vertices(spark: SparkSession, d: str) -> DataFrame:
     t = _t(spark, d)
 
@@ -369,7 +285,6 @@ def vertices(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@stored
 def edges(spark: SparkSession, d: str) -> DataFrame:
     t = _t(spark, d)
 
@@ -402,7 +317,6 @@ def edges(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@stored
 def statement_wide(spark: SparkSession, d: str) -> DataFrame:
     """Wide XBRL statement frames: one row per lineitem row, two period columns.
 
@@ -443,7 +357,6 @@ def statement_wide(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@stored
 def ownership_rows(spark: SparkSession, d: str) -> DataFrame:
     """Vendor ownership tables as text columns, one row per lineitem row.
 
@@ -476,7 +389,6 @@ def ownership_rows(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@stored
 def insider_header_raw(spark: SparkSession, d: str) -> DataFrame:
     """Ownership filing headers as delivered: text dates, optional names, owner list."""
     t = _t(spark, d)
@@ -500,7 +412,6 @@ def insider_header_raw(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@stored
 def insider_dim(spark: SparkSession, d: str) -> DataFrame:
     """Stored insiders: customers of the first ten nations; a cik for most."""
     c = _t(spark, d).customer
@@ -512,7 +423,6 @@ def insider_dim(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@stored
 def insider_incoming(spark: SparkSession, d: str) -> DataFrame:
     """Owners named on filings: (cik, name, seq) per order; names change over time."""
     t = _t(spark, d)
@@ -558,7 +468,6 @@ def load(spark: SparkSession, d: str, name: str) -> DataFrame:
     return FIXTURES[name](spark, d)
 
 
-@stored
 def filing_items(spark: SparkSession, d: str) -> DataFrame:
     """Items of 10-K / 10-Q filings: line k of the filing text is item 'Item k'."""
     f = filing(spark, d).where(F.col("type").isin("10-K", "10-Q"))

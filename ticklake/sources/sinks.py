@@ -2,19 +2,17 @@
 update, strict insert, seeding and deletes with foreign-key rules.
 
 No table format with MERGE is assumed: each function returns the new table
-state as a DataFrame, and ``write_snapshot`` publishes it as a new versioned
-parquet directory (write first, then switch the pointer), so a failed job never
-leaves a half-written table.
-
-The merge plans avoid a full outer join: rows of the (large) target that the
-(small) batch does not touch are found with a left-anti join whose build side is
-the batch's key set, which AQE turns into a broadcast join when the measured
-batch is small; only matched rows are joined column by column.
+state as a DataFrame, and ``write_version`` / ``write_snapshot`` publish it as a
+new versioned parquet directory that readers see once it is complete, so a
+failed job never leaves a half-written table.
+
+An upsert is one full outer join on the key: target and batch are each read and
+shuffled once.
 """
 
 from __future__ import annotations
 
-import time
+import functools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,33 +49,26 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_col
     cols = [f.name for f in tschema.fields]
     update_cols = list(update_cols) if update_cols is not None else [c for c in cols if c not in keys]
     src = dedupe_batch(source, keys, order, winner)
-    src_cols = src.columns
-    skeys = src.select(*keys)
-    untouched = target.join(skeys, keys, "left_anti")
-    s = src.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in src_cols if c not in keys])
-    s_cols = set(f"_s_{c}" for c in src_cols if c not in keys)
-    matched = target.join(s, keys, "inner")
-    upd = []
+    src_cols = set(src.columns)
+    # one full outer join: each side is read and shuffled once
+    s = src.select(*[F.col(c).alias(f"_s_{c}") for c in src.columns], F.lit(True).alias("_given"))
+    t = target.withColumn("_stored", F.lit(True))
+    match = functools.reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_s_{k}") for k in keys])
+    j = t.join(s, match, "full")
+    stored, given = F.col("_stored").isNotNull(), F.col("_given").isNotNull()
+    out = []
     for c in cols:
         if c in keys:
-            upd.append(F.col(c))
+            out.append(F.when(stored, F.col(c)).otherwise(F.col(f"_s_{c}").cast(types[c])).alias(c))
         elif touch_col and c == touch_col:
-            upd.append(F.lit(now).cast(types[c]).alias(c))
-        elif c in update_cols and f"_s_{c}" in s_cols:
-            upd.append(F.col(f"_s_{c}").cast(types[c]).alias(c))
-        else:
-            upd.append(F.col(c))
-    updated = matched.select(*upd)
-    new = src.join(target.select(*keys), keys, "left_anti")
-    ins = []
-    for c in cols:
-        if touch_col and c == touch_col:
-            ins.append(F.lit(now).cast(types[c]).alias(c))
-        elif c in src_cols:
-            ins.append(F.col(c).cast(types[c]).alias(c))
+            out.append(F.when(given, F.lit(now).cast(types[c])).otherwise(F.col(c)).alias(c))
+        elif c not in src_cols:
+            out.append(F.col(c))
+        elif c in update_cols:
+            out.append(F.when(given, F.col(f"_s_{c}").cast(types[c])).otherwise(F.col(c)).alias(c))
         else:
-            ins.append(F.lit(None).cast(types[c]).alias(c))
-    return untouched.select(*cols).unionByName(updated).unionByName(new.select(*ins))
+            out.append(F.when(stored, F.col(c)).otherwise(F.col(f"_s_{c}").cast(types[c])).alias(c))
+    return j.select(*out)
 
 
 def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -168,20 +159,56 @@ def delete_with_rules(parent: DataFrame, pk: str, delete_keys: DataFrame,
     return out
 
 
-def write_snapshot(df: DataFrame, table_dir: str, partition_by: Sequence[str] = ()) -> str:
-    """Publish a new version: write ``<table_dir>/v=<ts>`` then point ``_current``
-    at it.  Readers use ``read_current``; a failed write leaves the old version."""
-    version = f"{table_dir.rstrip('/')}/v={int(time.time() * 1000)}"
-    w = df.write.mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(version)
-    spark = df.sparkSession
-    spark.createDataFrame([(version,)], "path string").coalesce(1).write.mode("overwrite").text(
-        f"{table_dir.rstrip('/')}/_current")
+def _versions(spark: SparkSession, table_dir: str) -> list[tuple[int, str]]:
+    """Number and path of every completely written version, oldest first.
+
+    A version is complete when its writer's ``_SUCCESS`` file is there.  Only a
+    table folder that does not exist, or holds no complete version yet, gives an
+    empty list; any other trouble with the folder raises."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table_dir.rstrip("/"))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    out = []
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        if name.startswith("v=") and fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+            out.append((int(name[2:]), f"{table_dir.rstrip('/')}/{name}"))
+    return sorted(out)
+
+
+def write_version(df: DataFrame, table_dir: str, number: int, partition_by: Sequence[str] = ()) -> str:
+    """Write version ``number`` of a table, anew if it is there already.  Readers
+    see it only when it is complete; there is no pointer that could be lost."""
+    version = f"{table_dir.rstrip('/')}/v={number:010d}"
+    w = df.write.mode("overwrite")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(version)
     return version
 
 
+def write_snapshot(df: DataFrame, table_dir: str, partition_by: Sequence[str] = ()) -> str:
+    """Publish ``df`` as the version after the newest; a failed write leaves
+    the old one current."""
+    done = _versions(df.sparkSession, table_dir)
+    return write_version(df, table_dir, done[-1][0] + 1 if done else 0, partition_by)
+
+
+def read_below(spark: SparkSession, table_dir: str, number: int) -> DataFrame | None:
+    """The newest complete version with a number below ``number``, if any."""
+    done = [path for n, path in _versions(spark, table_dir) if n < number]
+    return spark.read.parquet(done[-1]) if done else None
+
+
 def read_current(spark: SparkSession, table_dir: str) -> DataFrame:
-    ptr = spark.read.text(f"{table_dir.rstrip('/')}/_current").first()[0]
-    return spark.read.parquet(ptr)
+    """The newest complete version."""
+    done = _versions(spark, table_dir)
+    if not done:
+        raise FileNotFoundError(f"no complete version in {table_dir}")
+    return spark.read.parquet(done[-1][1])
+
+
+def written_before(spark: SparkSession, table_dir: str, number: int | None = None) -> DataFrame | None:
+    """The rows of all complete versions (with a number below ``number``)
+    together, for tables whose versions are increments."""
+    done = [path for n, path in _versions(spark, table_dir) if number is None or n < number]
+    return spark.read.parquet(*done) if done else None

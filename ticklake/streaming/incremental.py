@@ -1,11 +1,12 @@
 """Structured Streaming forms of the incremental jobs.
 
 Sources are file streams (``readStream`` with an explicit schema); sinks are
-versioned parquet snapshots written from ``foreachBatch``.  A batch rewrites
-``v=<epoch>`` and then moves the ``_current`` pointer, so a retried epoch
-recomputes from the previous version and an already-published epoch re-applies
-an idempotent merge: the table is exactly-once either way.  Checkpoints and
-tables live below ``spark.checkpoint.dir`` (shared storage on a cluster).
+versioned parquet snapshots written from ``foreachBatch``.  Epoch e writes
+version e + 1 (0 may hold what was there before the stream) and reads the newest
+complete version below it.  An epoch that is run again, after a failure at any
+point, therefore reads what it read before and writes the same version again:
+the table is exactly-once.  A table belongs to one stream and its checkpoint.
+Checkpoints and tables live below ``spark.checkpoint.dir`` (shared storage).
 """
 
 from __future__ import annotations
@@ -37,18 +38,10 @@ def file_stream(spark: SparkSession, directory: str, schema: T.StructType, glob:
     return r.load(directory)
 
 
-def _publish(table_dir: str, epoch: int, df: DataFrame) -> None:
-    version = f"{table_dir.rstrip('/')}/v={epoch:010d}"
-    df.write.mode("overwrite").parquet(version)
-    df.sparkSession.createDataFrame([(version,)], "path string").coalesce(1).write.mode("overwrite").text(
-        f"{table_dir.rstrip('/')}/_current")
-
-
-def _current_or_empty(spark: SparkSession, table_dir: str, schema: T.StructType) -> DataFrame:
-    try:
-        return sinks.read_current(spark, table_dir)
-    except Exception:  # noqa: BLE001 - first batch: no table yet
-        return spark.createDataFrame([], schema)
+def _before(spark: SparkSession, table_dir: str, epoch: int, schema: T.StructType) -> DataFrame:
+    """The table as it was before an epoch; empty only if nothing was written."""
+    before = sinks.read_below(spark, table_dir, epoch + 1)
+    return spark.createDataFrame([], schema) if before is None else before
 
 
 def run_available(stream: DataFrame, batch_fn: Callable[[DataFrame, int], None], checkpoint: str,
@@ -67,8 +60,8 @@ def stream_upsert(stream: DataFrame, table_dir: str, keys: Sequence[str], order:
     schema = stream.schema
 
     def batch(df: DataFrame, epoch: int) -> None:
-        cur = _current_or_empty(spark, table_dir, schema)
-        _publish(table_dir, epoch, sinks.upsert(cur, df, list(keys), order=list(order), winner="last"))
+        before = _before(spark, table_dir, epoch, schema)
+        sinks.write_version(sinks.upsert(before, df, list(keys), order=list(order), winner="last"), table_dir, epoch + 1)
 
     run_available(stream, batch, checkpoint)
     return sinks.read_current(spark, table_dir)
@@ -81,6 +74,26 @@ def stream_once(stream: DataFrame, keys: Sequence[str], ts: str, delay: str = "1
     return s.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+def stream_once_ever(stream: DataFrame, keys: Sequence[str], out_dir: str, checkpoint: str,
+                     known: DataFrame | None = None) -> DataFrame:
+    """I2 (+J5): each key processed once for all time, whenever its duplicates
+    come, and not at all if ``known`` holds it.  Every epoch writes its new keys
+    to a folder of its own and looks at the folders of the epochs before it."""
+    spark, keys = stream.sparkSession, list(keys)
+
+    def batch(df: DataFrame, epoch: int) -> None:
+        new = df.select(*keys).distinct()
+        done = sinks.written_before(spark, out_dir, epoch)
+        for old in (known, done):
+            if old is not None:
+                new = new.join(old.select(*keys), keys, "left_anti")
+        sinks.write_version(new, out_dir, epoch)
+
+    run_available(stream, batch, checkpoint)
+    done = sinks.written_before(spark, out_dir)
+    return spark.createDataFrame([], stream.select(*keys).schema) if done is None else done
+
+
 def stream_newer(stream: DataFrame, cursor_dir: str, out_dir: str, key: str, ts: str, checkpoint: str) -> DataFrame:
     """Drop late rows at or before the key's stored high-water mark, append
     the rest and advance the stored marks (P21 inside ``foreachBatch``)."""
@@ -89,31 +102,33 @@ def stream_newer(stream: DataFrame, cursor_dir: str, out_dir: str, key: str, ts:
     cur_schema = T.StructType([T.StructField(key, schema[key].dataType), T.StructField("_hwm", schema[ts].dataType)])
 
     def batch(df: DataFrame, epoch: int) -> None:
-        marks = _current_or_empty(spark, cursor_dir, cur_schema)
-        j = df.join(marks, key, "left")
-        new = j.where(F.col("_hwm").isNull() | (F.col(ts) > F.col("_hwm"))).drop("_hwm")
-        new.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/epoch={epoch:010d}")
+        marks = _before(spark, cursor_dir, epoch, cur_schema)
+        new = df.join(marks, key, "left").where(F.col("_hwm").isNull() | (F.col(ts) > F.col("_hwm"))).drop("_hwm")
+        sinks.write_version(new, out_dir, epoch)
         adv = new.groupBy(key).agg(F.max(ts).alias("_new"))
-        merged = marks.join(adv, key, "full").select(key, F.greatest("_hwm", "_new").alias("_hwm"))
-        _publish(cursor_dir, epoch, merged)
+        sinks.write_version(marks.join(adv, key, "full").select(key, F.greatest("_hwm", "_new").alias("_hwm")), cursor_dir, epoch + 1)
 
     run_available(stream, batch, checkpoint)
-    return spark.read.parquet(out_dir).drop("epoch")
+    done = sinks.written_before(spark, out_dir)
+    return spark.createDataFrame([], schema) if done is None else done
 
 
 def stream_run_state(run_log: DataFrame, table_dir: str, checkpoint: str, ts: str = "ts",
                      seq: str = "event_id") -> DataFrame:
-    """I4: continuously folded run state (streaming aggregation in complete mode,
-    published per micro-batch).  Same columns as ``incremental.run_state``."""
+    """I4: continuously folded run state (streaming aggregation in update mode;
+    each epoch merges the keys that changed).  Same columns as
+    ``incremental.run_state``."""
     from ..operators.incremental import run_state
 
     spark = run_log.sparkSession
     agg = run_state(run_log, ts, seq)
+    keys = ["ticker_id", "process_name"]
 
     def batch(df: DataFrame, epoch: int) -> None:
-        _publish(table_dir, epoch, df)
+        before = _before(spark, table_dir, epoch, df.schema)
+        sinks.write_version(sinks.upsert(before, df, keys, order=keys), table_dir, epoch + 1)
 
-    run_available(agg, batch, checkpoint, output_mode="complete")
+    run_available(agg, batch, checkpoint, output_mode="update")
     return sinks.read_current(spark, table_dir)
 
 
