@@ -224,7 +224,7 @@ SELECT l_orderkey AS filing_id, CASE WHEN l_orderkey % 4 = 0 THEN '3' ELSE '4' E
 FROM lineitem""")
 
 _v("insider_header_raw", """
-SELECT o_orderkey AS id, 'acc-' || o_orderkey AS accession_no,
+SELECT o_orderkey AS id, o_custkey % 50 AS ticker_id, 'acc-' || o_orderkey AS accession_no,
   CASE o_orderpriority WHEN '1-URGENT' THEN 'Form 3' WHEN '2-HIGH' THEN ' 4 ' WHEN '3-MEDIUM' THEN 'Form 4/A'
        WHEN '5-LOW' THEN '5' END AS form_raw,
   CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 11 = 1 THEN 'not a date' ELSE CAST(o_orderdate AS VARCHAR) END
@@ -240,7 +240,7 @@ SELECT c_custkey AS id, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE lpad(CAST(c_c
 FROM customer WHERE c_nationkey < 10""")
 
 _v("insider_incoming", """
-SELECT CASE WHEN o_custkey % 4 = 0 THEN NULL ELSE lpad(CAST(o_custkey AS VARCHAR), 10, '0') END AS cik,
+SELECT o_orderkey AS filing_id, CASE WHEN o_custkey % 4 = 0 THEN NULL ELSE lpad(CAST(o_custkey AS VARCHAR), 10, '0') END AS cik,
        CASE WHEN o_custkey % 4 = 0 THEN c_name ELSE c_name || ' #' || (o_orderkey % 3) END AS name,
        CAST(o_orderdate AS DATE) AS seq_d, o_orderkey AS seq_k
 FROM orders JOIN customer ON c_custkey = o_custkey""")

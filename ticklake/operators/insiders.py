@@ -48,7 +48,8 @@ def insider_header(raw: DataFrame, today) -> DataFrame:
     else 'Unknown Insider'; form_type with 'Form' removed; is_amendment.
     """
     owner = F.get(F.col("owners"), 0) if "owners" in raw.columns else F.lit(None)
-    owner_name = owner.getField("name") if "owners" in raw.columns else F.lit(None).cast("string")
+    fields = raw.schema["owners"].dataType.elementType.names if "owners" in raw.columns else []
+    owner_name = owner.getField("name") if "name" in fields else F.lit(None).cast("string")
     name_cols = [C.clean_text(c) for c in ("summary_insider_name", "insider_name") if c in raw.columns]
     fd = C.to_date10("filing_date_raw")
     rp = C.to_date10("reporting_period_raw") if "reporting_period_raw" in raw.columns else F.lit(None).cast("date")
@@ -60,9 +61,27 @@ def insider_header(raw: DataFrame, today) -> DataFrame:
         F.coalesce(fd, rp, F.lit(today).cast("date")).alias("filing_date"),
         rp.alias("reporting_period"),
         F.coalesce(*name_cols, C.clean_text(owner_name), F.lit("Unknown Insider")).alias("insider_name"),
+        *_owner_columns(raw, owner, fields),
     )
 
 
+def _owner_columns(raw: DataFrame, owner, fields) -> list:
+    """The optional header columns that the input can tell: position (summary,
+    else owner), the owner's roles, title and the trading-plan flag."""
+    out = []
+    position = [C.clean_text("position")] if "position" in raw.columns else []
+    if "position" in fields:
+        position.append(C.clean_text(owner.getField("position")))
+    if position:
+        out.append(F.coalesce(*position).alias("position"))
+    out += [owner.getField(f).alias(f) for f in ("is_director", "is_officer", "is_ten_pct_owner") if f in fields]
+    if "officer_title" in fields:
+        out.append(C.clean_text(owner.getField("officer_title")).alias("officer_title"))
+    if "has_10b5_1_plan" in raw.columns:
+        out.append(F.col("has_10b5_1_plan"))
+    return out
+
+
 def number_rows(df: DataFrame, keys, order, name: str = "line_number") -> DataFrame:
     """1-based numbering inside each key in source order (small groups)."""
     w = Window.partitionBy(*keys).orderBy(*order)
@@ -165,8 +184,7 @@ def resolve_insiders(insider: DataFrame, incoming: DataFrame) -> DataFrame:
     ``seq`` when given); without: match on (cik IS NULL, name).  New insiders get
     ids ``max(id) + rank`` in natural-key order.  Returns the new dimension.
     """
-    nk = F.when(F.col("cik").isNotNull(), F.concat(F.lit("c:"), F.col("cik"))).otherwise(
-        F.concat(F.lit("n:"), F.col("name")))
+    nk = natural_key()
     inc = incoming.where(F.col("cik").isNotNull() | F.col("name").isNotNull()).withColumn("_nk", nk)
     order = [F.col("seq")] if "seq" in inc.columns else [F.col("name")]
     inc = latest_by(inc, ["_nk"], order, ["cik", "name"])
@@ -181,10 +199,29 @@ def resolve_insiders(insider: DataFrame, incoming: DataFrame) -> DataFrame:
     return kept.unionByName(fresh)
 
 
+def natural_key(cik="cik", name="name"):
+    """How an insider is recognised: by cik, without one by name."""
+    return F.when(F.col(cik).isNotNull(), F.concat(F.lit("c:"), F.col(cik))).otherwise(F.concat(F.lit("n:"), F.col(name)))
+
+
+def filing_insiders(incoming: DataFrame, insider: DataFrame) -> DataFrame:
+    """(filing_id, insider_id): the owner named on each filing, resolved."""
+    known = insider.select(natural_key().alias("_nk"), F.col("id").alias("insider_id"))
+    return incoming.select("filing_id", natural_key().alias("_nk")).join(known, "_nk").select("filing_id", "insider_id")
+
+
+def with_direction(ledger: DataFrame) -> DataFrame:
+    """``acquired_disposed`` where the vendor gave none: a purchase (code P) is
+    acquired, a sale (code S) disposed."""
+    code = F.col("transaction_code")
+    told = F.col("acquired_disposed") if "acquired_disposed" in ledger.columns else F.lit(None).cast("string")
+    return ledger.withColumn("acquired_disposed", F.coalesce(told, F.when(code == "P", "A").when(code == "S", "D")))
+
+
 def with_code_labels(ledger: DataFrame, codes: DataFrame) -> DataFrame:
     """Ledger lines with code label/description; unseen codes are added to
     the code table as 'Other (X)' first (insert-ignore), then a left join.  The
-    code table is bounded by the code domain (VARCHAR(2)), so it is broadcast."""
+    codes come from the data, so the join is left to Spark's size estimate."""
     seen = ledger.where(F.col("transaction_code").isNotNull()).select(
         F.col("transaction_code").alias("code")).distinct()
     other = F.concat(F.lit("Other ("), F.col("code"), F.lit(")"))
@@ -193,7 +230,7 @@ def with_code_labels(ledger: DataFrame, codes: DataFrame) -> DataFrame:
     allc = codes.select("code", "label", "description").unionByName(missing)
     lab = allc.select(F.col("code").alias("transaction_code"), F.col("label").alias("code_label"),
                       F.col("description").alias("code_description"))
-    return ledger.join(F.broadcast(lab), "transaction_code", "left")
+    return ledger.join(lab, "transaction_code", "left")
 
 
 def seed_codes(codes_existing: DataFrame, spark) -> DataFrame:
@@ -217,7 +254,7 @@ def filing_rollup(ledger: DataFrame, codes: DataFrame) -> DataFrame:
         F.min("transaction_code").alias("_code"),
     )
     lab = codes.select(F.col("code").alias("_code"), F.col("label"))
-    j = agg.join(F.broadcast(lab), "_code", "left")
+    j = agg.join(lab, "_code", "left")
     return j.select(
         "insider_filing_id", "net_change", "net_value", "remaining_shares",
         F.when(F.col("_ncodes") > 1, F.lit("Mixed"))

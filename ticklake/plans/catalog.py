@@ -781,17 +781,19 @@ def q_stream_run_state(spark, d):
 from . import jobs as JOBS  # noqa: E402
 
 
-@register("C1_market_build")
-def q_market_build(spark, d):
-    p = fx.price(spark, d)
-    stored = p.where(F.col("date") < F.lit("1997-01-01").cast("date"))
-    s = fx.split(spark, d)
-    out = JOBS.market_build(stored, p, s.limit(0), s, fx.ticker(spark, d), _info(spark, d), AS_OF)
-    return out["ticker"]
+def _market(spark, d):
+    p, s = fx.price(spark, d), fx.split(spark, d)
+    old = F.col("date") < F.lit("1997-01-01").cast("date")
+    stored_splits = s.where(old).withColumn("ratio", (F.col("ratio") + 1).cast("decimal(10,2)"))
+    return JOBS.market_build(p.where(old), p, stored_splits, s, fx.ticker(spark, d), _info(spark, d), AS_OF)
+
 
+for _table in ("price", "split", "fundamentals", "ticker"):
+    register(f"C1_{_table}")(lambda spark, d, t=_table: _market(spark, d)[t])
+register("C1_market_build")(lambda spark, d: _market(spark, d)["ticker"])
 
-@register("C3_filing_text_build")
-def q_filing_text_build(spark, d):
+
+def _filing_text(spark, d):
     from pyspark.sql import types as T
     schema = T.StructType([T.StructField("filingId", T.LongType()), T.StructField("section", T.StringType()),
                            T.StructField("title", T.StringType()), T.StructField("content", T.StringType()),
@@ -800,14 +802,37 @@ def q_filing_text_build(spark, d):
     empty = spark.createDataFrame([], schema)
     out = JOBS.filing_text_build(fx.filing(spark, d), _stored_filings(spark, d), fx.attachment(spark, d),
                                  fx.filing_items(spark, d), empty, FILING_LIMITS)
-    return out["statements"]
+    return out
+
+
+register("C3_filing_text_build")(lambda spark, d: _filing_text(spark, d)["statements"])
+register("C3_filing")(lambda spark, d: _filing_text(spark, d)["filing"])
+
+
+def _insiders(spark, d):
+    f = fx.insider_filing(spark, d)
+    stored = f.where(F.col("id") % 2 == 0).select(
+        "id", "ticker_id", "insider_id", "accession_no", C.form_type("form_raw").alias("form_type"),
+        C.is_amendment(C.form_type("form_raw")).alias("is_amendment"), "filing_date", F.lit(None).cast("date").alias("reporting_period"),
+        F.lit(None).cast("string").alias("insider_name"), "completed")
+    ledger = fx.insider_transaction(spark, d).join(stored.select(F.col("id").alias("insider_filing_id")), "insider_filing_id")
+    return JOBS.insider_build(stored, ledger, fx.insider_header_raw(spark, d), fx.ownership_rows(spark, d),
+                              fx.insider_dim(spark, d), fx.insider_incoming(spark, d), TODAY)
+
+
+for _name, _table in (("C4_filing", "insider_filing"), ("C4_ledger", "ledger"), ("C4_rollup", "rollup"), ("C4_position", "position")):
+    register(_name)(lambda spark, d, t=_table: _insiders(spark, d)[t])
+register("C4_insider_build")(lambda spark, d: _insiders(spark, d)["rollup"])
 
 
-@register("C4_insider_build")
-def q_insider_build(spark, d):
-    out = JOBS.insider_build(fx.insider_header_raw(spark, d), fx.ownership_rows(spark, d), fx.insider_dim(spark, d),
-                             fx.insider_incoming(spark, d), TODAY)
-    return out["rollup"]
+@register("C2_pointers")
+def q_period_pointers(spark, d):
+    """The latest period pointers of each ticker, written to its row."""
+    latest = fin.latest_periods(fact_table(spark, d)).withColumnRenamed("ticker_id", "id")
+    cols = [c for c in latest.columns if c != "id"]
+    types = dict(latest.dtypes)
+    t = fx.ticker(spark, d).select("id", "symbol", *[F.lit(None).cast(types[c]).alias(c) for c in cols])
+    return sinks.update_columns(t, latest, "id", cols)
 
 
 @register("C5_daily_plan")

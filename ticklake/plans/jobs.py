@@ -12,6 +12,7 @@ from ..operators import insiders as INS
 from ..operators import market as MK
 from ..operators import text as TO
 from ..operators.common import latest_by
+from ..session import cut_lineage
 from ..sources import sinks
 
 STATEMENT_KEYS = ["filingId", "section", "chunk_number"]
@@ -21,17 +22,21 @@ STATEMENT_UPDATE = ["content", "raw_content", "markdown_content", "word_count"]
 def market_build(price_store: DataFrame, bars: DataFrame, split_store: DataFrame, splits: DataFrame,
                  ticker: DataFrame, info: DataFrame, as_of) -> dict[str, DataFrame]:
     """Bars and splits upserted (new bars only), fundamentals as of a date,
-    ticker profile columns updated (NULL never overwrites a stored value)."""
+    all ticker profile columns updated from the newest document (NULL never
+    overwrites a stored value).  A day's bar and split are unique per ticker;
+    of repeated ones the highest close, or ratio, wins."""
     new_bars = MK.newer_than(MK.clean_prices(bars), price_store)
-    price = sinks.upsert(price_store, new_bars, ["tickerId", "date"], order=None)
-    split = sinks.upsert(split_store, splits, ["tickerId", "date"], order=None)
+    price = sinks.upsert(price_store, new_bars, ["tickerId", "date"], order=["close", "open", "high", "low", "volume"])
+    split = sinks.upsert(split_store, splits, ["tickerId", "date"], order=["ratio"])
     fund = MK.fundamentals(info, as_of)
     keep = ("ticker_id", "event_id") if "event_id" in info.columns else ("ticker_id",)
     prof = MK.ticker_profile(info, keep=keep).withColumnRenamed("ticker_id", "id")
     if "event_id" in prof.columns:  # newest document per ticker
         prof = latest_by(prof, ["id"], [F.col("event_id")])
-    cols = [c for c in ("name", "quote_type", "sector", "industry", "currency") if c in ticker.columns]
-    tick = sinks.update_columns(ticker, prof, "id", cols, keep_on_null=True)
+    cols = [c for c in prof.columns if c not in ("id", "event_id")]
+    types = dict(prof.dtypes)
+    wide = ticker.select("*", *[F.lit(None).cast(types[c]).alias(c) for c in cols if c not in ticker.columns])
+    tick = sinks.update_columns(wide, prof, "id", cols, keep_on_null=True)
     return {"price": price, "split": split, "fundamentals": fund, "ticker": tick}
 
 
@@ -50,30 +55,42 @@ def filing_text_build(filing: DataFrame, stored_filing: DataFrame, attachments:
     md = TO.statement_chunks(sec, "filing_id", "content", kind="MDNA", section_col="section_id",
                              title_col="section_title")
     new_rows = pr.unionByName(md)
-    st = sinks.upsert(statements, new_rows, STATEMENT_KEYS, STATEMENT_UPDATE, order=None)
+    new_rows = cut_lineage(new_rows)  # read by both tables
+    st = sinks.upsert(statements, new_rows, STATEMENT_KEYS, STATEMENT_UPDATE, order=["title", "raw_content"], winner="first")
     stored_any = new_rows.select(F.col("filingId").alias("id")).distinct().withColumn("completed", F.lit(True))
-    fil = sinks.update_columns(stored_filing, stored_any, "id", ["completed"], keep_on_null=True)
+    seen = sinks.insert_ignore(stored_filing, todo.select(*[c for c in stored_filing.columns if c in todo.columns])
+                               .withColumn("completed", F.lit(False)), ["accessionNo"], order=["id"])
+    fil = sinks.update_columns(seen, stored_any, "id", ["completed"], keep_on_null=True)
     return {"statements": st, "filing": fil}
 
 
-def insider_build(header_raw: DataFrame, ownership_rows: DataFrame, insider_dim: DataFrame,
-                  incoming: DataFrame, today) -> dict[str, DataFrame]:
-    """C4: headers, insiders, ledger, code table, per-filing rollup, completed
-    flags and the current-position view."""
+FILING_COLUMNS = ["id", "ticker_id", "insider_id", "accession_no", "form_type", "is_amendment", "filing_date",
+                  "reporting_period", "insider_name", "completed"]
+LEDGER_COLUMNS = ["insider_filing_id", "is_derivative", "line_number", "transaction_date", "security_title",
+                  "transaction_code", "acquired_disposed", "shares", "price_per_share", "shares_owned_following",
+                  "ticker_id", "insider_id"]
+
+
+def insider_build(stored_filing: DataFrame, stored_ledger: DataFrame, header_raw: DataFrame, ownership_rows: DataFrame,
+                  insider_dim: DataFrame, incoming: DataFrame, today) -> dict[str, DataFrame]:
+    """C4: filings that are not completed yet get their header, ticker and
+    insider (created where new), their ledger lines are upserted, and they are
+    marked completed; then the per-filing rollup and the current positions."""
     spark = header_raw.sparkSession
-    head = INS.insider_header(header_raw, today)
-    ins = INS.resolve_insiders(insider_dim, incoming)
-    led = INS.ledger_rows(ownership_rows)
-    codes = sinks.seed(schemas.transaction_code_df(spark), schemas.transaction_code_df(spark), ["code"])
-    labelled = INS.with_code_labels(led, codes)
-    roll = INS.filing_rollup(labelled.withColumn("acquired_disposed", F.lit(None).cast("string")), codes)
-    with_lines = led.select(F.col("insider_filing_id").alias("id")).distinct().withColumn("completed", F.lit(True))
-    fil = sinks.update_columns(head.withColumn("completed", F.lit(False)), with_lines, "id", ["completed"])
-    pos_ledger = led.join(head.select(F.col("id").alias("insider_filing_id"),
-                                      F.lit(0).alias("ticker_id"), F.lit(0).alias("insider_id")),
-                          "insider_filing_id")
-    pos = INS.position_current(pos_ledger, fil)
-    return {"insider_filing": fil, "insider": ins, "ledger": labelled, "rollup": roll, "position": pos}
+    done = stored_filing.where(F.col("completed")).select("accession_no")
+    todo = header_raw.join(done, "accession_no", "left_anti")
+    insiders = INS.resolve_insiders(insider_dim, incoming)
+    links = INS.filing_insiders(incoming, insiders).withColumnRenamed("filing_id", "id")
+    head = INS.insider_header(todo, today).join(todo.select("id", "ticker_id"), "id").join(links, "id", "left")
+    head = cut_lineage(head.withColumn("completed", F.lit(True)).select(*FILING_COLUMNS))
+    filing = sinks.upsert(stored_filing.select(*FILING_COLUMNS), head, ["accession_no"],
+                          [c for c in FILING_COLUMNS if c not in ("id", "accession_no")], order=["id"])
+    keys = head.select(F.col("id").alias("insider_filing_id"), "ticker_id", "insider_id")
+    lines = INS.with_direction(INS.ledger_rows(ownership_rows)).join(keys, "insider_filing_id").select(*LEDGER_COLUMNS)
+    ledger = sinks.upsert(stored_ledger.select(*LEDGER_COLUMNS), lines, LEDGER_COLUMNS[:3], order=LEDGER_COLUMNS[3:10])
+    rollup = INS.filing_rollup(lines, schemas.transaction_code_df(spark))
+    return {"insider_filing": filing, "insider": insiders, "ledger": ledger, "rollup": rollup,
+            "position": INS.position_current(ledger, filing)}
 
 
 def daily_plan(tickers: DataFrame, checks: DataFrame, state: DataFrame, now, force: bool = False) -> DataFrame:

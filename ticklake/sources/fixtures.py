@@ -398,6 +398,7 @@ def insider_header_raw(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("o_orderkey")
     return j.select(
         k.alias("id"),
+        (F.col("o_custkey") % 50).alias("ticker_id"),
         F.concat(F.lit("acc-"), k.cast("string")).alias("accession_no"),
         F.when(pr == "1-URGENT", "Form 3").when(pr == "2-HIGH", " 4 ").when(pr == "3-MEDIUM", "Form 4/A")
         .when(pr == "5-LOW", "5").otherwise(F.lit(None).cast("string")).alias("form_raw"),
@@ -430,6 +431,7 @@ def insider_incoming(spark: SparkSession, d: str) -> DataFrame:
     j = o.join(c.select(F.col("c_custkey").alias("o_custkey"), "c_name"), "o_custkey")
     ck = F.col("o_custkey")
     return j.select(
+        F.col("o_orderkey").alias("filing_id"),
         F.when(ck % 4 == 0, F.lit(None).cast("string")).otherwise(F.lpad(ck.cast("string"), 10, "0")).alias("cik"),
         F.when(ck % 4 == 0, F.col("c_name"))
         .otherwise(F.concat(F.col("c_name"), F.lit(" #"), (F.col("o_orderkey") % 3).cast("string"))).alias("name"),
