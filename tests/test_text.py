@@ -98,3 +98,14 @@ def test_mdna_sections(spark):
     out = {(r.filing_id, r.section_id): r.content
            for r in TO.mdna_sections(filings, items, schemas.mdna_rules_df(spark)).collect()}
     assert out == {(1, "Item 7"): "mdna", (1, "Item 7A"): "risk", (2, "Item 2"): "q"}
+
+
+def test_character_references(spark):
+    from ticklake.functions.text import html_unescape
+    cases = {"&#9999999;": "\ufffd", "&#38;lt;": "&lt;", "&#150;": "\u2013", "&#xD800;": "\ufffd", "&eacute;&auml;": "éä", "&amp;lt; &lt;b&gt;": "&lt; <b>",
+             "&#0;": "\ufffd", "&#99999999999999999999;": "\ufffd", "&#x1F600;": "😀", "&#233;": "é", "&unknown; & &amp &;": "&unknown; & &amp &;",
+             "&NotEqualTilde;": "\u2242\u0338", "&#x110000;&#x10FFFF;": "\ufffd\U0010ffff", "&#000065;": "A", "&bsol;&apos;&NewLine;": "\\'\n", "": "", "plain": "plain"}
+    df = spark.createDataFrame(list(cases.items()), "s string, want string")
+    for r in df.select("s", "want", html_unescape("s").alias("got")).collect():
+        assert r.got == r.want, r
+    assert spark.sql("SELECT CAST(NULL AS STRING) s").select(html_unescape("s").alias("x")).first().x is None

@@ -8,6 +8,8 @@ Unicode ``\\s`` and ``\\w`` are spelled out as explicit classes because Java's
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -70,40 +72,50 @@ def words(c: ColLike) -> Column:
     return F.when(s == "", F.array().cast("array<string>")).otherwise(F.split(s, " "))
 
 
-# FIXED VALUES: named character references decoded by ``html_unescape``.
-NAMED_ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0"),
-    ("&copy;", "\u00a9"), ("&reg;", "\u00ae"), ("&trade;", "\u2122"), ("&middot;", "\u00b7"),
-    ("&bull;", "\u2022"), ("&hellip;", "\u2026"), ("&ndash;", "\u2013"), ("&mdash;", "\u2014"),
-    ("&lsquo;", "\u2018"), ("&rsquo;", "\u2019"), ("&ldquo;", "\u201c"), ("&rdquo;", "\u201d"),
-    ("&laquo;", "\u00ab"), ("&raquo;", "\u00bb"), ("&euro;", "\u20ac"), ("&pound;", "\u00a3"),
-    ("&yen;", "\u00a5"), ("&cent;", "\u00a2"), ("&sect;", "\u00a7"), ("&deg;", "\u00b0"),
-    ("&times;", "\u00d7"), ("&divide;", "\u00f7"),
-]
-_NUMERIC = r"&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+_REFERENCE = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+
+
+def _named_references() -> Column:
+    """All named references of HTML5 (the standard library's table) as a map."""
+    table = sorted((name, char) for name, char in html5.items() if name.endswith(";"))
+    return F.map_from_arrays(F.split(F.lit(" ".join(f"&{n}" for n, _ in table)), " "),
+                             F.split(F.lit("\x01".join(c for _, c in table)), "\x01"))
 
 
-def _decode_numeric(s: Column) -> Column:
-    """Replace decimal / hex character references with the character (UTF-32 decode)."""
-    parts = F.split(s, _NUMERIC, -1)
-    ents = F.regexp_extract_all(s, F.lit(_NUMERIC), 1)
+def _control_characters() -> Column:
+    """What the code points 0x80 to 0x9F of numeric references stand for
+    (windows-1252, where it defines them)."""
+    chars = [(i, bytes([i]).decode("cp1252", "replace")) for i in range(0x80, 0xA0)]
+    return F.map_from_arrays(F.array(*[F.lit(i) for i, _ in chars]),
+                             F.array(*[F.lit(chr(i) if c == "\ufffd" else c) for i, c in chars]))
 
-    def to_char(e):
-        n = F.when(F.lower(e).startswith("x"), F.conv(F.substring(e, 2, 10), 16, 10)).otherwise(e).cast("bigint")
-        return F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
 
-    decoded = F.transform(ents, to_char)
-    pieces = F.zip_with(parts, F.concat(decoded, F.array(F.lit(""))), lambda p, d: F.concat(p, F.coalesce(d, F.lit(""))))
-    return F.when(s.contains("&#"), F.array_join(pieces, "")).otherwise(s)
+def _numeric_character(ref: Column) -> Column:
+    """The character of ``&#...;``; U+FFFD where there is none."""
+    is_hex = F.lower(F.substring(ref, 3, 1)) == "x"
+    digits = F.ltrim(F.when(is_hex, F.substring(ref, 4, 2**30)).otherwise(F.substring(ref, 3, 2**30)), F.lit("0"))
+    digits = F.replace(digits, F.lit(";"), F.lit(""))
+    fits = F.length(digits).between(1, 7)
+    n = F.when(fits, F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits)).try_cast("bigint")
+    valid = fits & n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, n).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+    return F.when(n.between(0x80, 0x9F), F.try_element_at(_control_characters(), n.cast("int"))).otherwise(char)
 
 
 def html_unescape(c: ColLike) -> Column:
-    """Decode numeric references, the named references above, then ``&amp;``
-    last (so ``&amp;lt;`` becomes ``&lt;`` as in a single-pass decoder)."""
-    s = _decode_numeric(_c(c))
-    for ent, ch in NAMED_ENTITIES:
-        s = F.replace(s, F.lit(ent), F.lit(ch))
-    return F.replace(s, F.lit("&amp;"), F.lit("&"))
+    """Decode all character references in one pass: names of the HTML5 table
+    (unknown ones stay) and numbers (windows-1252 for 0x80 to 0x9F; U+FFFD for
+    code points that do not exist)."""
+    s = _c(c)
+    names = _named_references()
+
+    def char(ref):
+        return F.when(ref.startswith("&#"), _numeric_character(ref)).otherwise(F.coalesce(F.try_element_at(names, ref), ref))
+
+    chars = F.transform(F.regexp_extract_all(s, F.lit(_REFERENCE), 0), char)
+    parts = F.split(s, _REFERENCE, -1)
+    joined = F.array_join(F.zip_with(parts, F.concat(chars, F.array(F.lit(""))), lambda p, d: F.concat(p, d)), "")
+    return F.when(s.contains("&"), joined).otherwise(s)
 
 
 # FIXED VALUES: tags whose boundaries start a new text block.

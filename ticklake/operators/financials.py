@@ -429,12 +429,15 @@ def merge_facts(cands: DataFrame, grain: Sequence[str] = ("filing_accession", *G
     return staged.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).select(*cands.columns)
 
 
-def merge_conflicts(cands: DataFrame, grain: Sequence[str] = ("filing_accession", *GRAIN)) -> DataFrame:
-    """Grains whose candidates disagree on the value (sorted distinct values)."""
-    return cands.groupBy(*grain).agg(
-        F.count_distinct("value").alias("n_values"),
-        F.array_join(F.transform(F.sort_array(F.collect_set("value")), lambda x: x.cast("string")), ",").alias("values"),
-    ).where(F.col("n_values") > 1)
+def merge_conflicts(cands: DataFrame, grain: Sequence[str] = ("filing_accession", *GRAIN), sample: int = 10) -> DataFrame:
+    """Grains whose candidates disagree on the value: the number of distinct
+    values, the least and the greatest, and the first ``sample`` in order (cut
+    per grain below the shuffle, never a whole grain in one cell)."""
+    d = cands.select(*grain, "value").where(F.col("value").isNotNull()).distinct()
+    n = d.groupBy(*grain).agg(F.count(F.lit(1)).alias("n_values"), F.min("value").alias("min_value"), F.max("value").alias("max_value")).where(F.col("n_values") > 1)
+    first = top_k_per_group(d, list(grain), [F.col("value")], sample, rank_col="_r").groupBy(*grain).agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list("value")), lambda x: x.cast("string")), ",").alias("values"))
+    return n.join(first, list(grain))
 
 
 def unmapped_concepts(unmapped: DataFrame, sample: int = 25) -> DataFrame:

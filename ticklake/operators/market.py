@@ -157,16 +157,14 @@ def split_adjust(price: DataFrame, split: DataFrame) -> DataFrame:
     """Split factor of each bar = product of the ratios of the ticker's
     later splits (1 when none); adjusted close = close / factor.
 
-    A range join (same ticker, split date after the bar) followed by a product
-    aggregate per bar: the fan-out is the number of later splits per bar, AQE
-    splits a hot ticker's partitions, and the aggregate combines map-side."""
-    s = split.select(F.col("tickerId").alias("_t"), F.col("date").alias("_sd"), F.col("ratio").cast("double").alias("_r"))
-    j = price.select("tickerId", "date", "close").join(
-        s, (F.col("tickerId") == F.col("_t")) & (F.col("_sd") > F.col("date")), "left")
-    g = j.groupBy("tickerId", "date", "close").agg(F.product(F.coalesce(F.col("_r"), F.lit(1.0))).alias("_f"))
-    return g.select("tickerId", "date", F.col("close").cast("double").alias("close"),
-                    F.col("_f").alias("split_factor"),
-                    (F.col("close").cast("double") / F.col("_f")).alias("adj_close"))
+    Bars and splits of a ticker in one descending order with a running product
+    of the splits after the day: one shuffle, no row per (bar, split)."""
+    rows = price.select("tickerId", "date", F.col("close").cast("double").alias("close"), F.lit(None).cast("double").alias("_r")).unionByName(
+        split.select("tickerId", "date", F.lit(None).cast("double").alias("close"), F.col("ratio").cast("double").alias("_r"), F.lit(True).alias("_split")),
+        allowMissingColumns=True)
+    later = Window.partitionBy("tickerId").orderBy(F.datediff("date", F.lit("1970-01-01")).desc()).rangeBetween(Window.unboundedPreceding, -1)
+    out = rows.withColumn("split_factor", F.coalesce(F.product("_r").over(later), F.lit(1.0))).where(F.col("_split").isNull())
+    return out.select("tickerId", "date", "close", "split_factor", (F.col("close") / F.col("split_factor")).alias("adj_close"))
 
 
 # ---------------------------------------------------------------------------

@@ -718,8 +718,8 @@ def q_knn(spark, d):
 @register("V2_ivf_search")
 def q_ivf_search(spark, d):
     e = _emb(spark, d)
-    assigned, cents = VEC.ivf_build(e, lists=8)
-    return VEC.ivf_search(e, assigned, cents, nprobe=3, k=5, exclude_self=True)
+    assigned, cents = VEC.ivf_build(e)
+    return VEC.ivf_search(e, assigned, cents, nprobe=max(1, -(-len(cents) // 2)), k=5, exclude_self=True)
 
 
 @register("V3_hash_embed")
