@@ -50,6 +50,7 @@ def test_passages_periods_and_unicode(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert ours(df) == brute(rows)
     assert ours(df, collection=5) == brute(rows)
+    assert ours(df, hot=2) == ours(df, hot=0) == brute(rows)  # windows go one by one
 
 
 def test_awkward_rows(spark, awkward):

@@ -24,7 +24,10 @@ collection holds the blocks of some minimizers:
 
 A batch sends a block once, however many of its documents hold it, so a passage
 that a third of all documents share is one row a batch.  A minimizer that is in
-two documents but has one distinct block needs no comparison.
+two documents but has one distinct block needs no comparison.  A minimizer with
+more than ``hot`` different blocks (a common phrase in many contexts) would make
+one large collection: its windows are sent one by one instead, each by its own
+hash, so they spread over all buckets.
 
 Defined results: null and empty texts have no bytes.  Rows without an id lose
 nothing and take nothing from others.  Rows with the same id do not count as
@@ -46,6 +49,8 @@ from .column_bwt import least_owner
 WINDOW, GRAM = 50, 16
 #: strings in a collection, about
 COLLECTION = 20_000
+#: blocks of a minimizer above which its windows go by their own hashes
+HOT = 65_536
 _PIECE = 1 << 19
 _STEP = 0x9E3779B97F4A7C55
 _NONE = np.iinfo(np.int64).max
@@ -82,14 +87,15 @@ def _least_in(values: np.ndarray, n: int) -> np.ndarray:
     return np.minimum(values[:len(values) - (n - size)], values[n - size:]) if size < n else values
 
 
-def blocks(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, number of windows and minimizer of every block."""
+def blocks(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start, number of windows, minimizer and a hash of the ends of every block."""
     most = window - gram + 1
-    starts, counts, keys = [], [], []
+    starts, counts, keys, ends_hash = [], [], [], []
     lengths = np.diff(offsets)
     for lo in range(0, max(0, len(data) - window + 1), _PIECE):
         hi = min(lo + _PIECE, len(data) - window + 1)  # windows lo..hi
-        least = _least_in(_gram_hashes(data[lo:hi + window - 1], gram), most)
+        grams = _gram_hashes(data[lo:hi + window - 1], gram)
+        least = _least_in(grams, most)
         at = np.arange(lo, hi)
         text = np.searchsorted(offsets, at, "right") - 1
         whole = at + window <= offsets[text] + lengths[text]
@@ -104,9 +110,10 @@ def blocks(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, gram: in
         starts.append(at[first])
         counts.append(stop - first)
         keys.append(least[first])
+        ends_hash.append(grams[first] + np.uint64(3) * grams[stop + window - gram - 1])
     if not starts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate(starts), np.concatenate(counts), np.concatenate(keys)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    return np.concatenate(starts), np.concatenate(counts), np.concatenate(keys), np.concatenate(ends_hash)
 
 
 def _next_true(flags: np.ndarray) -> np.ndarray:
@@ -146,8 +153,9 @@ def _row_hashes(rows: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.stack([a, b], axis=1)
 
 
-def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return ((keys >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+def _coded(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """Keys: the bucket, then 32 bits of the hash."""
+    return ((hashes >> np.uint64(32)) % np.uint64(buckets)) << np.uint64(32) | (hashes & np.uint64(0xFFFFFFFF))
 
 
 class _Batch:
@@ -156,10 +164,9 @@ class _Batch:
         self.docs, self.window, self.buckets = docs, window, buckets
         self.data, self.offsets = text_bytes(docs.column("text"))
         self.doc_ids, self.known = ids(docs.column("doc_id"), _NONE)
-        self.starts, self.counts, self.minimizers = blocks(self.data, self.offsets, window, gram)
+        self.starts, self.counts, minimizers, self.ends_hash = blocks(self.data, self.offsets, window, gram)
         self.doc = np.searchsorted(self.offsets, self.starts, "right") - 1
-        # a key: the bucket, then 32 bits of the minimizer
-        self.coded = (_bucket(self.minimizers, buckets).astype(np.uint64) << np.uint64(32)) | (self.minimizers & np.uint64(0xFFFFFFFF))
+        self.coded = _coded(minimizers, buckets)
         self.keys, self.key = np.unique(self.coded, return_inverse=True)
 
     def _split(self, coded: np.ndarray) -> tuple[np.ndarray, list[slice]]:
@@ -175,22 +182,36 @@ class _Batch:
         np.minimum.at(least, self.key, owner)
         np.maximum.at(most, self.key, owner)
         several = (least < most).astype(np.uint8)
+        order = np.lexsort((self.counts, self.ends_hash, self.key))  # about how many different blocks a key has
+        k, e, c = self.key[order], self.ends_hash[order], self.counts[order]
+        new = np.append(True, (k[1:] != k[:-1]) | (e[1:] != e[:-1]) | (c[1:] != c[:-1]))[: len(k)]
+        contexts = np.minimum(np.bincount(k[new], minlength=len(self.keys)), 65535).astype(np.uint16)
         found, parts = self._split(self.keys)
         low = self.keys.astype(np.uint32)
         return pa.table({"batch": pa.array([batch] * len(found), pa.int64()), "bucket": pa.array(found, pa.int64()),
                          "keys": pa.array([low[p].tobytes() for p in parts], pa.binary()),
-                         "several": pa.array([np.packbits(several[p]).tobytes() for p in parts], pa.binary())})
+                         "several": pa.array([np.packbits(several[p]).tobytes() for p in parts], pa.binary()),
+                         "contexts": pa.array([contexts[p].tobytes() for p in parts], pa.binary())})
 
     def repeated(self, answers: pa.Table) -> None:
         """Keep the blocks whose minimizers stand in two documents; the distinct
         ones in order of bucket, minimizer and content."""
         by_bucket = dict(zip(answers.column("bucket").to_pylist(), answers.column("packed").to_pylist(), strict=True))
         found, parts = self._split(self.keys)
-        flags = np.zeros(len(self.keys), bool)
+        keeps, hots = np.zeros(len(self.keys), bool), np.zeros(len(self.keys), bool)
         for b, p in zip(found.tolist(), parts, strict=True):
-            flags[p] = np.unpackbits(np.frombuffer(by_bucket[b], np.uint8), count=p.stop - p.start)
-        keep = flags[self.key]
-        self.starts, self.counts, self.doc, self.coded = self.starts[keep], self.counts[keep], self.doc[keep], self.coded[keep]
+            bits, n = np.frombuffer(by_bucket[b], np.uint8), p.stop - p.start
+            keeps[p], hots[p] = np.unpackbits(bits[:len(bits) // 2], count=n), np.unpackbits(bits[len(bits) // 2:], count=n)
+        keep, hot = keeps[self.key] & ~hots[self.key], keeps[self.key] & hots[self.key]
+        single = _ragged(self.starts[hot], self.counts[hot])  # every window a block of its own, by its hash
+        single_doc = np.repeat(self.doc[hot], self.counts[hot])
+        own = np.zeros(0, np.uint64)
+        if len(single):
+            own = np.concatenate([_row_hashes(_rows(self.data, single[i:i + 65_536], np.full(len(single[i:i + 65_536]), self.window), self.window),
+                                              np.full(len(single[i:i + 65_536]), self.window))[:, 0] for i in range(0, len(single), 65_536)])
+        self.starts, self.doc = np.concatenate([self.starts[keep], single]), np.concatenate([self.doc[keep], single_doc])
+        self.counts = np.concatenate([self.counts[keep], np.ones(len(single), np.int64)])
+        self.coded = np.concatenate([self.coded[keep], _coded(own, self.buckets)])
         self.lengths = self.counts + self.window - 1
         width = int(self.lengths.max(initial=self.window))
         rows = _rows(self.data, self.starts, self.lengths, width) if len(self.starts) else np.zeros((0, width), np.uint8)
@@ -248,17 +269,20 @@ class _Batch:
         return np.cumsum(change[:-1]) > 0
 
 
-def _repeated_minimizers(messages: pa.Table) -> pa.Table:
-    """In a bucket: which keys stand in two documents, for every batch."""
+def _repeated_minimizers(messages: pa.Table, hot: int) -> pa.Table:
+    """In a bucket, for every batch: which keys stand in two documents, and
+    which of them have more than ``hot`` blocks."""
     raw, flags = messages.column("keys").to_pylist(), messages.column("several").to_pylist()
     keys = np.concatenate([np.frombuffer(x, np.uint32) for x in raw])
     several = np.concatenate([np.unpackbits(np.frombuffer(f, np.uint8), count=len(x) // 4) for x, f in zip(raw, flags, strict=True)])
     _, where, held = np.unique(keys, return_inverse=True, return_counts=True)
     # a key of two batches is in two documents, as documents are dealt by id; ids that are null count as one here
     yes = ((held > 1) | (np.bincount(where, several) > 0))[where]
-    ends = np.cumsum([len(x) // 4 for x in raw])
+    contexts = np.concatenate([np.frombuffer(x, np.uint16) for x in messages.column("contexts").to_pylist()])
+    many = (np.bincount(where, contexts) > hot)[where]
+    ends = np.cumsum([len(x) // 4 for x in raw])[:-1]
     return pa.table({"batch": messages.column("batch"), "bucket": messages.column("bucket"),
-                     "packed": pa.array([np.packbits(x).tobytes() for x in np.split(yes, ends[:-1])], pa.binary())})
+                     "packed": pa.array([np.packbits(x).tobytes() + np.packbits(y).tobytes() for x, y in zip(np.split(yes, ends), np.split(many, ends), strict=True)], pa.binary())})
 
 
 def _least_documents(messages: pa.Table, window: int, collection: int) -> pa.Table:
@@ -343,7 +367,7 @@ def _whole_characters(raw: np.ndarray, gone: np.ndarray) -> str:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM,
-                   collection: int = COLLECTION, carry: dict[str, str] | None = None) -> DataFrame:
+                   collection: int = COLLECTION, hot: int = HOT, carry: dict[str, str] | None = None) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row; with
     ``carry`` (new name: column) also ``kept_text`` and those columns."""
     carried = dict(carry or {})
@@ -353,6 +377,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def ask(key: tuple, table: pa.Table) -> pa.Table:
         return _Batch(table, window, gram, buckets).minimizer_messages(key[0].as_py())
 
+    def count(table: pa.Table) -> pa.Table:
+        return _repeated_minimizers(table, hot)
+
     def send(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         batch = _Batch(table, window, gram, buckets)
         batch.repeated(answers)
@@ -369,8 +396,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     packed = "batch long, bucket long, packed binary"
     by_batch = dealt.groupBy("batch")
-    asked = by_batch.applyInArrow(ask, "batch long, bucket long, keys binary, several binary")
-    repeated = asked.groupBy("bucket").applyInArrow(_repeated_minimizers, packed)
+    asked = by_batch.applyInArrow(ask, "batch long, bucket long, keys binary, several binary, contexts binary")
+    repeated = asked.groupBy("bucket").applyInArrow(count, packed)
     sent = by_batch.cogroup(repeated.groupBy("batch")).applyInArrow(send, packed)
     least = sent.groupBy("bucket").applyInArrow(compare, packed)
     answers = repeated.selectExpr("*", "1 AS kind").unionByName(least.selectExpr("*", "2 AS kind"))
