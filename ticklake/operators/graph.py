@@ -65,11 +65,16 @@ def _ranked_sources(v: DataFrame, e: DataFrame, src_label: str, rel: str, dst_la
     return top_k(counts, [F.col(cnt).desc(), F.col("c_id")], k)
 
 
+def _edges_of(e: DataFrame, top: DataFrame) -> DataFrame:
+    """The edges that leave the few vertices of ``top``."""
+    return e.join(F.broadcast(top.select(F.col("c_id").alias("src"))), "src", "left_semi")
+
+
 def top_reporters(v: DataFrame, e: DataFrame, k: int = 5, limit: int = 50) -> DataFrame:
     """G1: the k companies with most REPORTS edges to metrics, then their edges."""
     top = _ranked_sources(v, e, "Company", "REPORTS", "Metric", k, "report_count")
-    h = hop(v, e, "Company", ["REPORTS"], "Metric", "c", "r", "m")
-    out = h.join(F.broadcast(top), "c_id")  # top holds k rows: bounded by the parameter
+    # k rows (bounded by the parameter) cut the edges before any vertex is looked up
+    out = hop(v, _edges_of(e, top), "Company", ["REPORTS"], "Metric", "c", "r", "m").join(F.broadcast(top), "c_id")
     out = top_k(out, [F.col("report_count").desc(), F.col("c_id"), F.col("r_eid")], limit)
     return out.select("c_id", "c_name", "r_eid", "m_id", "m_name", "report_count")
 
@@ -78,25 +83,33 @@ def risk_networks(v: DataFrame, e: DataFrame, k: int = 3, limit: int = 40) -> Da
     """The k companies facing most risks, then their FACES / IMPLEMENTS /
     PRODUCES edges to any entity."""
     top = _ranked_sources(v, e, "Company", "FACES", "Risk", k, "risk_count")
-    h = hop(v, e, "Company", ["FACES", "IMPLEMENTS", "PRODUCES"], None, "c", "r", "x")
-    out = h.join(F.broadcast(top), "c_id")
+    out = hop(v, _edges_of(e, top), "Company", ["FACES", "IMPLEMENTS", "PRODUCES"], None, "c", "r", "x").join(F.broadcast(top), "c_id")
     out = top_k(out, [F.col("risk_count").desc(), F.col("c_id"), F.col("r_eid")], limit)
     return out.select("c_id", "c_name", "r_eid", "r_type", "x_id", "x_label", "risk_count")
 
 
 def _two_hop(v: DataFrame, e: DataFrame, l1: str | None, t1: Sequence[str] | None, l2: str | None,
-             t2: Sequence[str] | None, l3: str | None) -> DataFrame:
+             t2: Sequence[str] | None, l3: str | None, k: int | None = None, others: bool = False) -> DataFrame:
+    """Two-hop paths, with ``k`` the first of them by (start, first edge, second
+    edge); with ``others`` only paths that end elsewhere than they start.  Each first hop
+    that continues gives a path, so the first ``k`` of them are enough: they are
+    cut before the second hop is joined."""
     h1 = hop(v, e, l1, t1, l2, "a", "r1", "b")
-    e2 = _e(e, "r2", t2)
-    j = h1.join(e2, F.col("r2_src") == F.col("b_id")).where(F.col("r1_eid") != F.col("r2_eid"))
-    return j.join(_v(v, "c", l3), F.col("r2_dst") == F.col("c_id"))
+    h2 = _e(e, "r2", t2).join(_v(v, "c", l3), F.col("r2_dst") == F.col("c_id"))
+    goes_on = (F.col("r2_src") == F.col("b_id")) & (F.col("r1_eid") != F.col("r2_eid"))
+    if others:
+        goes_on = goes_on & (F.col("a_id") != F.col("c_id"))
+    if k is None:
+        return h1.join(h2, goes_on)
+    ends = h2.select("r2_src", "r2_eid", "c_id")
+    h1 = top_k(h1.join(ends, goes_on, "left_semi"), [F.col("a_id"), F.col("r1_eid")], k)
+    return top_k(h1.join(h2, goes_on), [F.col("a_id"), F.col("r1_eid"), F.col("r2_eid")], k)
 
 
 def metric_chains(v: DataFrame, e: DataFrame, paths: int = 20) -> DataFrame:
     """G3 + U4: the first ``paths`` company-REPORTS->metric-RELATED_TO->metric
     paths, as the distinct (node, relationship) pairs of those paths."""
-    p = _two_hop(v, e, "Company", ["REPORTS"], "Metric", ["RELATED_TO"], "Metric")
-    p = top_k(p, [F.col("a_id"), F.col("r1_eid"), F.col("r2_eid")], paths)
+    p = _two_hop(v, e, "Company", ["REPORTS"], "Metric", ["RELATED_TO"], "Metric", paths)
     nodes = F.array(F.col("a_id"), F.col("b_id"), F.col("c_id"))
     rels = F.array(F.col("r1_eid"), F.col("r2_eid"))
     return p.select(F.explode(nodes).alias("node_id"), rels.alias("rels")).select(
@@ -147,9 +160,7 @@ def product_metrics(v: DataFrame, e: DataFrame, limit: int = 25) -> DataFrame:
 
 def cross_mentions(v: DataFrame, e: DataFrame, limit: int = 20) -> DataFrame:
     """Company-REPORTS->metric-MENTIONED_IN->company with two different companies."""
-    p = _two_hop(v, e, "Company", ["REPORTS"], "Metric", ["MENTIONED_IN"], "Company").where(
-        F.col("a_id") != F.col("c_id"))
-    out = top_k(p, [F.col("a_id"), F.col("r1_eid"), F.col("r2_eid")], limit)
+    out = _two_hop(v, e, "Company", ["REPORTS"], "Metric", ["MENTIONED_IN"], "Company", limit, others=True)
     return out.select(F.col("a_id").alias("c1_id"), "r1_eid", F.col("b_id").alias("m_id"), "r2_eid",
                       F.col("c_id").alias("c2_id"))
 
