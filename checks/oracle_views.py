@@ -68,7 +68,7 @@ SELECT o_orderkey AS id, o_custkey % 50 AS ticker_id, o_custkey AS insider_id, '
 FROM orders""")
 
 _v("insider_transaction_raw", """
-SELECT l_orderkey AS insider_filing_id, l_linestatus = 'O' AS is_derivative, l_linenumber AS line_number,
+SELECT CASE WHEN l_partkey % 101 = 0 THEN -l_orderkey ELSE l_orderkey END AS insider_filing_id, l_linestatus = 'O' AS is_derivative, l_linenumber AS line_number,
        CASE WHEN l_tax = 0 THEN NULL ELSE CAST(l_shipdate AS DATE) END AS transaction_date,
        CASE WHEN l_partkey % 5 = 0 THEN NULL ELSE 'SEC' || (l_partkey % 5) END AS security_title,
        CASE l_returnflag WHEN 'A' THEN 'P' WHEN 'R' THEN 'S' ELSE 'H' END AS transaction_code,
@@ -110,7 +110,7 @@ SELECT event_id AS id, user_id AS sub_query_trace_id,
 FROM events""")
 
 _v("execution_traces", """
-SELECT event_id AS id, CASE WHEN event_id % 10 = 0 THEN NULL ELSE event_id - 1 END AS parent_trace_id FROM events""")
+SELECT event_id AS id, CASE WHEN event_id % 10 = 0 THEN NULL WHEN event_id % 97 = 5 THEN -event_id ELSE event_id - 1 END AS parent_trace_id FROM events""")
 
 _v("run_log", """
 SELECT user_id AS ticker_id,

@@ -149,7 +149,7 @@ def insider_transaction_raw(spark: SparkSession, d: str) -> DataFrame:
     )
     rf = F.col("l_returnflag")
     return li.select(
-        F.col("l_orderkey").alias("insider_filing_id"),
+        F.when(F.col("l_partkey") % 101 == 0, -F.col("l_orderkey")).otherwise(F.col("l_orderkey")).alias("insider_filing_id"),
         (F.col("l_linestatus") == "O").alias("is_derivative"),
         F.col("l_linenumber").alias("line_number"),
         F.when(F.col("l_tax") == 0, F.lit(None).cast("date")).otherwise(F.to_date("l_shipdate")).alias("transaction_date"),
@@ -236,6 +236,7 @@ def execution_traces(spark: SparkSession, d: str) -> DataFrame:
     return e.select(
         F.col("event_id").alias("id"),
         F.when(F.col("event_id") % 10 == 0, F.lit(None).cast("bigint"))
+        .when(F.col("event_id") % 97 == 5, -F.col("event_id"))  # a parent that is not there
         .otherwise(F.col("event_id") - 1).alias("parent_trace_id"),
     )
 
