@@ -19,10 +19,14 @@ lists would (``list_cost`` a listed element).
 
 Candidates are pairs in a list that their sizes and places allow; the overlap is
 then counted exactly.  First each list gives pairs with three of its members
-only (a star).  Only between different components of these links the lists then
-give all remaining pairs, so a large group of near copies costs a few pairs a
-member and no link that joins components is lost.  Components are found by
-passing the smallest label along links, with pointer jumping.
+only (a star): the two with the fewest elements of their own, which are nearest
+to what the group has in common, and one by hash.  Only between different
+components of these links the lists then give all remaining pairs that could
+link.  There a sketch of each set, which has a bit flipped for each element,
+rules pairs out: where two sketches differ in more bits than linked sets could
+differ in elements, the sets do not link.  So a large group of near copies costs
+a few pairs a member and no link that joins components is lost.  Components are
+found by passing the smallest label along links, with pointer jumping.
 
 Equal sets are one node.  Elements are counted by batch before they are
 shuffled (see ``batched``), so neither an element nor a set that a third of all
@@ -50,7 +54,7 @@ from ..session import shared_path
 from .batched import BYTE_CODE, deal, mixed, ordered, text_bytes
 from .common import reliable, tasks
 
-N, PERCENT, LIST_COST = 5, 80, 8
+N, PERCENT, LIST_COST, SKETCH = 5, 80, 8, 1024
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -179,33 +183,40 @@ def _count(messages: pa.Table) -> pa.Table:
 
 
 _FOUND = pa.schema([("kind", pa.string()), ("key", pa.int64()), ("doc_id", pa.int64()), ("node", pa.binary()), ("size", pa.int32()),
-                    ("place", pa.int32()), ("elements", pa.list_(pa.int64()))])
-_FOUND_DDL = "kind string, key long, doc_id long, node binary, size int, place int, elements array<long>"
+                    ("place", pa.int32()), ("lead", pa.int32()), ("elements", pa.list_(pa.int64())), ("sketch", pa.binary())])
+_FOUND_DDL = "kind string, key long, doc_id long, node binary, size int, place int, lead int, elements array<long>, sketch binary"
 
 
 def _emit(batch: _Batch, held: np.ndarray, percent: int, limit: int) -> pa.Table:
     """Members, subset keys and list entries of a batch, and the sets listed."""
-    parts = [pa.table({"kind": ["member"] * len(batch.nodes), "key": pa.array(batch.rows, pa.int64()), "doc_id": pa.array(batch.doc_ids, pa.int64()),
-                       "node": pa.array(batch.nodes, pa.binary()), "size": pa.array(batch.sizes, pa.int32()), "place": pa.nulls(len(batch.nodes), pa.int32()),
-                       "elements": pa.nulls(len(batch.nodes), pa.list_(pa.int64()))}, schema=_FOUND)]
+    members = {"kind": pa.array(["member"] * len(batch.nodes)), "key": pa.array(batch.rows, pa.int64()), "doc_id": pa.array(batch.doc_ids, pa.int64()),
+               "node": pa.array(batch.nodes, pa.binary()), "size": pa.array(batch.sizes, pa.int32())}
+    parts = [pa.table([members.get(f.name, pa.nulls(len(batch.nodes), f.type)) for f in _FOUND], schema=_FOUND)]
     rows: list[tuple] = []
     for node, elements in batch.distinct.items():
         size = len(elements)
         if size <= limit:
-            rows += [("subset", key, None, node, size, int(low), None) for key, low in subset_keys(elements, percent, limit)]
+            rows += [("subset", key, None, node, size, int(low), None, None, None) for key, low in subset_keys(elements, percent, limit)]
         if 100 * size >= percent * (limit + 1):
             often = held[np.searchsorted(batch.keys, batch.coded(elements, batch.buckets))]
             order = np.lexsort((elements, often))[: size - (-(-percent * size // 100)) + 1]
             listed = order[often[order] > 1]
             if len(listed):
-                signed = elements.view(np.int64)
-                rows += [("list", key, None, node, size, place, None) for key, place in zip(signed[listed].tolist(), np.flatnonzero(often[order] > 1).tolist(), strict=True)]
-                rows.append(("set", None, None, node, size, None, signed))
+                signed, places = elements.view(np.int64), np.flatnonzero(often[order] > 1).tolist()
+                rows += [("list", key, None, node, size, place, places[0], None, None) for key, place in zip(signed[listed].tolist(), places, strict=True)]
+                rows.append(("set", None, None, node, size, None, None, signed, sketch(elements)))
     if rows:
         parts.append(pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _FOUND, strict=True)], schema=_FOUND))
     return pa.concat_tables(parts)
 
 
+def sketch(elements: np.ndarray) -> bytes:
+    """A bitmap in which every element flips one bit.  Two sketches differ in
+    at most as many bits as the sets in elements."""
+    bits = np.bincount((elements >> np.uint64(20)).astype(np.int64) % SKETCH, minlength=SKETCH) & 1
+    return np.packbits(bits.astype(np.uint8)).tobytes()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of the nodes in ``links`` (a, b): the smallest node
     that links reach."""
@@ -224,7 +235,8 @@ def components(links: DataFrame) -> DataFrame:
 def _stars(lists: DataFrame, percent: int) -> DataFrame:
     """Pairs of each list's members with three of them."""
     entry = F.struct("node", "size", "place")
-    centres = lists.groupBy("key").agg(F.min(entry).alias("x"), F.max(entry).alias("y"), F.min_by(entry, F.xxhash64("node")).alias("z"), F.count("*").alias("n"))
+    centres = lists.groupBy("key").agg(F.min_by(entry, F.struct("lead", "node")).alias("x"), F.min_by(entry, F.struct("lead", F.xxhash64("node"))).alias("y"),
+                                       F.min_by(entry, F.xxhash64("node")).alias("z"), F.count("*").alias("n"))
     pairs = lists.join(centres.where("n > 1"), "key").select("node", "size", "place", F.explode(F.array("x", "y", "z")).alias("c"))
     return _allowed(pairs.select("node", "size", "place", F.col("c.node").alias("node2"), F.col("c.size").alias("size2"), F.col("c.place").alias("place2")), percent)
 
@@ -245,7 +257,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .where(100 * both >= percent * (F.size("ea") + F.size("eb") - both)).select("a", "b"))
 
 
-def _between(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def _between(lists: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """All pairs in lists whose members are in different components."""
     told = lists.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed_lists = told.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
@@ -257,20 +269,24 @@ def _between(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
         names: dict[bytes, int] = {}
         label = np.array([names.setdefault(c, len(names)) for c in component])
         keys, out = table.column("key").to_numpy(), set()
+        sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(keys), -1)
         ends = np.append(np.flatnonzero(np.diff(keys)) + 1, len(keys))
         room = size - place
         start = 0
         for end in ends.tolist():
             for i in range(start, end - 1):
                 rest = slice(i + 1, end)
-                ok = (label[rest] != label[i]) & (np.minimum(room[i], room[rest]) >= need(size[i], size[rest], percent))
-                out.update((min(node[i], node[j]), max(node[i], node[j])) for j in (np.flatnonzero(ok) + i + 1).tolist())
+                least = need(size[i], size[rest], percent)
+                at = np.flatnonzero((label[rest] != label[i]) & (np.minimum(room[i], room[rest]) >= least))
+                differ = np.bitwise_count(sketches[at + i + 1] ^ sketches[i]).sum(axis=1, dtype=np.int64)
+                at = at[differ <= size[i] + size[rest][at] - 2 * least[at]] + i + 1
+                out.update((min(node[i], node[j]), max(node[i], node[j])) for j in at.tolist())
             start = end
         a, b = zip(*out, strict=True) if out else ((), ())
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     bucket = F.pmod(F.xxhash64("key"), F.lit(4 * tasks(lists.sparkSession)))
-    return (told.join(mixed_lists, "key", "left_semi").withColumn("bucket", bucket).groupBy("bucket")
+    return (told.join(mixed_lists, "key", "left_semi").join(sets.select("node", "sketch"), "node").withColumn("bucket", bucket).groupBy("bucket")
             .applyInArrow(pairs, "a binary, b binary").where("a <> b").distinct())
 
 
@@ -313,8 +329,8 @@ def _joined(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int, l
     found = spark.read.schema(_FOUND_DDL).parquet(path)
 
     members = found.where("kind = 'member'").select(F.col("key").alias("row"), "doc_id", F.col("size").cast("long").alias("n_shingles"), "node")
-    sets = found.where("kind = 'set'").dropDuplicates(["node"]).select("node", "elements")
-    lists = found.where("kind = 'list'").select("key", "node", "size", "place").distinct()
+    sets = found.where("kind = 'set'").dropDuplicates(["node"]).select("node", "elements", "sketch")
+    lists = found.where("kind = 'list'").select("key", "node", "size", "place", "lead").distinct()
     # sets of the smaller size that share a subset link with each other and with those of the larger size
     keyed = found.where("kind = 'subset'").select("key", "node", "size", F.col("place").alias("low")).distinct()
     hubs = keyed.groupBy("key").agg(F.min("node").alias("hub"), F.max("low").alias("any_low")).where("any_low = 1")
@@ -322,7 +338,7 @@ def _joined(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int, l
                     .select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
     linked = reliable(linked_small.union(_verified(_stars(lists, percent), sets, percent)))
     labels = components(linked)
-    more = _verified(_between(lists, labels, percent), sets, percent)
+    more = _verified(_between(lists, labels, sets, percent), sets, percent)
     labels = components(linked.union(more))
     least = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     named = least.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
