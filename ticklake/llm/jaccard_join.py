@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_path
 from .batched import BYTE_CODE, deal, mixed, ordered, text_bytes
-from .common import reliable, tasks
+from .common import A_Z, a_z, reliable, tasks
 
 N, PERCENT, LIST_COST, SKETCH = 5, 80, 8, 1024
 _SPACE = np.zeros(256, bool)
@@ -344,3 +344,23 @@ def _joined(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int, l
     named = least.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
     return members.join(named.join(smallest, "component").select("node", "component", "component_id"), "node", "left").drop("node")
+
+
+SQL = f"""
+WITH RECURSIVE words AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{A_Z}', '{a_z}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT r, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 4], ' ') END AS s
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0)
+), sizes AS (
+  SELECT r, count(*) AS n FROM shingles GROUP BY r
+), links AS (
+  SELECT x, y FROM (SELECT a.r AS x, b.r AS y, count(*) AS common FROM shingles a JOIN shingles b USING (s) GROUP BY ALL)
+  JOIN sizes p ON p.r = x JOIN sizes q ON q.r = y WHERE 100 * common >= 80 * (p.n + q.n - common)
+), reach(x, y) AS (
+  SELECT x, y FROM links UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y
+)
+SELECT words.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, CASE WHEN n IS NULL THEN words.doc_id ELSE least END AS component_id
+FROM words LEFT JOIN sizes USING (r)
+LEFT JOIN (SELECT reach.x AS r, min(w.doc_id) AS least FROM reach JOIN words w ON w.r = reach.y GROUP BY ALL) USING (r)
+"""

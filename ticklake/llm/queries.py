@@ -71,6 +71,8 @@ QUERIES = {
 
 SQL = {
     "op1_url_filters": url_filters.SQL,
+    "op2_suffix_dedup": suffix_dedup.SQL,
     "op7_quality_rules": quality_rules.SQL,
     "op8_bit_sliced_topk": bit_sliced_topk.SQL,
+    "op10_jaccard_join": jaccard_join.SQL,
 }

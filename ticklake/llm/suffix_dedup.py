@@ -404,3 +404,28 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + "".join(
         f", {c} {kind}" for c, kind in (("kept_text", "string"), *((c, docs.schema[old].dataType.simpleString()) for c, old in carried.items())) if carried)
     return by_batch.cogroup(answers.groupBy("batch")).applyInArrow(mark, ddl)
+
+
+SQL = """
+WITH bytes AS (
+  SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents
+), places AS (
+  SELECT r, doc_id, unnest(range(1, octet_length(b) + 1)) AS p FROM bytes
+), windows AS (
+  SELECT r, doc_id, i, hex(b[i:i + 49]) AS s FROM (SELECT r, doc_id, b, unnest(range(1, octet_length(b) - 48)) AS i FROM bytes WHERE octet_length(b) >= 50)
+), repeated AS (
+  SELECT r, i FROM (SELECT r, i, doc_id, min(doc_id) OVER (PARTITION BY s) AS least FROM windows) WHERE least < doc_id
+), marked AS (
+  SELECT places.r, p, max(i) OVER (PARTITION BY places.r ORDER BY p ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone
+  FROM places LEFT JOIN repeated ON repeated.r = places.r AND repeated.i = p
+), edges AS (
+  SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY r ORDER BY p), false) AS begins FROM marked
+), sums AS (
+  SELECT r, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE begins) AS n_spans,
+         string_agg(hex(b[p:p]), '' ORDER BY p) FILTER (WHERE NOT gone) AS kept
+  FROM edges JOIN bytes USING (r) GROUP BY r
+)
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM bytes LEFT JOIN sums USING (r)
+"""
