@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..session import cut_lineage
 from .common import top_k_per_group
 
 
@@ -260,6 +261,8 @@ def network_density(v: DataFrame, e: DataFrame, threshold: int = 20) -> DataFram
     joins distinct (h, x) pairs with distinct (x, y) pairs instead of edge rows,
     which bounds the fan-out by distinct neighbours rather than parallel edges.
     """
+    # read five times below: computed once, kept in the shared folder
+    e = cut_lineage(e.select("eid", "src", "dst", "type")).withColumn("props", F.lit(None).cast("map<string,string>"))
     h = hop(v, e, "Company", ["REPORTS"], "Metric", "c", "r", "m")
     hubs = h.groupBy("c_id").agg(F.count("r_eid").alias("metric_count")).where(
         F.col("metric_count") > threshold)
@@ -300,6 +303,7 @@ def important_chains(v: DataFrame, e: DataFrame, limit: int = 25) -> DataFrame:
     the type pairs are taken in score order until ``limit`` chains are covered,
     and only chains of those type pairs are joined.  The degree table holds one
     row per (type1, type2): types x types rows, read on the driver."""
+    e = cut_lineage(e.select("eid", "src", "dst", "type")).withColumn("props", F.lit(None).cast("map<string,string>"))
     comp = v.where(F.col("label") == "Company").select(F.col("id").alias("src"))
     e1 = e.join(comp, "src", "left_semi")
     indeg = e1.groupBy(F.col("dst").alias("mid"), F.col("type").alias("t1")).agg(F.count(F.lit(1)).alias("n1"))
