@@ -68,3 +68,13 @@ def ids(column: pa.ChunkedArray, null: int = np.iinfo(np.int64).max) -> tuple[np
     """Ids with ``null`` for missing ones, and which are there."""
     there = ~column.combine_chunks().is_null().to_numpy(zero_copy_only=False)
     return column.combine_chunks().fill_null(null).to_numpy(zero_copy_only=False).astype(np.int64), there
+
+
+def pieces(offsets: np.ndarray, size: int = 1 << 19) -> list[tuple[int, int]]:
+    """Ranges of texts of about ``size`` bytes together, so that the arrays made
+    for each byte stay small."""
+    cuts = [0]
+    while cuts[-1] < len(offsets) - 1:
+        end = int(np.searchsorted(offsets, offsets[cuts[-1]] + size))
+        cuts.append(min(max(end, cuts[-1] + 1), len(offsets) - 1))
+    return list(zip(cuts, cuts[1:], strict=False))

@@ -51,7 +51,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_path
-from .batched import BYTE_CODE, deal, mixed, ordered, text_bytes
+from .batched import BYTE_CODE, deal, mixed, ordered, pieces, text_bytes
 from .common import A_Z, a_z, reliable, tasks
 
 N, PERCENT, LIST_COST, SKETCH = 5, 80, 8, 1024
@@ -144,7 +144,8 @@ class _Batch:
 
     def __init__(self, docs: pa.Table, n: int, buckets: int):
         docs = ordered(docs)
-        sets = shingle_sets(*text_bytes(docs.column("text")), n)
+        data, offsets = text_bytes(docs.column("text"))
+        sets = [s for a, b in pieces(offsets) for s in shingle_sets(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], n)]
         self.doc_ids = docs.column("doc_id").to_pylist()
         self.rows = docs.column("row").to_pylist() if "row" in docs.column_names else [None] * docs.num_rows
         self.nodes = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
