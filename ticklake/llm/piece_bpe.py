@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 SPACE = "▁"
-REMEMBERED = 500_000
+REMEMBERED, PAIRS = 150_000, 250_000
 
 
 class PieceCoder:
@@ -102,7 +102,7 @@ class PieceCoder:
 
     def fit(self, left: int, right: int) -> bool:
         """Whether merging both again gives just these two pieces."""
-        if len(self.pairs) > 1_000_000:
+        if len(self.pairs) > PAIRS:
             self.pairs.clear()
         x, y = self.piece[left], self.piece[right]
         known = self.pairs[left << 32 | right] = self.merge(x + y) == [x, y]
