@@ -50,6 +50,25 @@ def test_a_group_larger_than_a_shard(spark):
     assert sum(any(m["doc_id"] < 10000 for m in members) for members in by.values()) < 16
 
 
+def test_groups_larger_than_a_shard_are_gathered(spark):
+    for part, most in ((1 / 3, 7), (1 / 5, 5), (1 / 10, 3)):
+        hot = round(4500 * part)
+        rows = [(i, "the same words", "a") for i in range(hot)] + [(10000 + i, f"alone {i:08d}", "a") for i in range(4500 - hot)]
+        got = L.shard_documents(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+        by = checked(rows, got)
+        assert sum(any(m["doc_id"] < 10000 for m in members) for members in by.values()) <= most, part
+
+
+def test_small_groups_beside_a_large_one(spark):
+    rows = [(i, "the same words", "a") for i in range(1500)] + [(10000 + i, f"pair {i // 3:09d}", "a") for i in range(600)]
+    rows += [(20000 + i, f"alone {i:08d}", "a") for i in range(2400)]
+    got = L.shard_documents(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    by = checked(rows, got)
+    assert sum(any(m["doc_id"] < 10000 for m in members) for members in by.values()) <= 8
+    split, groups = split_groups(rows, got)
+    assert groups == 201 and split <= 11
+
+
 def test_awkward_rows_and_empty(spark, awkward, empty):
     rows = [(r["doc_id"], r["text"], r["source"]) for r in awkward.collect()]
     checked(rows, L.shard_documents(awkward).collect())

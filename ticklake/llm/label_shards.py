@@ -1,12 +1,17 @@
 """Sharding by balanced label propagation; the law is ``bytes``.
 
 Documents with equal texts are linked.  Each starts in a shard given by a hash
-of its id.  In every round the documents of a group (equal texts) look where
-most of the group's bytes are and ask to move there, which cuts fewer links.  A
-shard takes what fits under its quota (an even share of all bytes): the bytes
-that ask for it are summed by priority class, a hash of the group, and classes
-are let in while the running sum fits.  A group that is larger than a shard asks
-in units (the group's part of one shard), so it fills several shards.
+of its id.  In every round the documents of a group (equal texts) ask to move to
+the shard with most of the group's bytes among those that have room for the whole
+group, which cuts fewer links.  A group that has room in no shard fills several:
+its shards are taken from the fullest of it down until their room holds it, and
+its units (the group's part of one shard, cut where it is large) in other shards
+are laid along that room, each within one shard.
+
+A shard takes what fits under its quota (an even share of all bytes): the bytes
+that ask for it are summed by priority class, a hash that is new in every round,
+and classes are let in while the running sum fits.  Nothing asks for a shard that
+has no room for it, so nothing too large closes a shard to others.
 
 At the end the shards are evened out: every shard keeps documents up to its even
 share, linked ones first, and releases the rest; released documents fill the
@@ -31,6 +36,7 @@ from pyspark.sql import functions as F
 from .common import reliable, tasks
 
 SHARDS, ROUNDS, CLASSES = 16, 5, 1024
+PARTS = 32  # a unit above this part of a shard is cut
 
 
 def linked(docs: DataFrame, id_col: str, text_col: str, shards: int) -> DataFrame:
@@ -41,29 +47,51 @@ def linked(docs: DataFrame, id_col: str, text_col: str, shards: int) -> DataFram
         F.md5(raw).alias("group"), F.pmod(F.xxhash64(docs[id_col]), F.lit(shards)).cast("int").alias("shard")))
 
 
+def pieced(nodes: DataFrame, share: float, parts: int = PARTS) -> DataFrame:
+    """``nodes`` with ``piece``, a hash that cuts the large units."""
+    most = share / parts
+    large = reliable(nodes.groupBy("group", "shard").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > most)
+                     .select("group", "shard", F.ceil(F.col("bytes") / F.lit(most)).alias("pieces")))  # at most shards * parts rows
+    return (nodes.join(F.broadcast(large), ["group", "shard"], "left")
+            .withColumn("piece", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.coalesce("pieces", F.lit(1))).cast("int")).drop("pieces"))
+
+
 def propagate(nodes: DataFrame, share: float, rounds: int = ROUNDS, classes: int = CLASSES) -> DataFrame:
-    """Where each unit (group and first shard) of a group of two or more ends:
-    group, origin, shard, bytes, n."""
-    several = nodes.groupBy("group", "shard").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
+    """Where each unit (group, first shard and piece) of a group of two or more
+    ends: group, origin, piece, shard, bytes, n."""
+    several = nodes.groupBy("group", "shard", "piece").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
     groups = several.groupBy("group").agg(F.sum("n").alias("all")).where("all > 1").select("group")
-    units = reliable(several.join(groups, "group").select("group", F.col("shard").alias("origin"), "shard", "bytes", "n"))
-    for _ in range(rounds):
-        here = units.groupBy("group", "shard").agg(F.sum("bytes").alias("bytes"))
-        # the shard with most of the group, of equal ones one given by a hash
-        wish = here.groupBy("group").agg(F.max_by("shard", F.struct("bytes", F.xxhash64("group", "shard"))).alias("wish"))
-        asked = units.join(wish, "group").withColumn("class", F.pmod(F.xxhash64("group", "origin"), F.lit(classes)))
-        load = units.groupBy(F.col("shard").alias("wish")).agg(F.sum("bytes").alias("load"))
+    units = reliable(several.join(groups, "group").select("group", F.col("shard").alias("origin"), "piece", "shard", "bytes", "n"))
+    group = Window.partitionBy("group")  # at most a row a shard, or a unit
+    for turn in range(rounds):
+        # a row a shard, with the quota that is left
+        room = units.groupBy("shard").agg(F.greatest(F.lit(float(share)) - F.sum("bytes"), F.lit(0.0)).alias("room"))
+        tie = F.xxhash64("group", "shard")  # of equal shards one given by a hash
+        first = group.orderBy(F.desc("bytes"), F.desc(tie)).rowsBetween(Window.unboundedPreceding, -1)
+        here = (units.groupBy("group", "shard").agg(F.sum("bytes").alias("bytes"), F.max("bytes").alias("unit")).join(F.broadcast(room), "shard")
+                .withColumn("room", F.when(F.col("room") >= F.max("unit").over(group), F.col("room")).otherwise(F.lit(0.0)))  # room for any of its units
+                .withColumn("all", F.sum("bytes").over(group)).withColumn("holds", F.col("bytes") + F.col("room"))
+                .withColumn("before", F.coalesce(F.sum("holds").over(first), F.lit(0.0))).withColumn("low", F.coalesce(F.sum("room").over(first), F.lit(0.0))))
+        fits = F.col("holds") >= F.col("all")
+        taken = F.struct("shard", "low", (F.col("low") + F.col("room")).alias("high"))
+        goals = here.groupBy("group").agg(F.max(fits).alias("fits"), F.max_by("shard", F.struct(fits, "bytes", tie)).alias("best"),
+                                          F.collect_list(F.when(F.col("before") < F.col("all"), taken)).alias("goals"))
+        mark = F.xxhash64("group", "origin", "piece", F.lit(turn))
+        ahead = group.orderBy(mark, "origin", "piece").rowsBetween(Window.unboundedPreceding, -1)
+        outside = ~F.exists("goals", lambda g: g["shard"] == F.col("shard"))
+        asked = units.join(goals, "group").withColumn("at", F.coalesce(F.sum(F.when(outside, F.col("bytes"))).over(ahead), F.lit(0)))
+        place = F.get(F.filter("goals", lambda g: (g["low"] <= F.col("at")) & (F.col("at") + F.col("bytes") <= g["high"])), 0)["shard"]
+        wish = F.when(F.col("fits"), F.col("best")).when(outside, F.coalesce(place, F.col("shard"))).otherwise(F.col("shard"))
+        asked = reliable(asked.withColumn("wish", wish).withColumn(
+            "class", F.pmod(F.when(F.col("fits"), F.xxhash64("group", F.lit(turn))).otherwise(mark), F.lit(classes))).drop("fits", "best", "goals", "at"))
+        if not asked.where("wish <> shard").limit(1).count():
+            break
         queue = Window.partitionBy("wish").orderBy("class")  # at most ``classes`` rows a shard
         let_in = (asked.where("wish <> shard").groupBy("wish", "class").agg(F.sum("bytes").alias("asked"))
-                  .withColumn("running", F.sum("asked").over(queue)).join(load, "wish", "left")
-                  .where(F.col("running") + F.coalesce("load", F.lit(0)) <= share).select("wish", "class", F.lit(True).alias("ok")))
-        moved = asked.join(let_in, ["wish", "class"], "left").select(
-            "group", "origin", F.when(F.col("ok"), F.col("wish")).otherwise(F.col("shard")).alias("shard"), "bytes", "n",
-            (F.col("ok") & (F.col("wish") != F.col("shard"))).alias("moved"))
-        moved = reliable(moved)
-        units = moved.drop("moved")
-        if not moved.where("moved").limit(1).count():
-            break
+                  .withColumn("running", F.sum("asked").over(queue)).join(F.broadcast(room.withColumnRenamed("shard", "wish")), "wish")
+                  .where(F.col("running") <= F.col("room")).select("wish", "class", F.lit(True).alias("ok")))
+        units = reliable(asked.join(let_in, ["wish", "class"], "left").select(
+            "group", "origin", "piece", F.when(F.col("ok"), F.col("wish")).otherwise(F.col("shard")).alias("shard"), "bytes", "n"))
     return units
 
 
@@ -106,8 +134,9 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = max(CLASSES, 4 * tasks(docs.sparkSession))
     nodes = linked(docs, id_col, text_col, shards)
     share = (nodes.agg(F.sum("size")).first()[0] or 0) / shards
-    units = propagate(nodes, share, rounds).select("group", F.col("origin").alias("shard"), F.col("shard").alias("to"))
-    rows = nodes.join(units, ["group", "shard"], "left").select(
+    nodes = pieced(nodes, share)
+    units = propagate(nodes, share, rounds).select("group", F.col("origin").alias("shard"), "piece", F.col("shard").alias("to"))
+    rows = nodes.join(units, ["group", "shard", "piece"], "left").select(
         "doc_id", "size", "text_crc32", F.col("to").isNull().alias("single"), F.coalesce("to", "shard").alias("shard"))
     even = reliable(even_out(rows, shards, classes))
     slots = _running(even, ["shard"], F.lit(0).cast("long"), classes, F.lit(1).cast("long"))
