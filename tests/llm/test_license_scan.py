@@ -42,6 +42,32 @@ def test_notices_with_edits():
     assert scan.scan("This is under the Mozila Public Licence 2.0")[5] == "mpl"
 
 
+def test_neighbouring_notices_all_count():
+    def places(text):
+        return [(m["first_word"], m["last_word"], m["errors"]) for m in L.Scanner().scan(text)[-1] if m["notice"] == "all rights reserved"]
+
+    assert places("x all right reserved all rights reserved y") == [(1, 3, 1), (4, 6, 0)]
+    assert places("all right reserved all rigts reservd all rights reserved") == [(0, 2, 1), (3, 5, 2), (6, 8, 0)]
+    assert places("all rights reserved all right reserved z " * 3) == [(7 * i + 3 * k, 7 * i + 3 * k + 2, k) for i in range(3) for k in range(2)]
+    assert places("all rights reserved") == [(0, 2, 0)]
+
+
+def test_all_planted_notices_are_found():
+    import random
+
+    rng, scan = random.Random(5), L.Scanner()
+    for n, (notice, _) in enumerate(L.NOTICES):
+        for _ in range(20):
+            planted = []
+            for _ in range(rng.randrange(2, 6)):
+                t = list(notice)
+                for _ in range(rng.randrange(L.ERRORS + 1)):
+                    i = rng.choice([i for i in range(2, len(t) - 2) if "".join(t[i - 1:i + 2]).isalpha()])  # words stay words
+                    t[i:i + 1] = rng.choice([[], ["q"], [t[i], "q"]])
+                planted.append("".join(t))
+            assert [m["notice"] for m in scan.scan(" zzzz ".join(planted))[-1]].count(notice) == len(planted), (n, planted)
+
+
 def test_seeds_lose_no_match():
     import random
 

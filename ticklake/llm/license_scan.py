@@ -8,15 +8,15 @@ letters, digits and non-ASCII characters) joined by single spaces.
 *Notices*: each notice may differ from the text by up to ``errors`` single
 character edits.  By the pigeonhole principle one of ``errors + 1`` pieces of
 the notice then stands in the text unchanged.  An Aho-Corasick automaton over
-the pieces of all notices finds these seeds in one pass over the text; around a
-seed, the ``regex`` library's bounded-error matching verifies the edits and
-gives the span.  Spans are widened to whole words.
+the pieces of all notices finds these seeds in one pass over the text; around
+each seed, the ``regex`` library's bounded-error matching verifies the edits and
+gives the best span.  Spans are widened to whole words.
 
 Rows are scanned one by one in the tasks that read them: no shuffle.
 
 Defined results: null and empty texts have no words, no places, empty labels
-and score 0.  Overlapping places all count; the same span found by two seeds is
-one match.  Other columns of the input are ignored; repeated rows are kept.
+and score 0.  Overlapping places all count; spans of a notice that share more than
+half of its length, as two seeds can give, are one match, with the fewest edits.  Other columns of the input are ignored; repeated rows are kept.
 """
 
 from __future__ import annotations
@@ -113,20 +113,22 @@ class Scanner:
         out = []
         for i, spans in sorted(windows.items()):
             notice, label = self.notices[i]
-            merged: list[list[int]] = []
-            for a, b in sorted(set(spans)):
-                if merged and a <= merged[-1][1]:
-                    merged[-1][1] = max(b, merged[-1][1])
-                else:
-                    merged.append([a, b])
-            for a, b in merged:
-                for m in self.patterns[i].finditer(joined, a, b):
-                    lo = joined.rfind(" ", 0, m.start() + 1) + 1 if joined[m.start()] != " " else m.start() + 1
-                    hi = joined.find(" ", m.end() - 1)
-                    hi = len(joined) if hi < 0 else hi
-                    first = joined.count(" ", 0, lo)
-                    out.append({"label": label, "notice": notice, "first_word": first,
-                                "last_word": first + joined.count(" ", lo, hi), "errors": sum(m.fuzzy_counts), "found": joined[lo:hi]})
+            # a window holds one match; the same place found by several seeds is one
+            verified = {m.span(): sum(m.fuzzy_counts) for a, b in sorted(set(spans)) if (m := self.patterns[i].search(joined, a, b))}
+            placed: list[tuple[int, int, int]] = []
+            for (a, b), errors in sorted(verified.items()):
+                same = placed and 2 * (placed[-1][1] - a) > len(notice)
+                if same and errors < placed[-1][2]:
+                    placed[-1] = (a, b, errors)
+                elif not same:
+                    placed.append((a, b, errors))
+            for start, end, errors in placed:
+                lo = joined.rfind(" ", 0, start + 1) + 1 if joined[start] != " " else start + 1
+                hi = joined.find(" ", end - 1)
+                hi = len(joined) if hi < 0 else hi
+                first = joined.count(" ", 0, lo)
+                out.append({"label": label, "notice": notice, "first_word": first,
+                            "last_word": first + joined.count(" ", lo, hi), "errors": errors, "found": joined[lo:hi]})
         return out
 
 
