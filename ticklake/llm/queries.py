@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bit_sliced_topk, jaccard_join, label_shards, license_scan, mixing, page_text, piece_bpe, quality_rules, suffix_dedup, url_filters
+from . import (bit_sliced_topk, collocations, edit_embedding, importance, jaccard_join, label_shards, license_scan, mixing, page_text, piece_bpe,
+               quality_rules, suffix_dedup, url_filters)
 from .common import table
 
 
@@ -56,6 +57,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_embedding.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_url_filters": op1,
     "op2_suffix_dedup": op2,
@@ -67,6 +80,9 @@ QUERIES = {
     "op8_bit_sliced_topk": op8,
     "op9_label_shards": op9,
     "op10_jaccard_join": op10,
+    "op11_edit_fingerprints": op11,
+    "op12_importance_resample": op12,
+    "op13_collocations": op13,
 }
 
 SQL = {
@@ -75,4 +91,6 @@ SQL = {
     "op7_quality_rules": quality_rules.SQL,
     "op8_bit_sliced_topk": bit_sliced_topk.SQL,
     "op10_jaccard_join": jaccard_join.SQL,
+    "op12_importance_resample": importance.SQL,
+    "op13_collocations": collocations.SQL,
 }
