@@ -6,6 +6,7 @@ runs one operator of the library on them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -704,6 +705,7 @@ def q_new_statements(spark, d):
 
 
 # --- vectors --------------------------------------------------------------------
+from ..operators import vector_index as VIX  # noqa: E402
 from ..operators import vectors as VEC  # noqa: E402
 
 
@@ -718,11 +720,28 @@ def q_knn(spark, d):
     return VEC.knn(e, e, 5, exclude_self=True)
 
 
+def _vector_index(spark, d):
+    from ..session import shared_path
+    return VIX.build(_emb(spark, d), shared_path(spark, f"vector-index-{uuid.uuid4().hex}"))
+
+
 @register("V2_ivf_search")
 def q_ivf_search(spark, d):
+    return VIX.search(_emb(spark, d), _vector_index(spark, d), 5, exclude_self=True)
+
+
+@register("V2_index_quality")
+def q_index_quality(spark, d):
+    """Recall against the exact search, and the shares of all rows that a query
+    reads as codes and as vectors, on average."""
     e = _emb(spark, d)
-    assigned, cents = VEC.ivf_build(e)
-    return VEC.ivf_search(e, assigned, cents, nprobe=max(1, -(-len(cents) // 2)), k=5, exclude_self=True)
+    path, n = _vector_index(spark, d), e.count()
+    got = VIX.search(e, path, 5, exclude_self=True).select("query_id", "neighbor_id")
+    exact = VEC.knn(e, e, 5, exclude_self=True).select("query_id", "neighbor_id")
+    hits = exact.join(got.withColumn("hit", F.lit(1)), ["query_id", "neighbor_id"], "left").groupBy("query_id").agg(F.count("hit").alias("hits"), F.count("*").alias("wanted"))
+    read = VIX.search(e, path, 5, exclude_self=True, report=True)
+    return hits.join(read, "query_id").agg((F.sum("hits") / F.sum("wanted")).alias("recall"), F.avg(F.col("codes_scored") / n).alias("codes_share"),
+                                           F.avg(F.col("vectors_read") / n).alias("vectors_share"))
 
 
 @register("V3_hash_embed")
