@@ -8,9 +8,10 @@ same symbols from there on, so edit distance becomes Hamming distance.  Several
 walks with bits of their own are made, as one of them may miss to meet again;
 the likest one counts.
 
-The bits are periodic in the steps (``PERIOD``) and characters fall into 256
-classes, so a walk is a finite automaton whose states are the phases: state and
-class give the next state, and the phases at all characters give the steps.
+The bits are periodic in the steps (``PERIOD``), characters fall into ``CLASSES``
+classes and are left after ``LONGEST`` steps at the latest, so a walk is a finite
+automaton whose states are the phases; it reads two characters at a time.  The
+steps at every 32nd character, and at those around a sample, follow from the phases.
 
 A fingerprint samples the written symbols: one step in each block of
 ``2 ** level`` steps, where the level is the least with ``SAMPLES`` blocks or
@@ -41,7 +42,7 @@ import functools
 import hashlib
 import operator
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -52,11 +53,15 @@ from .batched import mixed
 from .common import reliable, tasks
 from .jaccard_join import components
 
-WALKS, PERIOD, SAMPLES = 3, 1024, 64
+WALKS, PERIOD, SAMPLES, CLASSES = 3, 128, 64, 16
+#: a character is left after so many steps at most
+LONGEST = 15
 #: samples in a band, and bands of a walk and level
 BAND, BANDS = 6, 10
+#: pairs of characters between two places whose steps are kept; ``2 * _STRIDE * LONGEST`` is below ``PERIOD``
+_STRIDE = 4
 _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
-_phase = operator.itemgetter(256)
+_phase = operator.itemgetter(CLASSES * CLASSES)
 
 #: what a text has of a walk: its level and its samples
 Fingerprint = list[tuple[int, np.ndarray]]
@@ -69,34 +74,45 @@ def _hash(*parts) -> np.ndarray:
     return total
 
 
+@functools.lru_cache(maxsize=None)
+def stays(walk: int) -> np.ndarray:
+    """``stays[phase, class]``: for how many steps a walk that arrives in a phase
+    stays at a character: up to the first step whose bit is set."""
+    bits = (_hash(np.arange(PERIOD)[:, None], np.arange(CLASSES)[None, :], np.full((1, CLASSES), walk)) & np.uint64(1)).astype(bool)
+    out = np.full((PERIOD, CLASSES), LONGEST, np.int64)
+    for n in range(LONGEST - 1, 0, -1):
+        out[bits[(np.arange(PERIOD) + n - 1) % PERIOD]] = n
+    return out
+
+
 @functools.lru_cache(maxsize=None)
 def _states(walk: int) -> list[list]:
-    """The automaton of a walk: a state's entry for a class is the state after
-    leaving a character of the class, and its last entry is its phase."""
-    bits = (_hash(np.arange(PERIOD)[:, None], np.arange(256)[None, :], np.full((1, 256), walk)) & np.uint64(1)).astype(bool)
-    nxt = np.full((2 * PERIOD + 1, 256), 2 * PERIOD, np.int64)
-    for j in range(2 * PERIOD - 1, -1, -1):
-        nxt[j] = np.where(bits[j % PERIOD], j + 1, nxt[j + 1])
+    """The automaton of a walk over pairs of characters: a state's entry for two
+    classes is the state after both, and its last entry is its phase."""
+    stay = stays(walk)
+    middle = (np.arange(PERIOD)[:, None] + stay) % PERIOD
+    after = (middle[:, :, None] + stay[middle]) % PERIOD
     states: list[list] = [[] for _ in range(PERIOD)]
     for j, state in enumerate(states):
-        state.extend(map(states.__getitem__, (nxt[j] % PERIOD).tolist()))
+        state.extend(map(states.__getitem__, after[j].reshape(-1).tolist()))
         state.append(j)
     return states
 
 
-def classes(text: str) -> np.ndarray:
+def points(text: str) -> np.ndarray:
+    """The code points of a text."""
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def classes(codes: np.ndarray) -> np.ndarray:
     """The class of every character."""
-    return (mixed(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)) & np.uint64(255)).astype(np.uint8)
+    return (mixed(codes.astype(np.uint64) + np.uint64(1)) % np.uint64(CLASSES)).astype(np.uint8)
 
 
-def _walked(codes: np.ndarray, walk: int, phase: int = 0, step: int = 0) -> np.ndarray:
-    """The step that reaches each character, and the one that leaves the last."""
-    phases = np.fromiter(map(_phase, accumulate(codes.tobytes(), operator.getitem, initial=_states(walk)[phase])), np.int64, len(codes) + 1)
-    steps = np.empty(len(codes) + 1, np.int64)
-    steps[0] = step
-    np.cumsum((phases[1:] - phases[:-1]) % PERIOD, out=steps[1:])
-    steps[1:] += step
-    return steps
+def _pairs(kinds: np.ndarray) -> bytes:
+    """Pairs of classes; a last single one has company that is not counted."""
+    even = np.append(kinds, np.zeros(len(kinds) % 2, np.uint8))
+    return (even[0::2] * np.uint8(CLASSES) | even[1::2]).tobytes()
 
 
 @functools.lru_cache(maxsize=None)
@@ -113,13 +129,49 @@ def _half(level: int, block: np.ndarray) -> np.ndarray:
     return (_hash(block, np.full(len(block), level)) & np.uint64(1)).astype(np.int64)
 
 
-def _sampled(steps: np.ndarray, codes: np.ndarray, walk: int) -> tuple[int, np.ndarray]:
-    length = int(steps[-1])
-    level = (max(1, -(-length // SAMPLES)) - 1).bit_length()
-    at = _picks(level)[:-(-length // (1 << level))]
-    there = at < length  # the last block may be short
-    char = codes[np.searchsorted(steps, np.where(there, at, 0), "right") - 1] if length else codes
-    return level, np.where(there, 1 + _hash(char, at, np.full(len(at), walk)) % np.uint64(255), 0).astype(np.uint8)
+@functools.lru_cache(maxsize=None)
+def _chosen(level: int) -> np.ndarray:
+    """The block one level lower that gives the sample of each block."""
+    block = np.arange(SAMPLES)
+    return 2 * block + _half(level, block)
+
+
+@functools.lru_cache(maxsize=None)
+def _all_stays() -> np.ndarray:
+    return np.stack([stays(w) for w in range(WALKS)])
+
+
+def _marked(walks: list[list[list]], kinds: np.ndarray, codes: np.ndarray) -> Fingerprint:
+    """The samples of all walks; ``walks`` are the states before each pair."""
+    n = len(kinds)
+    if not n:
+        return [(0, np.zeros(0, np.uint8))] * WALKS
+    stay, pairs, each = _all_stays(), -(-n // 2), np.arange(WALKS)
+    kept = np.fromiter(map(_phase, chain.from_iterable(states[:pairs:_STRIDE] for states in walks)), np.int64).reshape(WALKS, -1)
+    begin = np.zeros(kept.shape, np.int64)
+    np.cumsum((kept[:, 1:] - kept[:, :-1]) % PERIOD, axis=1, out=begin[:, 1:])
+    last = np.array([states[pairs - 1][-1] for states in walks])
+    more = stay[each, last, kinds[2 * pairs - 2]]
+    if n % 2 == 0:
+        more = more + stay[each, (last + more) % PERIOD, kinds[n - 1]]
+    lengths = begin[:, -1] + (last - kept[:, -1]) % PERIOD + more
+    levels = [(max(1, -(-x // SAMPLES)) - 1).bit_length() for x in lengths.tolist()]
+    picks = [_picks(level)[:-(-x // (1 << level))] for x, level in zip(lengths.tolist(), levels, strict=True)]
+    at, walk = np.concatenate(picks), np.repeat(each, [len(p) for p in picks])
+    # the stretch that holds each sampled step, the states there, and the pair among them
+    apart = 1 << 48
+    stretch = (begin + each[:, None] * apart).reshape(-1).searchsorted(at + walk * apart, "right") - 1
+    near = np.minimum((stretch - walk * begin.shape[1])[:, None] * _STRIDE + np.arange(_STRIDE), pairs - 1)
+    ends = np.cumsum([len(p) for p in picks]).tolist()
+    there = chain.from_iterable(map(states.__getitem__, near[end - len(p):end].reshape(-1).tolist()) for states, p, end in zip(walks, picks, ends, strict=True))
+    phases = np.fromiter(map(_phase, there), np.int64, near.size).reshape(near.shape)
+    steps = begin.reshape(-1)[stretch][:, None] + (phases - phases[:, :1]) % PERIOD
+    here = np.arange(len(at)), (steps <= at[:, None]).sum(axis=1) - 1
+    first = 2 * near[here]
+    char = np.minimum(first + (at >= steps[here] + stay[walk, phases[here], kinds[first]]), n - 1)
+    symbols = 1 + _hash(codes[char], at, walk) % np.uint64(255)
+    symbols = np.where(at < lengths[walk], symbols, 0).astype(np.uint8)  # the last block may be short
+    return [(level, symbols[end - len(p):end]) for level, p, end in zip(levels, picks, ends, strict=True)]
 
 
 def fingerprint(text: str) -> Fingerprint:
@@ -127,41 +179,46 @@ def fingerprint(text: str) -> Fingerprint:
 
 
 class _Text:
-    """A text, the steps of its walks, and its fingerprint."""
+    """A text, the states of its walks, and its fingerprint."""
 
     def __init__(self, text: str | None):
         self.text = text or ""
-        self.codes = classes(self.text)
-        self.steps = [_walked(self.codes, w) for w in range(WALKS)]
-        self.mark = [_sampled(s, self.codes, w) for w, s in enumerate(self.steps)]
+        self.codes = points(self.text)
+        self.kinds = classes(self.codes)
+        pairs = _pairs(self.kinds)
+        self.walks = [list(accumulate(pairs, operator.getitem, initial=_states(w)[0])) for w in range(WALKS)]
+        self.mark = _marked(self.walks, self.kinds, self.codes)
 
     def edited(self, following: _Text) -> tuple[str, Fingerprint]:
         """The text with its second half replaced by the beginning of the
         following one, and its fingerprint: the walks go on from the middle."""
         n = len(self.text)
         kept = n - n // 2
-        codes = np.concatenate([self.codes[:kept], following.codes[:n // 2]])
-        mark = []
-        for w, steps in enumerate(self.steps):
-            middle = int(steps[kept])
-            mark.append(_sampled(np.concatenate([steps[:kept], _walked(codes[kept:], w, middle % PERIOD, middle)]), codes, w))
-        return self.text[:kept] + following.text[:n // 2], mark
+        codes, kinds = (np.concatenate([a[:kept], b[:n // 2]]) for a, b in ((self.codes, following.codes), (self.kinds, following.kinds)))
+        pair = kept // 2
+        rest = _pairs(kinds[2 * pair:])
+        walks = [states[:pair] + list(accumulate(rest, operator.getitem, initial=states[pair])) for states in self.walks]
+        return self.text[:kept] + following.text[:n // 2], _marked(walks, kinds, codes)
 
 
-def spelled(mark: Fingerprint) -> str:
-    """``level:samples`` of every walk, in hexadecimal digits."""
-    return " ".join(f"{level:x}:{samples.tobytes().hex()}" for level, samples in mark)
+def packed(mark: Fingerprint) -> bytes:
+    """Level, number of samples and samples of every walk."""
+    return b"".join(bytes([level, len(samples)]) + samples.tobytes() for level, samples in mark)
 
 
-def parsed(text: str) -> Fingerprint:
-    return [(int(level, 16), np.frombuffer(bytes.fromhex(samples), np.uint8)) for level, samples in (x.split(":") for x in text.split(" "))]
+def parsed(raw: bytes) -> Fingerprint:
+    out, at = [], 0
+    for _ in range(WALKS):
+        level, n = raw[at], raw[at + 1]
+        out.append((level, np.frombuffer(raw, np.uint8, n, at + 2)))
+        at += 2 + n
+    return out
 
 
 def _coarser(level: int, samples: np.ndarray, to: int) -> np.ndarray:
     for up in range(level + 1, to + 1):
-        block = np.arange(-(-len(samples) // 2))
-        at = 2 * block + _half(up, block)
-        samples = np.where(at < len(samples), samples[np.minimum(at, len(samples) - 1)], 0).astype(np.uint8)
+        at = _chosen(up)[:-(-len(samples) // 2)]
+        samples = np.append(samples, np.uint8(0))[at]  # a missing last one is after the end
     return samples
 
 
@@ -173,24 +230,23 @@ def likeness(one: Fingerprint, other: Fingerprint) -> float:
             return 1.0
         level = max(la, lb)
         a, b = _coarser(la, a, level), _coarser(lb, b, level)
-        n = max(len(a), len(b))
-        a, b = np.append(a, np.zeros(n - len(a), np.uint8)), np.append(b, np.zeros(n - len(b), np.uint8))
-        either = (a > 0) | (b > 0)
-        best = max(best, float(np.count_nonzero((a == b) & either)) / max(1, int(np.count_nonzero(either))))
+        n = min(len(a), len(b))
+        either = int(np.count_nonzero(a[:n] | b[:n]) + np.count_nonzero(a[n:]) + np.count_nonzero(b[n:]))
+        best = max(best, int(np.count_nonzero((a[:n] == b[:n]) & (a[:n] > 0))) / max(1, either))
     return best
 
 
-_SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
 
 def _row(doc_id: int | None, text: _Text, following: _Text) -> tuple:
     body, mark = text.edited(following)
-    return (doc_id, len(text.text), hashlib.sha256(body.encode("utf-8", "surrogatepass")).hexdigest(), spelled(text.mark), spelled(mark),
+    return (doc_id, len(text.text), hashlib.sha256(body.encode("utf-8", "surrogatepass")).hexdigest(), packed(text.mark), packed(mark),
             likeness(text.mark, mark), likeness(text.mark, following.mark))
 
 
-_RESULT = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
-                     ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
+_RESULT = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.binary()),
+                     ("edited_fingerprint", pa.binary()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
 _EDGED = pa.schema([*_RESULT, ("edge", pa.int32()), ("part", pa.int64()), ("text", pa.string())])
 
 
@@ -242,7 +298,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     nexts = ranges.select("part", F.coalesce(F.lead("part").over(Window.orderBy("part")), F.first("part").over(whole)).alias("next_part"))
     open_rows = (walked.where("edge = 2").select("doc_id", "text", "part").join(nexts, "part").drop("part")
                  .join(ranges.withColumnRenamed("part", "next_part"), "next_part").select("doc_id", "text", "following"))
-    return walked.where("edge = 0").drop("edge", "part", "text").unionByName(open_rows.mapInArrow(_last_rows, _SCHEMA))
+    rows = walked.where("edge = 0").drop("edge", "part", "text").unionByName(open_rows.mapInArrow(_last_rows, _SCHEMA))
+    return rows.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})
 
 
 def edit_distance(a: str, b: str) -> int:
@@ -285,7 +342,7 @@ def band_keys(mark: Fingerprint, bands: int = BANDS, band: int = BAND) -> list[i
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         marks = [fingerprint(x.as_py() or "") for x in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(map(spelled, marks), pa.string()),
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(map(packed, marks), pa.binary()),
                                           pa.array(map(band_keys, marks), pa.list_(pa.int64()))], ["doc_id", "body", "mark", "keys"])
 
 
@@ -311,7 +368,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     samples), none is wrong.  Rows without an id have class null."""
     picked = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     body = F.sha2("text", 256)
-    rows = reliable(picked.select("doc_id", "text", body.alias("body")).mapInArrow(_keyed, "doc_id long, body string, mark string, keys array<long>"))
+    rows = reliable(picked.select("doc_id", "text", body.alias("body")).mapInArrow(_keyed, "doc_id long, body string, mark binary, keys array<long>"))
     nodes = rows.where("doc_id IS NOT NULL").groupBy("body").agg(F.min("doc_id").alias("node"), F.first("mark").alias("mark"), F.first("keys").alias("keys"))
     nodes = reliable(nodes)
     keyed = nodes.select("node", F.explode("keys").alias("key"))
