@@ -725,7 +725,7 @@ QUALIFY row_number() OVER (PARTITION BY filing_id ORDER BY NOT coalesce(contains
 
 _rules = ", ".join(f"('{f}', '{sid}', '{t.replace(chr(39), chr(39) * 2)}', {i}, '{c}')"
                    for f, sid, t, cands in _S.MDNA_SECTIONS for i, c in enumerate(cands))
-sql("P23_mdna_sections", f"""
+_SECTIONS = f"""
 WITH r AS (SELECT form, section_id, section_title, cand_pos, regexp_replace(lower(cand), '[^a-z0-9]', '', 'g') AS k
            FROM (VALUES {_rules}) v(form, section_id, section_title, cand_pos, cand)),
 f AS (SELECT id, type, string_split(text, chr(10)) AS l FROM filing WHERE type IN ('10-K', '10-Q')),
@@ -734,7 +734,104 @@ it AS (SELECT filing_id, regexp_replace(lower(item_key), '[^a-z0-9]', '', 'g') A
        WHERE content IS NOT NULL AND content <> '')
 SELECT fl.id AS filing_id, fl.type AS form, r.section_id, r.section_title, arg_min(it.content, r.cand_pos) AS content
 FROM filing fl JOIN r ON r.form = fl.type JOIN it ON it.filing_id = fl.id AND it.k = r.k
-GROUP BY ALL""", "filing")
+GROUP BY ALL"""
+sql("P23_mdna_sections", _SECTIONS, "filing")
+
+
+# markdown: rows (k, x) -> (k, markdown)
+_NOT_WS = f"[^{_WS}]"
+
+
+def markdown(src):
+    spaced = f"regexp_replace({strip_ws(f"regexp_replace(p, '{_WSR}', ' ', 'g')")}, '([.,!?:;])([^{_WS}\\p{{Nd}}])', '\\1 \\2', 'g')"
+    lines = "string_split(p, chr(10))"
+    bullet = strip_ws(f"regexp_replace(z, '^[{_WS}]*[•\\-\\*][{_WS}]*', '- ')")
+    return f"""(
+WITH texts AS (
+  SELECT k, list_filter(list_transform(regexp_split_to_array({_unescape("coalesce(x, '')")}, '\\n[{_WS}]*\\n'), lambda z: {strip_ws('z')}), lambda z: z <> '') AS l FROM {src}
+), paras AS (
+  SELECT k, unnest(range(1, len(l) + 1)) AS i, unnest(l) AS p FROM texts
+), kinds AS (
+  SELECT *, regexp_matches(p, '(\\|.*\\|)|({_NOT_WS}+[{_WS}]{{2,}}{_NOT_WS}+[{_WS}]{{2,}}{_NOT_WS}+)') AS t, {spaced} AS pc FROM paras
+), formed AS (
+  SELECT k, i, t, lag(t, 1, false) OVER (PARTITION BY k ORDER BY i) AS within,
+    CASE WHEN contains(p, '|') THEN p ELSE '| ' || array_to_string(regexp_split_to_array(p, '[{_WS}]{{2,}}'), ' | ') || ' |' END AS line,
+    CASE WHEN regexp_matches(p, '^[{_WS}]*\\d+\\.[{_WS}]') THEN array_to_string(list_transform({lines}, lambda z: {strip_ws('z')}), chr(10))
+         WHEN regexp_matches(p, '^[{_WS}]*[•\\-\\*][{_WS}]') THEN array_to_string(list_transform({lines}, lambda z: {bullet}), chr(10))
+         WHEN upper(pc) = pc AND lower(pc) <> pc THEN '## ' || pc
+         WHEN length(pc) < 80 AND ends_with(pc, ':') THEN '### ' || pc
+         WHEN regexp_matches(pc, '^[A-Z][a-z]+[{_WS}]+\\p{{Nd}}+(\\.|:)') THEN '### ' || pc ELSE pc END AS plain
+  FROM kinds
+), joined AS (
+  SELECT k, string_agg(CASE WHEN NOT t THEN chr(10) || chr(10) || plain WHEN within THEN chr(10) || line
+    ELSE chr(10) || chr(10) || line || chr(10) || '| ' || array_to_string(list_transform(range(length(line) - length(replace(line, '|', '')) - 1), lambda z: '---'), ' | ') || ' |'
+    END, '' ORDER BY i) AS md FROM formed GROUP BY k
+)
+SELECT texts.k, coalesce(substr(md, 3), '') AS markdown FROM texts LEFT JOIN joined ON joined.k = texts.k)"""
+
+
+sql("T3_markdown", f"SELECT k AS page_id, markdown FROM {markdown(f'(SELECT page_id AS k, {_h} AS x FROM pages)')}")
+
+
+def chunks(src, n=500, overlap=50):
+    """Rows (k, x) -> (k, c, chunk): a step of the recursion closes a chunk, at
+    the first sentence that the buffer cannot take."""
+    cut = f"string_split(regexp_replace({squash("coalesce(x, '')")}, '([.!?]){_WSR}([A-Z])', '\\1' || chr(1) || '\\2', 'g'), chr(1))"
+    return f"""(
+WITH RECURSIVE sents AS (
+  SELECT k, list_filter(list_transform({cut}, lambda z: {strip_ws('z')}), lambda z: z <> '') AS l FROM {src}
+), sizes AS (
+  SELECT k, unnest(range(1, len(l) + 1)) AS j, unnest(list_transform(l, lambda z: len(string_split(z, ' ')))) AS n FROM sents
+), cums AS (
+  SELECT k, j, n, sum(n) OVER (PARTITION BY k ORDER BY j)::BIGINT AS total FROM sizes
+), steps AS (
+  SELECT DISTINCT k, 0 AS c, NULL::BIGINT AS a, NULL::BIGINT AS b, 0::BIGINT AS s, 1::BIGINT AS j FROM cums
+  UNION ALL
+  SELECT steps.k, steps.c + 1, steps.s, arg_min(cums.total - cums.n, cums.j), greatest(arg_min(cums.total - cums.n, cums.j) - {overlap}, steps.s), min(cums.j)
+  FROM steps JOIN cums ON cums.k = steps.k AND cums.j > steps.j AND cums.total - steps.s > {n} GROUP BY steps.k, steps.c, steps.s
+), ranges AS (
+  SELECT k, c, a, b FROM steps WHERE c > 0
+  UNION ALL SELECT k, max(c) + 1, arg_max(s, c), (SELECT max(total) FROM cums WHERE cums.k = steps.k) FROM steps GROUP BY k
+)
+SELECT ranges.k, c, array_to_string(string_split(array_to_string(l, ' '), ' ')[a + 1:b], ' ') AS chunk FROM ranges JOIN sents ON sents.k = ranges.k)"""
+
+
+sql("T6_chunks", f"SELECT k AS id, c::INTEGER AS chunk_number, chunk FROM {chunks(f'(SELECT id AS k, {clean("text")} AS x FROM filing)')}", "filing")
+
+
+def _count_words(x):
+    return f"CASE WHEN {squash(x)} = '' THEN 0 ELSE len(string_split({squash(x)}, ' ')) END"
+
+
+def _statements(src, label, title, words_of):
+    """Rows (k, x) of raw texts -> rows of the statements table."""
+    return f"""(
+WITH whole AS (SELECT k, {clean('x')} AS x FROM {src}),
+cut AS (SELECT struct_pack(k := k, c := c) AS k, chunk AS x FROM {chunks("(SELECT * FROM whole WHERE x <> '')")}),
+md AS {markdown('cut')}
+SELECT cut.k.k.id AS filingId, {label} || '_chunk_' || cut.k.c AS section, {title} AS title, {clean('cut.x')} AS content, cut.x AS raw_content,
+       md.markdown AS markdown_content, ({_count_words(words_of)})::INTEGER AS word_count, cut.k.c::INTEGER AS chunk_number
+FROM cut JOIN md ON md.k = cut.k JOIN whole ON whole.k = cut.k.k)"""
+
+
+_title = (f"coalesce(left(list_filter(list_transform(string_split(whole.x, chr(10)), lambda x: {strip_ws('x')}), "
+          f"lambda x: length(x) > 20 AND {_bp})[1], 200), 'Press Release')")
+
+
+def _press(where="true"):
+    src = f"(SELECT struct_pack(id := filing_id) AS k, text AS x FROM ({_ATTACHMENT}) WHERE {where})"
+    return _statements(src, "'8-K PR'", _title, clean("cut.x"))
+
+
+def _mdna(where="true"):
+    src = f"(SELECT struct_pack(id := filing_id, section := section_id, title := section_title) AS k, content AS x FROM ({_SECTIONS}) WHERE {where})"
+    return _statements(src, "cut.k.k.section", "cut.k.k.title", "cut.x")
+
+
+_ATTACHMENT = """SELECT filing_id, ordinal, document_type, text FROM attachment
+QUALIFY row_number() OVER (PARTITION BY filing_id ORDER BY NOT coalesce(contains(document_type, 'EX-99'), false), ordinal) = 1"""
+sql("T7_press_release_chunks", f"SELECT * FROM {_press()}", "attachment")
+sql("T7_mdna_chunks", f"SELECT * FROM {_mdna()}", "filing")
 
 
 # --- market data ----------------------------------------------------------------
@@ -893,6 +990,15 @@ s AS {_STORED}
 SELECT c.accessionNo, c.tickerId, c.type, i.id AS existing_id FROM c
 LEFT JOIN (SELECT accessionNo, id FROM s WHERE NOT completed) i ON i.accessionNo = c.accessionNo
 WHERE c.accessionNo NOT IN (SELECT accessionNo FROM s WHERE completed)""", "filing")
+_TODO = f"""(SELECT c.id, c.accessionNo, c.type FROM {_latest({'8-K': 5, '10-K': 2, '10-Q': 3})} c
+WHERE c.accessionNo NOT IN (SELECT accessionNo FROM {_STORED} WHERE completed))"""
+_STATEMENTS = f"""SELECT * FROM {_press(f"filing_id IN (SELECT id FROM {_TODO} WHERE type = '8-K')")}
+UNION ALL SELECT * FROM {_mdna(f"filing_id IN (SELECT id FROM {_TODO} WHERE type IN ('10-K', '10-Q'))")}"""
+sql("C3_filing_text_build", _STATEMENTS, "filing", "attachment")
+sql("C3_filing", f"""
+WITH made AS (SELECT DISTINCT filingId FROM ({_STATEMENTS}))
+SELECT * EXCLUDE (text) REPLACE ((id IN (SELECT filingId FROM made) OR (id % 2 = 0 AND completed)) AS completed) FROM filing
+WHERE id % 2 = 0 OR (id IN (SELECT id FROM {_TODO}) AND accessionNo NOT IN (SELECT accessionNo FROM {_STORED}))""", "filing", "attachment")
 _SHOULD = f"""(SELECT c.tickerId, count(*) AS n_candidates, count(d.accessionNo) AS n_completed,
        count(*) > 0 AND count(d.accessionNo) < count(*) AS should_run
 FROM (SELECT accessionNo, tickerId FROM {_latest({'8-K': 5, '10-K': 2})}) c

@@ -109,3 +109,41 @@ def test_character_references(spark):
     for r in df.select("s", "want", html_unescape("s").alias("got")).collect():
         assert r.got == r.want, r
     assert spark.sql("SELECT CAST(NULL AS STRING) s").select(html_unescape("s").alias("x")).first().x is None
+
+
+def _made_text(rnd, sentences):
+    return " ".join(" ".join(["Alpha", *(rnd.choice(["beta", "gamma"]) for _ in range(rnd.choice([1, 3, 9, 60])))]) + rnd.choice([".", "!"]) for _ in range(sentences))
+
+
+def test_long_texts_in_segments(spark):
+    rnd = random.Random(9)
+    docs = [(i, _made_text(rnd, rnd.choice([0, 1, 2, 70, 500])), "k") for i in range(20)] + [(3, "Same id here.", "k"), (50, None, None)]
+    df = spark.createDataFrame(docs, "id int, text string, row string")
+    for n, overlap in ((10, None), (50, 0), (40, 39)):
+        ov = int(n * .1) if overlap is None else overlap
+        want = sorted((i, k, j, c) for i, t, k in docs for j, c in enumerate(_chunks_with(t or "", n, ov), 1))
+        for segment in (1, 7, 64):
+            got = TO.chunk_rows(df, ["id", "row"], F.col("text"), n, overlap, long_text=5, segment=segment).collect()
+            assert sorted((r.id, r.row, r.chunk_number, r.chunk) for r in got) == want, (n, segment)
+
+
+def _chunks_with(text, n, overlap):
+    chunks, buf = [], []
+    for s in [x for x in re.split(r"(?<=[.!?])\s+(?=[A-Z])", " ".join(text.split())) if x.strip()]:
+        toks = s.split()
+        if len(buf) + len(toks) > n and buf:
+            chunks.append(" ".join(buf))
+            buf = buf[-overlap:] if overlap > 0 else []
+        buf.extend(toks)
+    return chunks + [" ".join(buf)] if buf else chunks
+
+
+def test_long_markdown_in_segments(spark):
+    rnd = random.Random(4)
+    paragraph = ["| a | b |", "x  y  z", "TITLE", "Plain text,here", "1. one\n 2. two", "- b", "Heading:", "&lt;p&gt; q"]
+    docs = [(i, "\n\n".join(rnd.choice(paragraph) for _ in range(rnd.choice([0, 1, 5, 40])))) for i in range(25)] + [(99, None)]
+    df = spark.createDataFrame(docs, "id int, text string")
+    want = {r.id: r.m for r in df.select("id", TO.to_markdown("text").alias("m")).collect()}
+    for segment in (1, 3, 1000):
+        got = {r.id: r.markdown for r in TO.markdown_rows(df, ["id"], F.col("text"), long_text=3, segment=segment).collect()}
+        assert got == want

@@ -1,15 +1,18 @@
 """Filing text operators: attachment choice, MD&A sections, markdown, chunks.
 
-Per-document sequential logic (markdown table runs, the chunk buffer) is a fold
-over an array inside one row (``aggregate``), so a document never leaves its
-task and no shuffle is needed; the documents themselves are spread over all
-partitions.
+Markdown looks at a paragraph and the one before it; the chunk buffer is a fold
+over a document's sentences.  Both work in the task that has the document.  A
+document of more than ``LONG_TEXT`` characters is cut into segments that several
+tasks work on: for the buffer, segments are summarised as state tables, which
+compose to every segment's start.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.coerce import strip
@@ -98,17 +101,22 @@ def _spaced(p: Column) -> Column:
     return F.regexp_replace(pc, rf"([.,!?:;])([^{WS}\p{{Nd}}])", "$1 $2")
 
 
-def to_markdown(c: ColLike) -> Column:
-    """Filing text -> markdown.
+def _once(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often it is read."""
+    return F.get(F.transform(F.array(value), body), 0)
 
-    Paragraphs (split at blank lines) are classified; consecutive table-like
-    paragraphs form one table whose first row gets a separator row; other
-    paragraphs become lists or text with heading rules.  The run detection is
-    a fold over the paragraph array inside the row.  Lambda bodies are
-    evaluated without common-subexpression elimination, so each paragraph's
-    derived values are computed once in a first pass and only read after."""
-    text = html_unescape(F.coalesce(_c(c), F.lit("")))
-    paras = F.filter(F.transform(F.split(text, rf"\n{_S}*\n", -1), lambda x: strip(x)), lambda x: x != "")
+
+def _paragraphs(text: Column) -> Column:
+    return F.filter(F.transform(F.split(text, rf"\n{_S}*\n", -1), lambda x: strip(x)), lambda x: x != "")
+
+
+def _markdown_pieces(paras: Column, after_row: Column) -> Column:
+    """The paragraphs as markdown, each with the line ends before it.
+
+    A paragraph needs to know only whether it and the one before it
+    (``after_row`` for the first) are table rows, so nothing is carried along.
+    Lambda bodies run without common-subexpression elimination; each paragraph's
+    values are computed once in a first pass and only read after."""
     first = F.transform(paras, lambda p: F.struct(p.alias("p"), p.rlike(TABLE_ROW).alias("t")))
     second = F.transform(first, lambda x: F.struct(
         x["p"].alias("p"), x["t"].alias("t"),
@@ -119,24 +127,62 @@ def to_markdown(c: ColLike) -> Column:
             F.concat(F.lit("| "), F.array_join(F.split(x["p"], f"{_S}{{2,}}", -1), " | "), F.lit(" |")))).alias("row"),
         F.when(~x["t"], _format_paragraph(x["p"], x["pc"])).alias("fmt"),
     ))
-    empty = F.array().cast("array<string>")
 
-    def flush(tbl):
-        head = F.get(tbl, 0)
-        body = F.concat(F.slice(tbl, 1, 1), F.array(_separator(head)), F.slice(tbl, 2, F.greatest(F.size(tbl) - 1, F.lit(0))))
-        return F.when(F.size(tbl) > 0, F.array(F.array_join(body, "\n"))).otherwise(empty)
+    def piece(x, before):
+        head = F.concat(F.lit("\n\n"), x["row"], F.lit("\n"), _separator(x["row"]))
+        return (F.when(x["t"] & before, F.concat(F.lit("\n"), x["row"])).when(x["t"], head)
+                .otherwise(F.concat(F.lit("\n\n"), x["fmt"])))
 
-    init = F.struct(empty.alias("out"), empty.alias("tbl"))
+    def joined(a):
+        before = F.slice(F.concat(F.array(after_row), F.transform(a, lambda x: x["t"])), F.lit(1), F.size(a))
+        return F.array_join(F.zip_with(a, before, piece), "")
 
-    def step(acc, it):
-        return F.when(it["t"], F.struct(acc["out"].alias("out"), F.concat(acc["tbl"], F.array(it["row"])).alias("tbl"))) \
-            .otherwise(F.struct(F.concat(acc["out"], flush(acc["tbl"]), F.array(it["fmt"])).alias("out"),
-                                empty.alias("tbl")))
+    return _once(items, joined)
+
+
+def _markdown_source(c: ColLike) -> Column:
+    return _paragraphs(html_unescape(F.coalesce(_c(c), F.lit(""))))
+
+
+def to_markdown(c: ColLike) -> Column:
+    """Filing text -> markdown.
+
+    Paragraphs (split at blank lines) are classified; consecutive table-like
+    paragraphs form one table whose first row gets a separator row; other
+    paragraphs become lists or text with heading rules."""
+    return F.substring(_markdown_pieces(_markdown_source(c), F.lit(False)), 3, 2**31 - 1)
 
-    def finish(acc):
-        return F.array_join(F.concat(acc["out"], flush(acc["tbl"])), "\n\n")
 
-    return F.aggregate(items, init, step, finish)
+#: texts of more characters are worked on by several tasks
+LONG_TEXT = 1 << 20
+#: paragraphs, or sentences, that such a text gives to a task at a time
+SEGMENT = 4096
+
+
+def _segments(df: DataFrame, keep: list[str], parts: Column, segment: int) -> DataFrame:
+    """(row, keep, seg, parts, before): the parts of each row in segments that
+    are dealt over all tasks; ``before`` is the part before a segment."""
+    from ..session import cut_lineage
+
+    held = df.select(F.struct(*keep).alias("keep"), parts.alias("all"), F.monotonically_increasing_id().alias("row"))
+    cuts = F.sequence(F.lit(0), F.floor(F.greatest(F.size("all") - 1, F.lit(0)) / F.lit(segment)).cast("int"))
+    cuts = F.transform(cuts, lambda i: F.struct(i.alias("seg"), F.slice("all", i * segment + 1, F.lit(segment)).alias("parts"),
+                                                                 F.when(i > 0, F.get("all", i * segment - 1)).alias("before")))
+    return cut_lineage(held.select("row", "keep", F.inline(cuts)).repartition("row", "seg"))
+
+
+def markdown_rows(df: DataFrame, keep: list[str], text: Column, size: Column | None = None, long_text: int = LONG_TEXT,
+                  segment: int = SEGMENT) -> DataFrame:
+    """T3 as rows: ``keep`` columns + markdown.  A text whose ``size`` (by default
+    its length) passes ``long_text`` is split into segments of paragraphs that
+    several tasks format; the others stay in their row."""
+    big = F.coalesce(F.length(text) if size is None else size, F.lit(0)) > long_text
+    short = df.where(~big).select(*keep, to_markdown(text).alias("markdown"))
+    segs = _segments(df.where(big), keep, _markdown_source(text), segment)
+    done = segs.select("row", "seg", F.when(F.col("seg") == 0, F.col("keep")).alias("keep"),
+                       _markdown_pieces(F.col("parts"), F.coalesce(F.col("before").rlike(TABLE_ROW), F.lit(False))).alias("piece"))
+    whole = done.groupBy("row").agg(F.max("keep").alias("keep"), F.array_sort(F.collect_list(F.struct("seg", "piece"))).alias("pieces"))
+    return short.unionByName(whole.select("keep.*", F.substring(F.array_join("pieces.piece", ""), 3, 2**31 - 1).alias("markdown")))
 
 
 # ---------------------------------------------------------------------------
@@ -175,23 +221,142 @@ def chunk_texts(c: ColLike, n: int = 500, overlap: int | None = None) -> Column:
     return F.transform(bounds, lambda b: F.array_join(F.slice(toks, b["s"] + 1, b["e"] - b["s"]), " "))
 
 
-def chunk_rows(df: DataFrame, keep: list[str], text: Column, n: int = 500, overlap: int | None = None) -> DataFrame:
+def _folded(n: int, ov: int):
+    """Sentence counts -> token ranges, from a buffer that holds [s, e) already."""
+    def fold(lengths, s=0, e=0):
+        out = []
+        for ln in lengths:
+            if e - s + ln > n and e > s:
+                out.append((s, e))
+                s = max(e - ov, s) if ov > 0 else e
+            e += ln
+        return out, s, e
+    return fold
+
+
+def _short_chunks(df: DataFrame, keep: list[str], sents: Column, n: int, ov: int) -> DataFrame:
+    schema = T.StructType([*df.select(*keep).schema.fields, T.StructField("chunk_number", T.IntegerType()), T.StructField("chunk", T.StringType())])
+    names, fold = schema.names, _folded(n, ov)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            rows, numbers, texts = [], [], []
+            for i, sentences_of in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+                bounds, s, e = fold([x.count(" ") + 1 for x in sentences_of])
+                tokens = " ".join(sentences_of).split(" ")
+                for number, (a, b) in enumerate(bounds + [(s, e)] * (e > s), 1):
+                    rows.append(i)
+                    numbers.append(number)
+                    texts.append(" ".join(tokens[a:b]))
+            at = pa.array(rows, pa.int64())
+            columns = [c.take(at) for c in batch.columns[:-1]]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(numbers, pa.int32()), pa.array(texts, pa.string())], names=names)
+
+    return df.select(*keep, sents.alias("_sents")).mapInArrow(run, schema)
+
+
+def _long_chunks(segs: DataFrame, keep_names: list[str], n: int, ov: int) -> DataFrame:
+    """Chunks of long texts.
+
+    What a segment does depends only on the number of tokens in the buffer before
+    it, and from n + 1 on not on how many: so each segment is summarised as a
+    table from 0 .. n + 1 tokens before to tokens after and chunks closed.  The
+    tables of a text are run through in order, which hands every segment its
+    start; segments then close their chunks, and cut the texts of chunks (which
+    may reach into other segments) out of their own tokens."""
+    fold = _folded(n, ov)
+
+    def summary(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            tokens, after, closed = [], [], []
+            for parts in batch.column(2).to_pylist():
+                held, made = np.arange(n + 2), np.zeros(n + 2, np.int64)
+                for ln in (x.count(" ") + 1 for x in parts):
+                    close = (held + ln > n) & (held > 0)
+                    held = np.where(close, np.minimum(held, ov), held) + ln
+                    made += close
+                tokens.append(sum(x.count(" ") + 1 for x in parts))
+                after.append(held.tolist())
+                closed.append(made.tolist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(tokens, pa.int64()), pa.array(after, pa.list_(pa.int64())),
+                                              pa.array(closed, pa.list_(pa.int64()))], names=["row", "seg", "tokens", "after", "closed"])
+
+    def starts(table: pa.Table) -> pa.Table:
+        import pyarrow as pa
+
+        rows = table.sort_by("seg").to_pylist()
+        token, held, chunk, out = 0, 0, 0, []
+        for i, r in enumerate(rows):
+            out.append((r["row"], r["seg"], token, held, chunk, i == len(rows) - 1))
+            state = min(held, n + 1)
+            token, held, chunk = token + r["tokens"], r["after"][state], chunk + r["closed"][state]
+        kinds = [("row", pa.int64()), ("seg", pa.int32()), ("token", pa.int64()), ("held", pa.int64()), ("chunk", pa.int64()), ("last", pa.bool_())]
+        return pa.table([pa.array(c, t) for c, (_, t) in zip(zip(*out, strict=True), kinds, strict=True)], [k for k, _ in kinds])
+
+    def close(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                bounds, s, e = fold([x.count(" ") + 1 for x in r["parts"]], r["token"] - r["held"], r["token"])
+                if r["last"] and e > s:
+                    bounds.append((s, e))
+                out += [(r["row"], r["chunk"] + i, a, b) for i, (a, b) in enumerate(bounds, 1)]
+            columns = list(zip(*out, strict=True)) if out else [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["row", "chunk_number", "s", "e"])
+
+    def cut(segments: pa.Table, wanted: pa.Table) -> pa.Table:
+        import pyarrow as pa
+
+        out = []
+        for r in segments.to_pylist():
+            tokens, begin = " ".join(r["parts"]).split(" "), r["token"]
+            for w in wanted.to_pylist():
+                out.append((w["row"], w["chunk_number"], r["seg"], " ".join(tokens[max(0, w["s"] - begin):w["e"] - begin])))
+        kinds = [("row", pa.int64()), ("chunk_number", pa.int64()), ("seg", pa.int32()), ("piece", pa.string())]
+        columns = list(zip(*out, strict=True)) if out else [()] * 4
+        return pa.table([pa.array(c, t) for c, (_, t) in zip(columns, kinds, strict=True)], [k for k, _ in kinds])
+
+    tables = segs.select("row", "seg", "parts").mapInArrow(summary, "row long, seg int, tokens long, after array<long>, closed array<long>")
+    begun = tables.groupBy("row").applyInArrow(starts, "row long, seg int, token long, held long, chunk long, last boolean")
+    started = segs.select("row", "seg", "parts").join(begun, ["row", "seg"])
+    bounds = started.mapInArrow(close, "row long, chunk_number long, s long, e long")
+    firsts = begun.groupBy("row").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
+    reach = F.sequence(F.size(F.filter("tokens", lambda x: x <= F.col("s"))) - 1, F.size(F.filter("tokens", lambda x: x < F.col("e"))) - 1)
+    wanted = bounds.join(firsts, "row").select("row", "chunk_number", "s", "e", F.explode(reach).alias("seg"))
+    pieces = started.select("row", "seg", "parts", "token").groupBy("row", "seg").cogroup(wanted.groupBy("row", "seg")).applyInArrow(
+        cut, "row long, chunk_number long, seg int, piece string")
+    chunks = pieces.groupBy("row", "chunk_number").agg(F.array_sort(F.collect_list(F.struct("seg", "piece"))).alias("p"))
+    return segs.where("seg = 0").select("row", "keep").join(chunks, "row").select(
+        *[F.col(f"keep.`{c}`").alias(c) for c in keep_names], F.col("chunk_number").cast("int").alias("chunk_number"), F.array_join("p.piece", " ").alias("chunk"))
+
+
+def chunk_rows(df: DataFrame, keep: list[str], text: Column, n: int = 500, overlap: int | None = None, size: Column | None = None,
+               long_text: int = LONG_TEXT, segment: int = SEGMENT) -> DataFrame:
     """T6 as rows: ``keep`` columns + (chunk_number, chunk).
 
-    Staged so that each document's sentence split and token array are computed
-    once: the bounds fold runs over sentence lengths, the bounds are exploded,
-    and each chunk slices the (already computed) token array of its row."""
-    s1 = df.select(*keep, sentences(squash(text)).alias("_sents"))
-    s2 = s1.select(*keep, F.transform("_sents", lambda x: F.size(F.split(x, f"{_S}+"))).alias("_lens"),
-                   words(F.array_join("_sents", " ")).alias("_toks"))
-    s3 = s2.select(*keep, "_toks", F.posexplode(chunk_bounds(F.col("_lens"), n, overlap)).alias("_pos", "_b"))
-    return s3.select(*keep, (F.col("_pos") + 1).alias("chunk_number"),
-                     F.array_join(F.slice("_toks", F.col("_b.s") + 1, F.col("_b.e") - F.col("_b.s")), " ").alias("chunk"))
+    Sentences are split in the JVM and folded in the task that has the text.  A
+    text whose ``size`` (by default its length; callers that clean the text give
+    the raw length, so that nothing is cleaned twice) passes ``long_text`` is
+    folded by several tasks instead."""
+    ov = int(n * 0.1) if overlap is None else overlap
+    big = F.coalesce(F.length(text) if size is None else size, F.lit(0)) > long_text
+    sents = sentences(squash(text))
+    segs = _segments(df.where(big), keep, sents, segment).where(F.size("parts") > 0)
+    return _short_chunks(df.where(~big), keep, sents, n, ov).unionByName(_long_chunks(segs, keep, n, ov))
 
 
-def chunk(df: DataFrame, id_col: str, text_col: str, n: int = 500, overlap: int | None = None) -> DataFrame:
-    """One row per chunk: (id, chunk_number from 1, chunk)."""
-    return chunk_rows(df, [id_col], F.col(text_col), n, overlap)
+def chunk(df: DataFrame, id_col: str, text_col: str, n: int = 500, overlap: int | None = None, clean: bool = False) -> DataFrame:
+    """One row per chunk: (id, chunk_number from 1, chunk); ``clean`` cleans
+    the text first (T1)."""
+    text = clean_filing_text(F.col(text_col)) if clean else F.col(text_col)
+    return chunk_rows(df, [id_col], text, n, overlap, size=F.length(text_col))
 
 
 # ---------------------------------------------------------------------------
@@ -211,9 +376,8 @@ def statement_chunks(texts: DataFrame, id_col: str = "filing_id", text_col: str
     else:
         title = F.col(title_col)
         label = F.col(section_col)
-    base = texts.select(F.col(id_col).alias("filingId"), label.alias("_label"), title.alias("title"),
-                        cleaned.alias("_cleaned")).where(F.col("_cleaned") != "")
-    ex = chunk_rows(base, ["filingId", "_label", "title"], F.col("_cleaned"), n).withColumnRenamed(
+    base = texts.select(F.col(id_col).alias("filingId"), label.alias("_label"), title.alias("title"), F.col(text_col).alias("_text"))
+    ex = chunk_rows(base, ["filingId", "_label", "title"], clean_filing_text(F.col("_text")), n, size=F.length("_text")).withColumnRenamed(
         "chunk", "raw_content")
     content = clean_filing_text(F.col("raw_content"))
     wc = F.size(words(content)) if kind == "8-K" else F.size(words(F.col("raw_content")))

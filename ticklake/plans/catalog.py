@@ -496,14 +496,14 @@ def q_mdna_sections(spark, d):
 @register("T3_markdown")
 def q_markdown(spark, d):
     from ..sources.tables import read_table
-    pages = read_table(spark, d, "pages").select("page_id", TX.html_to_text(F.col("html")).alias("text"))
-    return pages.select("page_id", TO.to_markdown(F.col("text")).alias("markdown"))
+    # heavy work on each row: ask for even partitions, whatever the files' row groups are
+    pages = read_table(spark, d, "pages").select("page_id", "html").hint("rebalance", "page_id")
+    return TO.markdown_rows(pages, ["page_id"], TX.html_to_text(F.col("html")), size=F.length("html"))
 
 
 @register("T6_chunks")
 def q_chunks(spark, d):
-    f = fx.filing(spark, d).select("id", TX.clean_filing_text(F.col("text")).alias("text"))
-    return TO.chunk(f, "id", "text", n=500)
+    return TO.chunk(fx.filing(spark, d).select("id", "text"), "id", "text", n=500, clean=True)
 
 
 @register("T7_press_release_chunks")
@@ -746,8 +746,7 @@ def q_index_quality(spark, d):
 
 @register("V3_hash_embed")
 def q_hash_embed(spark, d):
-    chunks = TO.chunk(fx.filing(spark, d).select("id", TX.clean_filing_text(F.col("text")).alias("text")),
-                      "id", "text", n=500)
+    chunks = TO.chunk(fx.filing(spark, d).select("id", "text"), "id", "text", n=500, clean=True)
     return VEC.hash_embed(chunks, ["id", "chunk_number"], "chunk", dims=64)
 
 
