@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import numpy as np
 
+_BYTES = np.dtype([("bwt", np.uint8), ("lcp", np.uint8)])
+
 
 def column_bwt(columns: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Transform and common prefixes of N strings.
@@ -25,18 +27,22 @@ def column_bwt(columns: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np
     ``lengths`` are at most 255.  The symbol 0 stands where a string begins.
     The first N places are the empty suffixes, in the order of the strings."""
     n = len(lengths)
-    bwt, lcp = np.zeros(n, np.uint8), np.zeros(n, np.uint8)
+    # both files as one of two bytes a place, so that a round copies them together
+    both = np.zeros(n, np.uint16)
     at, who = np.arange(n), np.arange(n)
     for j in range(int(lengths.max(initial=0))):
         alive = lengths[who] > j
         at, who = at[alive], who[alive]
         symbol = columns[who, j]
+        bwt, lcp = both.view(_BYTES)["bwt"], both.view(_BYTES)["lcp"]
         bwt[at] = symbol
-        order = np.argsort(bwt, kind="stable")  # counting: all places by symbol, then by place
-        none = len(bwt) - int(np.count_nonzero(bwt))
-        rank = np.empty(len(bwt), np.int64)
-        rank[order] = np.arange(len(bwt))
-        r = rank[at]
+        order = np.argsort(np.ascontiguousarray(bwt), kind="stable")  # counting: all places by symbol, then by place
+        none = len(both) - int(np.count_nonzero(bwt))
+        # ``at`` ascends, so its places come in the order of their symbols
+        written = np.zeros(len(both), bool)
+        written[at] = True
+        r = np.empty(len(at), np.int64)
+        r[np.argsort(symbol, kind="stable")] = np.flatnonzero(written[order])
         # the neighbours with the same symbol, and the least common prefix on the way to them
         before = order[r - 1]
         has_before = (r > none) & (bwt[before] == symbol)
@@ -49,18 +55,18 @@ def column_bwt(columns: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np
         ranges[0::2], ranges[1::2] = np.where(has_after, at + 1, at), np.where(has_after, after, at) + 1
         right = np.minimum.reduceat(padded, ranges)[0::2] if len(at) else np.zeros(0, np.uint8)
         new = r - none + n
-        size = len(bwt) + len(at)
-        old = np.ones(size, bool)
+        old = np.ones(len(both) + len(at), bool)
         old[new] = False
-        merged, prefixes = np.zeros(size, np.uint8), np.zeros(size, np.uint8)
-        merged[old], prefixes[old] = bwt, lcp
+        merged = np.zeros(len(old), np.uint16)
+        merged[old] = both
+        prefixes = merged.view(_BYTES)["lcp"]
         prefixes[new] = np.where(has_before, left + 1, 0)
         nxt = new[has_after] + 1
         prefixes[nxt] = right[has_after] + 1
-        bwt, lcp = merged, prefixes
+        both = merged
         by_place = np.argsort(new)
         at, who = new[by_place], who[by_place]
-    return bwt, lcp
+    return np.ascontiguousarray(both.view(_BYTES)["bwt"]), np.ascontiguousarray(both.view(_BYTES)["lcp"])
 
 
 def places(bwt: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -91,23 +91,27 @@ def blocks(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, gram: in
     """Start, number of windows, minimizer and a hash of the ends of every block."""
     most = window - gram + 1
     starts, counts, keys, ends_hash = [], [], [], []
-    lengths = np.diff(offsets)
     for lo in range(0, max(0, len(data) - window + 1), _PIECE):
         hi = min(lo + _PIECE, len(data) - window + 1)  # windows lo..hi
         grams = _gram_hashes(data[lo:hi + window - 1], gram)
         least = _least_in(grams, most)
-        at = np.arange(lo, hi)
-        text = np.searchsorted(offsets, at, "right") - 1
-        whole = at + window <= offsets[text] + lengths[text]
+        # numbers count from lo here
+        at = np.arange(hi - lo, dtype=np.int32)
+        one, two = int(np.searchsorted(offsets, lo, "right")) - 1, int(np.searchsorted(offsets, hi - 1, "right"))
+        edges = np.minimum(offsets[one + 1:two + 1], hi) - lo  # where the texts of this piece end in it
+        whole = at <= np.repeat((offsets[one + 1:two + 1] - lo - window).astype(np.int32), np.diff(edges, prepend=0))
         new = np.ones(hi - lo, bool)
-        new[1:] = (least[1:] != least[:-1]) | (text[1:] != text[:-1])
-        run = np.maximum.accumulate(np.where(new, at, 0))
-        new |= (at - run) % most == 0
-        new &= whole
-        ends = ~whole  # windows across a text's end close the block before them
-        first = np.flatnonzero(new)
-        stop = np.minimum(np.append(first[1:], hi - lo), _next_true(ends)[first])
-        starts.append(at[first])
+        new[1:] = least[1:] != least[:-1]
+        new[edges[edges < hi - lo]] = True
+        # a run of one minimizer is cut where it is too long for a block
+        run = np.flatnonzero(new)
+        many = -(-np.diff(run, append=hi - lo) // most)
+        first = np.repeat(run, many) + most * _ragged(np.zeros(len(run), np.int64), many)
+        first = first[whole[first]]
+        # windows across a text's end close the block before them
+        ends = np.append(np.flatnonzero(~whole), hi - lo)
+        stop = np.minimum(np.append(first[1:], hi - lo), ends[np.searchsorted(ends, first)])
+        starts.append(first + lo)
         counts.append(stop - first)
         keys.append(least[first])
         ends_hash.append(grams[first] + np.uint64(3) * grams[stop + window - gram - 1])
@@ -116,12 +120,6 @@ def blocks(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, gram: in
     return np.concatenate(starts), np.concatenate(counts), np.concatenate(keys), np.concatenate(ends_hash)
 
 
-def _next_true(flags: np.ndarray) -> np.ndarray:
-    """The first place from each place on where a flag is set."""
-    at = np.where(flags, np.arange(len(flags)), len(flags))
-    return np.minimum.accumulate(at[::-1])[::-1]
-
-
 def _ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """starts[0], starts[0] + 1, ... counts[0] of them, then the next."""
     total = int(counts.sum())
