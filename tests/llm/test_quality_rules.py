@@ -62,6 +62,19 @@ def test_frequent_lines_of_a_host(spark):
     assert all(got[i] for i in range(70)) and not any(got[100 + i] for i in range(5)) and got[200] and all(got[300 + i] for i in range(90))
 
 
+def test_template_on_a_minority_of_a_host(spark):
+    template = "\n".join(f"Menu {i} " + " ".join(f"m{i}x{j}" for j in range(8)) for i in range(30))
+    unique = lambda i, n: " ".join(f"u{i}y{j}" for j in range(n))
+    rows = [(i, f"{template}\n{unique(i, 12)}", "h") for i in range(80)] + [(1000 + i, unique(i + 1000, 90), "h") for i in range(320)]
+    rows += [(5000 + i, f"{template}\n{unique(i + 5000, 12)}", "other") for i in range(49)]  # one below the limit
+    rows += [(9000, f"{template}\n{unique(9000, 200)}", "h")]  # enough left
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert ours(df) == sorted(brute(rows), key=str)
+    got = {r.doc_id: r for r in Q.quality(df).collect()}
+    assert all(not got[i].kept and got[i].n_removed_lines == 30 for i in range(80))
+    assert all(got[1000 + i].kept for i in range(320)) and all(got[5000 + i].kept for i in range(49)) and got[9000].kept
+
+
 def test_awkward_rows_and_empty(spark, awkward, empty):
     rows = [(r["doc_id"], r["text"], r["source"]) for r in awkward.collect()]
     assert ours(awkward) == sorted(brute(rows), key=str)

@@ -7,8 +7,10 @@
 and hashed; for every host and line the distinct documents that hold the line
 are counted.  Copies of a text are one document here, so copies alone never
 make a line frequent.  A line held by at least ``min_docs`` documents of a host
-and by more than ``max_share`` of them is boilerplate and is removed; a document
-is rejected as depleted if less than ``min_left`` of its words are left.
+is boilerplate and is removed, however large the host is, so that a template on
+a minority of a host's pages counts too; a document is rejected as depleted if
+less than ``min_left`` of its words are left.  ``max_share`` above 0 asks for that
+share of the host's documents as well.
 
 One pass over the texts makes a short row for each document (counts, and a hash
 and word count for each distinct line); all shuffles move hashes only.  Counts
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 from .common import reliable
 
 MIN_WORDS, REPEAT_PERCENT = 50, 50
-MIN_DOCS, MAX_SHARE, MIN_LEFT = 50, 0.5, 0.2
+MIN_DOCS, MAX_SHARE, MIN_LEFT = 50, 0.0, 0.2
 _SPACES, _SYMBOLS = " \t\n\x0b\x0c\r", "#*$%&|<>"
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -109,8 +111,10 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, host_col: str, min_docs
     rows = reliable(read.withColumn("row", F.monotonically_increasing_id()))
     lines = rows.select("row", "host", "body", F.explode("lines").alias("l")).select("row", "host", "body", "l.line", "l.words")
     held = lines.select("host", "line", "body").distinct().groupBy("host", "line").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") >= min_docs)
-    hosts = rows.select("host", "body").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
-    frequent = held.join(hosts, "host").where(F.col("n_docs") > max_share * F.col("host_docs")).select("host", "line")
+    if max_share > 0:
+        hosts = rows.select("host", "body").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
+        held = held.join(hosts, "host").where(F.col("n_docs") > max_share * F.col("host_docs"))
+    frequent = held.select("host", "line")
     removed = lines.join(frequent, ["host", "line"]).groupBy("row").agg(F.count("*").alias("n_removed_lines"), F.sum("words").alias("n_removed_words"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     out = rows.drop("lines", "body").join(removed, "row", "left").na.fill(0, ["n_removed_lines", "n_removed_words"])
