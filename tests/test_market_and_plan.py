@@ -54,3 +54,42 @@ def test_plan_order(spark):
            for r in INC.plan_runs(tickers, checks, state, "2024-01-01 12:00:00").collect()}
     assert got[(1, "financials")] == "skip-ineligible" and got[(1, "stocks")] == "run"
     assert got[(2, "financials")] == "skip-no-new-data" and got[(2, "press_releases")] == "skip-locked"
+
+
+def _bars(spark):
+    """A ticker with most of the bars, sparse ones, and gaps of years."""
+    import random
+    rng = random.Random(6)
+    rows = [(1, dt.date(1995, 1, 2) + dt.timedelta(days=i)) for i in range(6000)]
+    rows += [(2, dt.date(1960, 1, 1) + dt.timedelta(days=97 * i)) for i in range(260)]
+    rows += [(3, dt.date(2001, 5, 1) + dt.timedelta(days=i + (4000 if i > 150 else 0))) for i in range(300)] + [(4, dt.date(2020, 1, 1))]
+    return spark.createDataFrame([(t, d, *sorted(rng.randrange(1, 9999) / 4 for _ in range(3))) for t, d in rows], "tickerId int, date date, low double, close double, high double")
+
+
+def test_moving_stats_in_blocks_as_whole_tickers(spark):
+    from pyspark.sql import Window
+    price = _bars(spark)
+    day = F.datediff("date", F.lit("1970-01-01").cast("date"))
+    base = Window.partitionBy("tickerId")
+    want = price.select("tickerId", "date", F.round(F.avg("close").over(base.orderBy("date").rowsBetween(-49, 0)), 6).alias("a"),
+                        F.round(F.avg("close").over(base.orderBy("date").rowsBetween(-199, 0)), 6).alias("b"),
+                        F.min("low").over(base.orderBy(day).rangeBetween(-364, 0)).alias("c"), F.max("high").over(base.orderBy(day).rangeBetween(-364, 0)).alias("d"))
+    got = MK.moving_stats(price).select("tickerId", "date", "fifty_day_average", "two_hundred_day_average", "fifty_two_week_low", "fifty_two_week_high")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    # the ticker with nine tenths of the bars is spread
+    served = MK._served(price, 199, 364).where("tickerId = 1").select(F.explode("blocks").alias("b")).distinct().count()
+    assert served >= 5
+
+
+def test_split_adjust_in_blocks(spark):
+    price = _bars(spark)
+    splits = [(1, dt.date(1996, 3, 1) + dt.timedelta(days=700 * i), float(2 + i % 3)) for i in range(8)] + [(2, dt.date(1980, 1, 1), 3.0), (9, dt.date(1980, 1, 1), 3.0)]
+    want = {}
+    for r in price.collect():
+        f = 1.0
+        for t, d, ratio in splits:
+            if t == r.tickerId and d > r.date:
+                f *= ratio
+        want[r.tickerId, r.date] = f
+    got = MK.split_adjust(price, spark.createDataFrame(splits, "tickerId int, date date, ratio double")).collect()
+    assert {(r.tickerId, r.date): r.split_factor for r in got} == want and len(got) == len(want)

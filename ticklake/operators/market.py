@@ -124,21 +124,59 @@ def newer_than(rows: DataFrame, stored: DataFrame, key: str = "tickerId", date_c
 # ---------------------------------------------------------------------------
 # W7 / J9 derived series
 # ---------------------------------------------------------------------------
+#: days in a cell, and cells in a block: a ticker's bars are worked on block by block
+CELL, BLOCK = 91, 16
+#: what a bar of W7 looks back to
+BARS, DAYS = 199, 364
+
+
+def _day(c: str) -> Column:
+    return F.datediff(F.col(c), F.lit("1970-01-01").cast("date"))
+
+
+def _cell(c: str) -> Column:
+    return F.floor(_day(c) / F.lit(CELL)).cast("int")
+
+
+def _block(cell: Column) -> Column:
+    return F.floor(cell / F.lit(BLOCK)).cast("int")
+
+
+def _served(price: DataFrame, bars: int, days: int) -> DataFrame:
+    """(tickerId, cell, blocks): the blocks of about four years that need a
+    cell's bars: its own, and later ones that begin within ``days`` days, or of
+    whose ``bars`` last bars before the first one some are in the cell.  One row
+    a ticker and cell, from a count of the bars."""
+    cells = price.groupBy("tickerId", _cell("date").alias("cell")).agg(F.count("*").alias("n"))
+    order = Window.partitionBy("tickerId").orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cells = cells.withColumn("upto", F.sum("n").over(order)).withColumn("block", _block(F.col("cell")))
+    begins = cells.groupBy("tickerId", "block").agg(F.min(F.col("upto") - F.col("n")).alias("before"))
+    begins = begins.groupBy("tickerId").agg(F.collect_list(F.struct("block", "before")).alias("begins"))  # a row every four years
+    near = F.lit(-(-days // CELL))
+    needs = F.filter("begins", lambda b: (b["block"] == F.col("block")) | (
+        (b["block"] > F.col("block")) & ((F.col("cell") >= b["block"] * BLOCK - near) | (F.col("upto") > b["before"] - bars))))
+    return cells.join(begins, "tickerId").select("tickerId", "cell", F.transform(needs, lambda b: b["block"]).alias("blocks"))
+
+
 def moving_stats(price: DataFrame) -> DataFrame:
     """50 / 200-bar average close and change, 52-week (364-day range) low /
-    high and the change from them, per ticker in date order."""
-    day = F.datediff(F.col("date"), F.lit("1970-01-01").cast("date"))
-    base = Window.partitionBy("tickerId").orderBy("date")
-    w50 = base.rowsBetween(-49, 0)
-    w200 = base.rowsBetween(-199, 0)
-    wy = Window.partitionBy("tickerId").orderBy(day).rangeBetween(-364, 0)
+    high and the change from them, per ticker in date order.
+
+    A ticker is many window partitions, one for each block of days; bars that a
+    later block looks back to are copied there (about a quarter of a year in
+    four), so a ticker that holds half of all bars is spread over tasks."""
     close = F.col("close").cast("double")
-    out = price.select(
-        "tickerId", "date", close.alias("close"),
-        F.avg(close).over(w50).alias("_ma50"), F.avg(close).over(w200).alias("_ma200"),
-        F.min(F.col("low").cast("double")).over(wy).alias("_lo"),
-        F.max(F.col("high").cast("double")).over(wy).alias("_hi"),
-    )
+    rows = price.select("tickerId", "date", close.alias("close"), F.col("low").cast("double").alias("low"), F.col("high").cast("double").alias("high"), _cell("date").alias("cell"))
+    dealt = rows.join(_served(price, BARS, DAYS), ["tickerId", "cell"]).select("*", F.explode("blocks").alias("block"))
+    parts = Window.partitionBy("tickerId", "block")
+    w50 = parts.orderBy("date").rowsBetween(-49, 0)
+    w200 = parts.orderBy("date").rowsBetween(-BARS, 0)
+    wy = parts.orderBy(_day("date")).rangeBetween(-DAYS, 0)
+    out = dealt.select(
+        "tickerId", "date", "close", (_block(F.col("cell")) == F.col("block")).alias("_own"),
+        F.avg("close").over(w50).alias("_ma50"), F.avg("close").over(w200).alias("_ma200"),
+        F.min("low").over(wy).alias("_lo"), F.max("high").over(wy).alias("_hi"),
+    ).where("_own")
     r = F.round
     return out.select(
         "tickerId", "date",
@@ -157,13 +195,19 @@ def split_adjust(price: DataFrame, split: DataFrame) -> DataFrame:
     """Split factor of each bar = product of the ratios of the ticker's
     later splits (1 when none); adjusted close = close / factor.
 
-    Bars and splits of a ticker in one descending order with a running product
-    of the splits after the day: one shuffle, no row per (bar, split)."""
-    rows = price.select("tickerId", "date", F.col("close").cast("double").alias("close"), F.lit(None).cast("double").alias("_r")).unionByName(
-        split.select("tickerId", "date", F.lit(None).cast("double").alias("close"), F.col("ratio").cast("double").alias("_r"), F.lit(True).alias("_split")),
-        allowMissingColumns=True)
-    later = Window.partitionBy("tickerId").orderBy(F.datediff("date", F.lit("1970-01-01")).desc()).rangeBetween(Window.unboundedPreceding, -1)
-    out = rows.withColumn("split_factor", F.coalesce(F.product("_r").over(later), F.lit(1.0))).where(F.col("_split").isNull())
+    Bars and splits of a ticker and block of days in one descending order with a
+    running product of the splits after the day, times the product of all later
+    blocks, which is known from the splits alone.  No row per (bar, split), and
+    a ticker with half of all bars is many partitions."""
+    block = _block(_cell("date")).alias("block")
+    splits = split.select("tickerId", "date", F.col("ratio").cast("double").alias("_r"), block)
+    rows = price.select("tickerId", "date", F.col("close").cast("double").alias("close"), F.lit(None).cast("double").alias("_r"), block).unionByName(
+        splits.withColumn("_split", F.lit(True)), allowMissingColumns=True)
+    later = Window.partitionBy("tickerId", "block").orderBy(_day("date").desc()).rangeBetween(Window.unboundedPreceding, -1)
+    within = rows.withColumn("within", F.coalesce(F.product("_r").over(later), F.lit(1.0))).where(F.col("_split").isNull())
+    products = splits.groupBy("tickerId", "block").agg(F.product("_r").alias("p")).groupBy("tickerId").agg(F.collect_list(F.struct("block", "p")).alias("products"))
+    after = F.aggregate(F.filter("products", lambda x: x["block"] > F.col("block")), F.lit(1.0), lambda a, x: a * x["p"])
+    out = within.join(products, "tickerId", "left").withColumn("split_factor", F.col("within") * F.coalesce(after, F.lit(1.0)))
     return out.select("tickerId", "date", "close", "split_factor", (F.col("close") / F.col("split_factor")).alias("adj_close"))
 
 
