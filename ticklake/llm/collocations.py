@@ -47,7 +47,7 @@ from .count_automata import Counts, build, compose, frequent, from_phrases, in_o
 SHORTEST, LONGEST, LEAST, TOP, SCALE, INSIDE = 2, 3, 10, 2000, 1_000_000, 50
 UNKNOWN = "und"
 #: bytes of text in a shard and for each range, about
-SHARD, RANGE = 12 << 20, 24 << 20
+SHARD, RANGE = 4 << 20, 6 << 20
 MESSAGES, COARSE = 4_000_000, 170
 _BREAKS, _BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 _KIND = np.zeros(256, np.uint8)  # 0: part of a word, 1: blank, 2: end of a piece
@@ -71,13 +71,15 @@ def shard_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.n
     begins[edges] = inside[edges]
     start = np.flatnonzero(begins)
     # words without the bytes between them are the buffer of an Arrow array
-    kept = np.concatenate([[0], np.cumsum(inside)])
-    cut = np.append(kept[start], kept[-1])
+    kept = np.cumsum(inside, dtype=np.int32 if len(data) < 2**31 else np.int64)
+    cut = np.append(kept[start] - 1, kept[-1]).astype(np.int64)
+    del kept, begins
     coded = pc.dictionary_encode(pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(cut), pa.py_buffer(_LOWER[data[inside]])))
     words, rank = in_order(coded.dictionary)
     word = rank[coded.indices.to_numpy(zero_copy_only=False)] if len(start) else np.zeros(0, np.int64)
     text = np.searchsorted(offsets, start, "right") - 1
-    piece = np.cumsum(kind == 2)[start] + text  # ends of pieces and texts before a word
+    ends = np.flatnonzero(kind == 2)
+    piece = np.searchsorted(ends, start) + text  # ends of pieces and texts before a word
     new = np.flatnonzero(np.append(piece[1:] != piece[:-1], True))
     return words, text, word, new[np.searchsorted(new, np.arange(len(start)))] + 1 - np.arange(len(start))
 
@@ -209,6 +211,8 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         sent = first.groupBy("shard", "range").applyInArrow(_regrouped(ranges), _PACKED)
     else:
         sent = shard_automata(picked, ranges, longest, shard_bytes)
+    # a few ranges a task, however many there are
+    sent = sent.repartition(max(tasks(docs.sparkSession), ranges // 4), "range")
     counted = reliable(sent.groupBy("range").applyInArrow(_counted(shortest, least), _COUNTED))
     size = counted.where("kind = 0").groupBy("lang").agg(F.sum("a").alias("n"))
     found = counted.where("kind = 2").select("lang", "phrase", "a")
