@@ -1068,6 +1068,7 @@ sql("I1_stream_upsert", """
 SELECT user_id, event_type, ts, value, event_id FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""")
 sql("I2_stream_once", "SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS day FROM events")
+sql("I2_stream_once_ever", "SELECT DISTINCT user_id, event_type FROM events WHERE user_id % 10 <> 0 OR user_id IS NULL")
 sql("I3_stream_newer", """
 WITH m AS (SELECT user_id, max(ts) AS hwm FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00' GROUP BY user_id)
 SELECT e.event_id, e.user_id, e.ts FROM events e LEFT JOIN m USING (user_id) WHERE m.hwm IS NULL OR e.ts > m.hwm""")

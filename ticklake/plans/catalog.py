@@ -779,6 +779,17 @@ def q_stream_once(spark, d):
     return spark.read.parquet(f"{root}/out").drop("epoch")
 
 
+@register("I2_stream_once_ever")
+def q_stream_once_ever(spark, d):
+    """The events as a stream of three epochs; keys of every tenth user are known."""
+    root = STR.scratch(spark, "once-ever")
+    events = spark.read.schema(STR.EVENTS_SCHEMA).parquet(f"{d.rstrip('/')}/events.parquet").select("event_id", "user_id", "event_type")
+    events.repartition(3, F.xxhash64("event_id")).write.parquet(f"{root}/src")
+    known = events.where(F.col("user_id") % 10 == 0).select("user_id", "event_type").distinct()
+    stream = STR.file_stream(spark, f"{root}/src", events.schema, max_files=1)
+    return STR.stream_once_ever(stream, ["user_id", "event_type"], f"{root}/out", f"{root}/_checkpoint", known)
+
+
 @register("I3_stream_newer")
 def q_stream_newer(spark, d):
     from ..sources.tables import read_table
