@@ -792,11 +792,12 @@ def q_stream_once_ever(spark, d):
 
 @register("I3_stream_newer")
 def q_stream_newer(spark, d):
+    from ..sources import bucketed
     from ..sources.tables import read_table
     root = STR.scratch(spark, "newer")
     stored = read_table(spark, d, "events").where(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz"))
     marks = stored.groupBy("user_id").agg(F.max("ts").alias("_hwm"))
-    sinks.write_snapshot(marks, f"{root}/cursor")
+    bucketed.upsert(f"{root}/cursor", marks, ["user_id"], 0)
     out = STR.stream_newer(_events_stream(spark, d), f"{root}/cursor", f"{root}/out", "user_id", "ts",
                            f"{root}/_checkpoint")
     return out.select("event_id", "user_id", "ts")
