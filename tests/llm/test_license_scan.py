@@ -88,3 +88,15 @@ def test_awkward_rows_and_empty(spark, awkward, empty):
     got = L.scan_licenses(awkward).collect()
     assert len(got) == awkward.count() and {r["n_words"] for r in got if r["doc_id"] in (900001, 900002, 900004)} == {0}
     assert L.scan_licenses(empty).collect() == []
+
+
+def test_many_notices_in_one_text_take_linear_time():
+    import time
+    scanner = L.Scanner()
+    notice = L.NOTICES[0][0]
+    begun = time.process_time()
+    found = scanner.scan(f"{notice} one two three " * 20_000)[-1]
+    assert time.process_time() - begun < 8
+    n = notice.count(" ") + 4
+    same = [m for m in found if m["notice"] == notice]
+    assert [m["first_word"] for m in same] == [i * n for i in range(20_000)]

@@ -44,6 +44,24 @@ def test_ids_of_headings_and_sections_are_no_marks():
         assert text_of(f"<article>{inner}y</article>") == "y", inner
 
 
+def test_quotes_open_only_after_an_equals_sign():
+    assert text_of("<article><p title=it's>One. It isn't two.</p><p>Three</p></article>") == "One. It isn't two.\n\nThree"
+    assert text_of('<article><p a"b>x "q" y</p><p title = "a > b" c=\'d > e\'>z</p><p t="never closed>u</p></article>') == 'x "q" y\n\nz\n\nu'
+
+
+def test_main_around_an_article_belongs_to_it():
+    assert text_of("<main><h1>Head</h1><p>Lead.</p><article><p>x</p></article><nav>n</nav></main><p>y</p>") == "Head\n\nLead.\n\nx"
+    assert text_of("<main>m</main><article>x</article><main>n<article>z</article>") == "x\n\nn\n\nz"
+
+
+def test_deep_pages_take_linear_time():
+    import time
+    for page in ("<div>" * 30_000 + "</b>" * 30_000 + "x", "<article>" + "<b>" * 100_000 + "x", "<p a=\"b" * 30_000, "<p a='" * 30_000 + "x", "</div>" * 100_000):
+        begun = time.process_time()
+        P.blocks(page)
+        assert time.process_time() - begun < 3
+
+
 def test_broken_pages():
     assert text_of(None) is None and text_of("") is None
     assert text_of("<article>a<script>never closed") == "a"

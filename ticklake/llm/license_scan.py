@@ -122,11 +122,12 @@ class Scanner:
                     placed[-1] = (a, b, errors)
                 elif not same:
                     placed.append((a, b, errors))
+            first, counted = 0, 0  # words before a place, counted from the match before
             for start, end, errors in placed:
                 lo = joined.rfind(" ", 0, start + 1) + 1 if joined[start] != " " else start + 1
                 hi = joined.find(" ", end - 1)
                 hi = len(joined) if hi < 0 else hi
-                first = joined.count(" ", 0, lo)
+                first, counted = (first + joined.count(" ", counted, lo), lo) if lo >= counted else (joined.count(" ", 0, lo), lo)
                 out.append({"label": label, "notice": notice, "first_word": first,
                             "last_word": first + joined.count(" ", lo, hi), "errors": errors, "found": joined[lo:hi]})
         return out

@@ -41,6 +41,7 @@ import hashlib
 import html
 import re
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -61,8 +62,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup "
                    "time tt u var wbr img".split())
 RAW = frozenset("script style title textarea xmp iframe noembed noframes".split())
-ASIDE = frozenset("head nav header footer aside form menu dialog noscript template svg math object canvas audio video map button select fieldset "
-                  "figcaption".split()) - {"figcaption"}
+ASIDE = frozenset("head nav header footer aside form menu dialog noscript template svg math object canvas audio video map button select fieldset".split())
 #: words in a class, id or role that tell what is no main text
 MARKS = frozenset("ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices "
                   "notification alert popup modal overlay newsletter subscribe subscription signup login menu nav navbar navigation breadcrumb breadcrumbs "
@@ -77,8 +77,9 @@ CONTAINERS = frozenset("comments commentlist comment-list comment-section commen
                        "masthead navbar navigation contentinfo site-header site-footer cookie-notice cookie-banner cookie-consent cookie-bar newsletter-signup "
                        "related-posts related-articles related-stories related-content share-buttons social-share social-links".split())
 
+# a quote opens a value only after "="; anywhere else it is a character like others
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
-                  r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
+                  r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*(?:"[^"]*"|'[^']*')?)*+)(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s/=]+)\s*(?:=\s*("[^"]*"|'[^']*'|\S+))?""")  # name and value of the pairs in order
 
 DROPPED, OPEN, MAIN_PART, ARTICLE = 0, 1, 2, 3
@@ -119,13 +120,22 @@ def _told(name: str, attributes: str, state: int) -> int | None:
 
 def blocks(page: str | None) -> list[tuple[int, str]]:
     """(state, text) of every block of a page, in page order.  Of main content,
-    ``<article>`` inside anything else but what is set aside is the strongest."""
+    ``<article>`` inside anything else but what is set aside is the strongest;
+    main content around an article (its headline, its lead) is part of it."""
     page = page or ""
     out: list[tuple[int, str]] = []
     parts: list[str] = []
-    stack: list[tuple[str, int]] = []  # open containers, and the state inside them
+    stack: list[tuple[str, int, int]] = []  # open containers, the state inside them, and the main part they begin (or -1)
+    opened: Counter[str] = Counter()
+    mains: list[list] = []  # first block, block after the last, and whether an article is inside
     state, at = OPEN, 0
 
+    def pop() -> None:
+        gone, _, main = stack.pop()
+        opened[gone] -= 1
+        if main >= 0:
+            mains[main][1] = len(out)
+
     def flush() -> None:
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
@@ -138,13 +148,13 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
         if m.start() > at:
             parts.append(page[at:m.start()])
         at = m.end()
-        name = m.group(2) or m.group(5)
+        name = m.group(2)
         if not name:
             if m.group().startswith("<![CDATA["):
                 parts.append(html.escape(m.group()[9:].removesuffix("]]>")))
             continue
-        name, closing = name.lower(), bool(m.group(1) or m.group(4))
-        attributes = m.group(3) or m.group(6) or ""
+        name, closing = name.lower(), bool(m.group(1))
+        attributes = m.group(3)
         if name in RAW and not closing:
             end = re.compile(rf"</{name}(?=[\s/>])", re.I).search(page, at)
             at = end.start() if end else len(page)
@@ -153,10 +163,10 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
         elif closing:
             if name not in INLINE:
                 flush()
-            if any(open_name == name for open_name, _ in stack):
+            if opened[name]:
                 while stack[-1][0] != name:
-                    stack.pop()
-                stack.pop()
+                    pop()
+                pop()
                 now = stack[-1][1] if stack else OPEN
                 if now != state and name in INLINE:
                     flush()
@@ -169,17 +179,26 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
             if name not in INLINE or inner != state:
                 flush()
                 if name == "p" and stack and stack[-1][0] == "p":  # a paragraph ends the one before
-                    stack.pop()
+                    pop()
                     state = stack[-1][1] if stack else OPEN
                     inner = state if told is None or state == DROPPED else (DROPPED if told == DROPPED else max(state, told))
                 if not attributes.endswith("/"):
-                    stack.append((name, inner))
+                    begins = state < MAIN_PART == inner
+                    if begins:
+                        mains.append([len(out), None, False])
+                    elif state == MAIN_PART < inner and mains:
+                        mains[-1][2] = True
+                    stack.append((name, inner, len(mains) - 1 if begins else -1))
+                    opened[name] += 1
                     state = inner
         elif name not in INLINE:
             flush()
     if at < len(page):
         parts.append(page[at:])
     flush()
+    for first, end, holds in mains:
+        if holds:
+            out[first:end] = [(ARTICLE if s == MAIN_PART else s, t) for s, t in out[first:end]]
     return out
 
 

@@ -34,7 +34,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan_licenses(table(spark, sf_dir, "documents")).drop("matches")
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
