@@ -1140,3 +1140,54 @@ ORACLE["C4_insider_build"] = ORACLE["C4_rollup"]
 ORACLE["C2_pointers"] = W(f"""
 SELECT t.id, t.symbol, p.* EXCLUDE (ticker_id) FROM ticker t LEFT JOIN ({ORACLE['W4_latest_periods']}) p ON p.ticker_id = t.id
 """, "ticker")
+
+
+# --- loaders and single operators on derived inputs -------------------------------
+sql("S4_statement_rows", """
+SELECT 'income' AS statement, 'acc-' || l_orderkey AS filing_accession, 'c' || l_linenumber AS concept, CAST(last_day(l_shipdate) AS DATE) AS period,
+       CAST(CAST(l_extendedprice AS DECIMAL(15,2)) AS VARCHAR) AS value FROM lineitem""")
+sql("S5_filing_index", """
+SELECT accessionNo AS accession_no, type AS form, CAST(filingDate AS DATE) AS filing_date, CAST(tickerId AS VARCHAR) AS ticker FROM filing""", "filing")
+sql("S7_overrides", """
+WITH ok AS (SELECT n_name, 'line_' || n_regionkey AS line_code FROM nation WHERE n_nationkey % 3 <> 0)
+SELECT 'Custom:' || n_name AS key, line_code FROM ok
+UNION ALL SELECT lower(regexp_replace(n_name, '[^\\p{L}\\p{N}]', '', 'g')), line_code FROM ok""")
+sql("S13_insert_unique", "SELECT * EXCLUDE (text) FROM filing", "filing")
+sql("S14_touched", """
+SELECT id, CASE WHEN id % 14 = 0 THEN lower(name) WHEN id % 7 = 0 THEN upper(name) ELSE name END AS name,
+       CASE WHEN id % 14 = 0 THEN TIMESTAMP '2024-06-01 00:00:00' WHEN id % 7 = 0 THEN TIMESTAMP '2024-05-01 00:00:00' END AS updated_at FROM ticker""", "ticker")
+sql("P19_ledger_rows_alias", f"""
+SELECT filing_id AS insider_filing_id, src_pos AS line_number, {date10('date')} AS transaction_date,
+  nullif(trim(coalesce(security_title, 'Stock')), '') AS security_title, nullif(trim(code), '') AS transaction_code,
+  nullif(trim(transaction_type), '') AS transaction_label, CAST(NULL AS VARCHAR) AS transaction_description, CAST(NULL AS VARCHAR) AS acquired_disposed,
+  CAST(CAST(shares AS DOUBLE) AS DECIMAL(20,4)) AS shares, TRY_CAST(trim(price) AS DECIMAL(20,4)) AS price_per_share,
+  CAST(NULL AS DECIMAL(20,4)) AS transaction_value, nullif(trim(ownership_type), '') AS ownership, CAST(NULL AS VARCHAR) AS ownership_nature,
+  TRY_CAST(trim(coalesce(remaining_shares, shares)) AS DECIMAL(20,4)) AS shares_owned_following, CAST(NULL AS DECIMAL(20,4)) AS exercise_price,
+  CAST(NULL AS DATE) AS expiration_date, CAST(NULL AS VARCHAR) AS underlying_security_title, CAST(NULL AS DECIMAL(20,4)) AS underlying_shares,
+  CAST(NULL AS VARCHAR) AS is_10b5_1, CAST(NULL AS VARCHAR) AS footnotes, false AS is_derivative
+FROM ownership_rows""", "ownership_rows")
+sql("P22_latest_column_date", "SELECT CAST(max(last_day(l_shipdate)) AS DATE) AS latest FROM lineitem")
+_lines = ", ".join(f"('{r[0]}', '{r[1]}')" for r in _S.FINANCIAL_LINES)
+sql("Q4_check_mapping", f"""
+WITH g AS (SELECT DISTINCT line_code, statement AS map_statement FROM gaap_map WHERE key IN (SELECT standard_concept FROM statement_wide)),
+l AS (SELECT line_code, line_statement FROM (VALUES {_lines}) v(line_code, line_statement) WHERE length(line_code) % 5 <> 0)
+SELECT line_code, map_statement, line_statement,
+       CASE WHEN line_statement IS NULL THEN 'map' WHEN map_statement IS NULL THEN 'line' ELSE 'statement' END AS problem
+FROM g FULL JOIN l USING (line_code) WHERE line_statement IS NULL OR map_statement IS NULL OR line_statement <> map_statement""", "gaap_map", "statement_wide")
+gsql("L2_sample_edges", "SELECT eid, src, dst, type FROM edges ORDER BY md5('7:' || eid), eid LIMIT 25")
+
+
+def _two(p):
+    return f"array_to_string(list_transform(list_slice(list_sort(map_keys({p})), 1, 2), lambda x: x || ': ' || {p}[x]), ',')"
+
+
+gsql("G10_triplet_view", f"""
+WITH {_H}
+SELECT a_label AS source_node_type, {_two('a_props')} AS source_sample_props, r_type AS relationship_type, {_two('r_props')} AS rel_sample_props,
+       b_label AS target_node_type, {_two('b_props')} AS target_sample_props FROM h ORDER BY md5('42:' || r_eid), r_eid LIMIT 25""")
+sql("V3_hash_embed", f"""
+WITH c AS (SELECT k AS id, c::INTEGER AS chunk_number, chunk FROM {chunks(f'(SELECT id AS k, {clean("text")} AS x FROM filing)')}),
+t AS (SELECT id, chunk_number, unnest(string_split({squash('lower(chunk)')}, ' ')) AS t FROM c WHERE {squash('chunk')} <> ''),
+n AS (SELECT id, chunk_number, ('0x' || substr(md5('42:' || t), 1, 8))::BIGINT % 64 AS i, count(*)::DOUBLE AS n FROM t GROUP BY ALL),
+m AS (SELECT id, chunk_number, map(list(i), list(n)) AS m, sqrt(sum(n * n)) AS size FROM n GROUP BY ALL)
+SELECT id, chunk_number, list_transform(range(64), lambda d: (coalesce(m[d], 0.0) / size)::FLOAT) AS embedding FROM m""", "filing")

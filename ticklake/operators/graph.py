@@ -50,8 +50,9 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
 
 
 def sample_k(df: DataFrame, key: str, k: int, seed: int = 42) -> DataFrame:
-    """L2: a repeatable pseudo-random sample of k rows (order by a seeded hash)."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(k)
+    """L2: a repeatable pseudo-random sample of k rows, in the order of the
+    digest of ``seed:key``, which is the same in every engine."""
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), F.col(key)).limit(k)
 
 
 def first_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:

@@ -172,6 +172,8 @@ def ledger_rows_alias(raw: DataFrame, is_derivative: bool, filing_key: str = "fi
             v = C.clean_text(v)
         elif kind == "dec":
             v = C.to_dec(v)
+        else:
+            v = v.cast("string")
         out.append(v.alias(name))
     out.append(F.lit(is_derivative).alias("is_derivative"))
     return numbered.select(*out)

@@ -872,3 +872,87 @@ def q_period_pointers(spark, d):
 def q_daily_plan(spark, d):
     plan = q_plan_runs(spark, d)
     return plan.groupBy("process_name", "verdict").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- loaders and single operators on derived inputs -------------------------------
+from ..sources import loaders  # noqa: E402
+
+
+@register("S4_statement_rows")
+def q_statement_rows(spark, d):
+    """Order lines as statement frames in JSON lines: the frames of a month have
+    that month's end as their only period column."""
+    from ..sources.tables import read_table
+    li = read_table(spark, d, "lineitem")
+    month = F.date_format(F.last_day("l_shipdate"), "yyyy-MM-dd")
+    body = F.to_json(F.map_concat(
+        F.create_map(F.lit("statement"), F.lit("income"), F.lit("filing_accession"), F.concat(F.lit("acc-"), F.col("l_orderkey").cast("string")),
+                     F.lit("concept"), F.concat(F.lit("c"), F.col("l_linenumber").cast("string")), F.lit("label"), F.col("l_returnflag")),
+        F.create_map(month, F.col("l_extendedprice").cast("decimal(15,2)").cast("string"))))
+    path = STR.scratch(spark, "frames")
+    li.select(body.alias("value"), month.alias("month")).write.partitionBy("month").text(path)
+    return loaders.load_statement_rows(spark, path)
+
+
+@register("S5_filing_index")
+def q_filing_index(spark, d):
+    path = STR.scratch(spark, "filings")
+    f = fx.filing(spark, d).select(F.col("accessionNo").alias("accession_no"), F.col("type").alias("form"), F.col("filingDate").cast("date").alias("filing_date"),
+                                   F.col("tickerId").cast("string").alias("ticker"))
+    f.write.option("header", True).csv(path)
+    return loaders.load_filings(spark, path, "csv")
+
+
+@register("S7_overrides")
+def q_overrides(spark, d):
+    """An overrides document per supplier nation, read back as rules."""
+    from ..sources.tables import read_table
+    path = STR.scratch(spark, "overrides")
+    n = read_table(spark, d, "nation")
+    one = F.struct(F.concat(F.lit(" Custom:"), F.col("n_name")).alias("concept"), F.when(F.col("n_nationkey") % 3 != 0, F.concat(F.lit("line_"), F.col("n_regionkey").cast("string"))).alias("line_code"))
+    n.groupBy().agg(F.sort_array(F.collect_list(one)).alias("overrides")).coalesce(1).write.json(path)
+    return fin.load_overrides(spark, path)
+
+
+@register("S13_insert_unique")
+def q_insert_unique(spark, d):
+    f = fx.filing(spark, d).drop("text")
+    return sinks.insert_unique(f.where(F.col("id") % 2 == 0), f.where(F.col("id") % 2 == 1), ["id"])
+
+
+@register("S14_touched")
+def q_touched(spark, d):
+    """Upsert and update that stamp the rows they change."""
+    t = fx.ticker(spark, d).select("id", "name", F.lit(None).cast("timestamp_ntz").alias("updated_at"))
+    given = t.where(F.col("id") % 7 == 0).select("id", F.upper("name").alias("name"))
+    once = sinks.upsert(t, given, ["id"], ["name"], order=["name"], touch_col="updated_at", now="2024-05-01 00:00:00")
+    return sinks.update_columns(once, t.where(F.col("id") % 14 == 0).select("id", F.lower("name").alias("name")), "id", ["name"],
+                                touch_col="updated_at", now="2024-06-01 00:00:00")
+
+
+@register("P19_ledger_rows_alias")
+def q_ledger_rows_alias(spark, d):
+    """Ownership tables under attribute names, of which some exist."""
+    raw = fx.ownership_rows(spark, d).select(
+        "filing_id", "src_order", F.col("date").alias("transaction_date"), F.col("security_title").alias("security"), F.lit("Stock").alias("security_title"),
+        "code", "transaction_type", F.col("shares").cast("double").alias("shares_numeric"), F.col("price").alias("price_per_share"),
+        F.col("ownership_type").alias("ownership"), F.col("remaining_shares").alias("remaining"), F.col("shares").alias("shares_owned_following"))
+    return insiders.ledger_rows_alias(raw, False)
+
+
+@register("P22_latest_column_date")
+def q_latest_column_date(spark, d):
+    """A frame with a column for each month of the order lines; its newest column."""
+    from ..sources.tables import read_table
+    li = read_table(spark, d, "lineitem").select((F.col("l_orderkey") % 10).alias("concept"), F.date_format(F.last_day("l_shipdate"), "yyyy-MM-dd").alias("period"), "l_quantity")
+    frame = li.groupBy("concept").pivot("period").agg(F.sum("l_quantity"))
+    return spark.range(1).select(F.lit(fin.latest_column_date(frame)).alias("latest"))
+
+
+@register("Q4_check_mapping")
+def q_check_mapping(spark, d):
+    """The rules that the statement frames use, against lines of which some miss."""
+    used = fx.statement_wide(spark, d).select(F.col("standard_concept").alias("key")).distinct()
+    gaap = schemas.gaap_map_df(spark).join(used, "key", "left_semi")
+    lines = schemas.financial_line_df(spark).select("line_code", "statement").where(F.length("line_code") % 5 != 0)
+    return quality.check_mapping(gaap, lines)
