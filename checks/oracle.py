@@ -50,6 +50,9 @@ _pair_scores = ", ".join(
     f"max({col}) FILTER (WHERE judge_type = '{kind}') AS {_PREFIX[kind]}_{measure if measure == 'improvement' else measure + '_score'}"
     for kind in _KINDS for measure, col in _MEASURES.items())
 _pair_names = ", ".join(f"{p}_{m}" for p in _PREFIX.values() for m in ("control_score", "experimental_score", "improvement"))
+_entropy = ("semantic_entropy_control", "semantic_entropy_experimental")
+_pair_scores += "".join(f", max({c}) FILTER (WHERE judge_type = 'consistency') AS {c}" for c in _entropy)
+_pair_names += "".join(f", {c}" for c in _entropy)
 
 sql("J4_pair_details", f"""
 WITH per_pair AS (SELECT evaluation_pair_id AS id, {_pair_scores} FROM judgement_scores GROUP BY evaluation_pair_id)
@@ -420,6 +423,18 @@ fin_sql("J1_map_line_codes", "SELECT * FROM mapped_keys")
 fin_sql("U1_union_candidates", f"SELECT {FACT_SEL} FROM cands")
 fin_sql("W3_merge_facts", f"SELECT {FACT_SEL} FROM merged")
 fin_sql("C2_financial_facts", f"SELECT {FACT_SEL} FROM facts")
+fin_sql("C2_financial_build", f"""
+, chosen AS (
+  SELECT *, row_number() OVER (PARTITION BY ticker_id, is_annual ORDER BY filing_date DESC, filing_accession DESC) AS n FROM statement_filing
+), oldest AS (
+  SELECT merged.* FROM merged JOIN chosen USING (filing_accession) WHERE n <= CASE WHEN is_annual THEN 2 ELSE 3 END
+  QUALIFY row_number() OVER (PARTITION BY merged.ticker_id, fiscal_year, fiscal_period_end, period_type, line_code ORDER BY filing_date, filing_accession) = 1
+)
+SELECT {FACT_SEL} FROM oldest
+UNION ALL
+SELECT {FACT_SEL} FROM facts f WHERE length(line_code) % 3 = 0 AND NOT EXISTS (
+  SELECT 1 FROM oldest o WHERE o.ticker_id = f.ticker_id AND o.fiscal_year = f.fiscal_year AND o.fiscal_period_end = f.fiscal_period_end
+  AND o.period_type = f.period_type AND o.line_code = f.line_code)""".replace("\n, chosen AS", ", chosen AS", 1), "statement_filing")
 fin_sql("A6_merge_conflicts", """
 SELECT filing_accession, ticker_id, fiscal_year, fiscal_period_end, period_type, line_code,
        count(DISTINCT value) AS n_values, min(value) AS min_value, max(value) AS max_value,
@@ -1015,7 +1030,8 @@ _STATE = """(SELECT ticker_id, process_name,
   count(*) FILTER (WHERE action = 'start') AS attempts,
   max(CASE WHEN action = 'start' THEN ts END) AS last_started_at,
   max(CASE WHEN action = 'success' THEN ts END) AS last_completed_at,
-  max(CASE WHEN action = 'failed' THEN ts END) AS last_failed_at
+  max(CASE WHEN action = 'failed' THEN ts END) AS last_failed_at,
+  arg_max(cursor, (ts, event_id)) FILTER (WHERE action = 'success') AS last_success_cursor
 FROM run_log GROUP BY ticker_id, process_name)"""
 sql("A9_run_state", f"SELECT * FROM {_STATE}", "run_log")
 _LIM = "TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 90 MINUTE"

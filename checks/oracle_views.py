@@ -98,7 +98,9 @@ _v("judgement_scores", """
 SELECT l.doc_id AS evaluation_pair_id, j.judge_type,
        CAST(((l.doc_id * 7 + j.k) % 101) / 100.0 AS DECIMAL(5,4)) AS control_score,
        CAST(((l.doc_id * 11 + j.k) % 101) / 100.0 AS DECIMAL(5,4)) AS experimental_score,
-       CAST((((l.doc_id * 11 + j.k) % 101) - ((l.doc_id * 7 + j.k) % 101)) / 100.0 AS DECIMAL(6,4)) AS improvement_delta
+       CAST((((l.doc_id * 11 + j.k) % 101) - ((l.doc_id * 7 + j.k) % 101)) / 100.0 AS DECIMAL(6,4)) AS improvement_delta,
+       CASE j.judge_type WHEN 'consistency' THEN CAST(((l.doc_id * 7 + j.k) % 101 % 17) / 8.0 AS DECIMAL(6,4)) END AS semantic_entropy_control,
+       CASE j.judge_type WHEN 'consistency' THEN CAST(((l.doc_id * 11 + j.k) % 101 % 17) / 8.0 AS DECIMAL(6,4)) END AS semantic_entropy_experimental
 FROM labels l JOIN (VALUES ('factual_grounding', 1), ('completeness', 2), ('consistency', 3)) j(judge_type, k)
   ON j.k <= 1 + l.quality + l.toxic""")
 
@@ -115,7 +117,8 @@ SELECT event_id AS id, CASE WHEN event_id % 10 = 0 THEN NULL WHEN event_id % 97
 _v("run_log", """
 SELECT user_id AS ticker_id,
        CASE event_id % 4 WHEN 0 THEN 'stocks' WHEN 1 THEN 'financials' WHEN 2 THEN 'press_releases' ELSE 'insider_transactions' END AS process_name,
-       CASE event_type WHEN 'purchase' THEN 'success' WHEN 'error' THEN 'failed' ELSE 'start' END AS action, ts, event_id
+       CASE event_type WHEN 'purchase' THEN 'success' WHEN 'error' THEN 'failed' ELSE 'start' END AS action, ts, event_id,
+       CASE event_type WHEN 'purchase' THEN '{"through": "' || strftime(ts, '%Y-%m-%d') || '"}' END AS cursor
 FROM events""")
 
 _v("vertices", """
@@ -244,3 +247,8 @@ SELECT o_orderkey AS filing_id, CASE WHEN o_custkey % 4 = 0 THEN NULL ELSE lpad(
        CASE WHEN o_custkey % 4 = 0 THEN c_name ELSE c_name || ' #' || (o_orderkey % 3) END AS name,
        CAST(o_orderdate AS DATE) AS seq_d, o_orderkey AS seq_k
 FROM orders JOIN customer ON c_custkey = o_custkey""")
+
+_v("statement_filing", """
+SELECT DISTINCT 'acc-' || (l_orderkey % 500) AS filing_accession, l_orderkey % 500 % 50 AS ticker_id, l_orderkey % 500 % 4 = 0 AS is_annual,
+       DATE '2020-01-01' + CAST(l_orderkey % 500 * 37 % 401 AS INTEGER) AS filing_date
+FROM lineitem""")

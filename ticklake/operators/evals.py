@@ -66,6 +66,8 @@ def pair_details(runs: DataFrame, pairs: DataFrame, scores: DataFrame) -> DataFr
             F.max(F.when(hit, F.col("experimental_score"))).alias(f"{p}_experimental_score"),
             F.max(F.when(hit, F.col("improvement_delta"))).alias(f"{p}_improvement"),
         ]
+        if jt == "consistency":  # the judge that measures entropy
+            piv += [F.max(F.when(hit, F.col(c))).alias(c) for c in ("semantic_entropy_control", "semantic_entropy_experimental") if c in scores.columns]
     wide = scores.where(F.col("judge_type").isin(*JUDGES)).groupBy(
         F.col("evaluation_pair_id").alias("id")).agg(*piv)
     r = runs.select(F.col("id").alias("evaluation_run_id"), "run_name")

@@ -105,7 +105,8 @@ def run_counters(run_log: DataFrame) -> DataFrame:
 def run_state(run_log: DataFrame, ts: str = "ts", seq: str = "event_id") -> DataFrame:
     """Current run state per (ticker, process) folded from an append-only
     log: status of the last event (start -> running), attempts, last start /
-    success / failure time, and the last error text (at most 5000 chars)."""
+    success / failure time, the cursor of the last success, and the last error text
+    (at most 5000 chars)."""
     a = F.col("action")
     status = F.when(a == "start", "running").when(a == "success", "success").when(a == "failed", "failed") \
         .otherwise("idle")
@@ -117,6 +118,9 @@ def run_state(run_log: DataFrame, ts: str = "ts", seq: str = "event_id") -> Data
         F.max(F.when(a == "success", F.col(ts))).alias("last_completed_at"),
         F.max(F.when(a == "failed", F.col(ts))).alias("last_failed_at"),
     ]
+    if "cursor" in run_log.columns:
+        aggs.append(F.max_by(F.when(a == "success", F.coalesce(F.col("cursor"), F.lit("{}"))),
+                             F.when(a == "success", F.struct(F.col(ts), F.col(seq)))).alias("last_success_cursor"))
     if has_err:
         aggs.append(F.substring(F.max_by(F.when(a == "failed", F.col("error")),
                                          F.when(a == "failed", F.struct(F.col(ts), F.col(seq)))), 1, 5000)

@@ -858,6 +858,15 @@ for _name, _table in (("C4_filing", "insider_filing"), ("C4_ledger", "ledger"),
 register("C4_insider_build")(lambda spark, d: _insiders(spark, d)["rollup"])
 
 
+@register("C2_financial_build")
+def q_financial_build(spark, d):
+    """Two annual and three quarterly filings a ticker, by filing date; every third fact is stored already."""
+    merged, _, _ = _facts(spark, d)
+    stored = sinks.upsert(merged.select(*FACT_COLS).limit(0), merged.select(*FACT_COLS), fin.GRAIN, order=["filing_accession"], winner="last")
+    stored = stored.where(F.length("line_code") % 3 == 0)
+    return JOBS.financial_build(fx.statement_wide(spark, d), fx.statement_filing(spark, d), stored, schemas.gaap_map_df(spark), 2, 3)
+
+
 @register("C2_pointers")
 def q_period_pointers(spark, d):
     """The latest period pointers of each ticker, written to its row."""

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import text as TX
+from ..operators import financials as fin
 from ..operators import incremental as INC
 from ..operators import insiders as INS
 from ..operators import market as MK
@@ -40,6 +41,21 @@ def market_build(price_store: DataFrame, bars: DataFrame, split_store: DataFrame
     return {"price": price, "split": split, "fundamentals": fund, "ticker": tick}
 
 
+def financial_build(frames: DataFrame, filings: DataFrame, stored: DataFrame, gaap: DataFrame, annual: int = 5, quarterly: int = 20) -> DataFrame:
+    """The newest ``annual`` annual and ``quarterly`` quarterly filings of
+    each ticker (by filing date, then accession) are merged and upserted into
+    ``stored``.  Filings are written newest first, and each write replaces the
+    one before, so where two give a fact the oldest filing's value stands.
+    ``filings`` are (filing_accession, ticker_id, is_annual, filing_date)."""
+    newest = Window.partitionBy("ticker_id", "is_annual").orderBy(F.col("filing_date").desc(), F.col("filing_accession").desc())
+    limit = F.when(F.col("is_annual"), F.lit(annual)).otherwise(F.lit(quarterly))
+    chosen = filings.withColumn("_n", F.row_number().over(newest)).where(F.col("_n") <= max(annual, quarterly)).where(F.col("_n") <= limit).drop("_n")
+    merged, _, _ = fin.financial_facts(frames.join(chosen.select("filing_accession"), "filing_accession", "left_semi"), gaap)
+    dated = merged.join(chosen.select("filing_accession", "filing_date"), "filing_accession")
+    batch = dated.select(*stored.columns, "filing_date")
+    return sinks.upsert(stored, batch, fin.GRAIN, order=["filing_date", "filing_accession"], winner="first")
+
+
 def filing_text_build(filing: DataFrame, stored_filing: DataFrame, attachments: DataFrame, items: DataFrame,
                       statements: DataFrame, limits: dict[str, int]) -> dict[str, DataFrame]:
     """Newest filings per form -> not yet completed -> 8-K attachment text

@@ -215,6 +215,8 @@ def judgement_scores(spark: SparkSession, d: str) -> DataFrame:
         (c / F.lit(100.0)).cast("decimal(5,4)").alias("control_score"),
         (x / F.lit(100.0)).cast("decimal(5,4)").alias("experimental_score"),
         ((x - c) / F.lit(100.0)).cast("decimal(6,4)").alias("improvement_delta"),
+        *[F.when(F.col("judge_type") == "consistency", (n % 17) / F.lit(8.0)).cast("decimal(6,4)").alias(f"semantic_entropy_{g}")
+          for g, n in (("control", c), ("experimental", x))],
     )
 
 
@@ -256,6 +258,7 @@ def run_log_from_events(e: DataFrame) -> DataFrame:
         F.when(et == "purchase", "success").when(et == "error", "failed").otherwise("start").alias("action"),
         "ts",
         "event_id",
+        F.when(et == "purchase", F.concat(F.lit('{"through": "'), F.date_format("ts", "yyyy-MM-dd"), F.lit('"}'))).alias("cursor"),
     )
 
 
@@ -358,6 +361,14 @@ def statement_wide(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def statement_filing(spark: SparkSession, d: str) -> DataFrame:
+    """The filings of the statement frames; their dates do not follow their names."""
+    acc = (F.col("l_orderkey") % 500).alias("acc")
+    return _t(spark, d).lineitem.select(acc).distinct().select(
+        F.concat(F.lit("acc-"), F.col("acc").cast("string")).alias("filing_accession"), (F.col("acc") % 50).alias("ticker_id"),
+        (F.col("acc") % 4 == 0).alias("is_annual"), F.date_add(F.lit("2020-01-01").cast("date"), (F.col("acc") * 37 % 401).cast("int")).alias("filing_date"))
+
+
 def ownership_rows(spark: SparkSession, d: str) -> DataFrame:
     """Vendor ownership tables as text columns, one row per lineitem row.
 
