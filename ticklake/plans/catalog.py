@@ -242,8 +242,13 @@ FACT_COLS = ["filing_accession", "ticker_id", "fiscal_year", "fiscal_period_end"
              "anchored"]
 
 
+def _frames(spark, d):
+    """Statement frames in even partitions: the work on each row is heavy, whatever the files' row groups are."""
+    return fx.statement_wide(spark, d).hint("rebalance", "filing_accession")
+
+
 def _facts(spark, d):
-    merged, cands, unmapped = fin.financial_facts(fx.statement_wide(spark, d), schemas.gaap_map_df(spark))
+    merged, cands, unmapped = fin.financial_facts(_frames(spark, d), schemas.gaap_map_df(spark))
     return merged, cands, unmapped
 
 
@@ -271,7 +276,7 @@ def q_unpivot_periods(spark, d):
 
 @register("J1_map_line_codes")
 def q_map_line_codes(spark, d):
-    rows = fin.statement_rows(fx.statement_wide(spark, d)).withColumn(
+    rows = fin.statement_rows(_frames(spark, d)).withColumn(
         "std_for_map", F.coalesce(F.col("std_concept"), fin.infer_standard_concept("concept_s")))
     return fin.map_line_codes(rows, schemas.gaap_map_df(spark))
 
@@ -503,7 +508,8 @@ def q_markdown(spark, d):
 
 @register("T6_chunks")
 def q_chunks(spark, d):
-    return TO.chunk(fx.filing(spark, d).select("id", "text"), "id", "text", n=500, clean=True)
+    texts = fx.filing(spark, d).select("id", "text").hint("rebalance", "id")
+    return TO.chunk(texts, "id", "text", n=500, clean=True)
 
 
 @register("T7_press_release_chunks")
@@ -528,7 +534,7 @@ CAL_YEARS = (1990, 2030)
 
 
 def _info(spark, d):
-    return MK.parse_company_info(fx.company_info_wide(spark, d))
+    return MK.parse_company_info(fx.company_info_wide(spark, d).hint("rebalance", "event_id"))
 
 
 @register("S1_prices")
