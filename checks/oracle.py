@@ -1207,3 +1207,25 @@ t AS (SELECT id, chunk_number, unnest(string_split({squash('lower(chunk)')}, ' '
 n AS (SELECT id, chunk_number, ('0x' || substr(md5('42:' || t), 1, 8))::BIGINT % 64 AS i, count(*)::DOUBLE AS n FROM t GROUP BY ALL),
 m AS (SELECT id, chunk_number, map(list(i), list(n)) AS m, sqrt(sum(n * n)) AS size FROM n GROUP BY ALL)
 SELECT id, chunk_number, list_transform(range(64), lambda d: (coalesce(m[d], 0.0) / size)::FLOAT) AS embedding FROM m""", "filing")
+
+
+def _rules(table, rules, *views, src=None):
+    rows = ", ".join(f"('{n}', (SELECT count(*) FROM {src or table} WHERE NOT ({r})))" for n, r in rules)
+    return f"SELECT * FROM (VALUES {rows}) v(rule, violations)"
+
+
+sql("Q1_rules_run_state", _rules("s", (
+    ("ticker_present", "ticker_id IS NOT NULL"), ("process_name_domain", "process_name IN ('stocks', 'financials', 'press_releases', 'insider_transactions')"),
+    ("process_status_domain", "status IN ('idle', 'running', 'success', 'failed')"), ("attempts_present", "attempts IS NOT NULL")), src=_STATE), "run_log")
+fin_sql("Q1_rules_facts", _rules("facts", (
+    ("fiscal_year_present", "fiscal_year IS NOT NULL"), ("period_end_present", "fiscal_period_end IS NOT NULL"),
+    ("period_type_domain", "period_type IN ('annual', 'quarterly')"), ("quarter_range", "quarter IS NULL OR quarter BETWEEN 1 AND 4"),
+    ("value_present", "value IS NOT NULL"), ("source_concept_present", "source_concept IS NOT NULL"))))
+sql("Q1_rules_annotations", """
+WITH a AS (SELECT CASE WHEN toxic = 1 THEN 'none' WHEN quality = 1 THEN 'experimental' ELSE 'tie' END AS preferred, doc_id % 6 AS factual,
+                  doc_id % 5 + 1 AS relevance, CASE WHEN doc_id % 2 = 0 THEN doc_id % 7 END AS complete FROM labels)
+SELECT 'preferred_response_domain' AS rule, count(*) FILTER (WHERE preferred = 'none') AS violations FROM a
+UNION ALL SELECT 'factual_accuracy_range', count(*) FILTER (WHERE factual NOT BETWEEN 1 AND 5) FROM a
+UNION ALL SELECT 'relevance_range', count(*) FILTER (WHERE relevance NOT BETWEEN 1 AND 5) FROM a
+UNION ALL SELECT 'completeness_range', count(*) FILTER (WHERE complete NOT BETWEEN 1 AND 5) FROM a""")
+ORACLE["S13_enforced_run_state"] = ORACLE["A9_run_state"]

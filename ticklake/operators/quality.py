@@ -20,6 +20,49 @@ def check_rules(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     return agg.selectExpr(f"stack({len(names)}, {stack}) AS (rule, violations)")
 
 
+#: FIXED VALUES: the constraints of the warehouse's tables (rules, and the columns that are unique together)
+CONSTRAINTS: dict[str, tuple[dict[str, str], list[str]]] = {
+    "process_run_state": ({
+        "ticker_present": "ticker_id IS NOT NULL",
+        "process_name_domain": "process_name IN ('stocks', 'financials', 'press_releases', 'insider_transactions')",
+        "process_status_domain": "status IN ('idle', 'running', 'success', 'failed')",
+        "attempts_present": "attempts IS NOT NULL",
+    }, ["ticker_id", "process_name"]),
+    "financial_fact": ({
+        "fiscal_year_present": "fiscal_year IS NOT NULL",
+        "period_end_present": "fiscal_period_end IS NOT NULL",
+        "period_type_domain": "period_type IN ('annual', 'quarterly')",
+        "quarter_range": "quarter IS NULL OR quarter BETWEEN 1 AND 4",
+        "value_present": "value IS NOT NULL",
+        "source_concept_present": "source_concept IS NOT NULL",
+    }, ["ticker_id", "fiscal_year", "fiscal_period_end", "period_type", "line_code"]),
+    "human_annotations": ({
+        "preferred_response_domain": "preferred_response IN ('control', 'experimental', 'tie', 'both_poor')",
+        "factual_accuracy_range": "factual_accuracy_rating >= 1 AND factual_accuracy_rating <= 5",
+        "relevance_range": "relevance_rating >= 1 AND relevance_rating <= 5",
+        "completeness_range": "completeness_rating >= 1 AND completeness_rating <= 5",
+    }, ["evaluation_pair_id", "annotator_user_id"]),
+}
+
+
+def enforce(df: DataFrame, rules: Mapping[str, str], unique: Sequence[str] = ()) -> DataFrame:
+    """Q1, Q2 and S13 inside the plan that writes: the rows of ``df``; a row that
+    violates a rule, or a second row of a unique key, fails the job that computes
+    them, so a bad batch is never published and nothing is computed twice."""
+    if unique:
+        keyed = df.groupBy(*unique).agg(F.count("*").alias("_n"), F.first(F.struct(*df.columns)).alias("_row"))
+        whole = F.col("_n") == 1
+        for k in unique:
+            whole = whole | F.col(k).isNull()
+        # rows with a NULL key part are exempt, and all of them stay
+        exempt = df.where(" OR ".join(f"`{k}` IS NULL" for k in unique))
+        keyed = keyed.where(F.assert_true(whole, F.lit(f"duplicate key on {list(unique)}")).isNull())
+        df = keyed.where(" AND ".join(f"`{k}` IS NOT NULL" for k in unique)).select("_row.*").unionByName(exempt)
+    for name, rule in rules.items():
+        df = df.where(F.assert_true(F.coalesce(F.expr(rule), F.lit(True)), F.lit(f"rule {name} violated")).isNull())
+    return df
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Q2: key values held by more than one row (rows with a NULL key part are
     exempt, as for a UNIQUE constraint)."""

@@ -971,3 +971,34 @@ def q_check_mapping(spark, d):
     gaap = schemas.gaap_map_df(spark).join(used, "key", "left_semi")
     lines = schemas.financial_line_df(spark).select("line_code", "statement").where(F.length("line_code") % 5 != 0)
     return quality.check_mapping(gaap, lines)
+
+
+def _annotations(spark, d):
+    """Annotations derived from the labels; some ratings are out of range."""
+    from ..sources.tables import read_table
+    n = F.col("doc_id")
+    return read_table(spark, d, "labels").select(
+        n.alias("evaluation_pair_id"), (n % 3).alias("annotator_user_id"),
+        F.when(F.col("toxic") == 1, "none").when(F.col("quality") == 1, "experimental").otherwise("tie").alias("preferred_response"),
+        (n % 6).alias("factual_accuracy_rating"), (n % 5 + 1).alias("relevance_rating"), F.when(n % 2 == 0, n % 7).alias("completeness_rating"))
+
+
+@register("Q1_rules_run_state")
+def q_rules_run_state(spark, d):
+    return quality.check_rules(INC.run_state(fx.run_log(spark, d)), quality.CONSTRAINTS["process_run_state"][0])
+
+
+@register("Q1_rules_facts")
+def q_rules_facts(spark, d):
+    return quality.check_rules(fact_table(spark, d), quality.CONSTRAINTS["financial_fact"][0])
+
+
+@register("Q1_rules_annotations")
+def q_rules_annotations(spark, d):
+    return quality.check_rules(_annotations(spark, d), quality.CONSTRAINTS["human_annotations"][0])
+
+
+@register("S13_enforced_run_state")
+def q_enforced_run_state(spark, d):
+    """S13 in the plan: the run state with its constraints enforced on the way."""
+    return quality.enforce(INC.run_state(fx.run_log(spark, d)), *quality.CONSTRAINTS["process_run_state"])
