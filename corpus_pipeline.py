@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 
 from ticklake.llm import jaccard_join, mixing, piece_bpe, quality_rules, queries, suffix_dedup
 from ticklake.llm.common import table
-from ticklake.session import shared_path
+from ticklake.session import cut_lineage, shared_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: row ids that are sent to all tasks at most: 32 MB
+FEW = 4_000_000
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
@@ -26,16 +28,24 @@ def _numbered(docs: DataFrame) -> DataFrame:
     return docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row"))
 
 
+def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """``rows`` but those whose row id is in ``gone``.  The ids are counted first:
+    up to ``FEW`` go to all tasks, so that no text is shuffled for them; more are
+    joined by shuffling both sides."""
+    gone = cut_lineage(gone)
+    return rows.join(F.broadcast(gone) if gone.count() <= FEW else gone, "row", "left_anti").select(*COLUMNS)
+
+
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     rows = _numbered(docs)
-    return rows.join(quality_rules.rejected_rows(rows, "row"), "row", "left_anti").select(*COLUMNS)
+    return _without(rows, quality_rules.rejected_rows(rows, "row"))
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of similar ones stays."""
     rows = _numbered(docs)
-    return rows.join(jaccard_join.surplus_rows(rows, "row"), "row", "left_anti").select(*COLUMNS)
+    return _without(rows, jaccard_join.surplus_rows(rows, "row"))
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
