@@ -61,18 +61,6 @@ def top_k_per_group(df: DataFrame, keys: Sequence[ColLike], order: Sequence[Colu
     return out if rank_col else out.drop(rn)
 
 
-def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every DOUBLE / FLOAT column (presentation for cross-engine checks)."""
-    out = []
-    for f in df.schema.fields:
-        t = f.dataType.typeName()
-        if t in ("double", "float"):
-            out.append(F.round(F.col(f.name), digits).alias(f.name))
-        else:
-            out.append(F.col(f.name))
-    return df.select(*out)
-
-
 def dense_ids(df: DataFrame, order_cols: Sequence[ColLike], start, name: str = "id",
               partitions: int | None = None) -> DataFrame:
     """Deterministic dense ids ``start + 1 .. start + n`` in ``order_cols`` order.

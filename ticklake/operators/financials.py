@@ -188,53 +188,6 @@ def infer_standard_concept(c: Column | str) -> Column:
     return F.nullif(out, F.lit(""))
 
 
-def lookup_keys(norm: Column) -> Column:
-    """The normalised key, then the key with each taxonomy prefix stripped."""
-    parts = [norm]
-    for p in schemas.TAXONOMY_PREFIXES:
-        parts.append(F.when(norm.startswith(p) & (F.length(norm) > len(p)), F.substring(norm, len(p) + 1, 1 << 30)))
-    return F.array(*parts)
-
-
-def issuer_remainder(concept: Column) -> Column:
-    """Text after the first '_' when the part before it looks like an issuer
-    prefix (2-5 alphanumerics, not a taxonomy namespace)."""
-    s = C.strip(concept)
-    prefix = F.substring_index(s, "_", 1)
-    rest = C.strip(F.substring(s, F.length(prefix) + 2, 1 << 30))
-    pl = F.lower(F.replace(prefix, F.lit("-"), F.lit("")))
-    ok = (
-        s.contains("_")
-        & (F.length(prefix) >= 2) & (F.length(prefix) <= 5)
-        & F.replace(prefix, F.lit("-"), F.lit("")).rlike(r"^[\p{L}\p{N}]+$")
-        & ~pl.isin(*schemas.ISSUER_BLOCKED)
-        & ~pl.startswith("usgaap") & ~pl.startswith("ifrs")
-        & (rest != "")
-    )
-    return F.when(ok, rest)
-
-
-def _try_key_candidates(rs: Column, norm: Column, keys: Column, group: int) -> Column:
-    """Ordered candidate lookups for one raw key: array<struct(key, kind, rank)>.
-
-    ``rs`` is the trimmed raw key, ``norm`` its normalised name and ``keys`` its
-    lookup keys (precomputed columns, so the generated code stays small).
-    rank = group*100 + 0 raw-in-overrides, 1 normalised-in-overrides, then per
-    lookup key i: 2+2i override, 3+2i map (map needs a statement match)."""
-    base = group * 100
-    items = [
-        F.struct(rs.alias("key"), F.lit("ovr").alias("kind"), F.lit(base + 0).alias("rank")),
-        F.struct(norm.alias("key"), F.lit("ovr").alias("kind"), F.lit(base + 1).alias("rank")),
-    ]
-    for i in range(len(schemas.TAXONOMY_PREFIXES) + 1):
-        k = keys[i]
-        items.append(F.struct(k.alias("key"), F.lit("ovr").alias("kind"), F.lit(base + 2 + 2 * i).alias("rank")))
-        items.append(F.struct(k.alias("key"), F.lit("map").alias("kind"), F.lit(base + 3 + 2 * i).alias("rank")))
-    arr = F.array(*items)
-    return F.when(rs.isNotNull() & (rs != ""), arr).otherwise(
-        F.array().cast("array<struct<key:string,kind:string,rank:int>>"))
-
-
 def overrides_df(spark: SparkSession, rows: Sequence[tuple[str, str]] = ()) -> DataFrame:
     """Overrides (concept, line_code) -> keys: the raw concept and its
     normalised name; incomplete rows skipped."""
@@ -393,17 +346,6 @@ def union_statements(*frames: DataFrame) -> DataFrame:
 GRAIN = ["ticker_id", "fiscal_year", "fiscal_period_end", "period_type", "line_code"]
 
 
-def _pref_index(line_code: Column, keys: Column) -> Column:
-    """Position of the first preferred name (for this line code) found in keys."""
-    out = F.lit(None).cast("int")
-    for lc, prefs in schemas.MERGE_PREFERRED.items():
-        idx = F.lit(None).cast("int")
-        for i in reversed(range(len(prefs))):
-            idx = F.when(F.array_contains(keys, prefs[i]), F.lit(i)).otherwise(idx)
-        out = F.when(line_code == lc, idx).otherwise(out)
-    return out
-
-
 def merge_facts(cands: DataFrame, grain: Sequence[str] = ("filing_accession", *GRAIN)) -> DataFrame:
     """One fact per grain.
 

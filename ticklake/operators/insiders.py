@@ -136,6 +136,7 @@ def ledger_rows(raw: DataFrame, filing_key: str = "filing_id", order_col: str =
     )
 
 
+# FIXED VALUES: column names of the vendor's transaction tables
 LEDGER_ALIASES = {
     # output column: (alias names in order, kind)
     "transaction_date": (("date", "transaction_date"), "date"),

@@ -65,6 +65,7 @@ def mdna_sections(filings: DataFrame, items: DataFrame, rules: DataFrame,
 # ---------------------------------------------------------------------------
 _NS = f"[^{WS}]"
 _S = f"[{WS}]"
+# FIXED VALUES: patterns that tell table rows, numbered and bullet lists
 TABLE_ROW = rf"(?d)(\|.*\|)|({_NS}+{_S}{{2,}}{_NS}+{_S}{{2,}}{_NS}+)"
 NUMBERED = rf"^{_S}*\d+\.{_S}"
 BULLET = rf"^{_S}*[•\-\*]{_S}"
@@ -391,7 +392,3 @@ def statement_chunks(texts: DataFrame, id_col: str = "filing_id", text_col: str
         wc.alias("word_count"),
         "chunk_number",
     )
-
-
-def mdna_rules(spark) -> DataFrame:
-    return schemas.mdna_rules_df(spark)

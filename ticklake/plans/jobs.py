@@ -109,11 +109,5 @@ def insider_build(stored_filing: DataFrame, stored_ledger: DataFrame, header_raw
             "position": INS.position_current(ledger, filing)}
 
 
-def daily_plan(tickers: DataFrame, checks: DataFrame, state: DataFrame, now, force: bool = False) -> DataFrame:
-    """One run plan over all tickers and its counters per verdict."""
-    plan = INC.plan_runs(tickers, checks, state, now, force)
-    return plan.groupBy("process_name", "verdict").agg(F.count(F.lit(1)).alias("n"))
-
-
 def text_of_pages(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", TX.html_to_text(F.col("html")).alias("text"))

@@ -391,16 +391,6 @@ def transaction_code_df(spark: SparkSession) -> DataFrame:
     return local_df(spark, TRANSACTION_CODES, schema)
 
 
-def merge_preferred_df(spark: SparkSession) -> DataFrame:
-    rows = [(lc, name, i) for lc, names in MERGE_PREFERRED.items() for i, name in enumerate(names)]
-    schema = T.StructType([
-        T.StructField("line_code", T.StringType(), False),
-        T.StructField("pref_name", T.StringType(), False),
-        T.StructField("pref_idx", T.IntegerType(), False),
-    ])
-    return local_df(spark, rows, schema)
-
-
 def mdna_rules_df(spark: SparkSession) -> DataFrame:
     rows = [(form, lid, title, cands) for form, lid, title, cands in MDNA_SECTIONS]
     schema = T.StructType([
