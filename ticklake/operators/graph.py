@@ -252,36 +252,65 @@ def meta_graph(v: DataFrame, e: DataFrame) -> DataFrame:
                     F.col("b_label").alias("target_label")).distinct()
 
 
-def network_density(v: DataFrame, e: DataFrame, threshold: int = 20) -> DataFrame:
+#: a neighbour with more hubs and more neighbours than this is worked out once for all hubs
+SHARED = 64
+
+
+def network_density(v: DataFrame, e: DataFrame, threshold: int = 20, shared: int = SHARED) -> DataFrame:
     """Companies with more than ``threshold`` REPORTS edges to metrics and
     their undirected 1..2-hop neighbourhood: label set and distinct size.
 
     Relationship uniqueness (e2 <> e1) is applied after collapsing parallel
     edges: from hub h through x, every neighbour y <> h of x is reachable, and h
     itself is reachable only when h and x share two or more edges.  So the hop
-    joins distinct (h, x) pairs with distinct (x, y) pairs instead of edge rows,
-    which bounds the fan-out by distinct neighbours rather than parallel edges.
+    joins distinct (h, x) pairs with distinct (x, y) pairs instead of edge rows.
+
+    A neighbour x of many hubs that has many neighbours itself (a country, say)
+    would give hubs x neighbours rows.  Such neighbours are left out of the join:
+    hubs with the same set of them reach the same nodes through them, so these
+    are joined and counted by label once for each set that occurs, and of the
+    other nodes of a hub those outside its set's nodes are added.  What is left
+    has ``shared`` rows an edge at most.
     """
-    # read five times below: computed once, kept in the shared folder
+    # read several times below: computed once, kept in the shared folder
     e = cut_lineage(e.select("eid", "src", "dst", "type")).withColumn("props", F.lit(None).cast("map<string,string>"))
     h = hop(v, e, "Company", ["REPORTS"], "Metric", "c", "r", "m")
-    hubs = h.groupBy("c_id").agg(F.count("r_eid").alias("metric_count")).where(
-        F.col("metric_count") > threshold)
+    hubs = cut_lineage(h.groupBy("c_id").agg(F.count("r_eid").alias("metric_count")).where(
+        F.col("metric_count") > threshold))
     und = e.select(F.col("src").alias("a"), F.col("dst").alias("b")).unionByName(
         e.select(F.col("dst").alias("a"), F.col("src").alias("b")))
     # only edges at the hubs and at their neighbours are ever needed (semi-joins
     # on small key sets), then parallel edges are collapsed to distinct pairs
     at_hub = und.join(hubs.select(F.col("c_id").alias("a")), "a", "left_semi")
-    n1 = at_hub.groupBy(F.col("a").alias("hub"), F.col("b").alias("x")).agg(F.count(F.lit(1)).alias("n_edges"))
-    xs = n1.select(F.col("x").alias("a")).distinct()
-    pairs = und.join(xs, "a", "left_semi").select(F.col("a").alias("x"), F.col("b").alias("y")).distinct()
-    n2 = n1.join(pairs, "x").where((F.col("y") != F.col("hub")) | (F.col("n_edges") >= 2)).select(
-        "hub", F.col("y").alias("node"))
-    conn = n1.select("hub", F.col("x").alias("node")).unionByName(n2).distinct()
-    lab = conn.join(v.select(F.col("id").alias("node"), "label"), "node")
-    g = lab.groupBy("hub").agg(
+    n1 = cut_lineage(at_hub.groupBy(F.col("a").alias("hub"), F.col("b").alias("x")).agg(F.count(F.lit(1)).alias("n_edges")))
+    xs = n1.groupBy("x").agg(F.count(F.lit(1)).alias("n_hubs"))
+    pairs = cut_lineage(und.join(xs.select(F.col("x").alias("a")), "a", "left_semi").select(F.col("a").alias("x"), F.col("b").alias("y")).distinct())
+    many = pairs.groupBy("x").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > shared)
+    many = cut_lineage(xs.where(F.col("n_hubs") > shared).join(many, "x", "left_semi").select("x"))
+
+    # sets of shared neighbours, the nodes that they reach, and how many rows of each label
+    sets = n1.join(many, "x", "left_semi").groupBy("hub").agg(F.sort_array(F.collect_list("x")).alias("xs"))
+    numbered = cut_lineage(sets.select("xs").distinct().withColumn("set", F.monotonically_increasing_id()))
+    of_hub = sets.join(numbered, "xs").select("hub", "set")
+    reach = cut_lineage(numbered.select("set", F.explode("xs").alias("x")).join(pairs, "x").select("set", F.col("y").alias("node")).distinct())
+    label = v.select(F.col("id").alias("node"), "label")
+    through = of_hub.join(reach.join(label, "node").groupBy("set", "label").agg(F.count(F.lit(1)).alias("n")), "set")
+
+    others = pairs.join(many, "x", "left_anti")
+    rest = n1.select("hub", F.col("x").alias("node")).unionByName(
+        n1.join(others, "x").select("hub", F.col("y").alias("node"))).where(F.col("node") != F.col("hub")).distinct()
+    rest = rest.join(of_hub, "hub", "left").join(reach, ["set", "node"], "left_anti")
+    rest = rest.join(label, "node").groupBy("hub", "label").agg(F.count(F.lit(1)).alias("n"))
+
+    # the hub itself: not by the edge that led away from it
+    back = n1.groupBy("hub").agg(F.max(((F.col("x") == F.col("hub")) | (F.col("n_edges") >= 2)).cast("long")).alias("n"))
+    itself = back.join(of_hub, "hub", "left").select(F.col("hub").alias("node"), (F.col("n") - F.col("set").isNotNull().cast("long")).alias("n"))
+    itself = itself.where(F.col("n") != 0).join(label, "node").select(F.col("node").alias("hub"), "label", "n")
+
+    counts = through.select("hub", "label", "n").unionByName(rest).unionByName(itself).groupBy("hub", "label").agg(F.sum("n").alias("n"))
+    g = counts.where(F.col("n") > 0).groupBy("hub").agg(
         F.array_join(F.sort_array(F.collect_set("label")), ",").alias("connected_types"),
-        F.count(F.lit(1)).alias("network_size"))
+        F.sum("n").alias("network_size"))
     names = v.select(F.col("id").alias("hub"), F.col("name").alias("central_company"))
     return g.join(hubs.withColumnRenamed("c_id", "hub"), "hub").join(names, "hub").select(
         "hub", "central_company", "metric_count", "connected_types", "network_size")
