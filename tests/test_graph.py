@@ -1,7 +1,5 @@
 import random
 
-from pyspark.sql import functions as F
-
 from ticklake.operators import graph as G
 
 VERTEX = "id string, label string, name string, labels array<string>, props map<string,string>"
@@ -56,3 +54,32 @@ def test_network_density_shares_what_hubs_share(spark, monkeypatch):
     got = G.network_density(v, e, 0)
     assert got.count() == 300 and {r.network_size for r in got.collect()} == {301}
     assert max(x.count() for x in joined) <= 2000
+
+
+def _triplets(v, edges):
+    by_id = {}
+    for x in v:
+        by_id.setdefault(x[0], []).append(x)
+    return [(a, r, b) for r in edges for a in by_id.get(r[1], []) for b in by_id.get(r[2], [])]
+
+
+def test_schema_overview_joins_names_only(spark):
+    rows, edges, v, e = drawn(spark)
+    count = {}
+    for a, r, b in _triplets(rows, edges):
+        count[a[1], r[3], b[1]] = count.get((a[1], r[3], b[1]), 0) + 1
+    got = G.schema_overview(v, e)
+    assert "a_props" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert {tuple(r[:4]): tuple(r[4:]) for r in got.collect()} == {(*k, n): ("k,name", "kind", "k,name") for k, n in count.items()}
+
+
+def test_rel_samples_look_up_a_few_edges(spark):
+    rows, edges, v, e = drawn(spark)
+    got = G.rel_samples(v, e, examples=2)
+    assert "strategy=broadcast" in got._jdf.queryExecution().optimizedPlan().toString()
+    for r in got.collect():
+        of = [t for t in _triplets(rows, edges) if t[1][3] == r.rel_type]
+        assert r.source_labels == ",".join(sorted({a[1] for a, _, _ in of if a[1]}))
+        two = sorted((x[0], f"{a[1] or ''}|k,name|{x[3]}|kind|{b[1] or ''}|k,name") for a, x, b in of)[:2]
+        if all(a[1] and b[1] for a, _, b in of):
+            assert r.sample_triplets == ";".join(t for _, t in two)

@@ -179,7 +179,18 @@ def rel_samples(v: DataFrame, e: DataFrame, examples: int = 3, limit: int = 20)
     labels = h.groupBy(F.col("r_type").alias("rel_type")).agg(
         F.array_join(F.sort_array(F.collect_set("a_label")), ",").alias("source_labels"),
         F.array_join(F.sort_array(F.collect_set("b_label")), ",").alias("target_labels"))
-    ex = first_k(h, ["r_type"], [F.col("r_eid")], examples)
+    # the examples' edges are chosen by ids alone; the rest is looked up for these few
+    ids = v.select(F.col("id").alias("end"))
+    there = e.select("eid", "src", "dst", "type").join(ids, F.col("src") == F.col("end"), "left_semi").join(
+        ids, F.col("dst") == F.col("end"), "left_semi")
+    few = first_k(there, ["type"], [F.col("eid")], examples).select("eid", "src", "dst", "type").distinct()
+    few = F.broadcast(few.alias("few"))
+    same = (F.col("edge.eid").eqNullSafe(F.col("few.eid")) & (F.col("edge.src") == F.col("few.src"))
+            & (F.col("edge.dst") == F.col("few.dst")) & F.col("edge.type").eqNullSafe(F.col("few.type")))
+    ed = _e(e.alias("edge").join(few, same, "left_semi"), "r")
+    ex = F.broadcast(ed).join(_v(v, "a"), F.col("r_src") == F.col("a_id"))
+    ex = F.broadcast(ex).join(_v(v, "b"), F.col("r_dst") == F.col("b_id"))
+    ex = first_k(ex, ["r_type"], [F.col("r_eid")], examples)
     trip = F.concat_ws("|", F.col("a_label"), _keys_text(F.col("a_props"), 3), F.col("r_type"),
                        _keys_text(F.col("r_props"), 3), F.col("b_label"), _keys_text(F.col("b_props"), 3))
     exs = ex.groupBy(F.col("r_type").alias("rel_type")).agg(
@@ -230,17 +241,21 @@ def rel_properties(e: DataFrame, sample: int = 100) -> DataFrame:
 def schema_overview(v: DataFrame, e: DataFrame, limit: int = 20) -> DataFrame:
     """(source label, type, target label) with counts and sample property
     names (the smallest key list, first 5 names)."""
-    h = hop(v, e, None, None, None, "a", "r", "b")
-
-    def keys(props):
-        return F.array_join(F.slice(F.sort_array(F.map_keys(props)), 1, 5), ",")
-
-    g = h.groupBy(F.col("a_label").alias("source_type"), F.col("r_type").alias("relationship_type"),
+    def keys(prefix):
+        return F.array_join(F.slice(F.sort_array(F.map_keys("props")), 1, 5), ",").alias(f"{prefix}_keys")
+
+    # property names, not values, go through the joins; rows are counted by all
+    # names first, as the least of texts would be found by sorting all rows
+    a = v.select(F.col("id").alias("src"), F.col("label").alias("a_label"), keys("a"))
+    b = v.select(F.col("id").alias("dst"), F.col("label").alias("b_label"), keys("b"))
+    h = e.select("src", "dst", F.col("type").alias("r_type"), keys("r")).join(a, "src").join(b, "dst")
+    n = h.groupBy("a_label", "r_type", "b_label", "a_keys", "r_keys", "b_keys").agg(F.count(F.lit(1)).alias("n"))
+    g = n.groupBy(F.col("a_label").alias("source_type"), F.col("r_type").alias("relationship_type"),
                   F.col("b_label").alias("target_type")).agg(
-        F.count(F.lit(1)).alias("count"),
-        F.min(keys(F.col("a_props"))).alias("sample_source_properties"),
-        F.min(keys(F.col("r_props"))).alias("sample_rel_properties"),
-        F.min(keys(F.col("b_props"))).alias("sample_target_properties"))
+        F.sum("n").alias("count"),
+        F.min("a_keys").alias("sample_source_properties"),
+        F.min("r_keys").alias("sample_rel_properties"),
+        F.min("b_keys").alias("sample_target_properties"))
     return top_k(g, [F.col("count").desc(), F.col("source_type"), F.col("relationship_type"), F.col("target_type")],
                  limit)
 
