@@ -88,3 +88,19 @@ def test_mapping_integrity(spark):
     """Q4: every mapped line code is seeded with the same statement."""
     bad = quality.check_mapping(schemas.gaap_map_df(spark), schemas.financial_line_df(spark))
     assert bad.where(F.col("problem") != "line").count() == 0
+
+
+def test_rows_are_not_dealt_by_concept(spark, monkeypatch):
+    """One concept on most rows: the mapping goes to the rows; a mapping past the limit is joined by key."""
+    rows = [("a", 1, "income", "us-gaap:Revenues", None, str(i), i) for i in range(50)] + [("a", 1, "income", "x:Other", None, "5", 99)]
+    df = spark.createDataFrame(rows, "filing_accession string, ticker_id int, statement string, concept string, standard_concept string, `2024-03-31` string, seq int")
+
+    def run():
+        cands, unmapped = fin.statement_candidates(df, None, F.lit(False), schemas.gaap_map_df(spark))
+        return cands, sorted((r.line_code, float(r.value)) for r in cands.collect()), [r.concept for r in unmapped.collect()]
+
+    cands, got, unmapped = run()
+    assert "strategy=broadcast" in cands._jdf.queryExecution().optimizedPlan().toString()
+    assert got == sorted(("revenue", float(i)) for i in range(50)) and unmapped == ["x:Other"]
+    monkeypatch.setattr(fin, "MAX_MAPPED", 0)
+    assert run()[1:] == (got, unmapped)

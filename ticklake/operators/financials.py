@@ -16,8 +16,11 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import coerce as C
+from ..session import cut_lineage
 from .common import first_by, top_k_per_group
 
+#: concepts (with anchor and statement) whose mapping is given to all tasks; more are joined by key
+MAX_MAPPED = 100_000
 STATEMENT_ORDER = {"balance": 0, "income": 1, "cashflow": 2}
 _PERIOD_FORMATS = ("%Y-%m-%d", "%Y/%m/%d", "%m/%d/%Y", "%Y%m%d", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d %H:%M:%S")
 
@@ -280,6 +283,10 @@ def statement_candidates(frame: DataFrame, statement: str | None, is_annual: Col
                       & (F.col("statement") == F.col("_mt")), "left").select(
         F.col("concept_s").alias("_kc"), F.col("std_concept").alias("_ks"), F.col("statement").alias("_kt"),
         "std_for_map", "line_code")
+    # the mapping goes to the rows: rows dealt by concept would be a few large tasks
+    keyed = cut_lineage(keyed)
+    if keyed.count() <= MAX_MAPPED:
+        keyed = F.broadcast(keyed)
     rows = rows.join(keyed, (F.col("concept_s") == F.col("_kc")) & F.col("std_concept").eqNullSafe(F.col("_ks"))
                      & (F.col("statement") == F.col("_kt")), "left").drop("_kc", "_ks", "_kt")
     unmapped = rows.where(F.col("line_code").isNull()).select(
