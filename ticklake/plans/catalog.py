@@ -185,7 +185,8 @@ LEDGER_UPDATE = ["transaction_date", "security_title", "transaction_code", "acqu
 
 def _ledger_target_source(spark, d):
     raw = fx.insider_transaction_raw(spark, d)
-    target = raw.where((F.col("rn") == 1) & ~F.col("is_derivative")).drop("rn")
+    # one condition that holds the row number stays above the exchange, which target and source then share
+    target = raw.where(F.when(~F.col("is_derivative"), F.col("rn")) == 1).drop("rn")
     source = raw.where((F.col("rn") >= 2) | F.col("is_derivative"))
     return target, source
 

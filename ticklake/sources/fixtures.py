@@ -140,15 +140,25 @@ def insider_filing(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _lines_by_order(spark: SparkSession, d: str) -> DataFrame:
+    """The lines, those of an order together.  They move as stored: the text and
+    decimal columns made of them are three times as wide.  All tables made of
+    lines begin with this one exchange."""
+    return _t(spark, d).lineitem.repartition("l_orderkey")
+
+
 def insider_transaction_raw(spark: SparkSession, d: str) -> DataFrame:
-    li = _t(spark, d).lineitem
+    return _transaction_lines(_lines_by_order(spark, d))
+
+
+def _transaction_lines(li: DataFrame) -> DataFrame:
     d4 = "decimal(20,4)"
     w = Window.partitionBy("l_orderkey", "l_linestatus", "l_linenumber").orderBy(
         *[F.col(c).desc() for c in ("l_shipdate", "l_partkey", "l_suppkey", "l_quantity",
                                     "l_extendedprice", "l_discount", "l_tax", "l_returnflag")]
     )
     rf = F.col("l_returnflag")
-    return li.select(
+    return li.withColumn("rn", F.row_number().over(w)).select(
         F.when(F.col("l_partkey") % 101 == 0, -F.col("l_orderkey")).otherwise(F.col("l_orderkey")).alias("insider_filing_id"),
         (F.col("l_linestatus") == "O").alias("is_derivative"),
         F.col("l_linenumber").alias("line_number"),
@@ -161,12 +171,13 @@ def insider_transaction_raw(spark: SparkSession, d: str) -> DataFrame:
         F.col("l_extendedprice").cast(d4).alias("price_per_share"),
         F.when(F.col("l_discount") == 0, F.lit(None).cast(d4))
         .otherwise((F.col("l_quantity") * 10).cast(d4)).alias("shares_owned_following"),
-        F.row_number().over(w).alias("rn"),
+        "rn",
     )
 
 
 def insider_transaction(spark: SparkSession, d: str) -> DataFrame:
-    t = insider_transaction_raw(spark, d).where(F.col("rn") == 1).drop("rn")
+    # a line without an order joins no filing; without such lines the exchange is that of the ownership rows of a join
+    t = _transaction_lines(_lines_by_order(spark, d).where(F.col("l_orderkey").isNotNull())).where(F.col("rn") == 1).drop("rn")
     f = insider_filing(spark, d).select(
         F.col("id").alias("insider_filing_id"), "ticker_id", "insider_id"
     )
@@ -375,7 +386,7 @@ def ownership_rows(spark: SparkSession, d: str) -> DataFrame:
     Filings whose key is a multiple of 4 are Form 3 holdings frames (they carry
     a security type); ``src_order`` is the row order inside a filing's frame.
     """
-    li = _t(spark, d).lineitem
+    li = _lines_by_order(spark, d)
     holding = F.col("l_orderkey") % 4 == 0
     rf = F.col("l_returnflag")
     return li.select(

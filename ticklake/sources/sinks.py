@@ -32,6 +32,24 @@ def dedupe_batch(source: DataFrame, keys: Sequence[str], order: Sequence[str | C
     return first_by(source, list(keys), ordc, [c for c in source.columns if c not in keys])
 
 
+def _batch_rows(source: DataFrame, keys: Sequence[str], order: Sequence[str | Column] | None, winner: str,
+                wanted: Sequence[str]) -> DataFrame:
+    """``dedupe_batch`` for the columns that a table has.  Where the order and
+    these columns can be compared, a row is sent once, as one struct that begins
+    with its order, and not as a payload and an order that repeat each other."""
+    names = [c for c in source.columns if c in wanted or c in keys]
+    if not order:
+        return dedupe_batch(source, keys, order, winner).select(*names)
+    rest = [c for c in names if c not in keys and c not in order]
+    types = dict(source.dtypes)
+    if not all(isinstance(o, str) and "`" not in o and o not in keys for o in order) or any(
+            t in types[c] for c in [*order, *rest] for t in ("map<", "variant", "interval")):
+        return dedupe_batch(source, keys, order, winner).select(*names)
+    row = F.struct(*[F.col(c) for c in dict.fromkeys([*order, *rest])])
+    best = source.groupBy(*keys).agg((F.max if winner == "last" else F.min)(row).alias("_w"))
+    return best.select(*[F.col(c) if c in keys else F.col("_w")[c].alias(c) for c in names])
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str] | None = None,
            order: Sequence[str | Column] | None = None, winner: str = "last",
            touch_col: str | None = None, now=None) -> DataFrame:
@@ -48,7 +66,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_col
     types = {f.name: f.dataType for f in tschema.fields}
     cols = [f.name for f in tschema.fields]
     update_cols = list(update_cols) if update_cols is not None else [c for c in cols if c not in keys]
-    src = dedupe_batch(source, keys, order, winner)
+    src = _batch_rows(source, keys, order, winner, cols)
     src_cols = set(src.columns)
     # one full outer join: each side is read and shuffled once
     s = src.select(*[F.col(c).alias(f"_s_{c}") for c in src.columns], F.lit(True).alias("_given"))
@@ -75,7 +93,7 @@ def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str],
                   order: Sequence[str | Column] | None = None) -> DataFrame:
     """INSERT .. ON CONFLICT DO NOTHING; inside the batch the first row wins."""
     keys = list(keys)
-    src = dedupe_batch(source, keys, order, winner="first")
+    src = _batch_rows(source, keys, order, "first", target.columns)
     new = src.join(target.select(*keys), keys, "left_anti")
     tfields = target.schema.fields
     new_cols = set(new.columns)
