@@ -43,8 +43,7 @@ def to_date10(c: ColLike) -> Column:
     """
     col = _c(c)
     s = F.substring(col.cast("string"), 1, 10)
-    ok = s.rlike(r"^\d{4}-\d{2}-\d{2}$")
-    return F.when(ok, F.try_to_timestamp(s, F.lit("yyyy-MM-dd")).cast("date"))
+    return F.when(s.rlike(r"^\d{4}-\d{2}-\d{2}$"), s.try_cast("date"))
 
 
 def to_dec(c: ColLike, precision: int = 20, scale: int = 4) -> Column:

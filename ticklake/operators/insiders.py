@@ -103,9 +103,12 @@ def ledger_rows(raw: DataFrame, filing_key: str = "filing_id", order_col: str =
     else:
         holding = F.lit("security_type" in cols)
     sec_type = C.clean_text("security_type") if "security_type" in cols else F.lit(None).cast("string")
-    is_deriv = F.coalesce(F.lower(sec_type).contains("derivative"), F.lit(False))
-    shares = C.to_dec("shares")
-    under = C.to_dec("underlying_shares") if "underlying_shares" in cols else F.lit(None).cast("decimal(20,4)")
+    # read more than once below: parsed once, in a projection of their own
+    is_deriv, shares, under = F.col("_derivative"), F.col("_shares"), F.col("_underlying")
+    numbered = number_rows(raw, [filing_key], [F.col(order_col)]).withColumns({
+        "_derivative": F.coalesce(F.lower(sec_type).contains("derivative"), F.lit(False)),
+        "_shares": C.to_dec("shares"),
+        "_underlying": C.to_dec("underlying_shares") if "underlying_shares" in cols else F.lit(None).cast("decimal(20,4)")})
 
     def nonblank(c):
         return F.when(F.col(c) != "", F.col(c)) if c in cols else F.lit(None).cast("string")
@@ -115,7 +118,6 @@ def ledger_rows(raw: DataFrame, filing_key: str = "filing_id", order_col: str =
     own = F.col("ownership_type") if "ownership_type" in cols else F.lit(None).cast("string")
     following = F.when(holding, F.when(is_deriv, under).otherwise(shares)).otherwise(
         C.to_dec("remaining_shares") if "remaining_shares" in cols else F.lit(None).cast("decimal(20,4)"))
-    numbered = number_rows(raw, [filing_key], [F.col(order_col)])
     return numbered.select(
         F.col(filing_key).alias("insider_filing_id"),
         "line_number",
