@@ -147,3 +147,19 @@ def test_long_markdown_in_segments(spark):
     for segment in (1, 3, 1000):
         got = {r.id: r.markdown for r in TO.markdown_rows(df, ["id"], F.col("text"), long_text=3, segment=segment).collect()}
         assert got == want
+
+
+def test_table_rows_in_linear_time(spark):
+    import itertools
+    import time
+
+    from ticklake.operators.text import _NS, _S, TABLE_ROW
+    plain = rf"(?d)(\|.*\|)|({_NS}+{_S}{{2,}}{_NS}+{_S}{{2,}}{_NS}+)"
+    texts = ["".join(x) for n in range(8) for x in itertools.product("a \u2003|\n"[:4], repeat=n)]
+    texts += ["a  b  c", "a\t\nb \u3000\U0001F600\U0001F600  c", "|\n|", "|a\r|", "  a  b  ", "a  b c  d", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert df.where(~F.col("t").rlike(TABLE_ROW).eqNullSafe(F.col("t").rlike(plain))).count() == 0
+    t0 = time.time()
+    long_word = spark.range(1).select(F.repeat(F.concat(F.lit("x"), F.col("id").cast("string")), 200_000).alias("t"))
+    assert long_word.select(F.col("t").rlike(TABLE_ROW)).first()[0] is False
+    assert time.time() - t0 < 30

@@ -66,7 +66,8 @@ def mdna_sections(filings: DataFrame, items: DataFrame, rules: DataFrame,
 _NS = f"[^{WS}]"
 _S = f"[{WS}]"
 # FIXED VALUES: patterns that tell table rows, numbered and bullet lists
-TABLE_ROW = rf"(?d)(\|.*\|)|({_NS}+{_S}{{2,}}{_NS}+{_S}{{2,}}{_NS}+)"
+# one character each before and after the gaps, and no way back: a long word is read once, not once for each of its characters
+TABLE_ROW = rf"(?d)(\|.*\|)|({_NS}{_S}{{2,}}+{_NS}++{_S}{{2,}}+{_NS})"
 NUMBERED = rf"^{_S}*\d+\.{_S}"
 BULLET = rf"^{_S}*[•\-\*]{_S}"
 
