@@ -163,3 +163,14 @@ def test_table_rows_in_linear_time(spark):
     long_word = spark.range(1).select(F.repeat(F.concat(F.lit("x"), F.col("id").cast("string")), 200_000).alias("t"))
     assert long_word.select(F.col("t").rlike(TABLE_ROW)).first()[0] is False
     assert time.time() - t0 < 30
+
+
+def test_chunks_leave_before_a_batch_is_done():
+    import pyarrow as pa
+
+    ids, sents = list(range(300)), [[f"W{i} x{j}." for j in range(i % 40)] for i in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(ids), pa.array(sents, pa.list_(pa.string()))], names=["id", "_sents"])
+    names = ["id", "chunk_number", "chunk"]
+    whole, parts = (list(TO._cutter(names, 9, 2, held)([batch])) for held in (1 << 30, 200))
+    assert pa.Table.from_batches(parts) == pa.Table.from_batches(whole) and whole[0].num_rows > 1000
+    assert max(b.num_rows for b in parts) < 100

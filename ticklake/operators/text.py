@@ -236,27 +236,42 @@ def _folded(n: int, ov: int):
     return fold
 
 
-def _short_chunks(df: DataFrame, keep: list[str], sents: Column, n: int, ov: int) -> DataFrame:
-    schema = T.StructType([*df.select(*keep).schema.fields, T.StructField("chunk_number", T.IntegerType()), T.StructField("chunk", T.StringType())])
-    names, fold = schema.names, _folded(n, ov)
+def _cutter(names: list[str], n: int, ov: int, held_chars: int = 1 << 20):
+    """Batches whose last column holds sentences -> batches of chunks."""
+    fold = _folded(n, ov)
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            rows, numbers, texts = [], [], []
-            for i, sentences_of in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+            sents, rows, numbers, texts, held = batch.column(batch.num_columns - 1), [], [], [], 0
+
+            def chunks(batch=batch):
+                at = pa.array(rows, pa.int64())
+                columns = [c.take(at) for c in batch.columns[:-1]]
+                return pa.RecordBatch.from_arrays([*columns, pa.array(numbers, pa.int32()), pa.array(texts, pa.string())], names=names)
+
+            # one text at a time as Python strings; what is cut leaves when it is held_chars long
+            for i in range(batch.num_rows):
+                sentences_of = sents[i].as_py()
                 bounds, s, e = fold([x.count(" ") + 1 for x in sentences_of])
                 tokens = " ".join(sentences_of).split(" ")
                 for number, (a, b) in enumerate(bounds + [(s, e)] * (e > s), 1):
                     rows.append(i)
                     numbers.append(number)
                     texts.append(" ".join(tokens[a:b]))
-            at = pa.array(rows, pa.int64())
-            columns = [c.take(at) for c in batch.columns[:-1]]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(numbers, pa.int32()), pa.array(texts, pa.string())], names=names)
+                    held += len(texts[-1])
+                if held > held_chars:
+                    yield chunks()
+                    rows, numbers, texts, held = [], [], [], 0
+            yield chunks()
 
-    return df.select(*keep, sents.alias("_sents")).mapInArrow(run, schema)
+    return run
+
+
+def _short_chunks(df: DataFrame, keep: list[str], sents: Column, n: int, ov: int) -> DataFrame:
+    schema = T.StructType([*df.select(*keep).schema.fields, T.StructField("chunk_number", T.IntegerType()), T.StructField("chunk", T.StringType())])
+    return df.select(*keep, sents.alias("_sents")).mapInArrow(_cutter(schema.names, n, ov), schema)
 
 
 def _long_chunks(segs: DataFrame, keep_names: list[str], n: int, ov: int) -> DataFrame:
