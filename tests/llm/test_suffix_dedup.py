@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from ticklake.llm import suffix_dedup as S
 from ticklake.llm.column_bwt import column_bwt, least_owner, places
@@ -94,3 +95,29 @@ def test_least_owner():
     rows = np.frombuffer(b"abcdefgh" b"xabcdexx" b"zzzzzzzz", np.uint8).reshape(3, 8)
     got = least_owner(rows, np.array([8, 7, 8]), np.array([5, 3, 9]), 4)
     assert got[0].tolist() == [3, 3, 5, 5, 5] and got[1][:4].tolist() == [3, 3, 3, 3] and got[1][4] == np.iinfo(np.int64).max
+
+
+def test_chance_meetings_are_not_compared(monkeypatch):
+    """Blocks that have a short phrase in common and no window do not go to the
+    transform; a bucket's answers are right whether they do or not."""
+    rng = random.Random(4)
+    rows = [(d, "".join(rng.choice("abcdefgh") for _ in range(60)) + " and of the other one it was " + "".join(rng.choice("abcdefgh") for _ in range(60))) for d in range(200)]
+    rows += [(d + 200, rows[d][1][30:110]) for d in range(0, 200, 20)] + [(300 + d, "ab" * 60) for d in range(3)]
+    docs = pa.table({"doc_id": pa.array([r[0] for r in rows]), "text": pa.array([r[1] for r in rows])})
+    gone, compared = {}, []
+    monkeypatch.setattr(S, "least_owner", lambda strings, *a: compared.append(len(strings)) or least_owner(strings, *a))
+    batches = [S._Batch(docs.filter(pa.array(np.arange(len(rows)) % 2 == b)), S.WINDOW, S.GRAM, 1) for b in range(2)]
+    answers = S._repeated_minimizers(pa.concat_tables([x.minimizer_messages(b) for b, x in enumerate(batches)]), S.HOT)
+    for b, x in enumerate(batches):
+        x.repeated(answers.slice(b, 1))
+    sent = pa.concat_tables([x.block_messages(b) for b, x in enumerate(batches)])
+    least = S._least_documents(sent, S.WINDOW, (S.WINDOW + S.GRAM) // 2, S.COLLECTION)
+    for b, x in enumerate(batches):
+        for d, n in zip(x.doc_ids.tolist(), [int(g.sum()) for g in np.split(x.covered(least.slice(b, 1)), x.offsets[1:-1])], strict=True):
+            gone[d] = n
+    assert gone == {d: n for d, _, n, *_ in brute(rows)}
+    assert sum(compared) < 60  # the blocks of copied text, and not those of the phrase
+
+
+def test_messages_do_not_grow_with_the_square_of_the_batches():
+    assert [S._buckets(n) for n in (1, 42, 206, 2424)] == [1, 42, 64, 606]

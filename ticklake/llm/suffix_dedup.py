@@ -17,9 +17,11 @@ collection holds the blocks of some minimizers:
 1. each batch of documents sends its distinct minimizers to their buckets, which
    answer which of them stand in two documents; others cannot repeat;
 2. the batch sends the distinct blocks of these, each with its least document
-   id, to the same buckets.  A bucket builds the transform and common prefixes
-   of its blocks, some minimizers at a time, and answers for every block the
-   least document that holds each window;
+   id, to the same buckets.  A bucket cuts blocks that share a minimizer again,
+   by minimizers of longer strings, since the more documents there are the more
+   blocks meet by a short common phrase and have no window in common.  It builds
+   the transform and common prefixes of those that still meet, some minimizers at
+   a time, and answers for every block the least document that holds each window;
 3. the batch marks the windows that an earlier document holds.
 
 A batch sends a block once, however many of its documents hold it, so a passage
@@ -52,6 +54,8 @@ COLLECTION = 20_000
 #: blocks of a minimizer above which its windows go by their own hashes
 HOT = 65_536
 _PIECE = 1 << 19
+#: blocks that are cut again together, about
+_AT_ONCE = 65_536
 _STEP = 0x9E3779B97F4A7C55
 _NONE = np.iinfo(np.int64).max
 
@@ -283,7 +287,56 @@ def _repeated_minimizers(messages: pa.Table, hot: int) -> pa.Table:
                      "packed": pa.array([np.packbits(x).tobytes() + np.packbits(y).tobytes() for x, y in zip(np.split(yes, ends), np.split(many, ends), strict=True)], pa.binary())})
 
 
-def _least_documents(messages: pa.Table, window: int, collection: int) -> pa.Table:
+def _distinct(rows_of, count: int, keys: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Strings in order of key and content; where the distinct ones begin in this
+    order; and the number of its distinct string for every string.  ``rows_of``
+    gives the rows of bytes of a slice."""
+    hashes = np.concatenate([_row_hashes(rows_of(cut), lengths[cut]) for cut in (slice(i, i + 65_536) for i in range(0, count, 65_536))])
+    order = np.lexsort((hashes[:, 1], hashes[:, 0], keys))
+    h, k = hashes[order], keys[order]
+    new = np.ones(count, bool)
+    new[1:] = (h[1:] != h[:-1]).any(axis=1) | (k[1:] != k[:-1])
+    which = np.empty(count, np.int64)
+    which[order] = np.cumsum(new) - 1
+    return order, np.flatnonzero(new), which
+
+
+def _least_in_blocks(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, owners: np.ndarray, window: int, finer: int,
+                     collection: int, wide: int) -> np.ndarray:
+    """For each window of each block the least document that holds it.  The
+    blocks are cut again, by minimizers of ``finer`` bytes: what meets by
+    a short common phrase does not meet there, and its windows are its own.  The
+    others go to the transform, whole minimizers and about ``collection`` strings
+    at a time."""
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    text = data[_ragged(starts, lengths)]
+    at, count, keys, _ = blocks(text, offsets, window, finer)
+    block = np.searchsorted(offsets, at, "right") - 1
+    size = count + window - 1
+    width = int(size.max())
+    order, first, which = _distinct(lambda cut: _rows(text, at[cut], size[cut], width), len(at), keys, size)
+    picked = order[first]
+    owner, length, key = np.minimum.reduceat(owners[block[order]], first), size[picked], keys[picked]
+    same = key[1:] == key[:-1]
+    todo = np.flatnonzero(np.append(same, False) | np.insert(same, 0, False))
+    found = np.where(np.arange(width - window + 1)[None, :] < (length - window + 1)[:, None], owner[:, None], _NONE)
+    cuts = [0]
+    while cuts[-1] < len(todo):
+        end = min(cuts[-1] + collection, len(todo))
+        cuts.append(end if end == len(todo) else int(np.searchsorted(key[todo], key[todo[end - 1]], "right")))
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        chosen = todo[a:b]
+        rows = _rows(text, at[picked[chosen]], length[chosen], int(length[chosen].max()))
+        some = least_owner(rows, length[chosen], owner[chosen], window)
+        found[chosen, :some.shape[1]] = some
+    least = np.full((len(lengths), wide), _NONE)
+    window_at = _ragged(np.zeros(len(at), np.int64), count)
+    mine = np.repeat(np.arange(len(at)), count)
+    least[block[mine], (at - offsets[block])[mine] + window_at] = found[which[mine], window_at]
+    return least
+
+
+def _least_documents(messages: pa.Table, window: int, finer: int, collection: int) -> pa.Table:
     """In a bucket: for each block of each batch, runs of windows and the least
     document that holds them."""
     unpack, pack = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
@@ -299,31 +352,20 @@ def _least_documents(messages: pa.Table, window: int, collection: int) -> pa.Tab
     keys, owners, lengths, data = np.concatenate(keys), np.concatenate(owners), np.concatenate(lengths).astype(np.int64), np.concatenate(contents)
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     width = int(lengths.max())
-    hashes = np.concatenate([_row_hashes(_rows(data, starts[i:i + 65_536], lengths[i:i + 65_536], width), lengths[i:i + 65_536]) for i in range(0, len(keys), 65_536)])
-    order = np.lexsort((hashes[:, 1], hashes[:, 0], keys))
-    h, k = hashes[order], keys[order]
-    new = np.ones(len(order), bool)
-    new[1:] = (h[1:] != h[:-1]).any(axis=1) | (k[1:] != k[:-1])
-    first = np.flatnonzero(new)
-    which = np.empty(len(order), np.int64)
-    which[order] = np.cumsum(new) - 1
-    del hashes, h
+    order, first, which = _distinct(lambda cut: _rows(data, starts[cut], lengths[cut], width), len(keys), keys, lengths)
     picked = order[first]
     owner, length, key = np.minimum.reduceat(owners[order], first), lengths[picked], keys[picked]
     # blocks that share their minimizer with no other have their own least document throughout
     same = key[1:] == key[:-1]
-    several = np.append(same, False) | np.insert(same, 0, False)
+    todo = np.flatnonzero(np.append(same, False) | np.insert(same, 0, False))
     wide = width - window + 1
     least = np.where(np.arange(wide)[None, :] < (length - window + 1)[:, None], owner[:, None], _NONE)
-    todo = np.flatnonzero(several)
-    cuts = [0]
-    while cuts[-1] < len(todo):  # whole minimizers, about ``collection`` strings
-        at = min(cuts[-1] + collection, len(todo))
-        cuts.append(at if at == len(todo) else int(np.searchsorted(key[todo], key[todo[at - 1]], "right")))
-    for a, b in zip(cuts, cuts[1:], strict=False):
+    for a in range(0, len(todo), _AT_ONCE):
+        # windows of other blocks that are equal have the same minimizer, so whole minimizers stay together
+        a, b = (0 if not x else int(np.searchsorted(key[todo], key[todo[x - 1]], "right")) for x in (a, min(a + _AT_ONCE, len(todo))))
         chosen = todo[a:b]
-        rows = _rows(data, starts[picked[chosen]], length[chosen], width)
-        least[chosen] = least_owner(rows, length[chosen], owner[chosen], window)
+        if len(chosen):
+            least[chosen] = _least_in_blocks(data, starts[picked[chosen]], length[chosen], owner[chosen], window, finer, collection, wide)
     valid = least < _NONE
     valid |= np.arange(wide)[None, :] < (length - window + 1)[:, None]
     begins = valid.copy()
@@ -364,13 +406,20 @@ def _whole_characters(raw: np.ndarray, gone: np.ndarray) -> str:
     return raw[~all_gone[char]].tobytes().decode()
 
 
+def _buckets(batches: int) -> int:
+    """A bucket for four batches, as every batch sends every bucket a message
+    and a small message costs more than its bytes; few batches get one each, so
+    that there is work for many tasks."""
+    return max(min(batches, 64), -(-batches // 4))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM,
                    collection: int = COLLECTION, hot: int = HOT, carry: dict[str, str] | None = None) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row; with
     ``carry`` (new name: column) also ``kept_text`` and those columns."""
     carried = dict(carry or {})
     dealt, batches = deal(docs, id_col, text_col, carry=carried)
-    buckets = batches
+    buckets = _buckets(batches)
 
     def ask(key: tuple, table: pa.Table) -> pa.Table:
         return _Batch(table, window, gram, buckets).minimizer_messages(key[0].as_py())
@@ -384,7 +433,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return batch.block_messages(key[0].as_py())
 
     def compare(table: pa.Table) -> pa.Table:
-        return _least_documents(table, window, collection)
+        return _least_documents(table, window, (window + gram) // 2, collection)
 
     def mark(table: pa.Table, answers: pa.Table) -> pa.Table:
         batch = _Batch(table, window, gram, buckets)
